@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalume.llm import packing, token_store
+from catalume.llm import mixing, packing, quality, token_store
 from catalume.llm.common import scratch, table
 
 
@@ -24,9 +24,19 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "quality.*")
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents", "doc_id", "text", "source")).select("doc_id", "mix.*")
+
+
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_store": op3_token_store,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_source_mixing": op9_source_mixing,
 }
 
 ORACLES: dict[str, str] = {}
