@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalume.llm import mixing, packing, quality, token_store
+from catalume.llm import html, language, mixing, packing, quality, token_store, toxicity
 from catalume.llm.common import scratch, table
 
 
@@ -24,6 +24,14 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents", "doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "quality.*")
 
@@ -32,11 +40,18 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents", "doc_id", "text", "source")).select("doc_id", "mix.*")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages", "page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_store": op3_token_store,
+    "op4_language_id": op4_language_id,
+    "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mixing": op9_source_mixing,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLES: dict[str, str] = {}
