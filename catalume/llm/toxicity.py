@@ -43,13 +43,9 @@ class Models:
     def ratio(self, previous: str, word: str) -> float:
         """The word's own part of the ratio, where its class or its pair tells anything."""
         one, context = self.words.get(word), self.contexts.get(previous)
-        if one is None and context is None:
-            return self.usual
-        share, base = one or ((0.0, 0.0), None)
-        if base is None:
-            if (previous, word) not in self.pairs:
-                return self.usual + math.log(context[1] / context[0])
-            base = 1e-6
+        if one is None:  # neither the class nor any pair tells of this word
+            return self.usual + (math.log(context[1] / context[0]) if context else 0)
+        share, base = one
         log = []
         for c in (0, 1):
             p = share[c] + self.backoff[c] * base
@@ -98,8 +94,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, ordinary:
         model["words"][r["word"]] = ((r["e0"] / t["n0"], r["e1"] / t["n1"]), (r["both"] + 1) / (t["both"] + t["words"]))
     model["backoff"] = tuple(max(1e-6, 1 - sum(x[0][c] for x in model["words"].values())) for c in (0, 1))
     contexts = counted.groupBy("before").agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"))
-    left = counted.select("before", "word", *over(tokens["n0"], tokens["n1"])).where((F.col("e0") > 0) | (F.col("e1") > 0)).join(contexts, "before").orderBy(F.desc(F.greatest("e0", "e1")), "before", "word").limit(TERMS)
+    left = counted.select("before", "word", *over(tokens["n0"], tokens["n1"])).where((F.col("e0") > 0) | (F.col("e1") > 0)).join(contexts, "before").join(one.select("word", "both"), "word").orderBy(F.desc(F.greatest("e0", "e1")), "before", "word").limit(TERMS)
     for r in left.collect():
+        model["words"].setdefault(r["word"], ((0.0, 0.0), (r["both"] + 1) / (t["both"] + t["words"])))
         model["pairs"][r["before"], r["word"]] = share = tuple(r[f"e{c}"] / max(r[f"c{c}"], 1) for c in (0, 1))
         model["contexts"][r["before"]] = tuple(max(1e-6, x - y) for x, y in zip(model["contexts"].get(r["before"], (1.0, 1.0)), share))
     points = [(r["score"], r["toxic"]) for r in scored(texts.where("fits").select("text", "toxic"), model, raw=True).select("score", "toxic").collect()]  # about (toxic + ordinary) / FIT_SHARE rows
