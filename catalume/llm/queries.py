@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalume.llm import html, language, mixing, packing, quality, token_store, toxicity
+from catalume.llm import html, jaccard, language, mixing, packing, quality, token_store, toxicity
 from catalume.llm.common import scratch, table
 
 
@@ -28,6 +28,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents", "doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")).select("doc_id", "held_out", "score", "predicted")
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_store": op3_token_store,
     "op4_language_id": op4_language_id,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mixing": op9_source_mixing,
