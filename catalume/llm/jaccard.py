@@ -32,7 +32,7 @@ FREQUENT = 32
 FREQUENT_BITS = 22
 #: Most bits of the filter of texts that share a region: a bound on what is sent to tasks.
 ACTIVE_BITS = 27
-PIVOTS = 4  # drawn per region and round
+PIVOTS = 8  # drawn per region and round
 BATCH = 1 << 22  # shingles whose frequencies a task counts at once
 
 
@@ -85,12 +85,15 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def regions(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """h, c, n: the shingles of the first fifth of each set, frequent ones last."""
+    """h, c, n, m: the shingles of the first fifth of each set, frequent ones last.
+
+    If h is the first shingle that two linked sets share, nothing before it is shared: so the other set has m members at most.
+    """
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            hs, cs, ns = [], [], []
+            hs, cs, ns, ms = [], [], [], []
             for x in of_column(batch.column(0)):
                 if not len(x):
                     continue
@@ -106,10 +109,11 @@ def regions(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 hs.append(first)
                 cs.append(np.full(len(first), c, np.int64))
                 ns.append(np.full(len(first), len(x), np.int64))
+                ms.append((len(x) - np.arange(len(first))) * (100 + PERCENT) // PERCENT - len(x))
             if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(cs)), pa.array(np.concatenate(ns))], ["h", "c", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(cs)), pa.array(np.concatenate(ns)), pa.array(np.concatenate(ms))], ["h", "c", "n", "m"])
 
-    return docs.select("text").mapInArrow(run, "h long, c long, n long")
+    return docs.select("text").mapInArrow(run, "h long, c long, n long, m long")
 
 
 def sets(docs: DataFrame, active: np.ndarray, log2: int) -> DataFrame:
@@ -133,14 +137,17 @@ def sets(docs: DataFrame, active: np.ndarray, log2: int) -> DataFrame:
 
 
 def shared_regions(docs: DataFrame, often: DataFrame) -> DataFrame:
-    """h, c, n of the regions that hold two texts at least; of regions with the same texts, one."""
+    """h, c, n, w of the regions that hold two texts at least; of regions with the same texts, one. w: regions of the text, all of them counted."""
     frequent = often.groupBy("often").agg(F.sum("times").alias("t")).where(F.col("t") > FREQUENT)
     lying = regions(docs, bitmap(frequent.select("often"), FREQUENT_BITS))
-    crowded = lying.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("h")
-    found = stored(lying.join(crowded, "h").groupBy("h", "c").agg(F.min("n").alias("n")), "regions")
+    crowded = lying.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("n").alias("least_n"), F.max("m").alias("most_m")).where("low <> high").select("h", "least_n", "most_m")
+    met = stored(lying.join(crowded, "h").where("m >= least_n and n <= most_m").groupBy("h", "c").agg(F.min("n").alias("n")), "regions")
+    crowded = met.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("h")
+    found = met.join(crowded, "h")
     alike = found.groupBy("h").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("c")).alias("x"), F.sum(F.xxhash64("c", F.lit(1)).cast("decimal(38,0)")).alias("y"))
     one = alike.groupBy("size", "x", "y").agg(F.min("h").alias("h")).select("h")
-    return stored(found.join(one, "h"), "regions_once")
+    width = found.groupBy("c").agg(F.count("*").alias("w"))
+    return stored(found.join(one, "h").join(width, "c").select("h", "c", "n", "w"), "regions_once")
 
 
 def overlap(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -165,8 +172,11 @@ def links(docs: DataFrame, often: DataFrame) -> DataFrame:
         # The texts of the label with most texts need not be pivots: those of all other labels are compared with them.
         main = per_label.groupBy("h").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count("*").alias("n_labels")).where("n_labels > 1").drop("n_labels")
         mixed = stored(lying.join(main, "h"), "mixed")
-        pivots = mixed.where("label <> main").groupBy("h", F.pmod(priority, F.lit(PIVOTS)).alias("j")).agg(F.min_by(F.struct("c", "n"), F.struct(priority, F.col("c"))).alias("pivot")).select("h", F.col("pivot.c").alias("p"), F.col("pivot.n").alias("n_p"))
-        pivots = stored(pivots, "pivots")
+        others = mixed.where("label <> main")
+        drawn = others.groupBy("h", F.pmod(priority, F.lit(PIVOTS)).alias("j")).agg(F.min_by(F.struct("c", "n"), F.struct(priority, F.col("c"))).alias("pivot"))
+        # And the text that shares most with others: the middle of a cloud of copies links with them all.
+        hubs = others.groupBy("h").agg(F.max_by(F.struct("c", "n"), F.struct("w", priority, F.col("c"))).alias("pivot"))
+        pivots = stored(drawn.select("h", "pivot").unionByName(hubs).select("h", F.col("pivot.c").alias("p"), F.col("pivot.n").alias("n_p")).distinct(), "pivots")
         if pivots.isEmpty():
             remove(docs.sparkSession, mixed, pivots)
             break
@@ -183,10 +193,10 @@ def links(docs: DataFrame, often: DataFrame) -> DataFrame:
         gaps = distances.groupBy("h", "p").agg(F.min(F.when(~F.col("linked"), F.col("d"))).alias("gap"))
         leaving = distances.where("linked").join(gaps, ["h", "p"]).where(F.col("d") < F.coalesce(F.col("gap"), F.lit(2.0)) - (100 - PERCENT) / 100 - 1e-9).select("h", "c")
         leaving = leaving.unionByName(pivots.select("h", F.col("p").alias("c"))).distinct()
-        staying = stored(mixed.select("h", "c", "n").join(leaving, ["h", "c"], "left_anti"), "regions_left")
-        # A text takes the label of a pivot that it links with: those of one label stay connected.
-        taken = fresh.join(labels.withColumnRenamed("c", "p"), "p").groupBy("c").agg(F.min("label").alias("taken"))
-        relabelled = stored(labels.join(taken, "c", "left").select("c", F.coalesce("taken", "label").alias("label")), "labels")
+        staying = stored(mixed.select("h", "c", "n", "w").join(leaving, ["h", "c"], "left_anti"), "regions_left")
+        joint = fresh.join(labels, "c").select("p", F.col("label").alias("a")).join(labels.withColumnRenamed("c", "p"), "p").select("a", F.col("label").alias("b"))
+        merged = components(joint).select(F.col("node").alias("label"), F.col("label").alias("to"))
+        relabelled = stored(labels.join(merged, "label", "left").select("c", F.coalesce("to", "label").alias("label")), "labels")
         remove(docs.sparkSession, inside, mixed, pivots, measured, labels)
         inside, labels = staying, relabelled
     if not found:
