@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalume.llm import html, jaccard, language, mixing, packing, quality, token_store, toxicity
+from catalume.llm import grid, html, jaccard, language, mixing, packing, quality, token_store, toxicity
 from catalume.llm.common import scratch, table
 
 
@@ -14,6 +14,10 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer())
 
@@ -49,6 +53,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_grid_join": op1_grid_join,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_store": op3_token_store,
     "op4_language_id": op4_language_id,
