@@ -39,6 +39,7 @@ class Models:
         self.words, self.pairs, self.contexts = model["words"], model["pairs"], model["contexts"]
         self.backoff = model["backoff"]
         self.usual = math.log(self.backoff[1] / self.backoff[0])
+        self.telling = self.words.keys() | self.contexts.keys()
 
     def ratio(self, previous: str, word: str) -> float:
         """The word's own part of the ratio, where its class or its pair tells anything."""
@@ -57,7 +58,14 @@ class Models:
     def score(self, text: str | None) -> float:
         """Mean ratio over the words of text."""
         found = _WORD.findall((text or "").lower())
-        return sum(map(self.ratio, [START, *found], found)) / max(1, len(found))
+        if not found:
+            return 0.0
+        telling = self.telling
+        at = [i for i, x in enumerate(found) if x in telling]
+        # Elsewhere every word has the usual ratio: only those that tell anything, and those after a context that does, are looked at.
+        at = {*at, *(i + 1 for i in at if i + 1 < len(found)), 0}
+        apart = sum(self.ratio(found[i - 1] if i else START, found[i]) for i in sorted(at))
+        return (apart + self.usual * (len(found) - len(at))) / len(found)
 
 
 def excess(n: F.Column, other: F.Column, ratio: float) -> F.Column:
@@ -79,9 +87,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, ordinary:
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))  # sample: about toxic + ordinary rows
     texts = stored(texts.withColumn("fits", F.pmod(F.xxhash64(F.lit("fits"), "text"), F.lit(FIT_SHARE)) == 0), "toxicity_sample")
     found = texts.where(~F.col("fits")).select("toxic", F.concat(F.array(F.lit(START)), words(F.col("text"))).alias("w"))
-    pairs = F.transform(F.slice(F.col("w"), F.lit(2), F.size("w")), lambda x, i: F.struct(F.get(F.col("w"), i).alias("before"), x.alias("word")))
+    pairs = F.transform(F.slice(F.col("w"), F.lit(2), F.size("w")), lambda x, i: F.concat_ws(" ", F.get(F.col("w"), i), x))  # strings, of which array_distinct keeps a hash set
     by_class = [F.count(F.when(F.col("toxic") == c, 1)).alias(f"n{c}") for c in (0, 1)]
-    counted = stored(found.select("toxic", F.explode(F.array_distinct(pairs)).alias("p")).groupBy("p.before", "p.word").agg(*by_class), "toxicity_pairs")
+    counted = stored(found.select("toxic", F.explode(F.array_distinct(pairs)).alias("p")).groupBy("p").agg(*by_class).select(F.substring_index("p", " ", 1).alias("before"), F.substring_index("p", " ", -1).alias("word"), "n0", "n1"), "toxicity_pairs")
     one = counted.groupBy("word").agg(F.count_if(F.col("n0") > 0).alias("n0"), F.count_if(F.col("n1") > 0).alias("n1"), F.count("*").alias("both"))
     t = one.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("both").alias("both"), F.count("*").alias("words")).first()
     tokens = counted.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
