@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalume.llm import grid, html, jaccard, language, mixing, packing, quality, token_store, toxicity
+from catalume.llm import chat, grid, html, jaccard, language, mixing, packing, quality, token_store, toxicity
 from catalume.llm.common import scratch, table
 
 
@@ -32,6 +32,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents", "doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_store": op3_token_store,
     "op4_language_id": op4_language_id,
+    "op5_chat_format": op5_chat_format,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
@@ -64,4 +69,8 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLES: dict[str, str] = {}
+#: What SQL can express. The texts of conversations hold no tool calls, so a message is its content and role.
+ORACLES: dict[str, str] = {
+    "op5_chat_format": """SELECT conv_id, turn, role, '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' AS message,
+  turn AS order_turn, CAST(0 AS INTEGER) AS order_step, CAST(0 AS INTEGER) AS n_calls, CAST(0 AS INTEGER) AS n_valid, CAST(NULL AS BOOLEAN) AS linked FROM conversations""",
+}
