@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalume.llm.common import prepare, remove, stored
+from catalume.llm.common import prepare, release, remove, stored
 from catalume.llm.components import components
 from catalume.llm.shingles import fingerprint, of_column
 
@@ -117,7 +117,7 @@ def regions(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def sets(docs: DataFrame, active: np.ndarray, log2: int) -> DataFrame:
-    """c, shingles of the texts that pass the filter; once each."""
+    """c, head, tail of the texts that pass the filter, once each: the shingles in the first quarter of all hashes, and the others."""
 
     def run(batches):
         seen: set[int] = set()
@@ -129,31 +129,43 @@ def sets(docs: DataFrame, active: np.ndarray, log2: int) -> DataFrame:
                     if len(seen) >= 100_000:
                         seen.clear()
                     seen.add(c)
-                    rows.append((c, x.view(np.int64)))
+                    rows.append((c, *np.split(x.view(np.int64), [int(np.searchsorted(x, np.uint64(1 << 62)))])))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], ["c", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in (1, 2)]], ["c", "head", "tail"])
 
-    return docs.select("text").mapInArrow(run, "c long, shingles array<bigint>")
+    return docs.select("text").mapInArrow(run, "c long, head array<bigint>, tail array<bigint>")
 
 
 def shared_regions(docs: DataFrame, often: DataFrame) -> DataFrame:
-    """h, c, n, w of the regions that hold two texts at least; of regions with the same texts, one. w: regions of the text, all of them counted."""
+    """h, c, n, w, m of the regions that hold two texts at least; of regions with the same texts, one. w: regions of the text, all of them counted; m: most members of a set that links with it."""
     frequent = often.groupBy("often").agg(F.sum("times").alias("t")).where(F.col("t") > FREQUENT)
     lying = regions(docs, bitmap(frequent.select("often"), FREQUENT_BITS))
     crowded = lying.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("n").alias("least_n"), F.max("m").alias("most_m")).where("low <> high").select("h", "least_n", "most_m")
-    met = stored(lying.join(crowded, "h").where("m >= least_n and n <= most_m").groupBy("h", "c").agg(F.min("n").alias("n")), "regions")
+    met = stored(lying.join(crowded, "h").where("m >= least_n and n <= most_m").groupBy("h", "c").agg(F.min("n").alias("n"), F.max("m").alias("m")), "regions")
     crowded = met.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("h")
     found = met.join(crowded, "h")
     alike = found.groupBy("h").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("c")).alias("x"), F.sum(F.xxhash64("c", F.lit(1)).cast("decimal(38,0)")).alias("y"))
     one = alike.groupBy("size", "x", "y").agg(F.min("h").alias("h")).select("h")
-    width = found.groupBy("c").agg(F.count("*").alias("w"))
-    return stored(found.join(one, "h").join(width, "c").select("h", "c", "n", "w"), "regions_once")
+    width = found.groupBy("c").agg(F.count("*").alias("w"), F.max("m").alias("m"))
+    return stored(found.join(one, "h").drop("m").join(width, "c").select("h", "c", "n", "w", "m"), "regions_once")
 
 
 def overlap(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """pairs (c, p, ...) with both = size of the intersection of their sets."""
-    out = pairs.join(known.select("c", F.col("shingles").alias("left")), "c").join(known.select(F.col("c").alias("p"), F.col("shingles").alias("right")), "p")
-    return out.withColumn("both", F.size(F.array_intersect("left", "right")).cast("long")).drop("left", "right")
+    """pairs (c, p, n, n_p) with both: the size of the intersection of their sets, or more where that already does not link.
+
+    What either set has alone in the first quarter of all hashes bounds the intersection; only pairs that may still link are met in full.
+    """
+
+    def met(df: DataFrame, column: str) -> DataFrame:
+        side = lambda key: known.select(F.col("c").alias(key), F.col(column).alias(f"of_{key}"))
+        return df.join(side("c"), "c").join(side("p"), "p").withColumn("met", F.size(F.array_intersect("of_c", "of_p")).cast("long"))
+
+    alone = lambda x: F.size(f"of_{x}") - F.col("met")
+    first = met(pairs, "head").select("c", "p", "n", "n_p", F.col("met").alias("both_head"), F.least(F.col("n") - alone("c"), F.col("n_p") - alone("p")).alias("both"))
+    first = stored(first, "heads_met")
+    may = 100 * F.col("both") >= PERCENT * (F.col("n") + F.col("n_p") - F.col("both"))
+    full = met(first.where(may).drop("both"), "tail").withColumn("both", F.col("both_head") + F.col("met"))
+    return first.where(~may).select("c", "p", "n", "n_p", "both").unionByName(full.select("c", "p", "n", "n_p", "both"))
 
 
 def links(docs: DataFrame, often: DataFrame) -> DataFrame:
@@ -163,7 +175,9 @@ def links(docs: DataFrame, often: DataFrame) -> DataFrame:
     n = labels.count()
     log2 = min(ACTIVE_BITS, max(15, (16 * max(n, 1)).bit_length()))
     active = bitmap(labels.select("c"), log2)  # what passes it by chance is dropped by the join
-    known = stored(sets(docs, active, log2).groupBy("c").agg(F.first("shingles").alias("shingles")).join(labels.select("c"), "c"), "sets")
+    release(docs.sparkSession)
+    known = stored(sets(docs, active, log2).groupBy("c").agg(F.first("head").alias("head"), F.first("tail").alias("tail")).join(labels.select("c"), "c"), "sets")
+    release(docs.sparkSession)
     found: list[DataFrame] = []
     priority = F.xxhash64("c", F.lit("pivot"))
     while True:
@@ -173,32 +187,35 @@ def links(docs: DataFrame, often: DataFrame) -> DataFrame:
         main = per_label.groupBy("h").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count("*").alias("n_labels")).where("n_labels > 1").drop("n_labels")
         mixed = stored(lying.join(main, "h"), "mixed")
         others = mixed.where("label <> main")
-        drawn = others.groupBy("h", F.pmod(priority, F.lit(PIVOTS)).alias("j")).agg(F.min_by(F.struct("c", "n"), F.struct(priority, F.col("c"))).alias("pivot"))
+        drawn = others.groupBy("h", F.pmod(priority, F.lit(PIVOTS)).alias("j")).agg(F.min_by(F.struct("c", "n", "m"), F.struct(priority, F.col("c"))).alias("pivot"))
         # And the text that shares most with others: the middle of a cloud of copies links with them all.
-        hubs = others.groupBy("h").agg(F.max_by(F.struct("c", "n"), F.struct("w", priority, F.col("c"))).alias("pivot"))
-        pivots = stored(drawn.select("h", "pivot").unionByName(hubs).select("h", F.col("pivot.c").alias("p"), F.col("pivot.n").alias("n_p")).distinct(), "pivots")
+        hubs = others.groupBy("h").agg(F.max_by(F.struct("c", "n", "m"), F.struct("w", priority, F.col("c"))).alias("pivot"))
+        pivots = stored(drawn.select("h", "pivot").unionByName(hubs).select("h", F.col("pivot.c").alias("p"), F.col("pivot.n").alias("n_p"), F.col("pivot.m").alias("m_p")).distinct(), "pivots")
         if pivots.isEmpty():
             remove(docs.sparkSession, mixed, pivots)
             break
         met = mixed.join(pivots, "h").where("c <> p")
-        # No text much smaller or larger links; its distance is at least 1 - smaller / larger.
-        near = 100 * F.least("n", "n_p") >= PERCENT * F.greatest("n", "n_p")
-        measured = stored(overlap(met.where(near).select("c", "p", "n", "n_p").distinct(), known), "measured")
+        # No text much smaller or larger links (its distance is at least 1 - smaller / larger), nor one too large for what is shared.
+        near = (100 * F.least("n", "n_p") >= PERCENT * F.greatest("n", "n_p")) & (F.col("n") <= F.col("m_p")) & (F.col("n_p") <= F.col("m"))
+        pairs = met.where(near).select(F.when(F.col("c") < F.col("p"), F.struct("c", "p", "n", "n_p")).otherwise(F.struct(F.col("p").alias("c"), F.col("c").alias("p"), F.col("n_p").alias("n"), F.col("n").alias("n_p"))).alias("pair")).select("pair.*").distinct()
+        measured = stored(overlap(pairs, known), "measured")
         linked = (100 * F.col("both")) >= (PERCENT * (F.col("n") + F.col("n_p") - F.col("both")))
         fresh = stored(measured.where(linked).select("c", "p"), "fresh_links")
         found.append(fresh.select(F.col("c").alias("a"), F.col("p").alias("b")))
-        distances = met.select("h", "c", "p", "n", "n_p").join(measured.select("c", "p", "both"), ["c", "p"], "left").withColumn("linked", F.coalesce(linked, F.lit(False)))
+        both_ways = measured.select("c", "p", "both").unionByName(measured.select(F.col("p").alias("c"), F.col("c").alias("p"), "both"))
+        distances = met.select("h", "c", "p", "n", "n_p").join(both_ways, ["c", "p"], "left").withColumn("linked", F.coalesce(linked, F.lit(False)))
         distance = F.when(F.col("both").isNotNull(), 1 - F.col("both") / (F.col("n") + F.col("n_p") - F.col("both"))).otherwise(1 - F.least("n", "n_p") / F.greatest("n", "n_p"))
         distances = distances.withColumn("d", distance)
         gaps = distances.groupBy("h", "p").agg(F.min(F.when(~F.col("linked"), F.col("d"))).alias("gap"))
         leaving = distances.where("linked").join(gaps, ["h", "p"]).where(F.col("d") < F.coalesce(F.col("gap"), F.lit(2.0)) - (100 - PERCENT) / 100 - 1e-9).select("h", "c")
         leaving = leaving.unionByName(pivots.select("h", F.col("p").alias("c"))).distinct()
-        staying = stored(mixed.select("h", "c", "n", "w").join(leaving, ["h", "c"], "left_anti"), "regions_left")
+        staying = stored(mixed.select("h", "c", "n", "w", "m").join(leaving, ["h", "c"], "left_anti"), "regions_left")
         joint = fresh.join(labels, "c").select("p", F.col("label").alias("a")).join(labels.withColumnRenamed("c", "p"), "p").select("a", F.col("label").alias("b"))
         merged = components(joint).select(F.col("node").alias("label"), F.col("label").alias("to"))
         relabelled = stored(labels.join(merged, "label", "left").select("c", F.coalesce("to", "label").alias("label")), "labels")
         remove(docs.sparkSession, inside, mixed, pivots, measured, labels)
         inside, labels = staying, relabelled
+        release(docs.sparkSession)
     if not found:
         return labels.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0)
     return reduce(DataFrame.unionByName, found)
