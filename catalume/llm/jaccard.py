@@ -32,7 +32,7 @@ FREQUENT = 32
 FREQUENT_BITS = 22
 #: Most bits of the filter of texts that share a region: a bound on what is sent to tasks.
 ACTIVE_BITS = 27
-PIVOTS = 8  # drawn per region and round
+PIVOTS = 16  # drawn per region and round
 BATCH = 1 << 22  # shingles whose frequencies a task counts at once
 
 
@@ -213,8 +213,11 @@ def links(docs: DataFrame, often: DataFrame) -> DataFrame:
         joint = fresh.join(labels, "c").select("p", F.col("label").alias("a")).join(labels.withColumnRenamed("c", "p"), "p").select("a", F.col("label").alias("b"))
         merged = components(joint).select(F.col("node").alias("label"), F.col("label").alias("to"))
         relabelled = stored(labels.join(merged, "label", "left").select("c", F.coalesce("to", "label").alias("label")), "labels")
-        remove(docs.sparkSession, inside, mixed, pivots, measured, labels)
-        inside, labels = staying, relabelled
+        # Only texts that are still in a region are met again, so what a round moves shrinks with them.
+        needed = staying.select("c").distinct()
+        fewer = stored(known.join(needed, "c", "left_semi"), "sets")
+        remove(docs.sparkSession, inside, mixed, pivots, measured, labels, known)
+        inside, labels, known = staying, relabelled, fewer
         release(docs.sparkSession)
     if not found:
         return labels.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0)
