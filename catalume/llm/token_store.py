@@ -99,7 +99,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_tok
         if ids:
             yield full()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(shards, SCHEMA).write.parquet(path)
 
 

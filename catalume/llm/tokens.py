@@ -2,8 +2,9 @@
 
 A byte-level BPE encodes each piece of its split pattern alone, and a single blank between two characters that
 are no white space always begins a piece. So a text is the sequence of its blank-separated chunks, and a chunk
-met before need not be encoded again: each Python worker keeps the ids of up to CACHE_ENTRIES chunks. Chunks
-that hold or touch other white space next to a blank are encoded alone, so the ids are those of the whole text.
+met before need not be encoded again: each Python worker keeps the ids of up to twice CACHE_ENTRIES chunks. Chunks
+that end in punctuation are the ids of what stands before and those of the punctuation, a piece of its own; chunks
+that begin or end with white space make a text be cut at such blanks alone, so the ids are those of the whole text.
 """
 
 from __future__ import annotations
@@ -11,13 +12,13 @@ from __future__ import annotations
 import array
 import os
 import re
+import string
 
 import numpy as np
 
-CACHE_ENTRIES = 500_000
-CACHE_BYTES = 60_000_000
+CACHE_ENTRIES = 600_000
+CACHE_BYTES = 40_000_000
 
-_UNSAFE = re.compile(r"\s | \s|^ | $")
 _SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _ENCODERS: dict[str, "Encoder"] = {}
 
@@ -36,14 +37,16 @@ class Encoder:
         self.leading = np.zeros(max(vocabulary.values()) + 1, bool)
         self.leading[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.size = 0
 
     def alone(self, texts: list[str]) -> list[bytes]:
         return [array.array(self.code, x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of blank + chunk for each chunk; those without white space are encoded as one text and cut at the blanks."""
-        plain = [x for x in chunks if x and not re.search(r"\s", x)]
+        """Ids of blank + chunk for each chunk; those without a blank are encoded as one text and cut where a token holds one."""
+        plain = [x for x in chunks if " " not in x and not edged(x)]
         ids = np.array(self.tokenizer.encode(" " + " ".join(plain), add_special_tokens=False).ids if plain else [], self.dtype)
         starts = np.flatnonzero(self.leading[ids])
         found = {}
@@ -55,17 +58,50 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """texts: without None."""
-        chunks = [_SAFE_BLANK.split(x) if _UNSAFE.search(x) else x.split(" ") for x in texts]
-        if len(self.known) > CACHE_ENTRIES or self.size > CACHE_BYTES:
-            self.known, self.size = {}, 0
-        new = set()
-        for x in chunks:
-            new.update(x[1:])
-        found = self.learn([x for x in new if x not in self.known])
-        self.known.update(found)
+        known = self.known
+        chunks = [x.split(" ") for x in texts]
+        got = [list(map(known.get, x)) for x in chunks]
+        new = {y for x, ids in zip(chunks, got) for y, known_ids in zip(x[1:], ids[1:]) if known_ids is None}
+        apart = {x for x in new if edged(x)}
+        for i, x in enumerate(chunks):
+            if len(x) > 1 and (edged(x[0]) or apart and not apart.isdisjoint(x)):
+                chunks[i] = _SAFE_BLANK.split(texts[i])
+                got[i] = list(map(known.get, chunks[i]))
+                new.update(y for y in chunks[i][1:] if y not in known)
+        older = self.older
+        found = {x: older[x] for x in new if x in older}
+        stems = {x: y for x in new if x not in found and (y := stem(x)) != x}
+        needed = {x for x in new if x not in found and x not in stems}.union(y for y in stems.values() if y not in known)
+        found.update((x, older[x]) for x in needed if x in older)
+        found.update(self.learn([x for x in needed if x not in found]))
+        tails = {x[len(y) :] for x, y in stems.items()}.difference(self.tails)
+        self.tails.update(zip(tails, self.alone(list(tails))))
+        for x, y in stems.items():
+            found[x] = (known.get(y) or found[y]) + self.tails[x[len(y) :]]
+        if len(self.tails) > 10_000:
+            self.tails = {}
         self.size += sum(map(len, found)) + sum(map(len, found.values()))
-        get = self.known.__getitem__
-        return [first + b"".join(map(get, x[1:])) for x, first in zip(chunks, self.alone([x[0] for x in chunks]))]
+        for x, ids, first in zip(chunks, got, self.alone([x[0] for x in chunks])):
+            if None in ids:
+                ids[1:] = [found[y] if z is None else z for y, z in zip(x[1:], ids[1:])]
+            ids[0] = first
+        for x in apart:
+            found.pop(x, None)
+        known.update(found)
+        if len(known) > CACHE_ENTRIES or self.size > CACHE_BYTES:
+            self.older, self.known, self.size = known, {}, 0
+        return [b"".join(ids) for ids in got]
+
+
+def stem(chunk: str) -> str:
+    """chunk without the ASCII punctuation at its end, if a letter or number stands before it."""
+    short = chunk.rstrip(string.punctuation)
+    return short if short and short[-1].isalnum() and "<|" not in chunk else chunk
+
+
+def edged(chunk: str) -> bool:
+    """Whether white space, or nothing, meets the blanks around chunk."""
+    return not chunk or chunk[0].isspace() or chunk[-1].isspace()
 
 
 def encoder(path: str) -> Encoder:
