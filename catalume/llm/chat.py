@@ -15,6 +15,11 @@ CALLS = "struct<content string, tool_calls array<struct<id string, name string,
 RESULT = "struct<content string, tool_call_id string>"
 #: Tool -> argument -> (type, required). Types are Spark's: string, double, bigint, boolean.
 Schemas = dict[str, dict[str, tuple[str, bool]]]
+#: The tools of production. A double takes any number, a bigint whole numbers alone; text of digits is no number.
+SCHEMAS: Schemas = {
+    "search": {"query": ("string", True), "limit": ("bigint", False)},
+    "convert": {"value": ("double", True), "unit": ("string", True), "exact": ("boolean", False)},
+}
 
 
 def canonical(json: Column) -> Column:
@@ -22,6 +27,17 @@ def canonical(json: Column) -> Column:
     return F.to_json(F.try_parse_json(json))
 
 
+def typed(json: Column, name: str, kind: str) -> Column:
+    """Whether a member of a JSON object is of a type: by the type that it is written in, not by what it could be cast to."""
+    got = F.try_variant_get(F.try_parse_json(json), f"$.{name}", "variant")
+    is_a = F.schema_of_variant(got)
+    if kind in ("string", "boolean"):
+        return is_a == kind.upper()
+    number = is_a.isin("BIGINT", "DOUBLE", "FLOAT") | is_a.startswith("DECIMAL")
+    value = F.try_variant_get(got, "$", kind)
+    return number & value.isNotNull() & (F.try_variant_get(got, "$", "double") == value.cast("double"))
+
+
 def valid(call: Column, schemas: Schemas) -> Column:
     """Whether a call's arguments are an object with all that its tool's schema requires, of the right types, and nothing else. A tool without a schema: false."""
     out = F.lit(False)
@@ -29,13 +45,43 @@ def valid(call: Column, schemas: Schemas) -> Column:
     for tool, arguments in schemas.items():
         good = keys.isNotNull() & (F.size(F.array_except(keys, F.array(*map(F.lit, arguments)) if arguments else F.array().cast("array<string>"))) == 0)
         for name, (kind, required) in arguments.items():
-            value = F.try_variant_get(F.try_parse_json(call["arguments"]), f"$.{name}", kind)
-            there = F.array_contains(keys, name)
-            good = good & (there & value.isNotNull() if required else ~there | value.isNotNull())
+            there, fits = F.array_contains(keys, name), F.coalesce(typed(call["arguments"], name, kind), F.lit(False))
+            good = good & (there & fits if required else ~there | fits)
         out = F.when(call["name"] == tool, F.coalesce(good, F.lit(False))).otherwise(out)
     return out
 
 
+def with_tools(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text of turns, with calls and results that the raw table lacks: every assistant turn becomes a message with its text as content and one or two calls
+    (valid, badly typed, incomplete, of an unknown tool), and is joined by a result of its last call in a turn of its own, some before the call and some of no call.
+
+    Turns count by fours, which leaves room for results: the result of a call in turn 4n is turn 4n + 2, or 4n - 1 if reversed.
+    """
+    conv, turn, text = F.col("conv_id"), F.col("turn"), F.col("text")
+    kind, two = F.pmod(conv * 3 + turn, F.lit(6)), F.coalesce(F.pmod(turn, F.lit(4)) >= 2, F.lit(False))
+    t, n = turn.cast("string"), (turn * 4)
+    written = [
+        ("search", F.concat(F.lit('{"query": "q'), t, F.lit('", "limit": '), t, F.lit("}"))),
+        ("search", F.concat(F.lit('{"query":"q'), t, F.lit('","limit":"12"}'))),
+        ("search", F.lit('{"limit":3}')),
+        ("convert", F.concat(F.lit('{"value": '), t, F.lit(', "unit": "m", "exact": true}'))),
+        ("convert", F.lit('{"value":1.5,"unit":5}')),
+    ]
+    name, arguments = F.lit("delete"), F.lit("{}")
+    for k, (x, y) in enumerate(written):
+        name, arguments = F.when(kind == k, x).otherwise(name), F.when(kind == k, y).otherwise(arguments)
+    call = lambda mark, x, y: F.struct(F.concat(F.lit("c"), t, F.lit(mark)).alias("id"), x.alias("name"), y.alias("arguments"))
+    first, second = call("a", name, arguments), call("b", F.lit("convert"), F.lit('{"unit":"km","value":2.5}'))
+    calls = F.when(two, F.array(first, second)).otherwise(F.array(first))
+    wanted = F.when(F.pmod(conv + turn, F.lit(7)) == 0, "gone").otherwise(F.concat(F.lit("c"), t, F.when(two, "b").otherwise("a")))
+    place = F.when(F.pmod(conv + turn, F.lit(5)) == 0, n - 1).otherwise(n + 2)
+    row = lambda at, role, x: F.struct(at.alias("turn"), role.alias("role"), x.alias("text"))
+    asked = row(n, F.col("role"), F.to_json(F.struct(text.alias("content"), calls.alias("tool_calls"))))
+    answered = row(place, F.lit("tool"), F.to_json(F.struct(text.alias("content"), wanted.alias("tool_call_id"))))
+    rows = F.when(F.col("role") == "assistant", F.array(asked, answered)).otherwise(F.array(row(n, F.col("role"), text)))
+    return turns.select("conv_id", F.explode(rows).alias("r")).select("conv_id", "r.*")
+
+
 def parsed(turns: DataFrame) -> DataFrame:
     """turns with calls (array, null if none) and result (struct, null if none)."""
     looks = F.ltrim("text").startswith("{")

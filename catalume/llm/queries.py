@@ -33,7 +33,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.formatted(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return chat.formatted(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"), chat.SCHEMAS)
+
+
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over conversations with calls and results: the raw table has none."""
+    return chat.formatted(chat.with_tools(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")), chat.SCHEMAS)
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +67,7 @@ QUERIES = {
     "op3_token_store": op3_token_store,
     "op4_language_id": op4_language_id,
     "op5_chat_format": op5_chat_format,
+    "op5_tool_calls": op5_tool_calls,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
@@ -69,8 +75,22 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-#: What SQL can express. The texts of conversations hold no tool calls, so a message is its content and role.
+#: What SQL can express. The texts of conversations hold no tool calls, so op5_chat_format's message is its content and role; op5_tool_calls adds calls.
 ORACLES: dict[str, str] = {
     "op5_chat_format": """SELECT conv_id, turn, role, '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' AS message,
   turn AS order_turn, CAST(0 AS INTEGER) AS order_step, CAST(0 AS INTEGER) AS n_calls, CAST(0 AS INTEGER) AS n_valid, CAST(NULL AS BOOLEAN) AS linked FROM conversations""",
+    "op5_tool_calls": """WITH base AS (SELECT *, CAST(turn AS VARCHAR) AS t, ((conv_id * 3 + turn) % 6 + 6) % 6 AS kind, ((turn % 4) + 4) % 4 >= 2 AS two, ((conv_id + turn) % 7 = 0) AS gone, ((conv_id + turn) % 5 = 0) AS early,
+    coalesce(CAST(to_json(text) AS VARCHAR), 'null') AS content FROM conversations),
+  calls AS (SELECT *, CASE WHEN kind < 3 THEN 'search' WHEN kind < 5 THEN 'convert' ELSE 'delete' END AS name,
+    CASE kind WHEN 0 THEN '{"limit":' || t || ',"query":"q' || t || '"}' WHEN 1 THEN '{"limit":"12","query":"q' || t || '"}' WHEN 2 THEN '{"limit":3}' WHEN 3 THEN '{"exact":true,"unit":"m","value":' || t || '}' WHEN 4 THEN '{"unit":5,"value":1.5}' ELSE '{}' END AS arguments FROM base WHERE role = 'assistant')
+SELECT conv_id, turn * 4 AS turn, role, '{"content":' || content || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' AS message, turn * 4 AS order_turn, CAST(0 AS INTEGER) AS order_step, CAST(0 AS INTEGER) AS n_calls, CAST(0 AS INTEGER) AS n_valid, CAST(NULL AS BOOLEAN) AS linked
+FROM base WHERE role IS DISTINCT FROM 'assistant'
+UNION ALL
+SELECT conv_id, turn * 4, role, '{"content":' || content || ',"role":"assistant","tool_calls":[{"arguments":' || CAST(to_json(arguments) AS VARCHAR) || ',"id":"c' || t || 'a","name":"' || name || '"}' ||
+  CASE WHEN two THEN ',{"arguments":"{\\"unit\\":\\"km\\",\\"value\\":2.5}","id":"c' || t || 'b","name":"convert"}' ELSE '' END || ']}', turn * 4, 0, CASE WHEN two THEN 2 ELSE 1 END, CASE WHEN kind IN (0, 3) THEN 1 ELSE 0 END + CASE WHEN two THEN 1 ELSE 0 END, NULL
+FROM calls
+UNION ALL
+SELECT conv_id, CASE WHEN early THEN turn * 4 - 1 ELSE turn * 4 + 2 END, 'tool', '{"content":' || content || ',"role":"tool","tool_call_id":"' || CASE WHEN gone THEN 'gone' WHEN two THEN 'c' || t || 'b' ELSE 'c' || t || 'a' END || '"}',
+  CASE WHEN early AND gone THEN turn * 4 - 1 WHEN early THEN turn * 4 ELSE turn * 4 + 2 END, CASE WHEN early AND NOT gone THEN CASE WHEN two THEN 2 ELSE 1 END ELSE 0 END, 0, 0, NOT gone
+FROM calls""",
 }
