@@ -1,8 +1,9 @@
 """Main text of HTML pages by tree scoring.
 
 The page becomes a tree of blocks. Each paragraph-like block gives points for its length and commas to its parent and half of them to its
-grandparent; points are discounted by the share of text in links. The container with most points, and siblings of it that read
-like text, are the article. Menus, headers, footers, sidebars, notices, adverts, forms, comments and what is not
+grandparent; points are discounted by the share of text in links. The container with most points is raised to the article or main that it lies in, or else to what
+holds most of the page's points: points reach two levels only, so a long section beats the article around it. It and siblings of it that read
+like text are the article. Menus, headers, footers, sidebars, notices, adverts, forms, comments and what is not
 shown are left out by tag, role and name. A page is worked on alone, by a small parser over its whole html.
 """
 
@@ -33,12 +34,12 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "apart", "names", "points", "size", "linked")
+    __slots__ = ("tag", "parent", "children", "apart", "names", "points", "gains", "size", "linked")
 
     def __init__(self, tag: str, parent: "Node | None", apart: bool = False, names: str = ""):
         self.tag, self.parent, self.apart, self.names = tag, parent, apart, names
         self.children: list[Node | str] = []
-        self.points = self.size = self.linked = 0.0
+        self.points = self.gains = self.size = self.linked = 0.0
 
 
 class Tree(HTMLParser):
@@ -107,7 +108,7 @@ def headed(node: Node, inside: bool) -> bool:
 
 
 def measure(root: Node) -> list[Node]:
-    """Fill in size, linked and points; the nodes that may hold an article."""
+    """Fill in size, linked, points and gains (of all paragraphs in a node); the nodes that may hold an article."""
     order = list(walk(root))
     for node in reversed(order):
         node.size += sum(len(x.strip()) for x in node.children if isinstance(x, str))
@@ -121,14 +122,33 @@ def measure(root: Node) -> list[Node]:
         if node.tag in PARAGRAPH or node.tag in BLOCK and own.strip():
             gain = (1 + min(3.0, node.size / 100) + own.count(",")) * (1 - node.linked / node.size) if node.size else 0.0
             given, share = node if node.tag not in PARAGRAPH else node.parent, 1.0
+            node.gains = gain
             for _ in range(2):
                 if given is None:
                     break
                 given.points += gain * share
                 given, share = given.parent, share / 2
+    for node in reversed(order):
+        if node.parent is not None:
+            node.parent.gains += node.gains
     return [x for x in order if x.points > 0]
 
 
+def raised(best: Node) -> Node:
+    """The whole that best is a part of: the outermost article or else main around it; else the nearest node named like an article that holds most of the page's gains, or the
+    nearest that does, if best itself doesn't. Never the page."""
+    around = [best]
+    while around[-1].parent is not None:
+        around.append(around[-1].parent)
+    total = around[-1].gains
+    around = [x for x in around if x.tag not in ("html", "body")]
+    for tag in ("article", "main"):
+        if any(x.tag == tag for x in around):
+            return [x for x in around if x.tag == tag][-1]
+    most = [x for x in around if 2 * x.gains > total]
+    return next((x for x in most if ARTICLE.search(x.names)), next(iter(most), best))
+
+
 def render(nodes: list[Node]) -> str:
     """Text of blocks in page order, one a line, white space in a block as one blank."""
     blocks: list[list[str]] = [[]]
@@ -176,6 +196,7 @@ def main_text(html: str | None) -> str:
 
     best = max(found, key=value)
     best_value = value(best)
+    best = raised(best)
     if best.parent is None:
         return render([best])
     kept = []

@@ -31,3 +31,28 @@ def test_tool_calls_oracle(spark):
     by = {name: {x[df.columns.index(name)] for x in rows} for name in df.columns}
     assert by["n_valid"] == {0, 1, 2} and by["linked"] == {None, True, False} and by["order_step"] == {0, 1, 2}
     assert len({x[:2] for x in rows}) == len(rows)
+
+
+LONG = "".join(f"<p>Long {i}, with commas, and more of them, {'and words ' * 12}.</p>" for i in range(10))
+PARTS = f"<header><h1>The title</h1></header><section>{LONG}</section><section><p>Short one.</p><p>Short two.</p></section><ul><li>Item</li></ul><figure><figcaption>Figure</figcaption></figure><table><tr><td>Cell</td></tr></table>"
+AROUND = '<nav><a href="/">Home</a></nav><div class="sidebar"><p>Side, of, the, page.</p></div>'
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body>{AROUND}<article>{PARTS}</article><footer>us</footer></body>",
+        f"<body>{AROUND}<main><div class='grid'><div>{PARTS}</div></div></main><footer>us</footer></body>",
+        f"<body>{AROUND}<div><article><div><div>{PARTS}</div></div></article></div><footer>us</footer></body>",
+        f"<body>{AROUND}<div id='content'>{PARTS.replace('header>', 'div>')}</div><footer>us</footer></body>",
+    ],
+)
+def test_sectioned_and_wrapped_articles_are_whole(page):
+    lines = html.main_text(page).split("\n")
+    assert [lines[0], *lines[-5:]] == ["The title", "Short one.", "Short two.", "Item", "Figure", "Cell"] and len(lines) == 16
+
+
+def test_sections_under_an_unnamed_wrapper_are_whole():
+    parts = f"<div><section>{LONG}</section></div>" * 3
+    lines = html.main_text(f"<body>{AROUND}<div>{parts}<section><p>Short one.</p></section></div><footer>us</footer></body>").split("\n")
+    assert len(lines) == 31 and lines[-1] == "Short one." and not any("Side" in x or "Home" in x or x == "us" for x in lines)
