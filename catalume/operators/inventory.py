@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PROTOCOLS: dict[str, Callable[[DataFrame], DataFrame] | None] = {"ckan": None, "sdmx": None, "sparql": None}
+from catalume.sources import parse
+
+PROTOCOLS: dict[str, Callable[[DataFrame], DataFrame]] = {"ckan": parse.ckan_names, "sdmx": parse.sdmx_items, "sparql": lambda x: parse.sparql_items(parse.group_bindings(parse.sparql_bindings(x)))}
 
 
 def register_protocol(name: str, parser: Callable[[DataFrame], DataFrame]) -> None:
@@ -24,6 +26,13 @@ def route_sources(registry: DataFrame) -> DataFrame:
     return watched.withColumn("status", status)
 
 
+def parsed_inventory(registry: DataFrame, responses: DataFrame) -> DataFrame:
+    """Inventory rows of landed responses of all inventoriable sources, each by the parser of its source's protocol."""
+    routed = route_sources(registry).where("status = 'inventoriable'").select("source_id", F.col("protocol").alias("routed_protocol"))
+    df = responses.join(routed, "source_id")
+    return union_sources(*[df.where(F.col("routed_protocol") == name).drop("routed_protocol").transform(parser) for name, parser in PROTOCOLS.items()])
+
+
 def only_sources(items: DataFrame, ids: list[str]) -> DataFrame:
     return items.where(F.col("source_id").isin(*ids))
 

@@ -105,6 +105,10 @@ ORACLES = {
     "c9_html_format": q(f"SELECT page_id, CASE WHEN {HTML_BAD} THEN 'html_scrape_failed' ELSE 'html_scrape' END AS enrich_method, {HTML_FORMAT} AS format FROM fx_html"),
     "c10_enrich_dispatch": q(f"SELECT i.item_id, CASE WHEN r.protocol = 'ckan' AND {PAGE_OK} THEN 'ckan_package_show' WHEN landing_page IS NULL THEN 'none' WHEN r.scraping_blocked THEN 'scraping_blocked' ELSE coalesce(h.m, 'none') END AS enrich_method, CASE WHEN r.protocol = 'ckan' AND {PAGE_OK} THEN CASE WHEN landing_page IS NOT NULL THEN i.format END WHEN landing_page IS NULL OR r.scraping_blocked THEN NULL ELSE h.f END AS resource_format FROM fx_items i LEFT JOIN fx_registry r ON r.source_id = i.source_id LEFT JOIN h ON h.item_id = i.item_id",
         f"h AS (SELECT CAST(page_id AS STRING) AS item_id, CASE WHEN {HTML_BAD} THEN 'html_scrape_failed' ELSE 'html_scrape' END AS m, {HTML_FORMAT} AS f FROM fx_html)"),
+    "c10_enrich_sdmx": q(f"SELECT source_id, item_id, CASE way WHEN 'c' THEN landing_page WHEN 's' THEN meta END AS resource_url, CASE way WHEN 'c' THEN CASE WHEN landing_page IS NOT NULL THEN format END WHEN 's' THEN 'SDMX' WHEN 'h' THEN f END AS resource_format, CASE way WHEN 'c' THEN {granularity(COMBINED)} WHEN 's' THEN {granularity('raw')} ELSE 'non_determinato' END AS granularity, "
+        f"CASE way WHEN 'c' THEN coalesce({y0('modified')}, {y0(COMBINED)}) WHEN 's' THEN coalesce({y0('raw')}, o0) END AS year_min, CASE way WHEN 'c' THEN {y1(COMBINED)} WHEN 's' THEN CASE WHEN {y0('raw')} IS NULL THEN o1 ELSE {y1('raw')} END END AS year_max, CASE way WHEN 'c' THEN 'ckan_package_show' WHEN 's' THEN 'sdmx_dataflow_annotations' WHEN 'b' THEN 'scraping_blocked' WHEN 'h' THEN coalesce(m, 'none') ELSE 'none' END AS enrich_method FROM chosen",
+        f"h AS (SELECT CAST(page_id AS STRING) AS item_id, CASE WHEN {HTML_BAD} THEN 'html_scrape_failed' ELSE 'html_scrape' END AS m, {HTML_FORMAT} AS f FROM fx_html)",
+        f"chosen AS (SELECT i.*, h.m, h.f, concat_ws('+', lower(tags), title, ' A,b ') AS raw, CASE WHEN ordinal % 2 = 0 THEN 'https://example.test/meta/' || i.item_id END AS meta, CASE WHEN ordinal % 7 <> 0 THEN least(1999, coalesce(TRY_CAST(substr(modified, 1, 4) AS INTEGER), 1999)) END AS o0, CASE WHEN ordinal % 7 <> 0 THEN greatest(1999, coalesce(TRY_CAST(substr(modified, 1, 4) AS INTEGER), 1999)) END AS o1, CASE WHEN r.protocol = 'ckan' AND {PAGE_OK} THEN 'c' WHEN r.protocol = 'sdmx' AND ordinal % 29 <> 0 AND ordinal % 23 <> 0 THEN 's' WHEN landing_page IS NULL THEN 'n' WHEN r.scraping_blocked THEN 'b' ELSE 'h' END AS way FROM fx_items i LEFT JOIN fx_registry r ON r.source_id = i.source_id LEFT JOIN h ON h.item_id = i.item_id)"),
     "c11_fallback_infer": q(f"SELECT item_id, {granularity('t')} AS granularity, {y0('t')} AS year_min, {y1('t')} AS year_max FROM (SELECT item_id, concat_ws(' ', title, tags) AS t FROM fx_items) i"),
     "c12_url_to_check": q("SELECT item_id, coalesce(landing_page, distribution_url) AS url FROM fx_items"),
     "c13_head_outcome": q("SELECT source_id, attempt, attempt <> 3 AND error_class IS NULL AND coalesce(status_code < 400, false) AS reachable, CASE WHEN attempt = 3 THEN 'url_missing_or_invalid' WHEN error_class = 'connect_timeout' THEN 'connection_error' ELSE error_class END AS check_notes FROM fx_probe_attempts"),

@@ -98,7 +98,7 @@ def c4_sdmx_items(spark, d):
 def c7_sdmx_enrich(spark, d):
     text = F.concat_ws("+", F.lower("tags"), "title", F.lit(" A,b "))
     body = F.concat(F.lit("<m:S xmlns:m='m'><m:Annotation id='LAYOUT_DATAFLOW_KEYWORDS'><m:AnnotationText>"), text, F.lit("</m:AnnotationText></m:Annotation>"), F.when(F.col("ordinal") % 29 == 0, "").otherwise("</m:S>"))
-    return parse.sdmx_enrich(_items(spark, d).select("item_id", body.alias("body")))
+    return parse.sdmx_enrich(_items(spark, d).select("item_id", body.alias("body"))).select("item_id", "tags", "notes", "granularity", "year_min", "year_max")
 
 
 def c8_sdmx_years(spark, d):
@@ -114,6 +114,20 @@ def c10_enrich_dispatch(spark, d):
     return parse.enrich(items, _registry(spark, d), ckan, html).select("item_id", "enrich.enrich_method", "enrich.resource_format")
 
 
+def c10_enrich_sdmx(spark, d):
+    """The dispatch with SDMX: annotation and observation bodies of all items, some not 200, some malformed, some without METADATA_URL or years."""
+    items, n = _items(spark, d), F.col("ordinal")
+    html = parse.html_format(view(spark, d, "fx_html")).withColumn("item_id", F.col("page_id").cast("string"))
+    note = lambda name, text: F.concat(F.lit(f"<m:Annotation><m:AnnotationType>{name}</m:AnnotationType><m:AnnotationText>"), text, F.lit("</m:AnnotationText></m:Annotation>"))
+    words = note("LAYOUT_DATAFLOW_KEYWORDS", F.concat_ws("+", F.lower("tags"), "title", F.lit(" A,b ")))
+    body = F.concat(F.lit("<m:S xmlns:m='m'>"), words, F.when(n % 2 == 0, note("METADATA_URL", F.concat(F.lit("https://example.test/meta/"), F.col("item_id")))).otherwise(""), F.when(n % 29 == 0, "").otherwise("</m:S>"))
+    annotations = items.select("source_id", "item_id", F.when(n % 23 == 0, 500).otherwise(200).alias("status_code"), body.alias("body"))
+    seen = F.concat(F.lit("<m:S xmlns:m='m'><m:Obs TIME_PERIOD='"), F.substring("modified", 1, 4), F.lit("'/><m:Obs TIME_PERIOD='1999-Q1'/>"), F.when(n % 7 == 0, "").otherwise("</m:S>"))
+    sdmx = parse.sdmx_enrich(annotations, items.select("source_id", "item_id", seen.alias("body")))
+    out = parse.enrich(items, _registry(spark, d), parse.ckan_enrich(view(spark, d, "fx_ckan_packages")), html, sdmx)
+    return out.select("source_id", "item_id", "enrich.*")
+
+
 def c16_error_rows(spark, d):
     packages = parse.ckan_payload_status(view(spark, d, "fx_ckan_packages"))
     return packages.select("source_id", "item_id", F.when(F.col("payload") != "ok", "error").otherwise("ckan_package_show").alias("enrich_method"))
@@ -171,6 +185,7 @@ QUERIES = {
     "c8_sdmx_years": c8_sdmx_years,
     "c9_html_format": lambda s, d: parse.html_format(view(s, d, "fx_html")),
     "c10_enrich_dispatch": c10_enrich_dispatch,
+    "c10_enrich_sdmx": c10_enrich_sdmx,
     "c11_fallback_infer": _on_items(lambda x: check.fallback_infer(x.select("item_id", "title", "tags", F.lit(T.UNKNOWN).alias("granularity"), F.lit(None).cast("int").alias("year_min"), F.lit(None).cast("int").alias("year_max"))).drop("title", "tags")),
     "c12_url_to_check": _on_items(lambda x: x.select("item_id", check.url_to_check(F.lit(None).cast("string"), F.col("landing_page"), F.col("distribution_url"), F.col("enrich_method")).alias("url"))),
     "c13_head_outcome": _head,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalume.functions.text import UNKNOWN, first_given, given, granularity, stripped, uri_name, year_max, year_min
+from catalume.functions.text import UNKNOWN, first_given, given, granularity, parse_int, stripped, uri_name, year_max, year_min
 
 # Extensions in the order in which they are looked for.
 HTML_FORMATS = ("csv", "json", "xlsx", "xls", "xml", "zip", "pdf")
@@ -82,20 +82,47 @@ def sdmx_items(responses: DataFrame) -> DataFrame:
     return xml.select("source_id", F.posexplode(F.arrays_zip(ids.alias("id"), names.alias("name"))).alias("pos", "flow")).select("source_id", F.col("flow.id").alias("item_id"), F.col("flow.id").alias("item_name"), given(stripped(F.col("flow.name"))).alias("title"), (F.col("pos") + 1).alias("ordinal"))
 
 
-def sdmx_enrich(responses: DataFrame) -> DataFrame:
-    """Keywords and years of annotation bodies (item_id, body)."""
-    xml = responses.withColumn("xml", well_formed(F.col("body"))).where("xml is not null")
-    raw = F.get(F.xpath("xml", F.lit("//*[local-name()='Annotation'][@id='LAYOUT_DATAFLOW_KEYWORDS']/*[local-name()='AnnotationText']/text()")), F.lit(0))
+def _keys(df: DataFrame) -> list[str]:
+    return [c for c in ("source_id", "item_id") if c in df.columns]
+
+
+def _usable_xml(responses: DataFrame) -> DataFrame:
+    """Responses with xml: what is not 200 (where a status is there) or not XML counts as absent."""
+    df = responses.where("status_code = 200") if "status_code" in responses.columns else responses
+    return df.withColumn("xml", well_formed(F.col("body"))).where("xml is not null")
+
+
+def annotation(name: str) -> Column:
+    """Text of the first annotation of a name, which is its id or its AnnotationType."""
+    return F.get(F.xpath("xml", F.lit(f"//*[local-name()='Annotation'][@id='{name}' or *[local-name()='AnnotationType']='{name}']/*[local-name()='AnnotationText']/text()")), F.lit(0))
+
+
+def sdmx_enrich(responses: DataFrame, observations: DataFrame | None = None) -> DataFrame:
+    """Keywords and years of annotation bodies (item_id, body, perhaps source_id and status_code); where keywords hold no year, those of observation bodies of the same keys."""
+    xml = _usable_xml(responses)
+    raw, keys = annotation("LAYOUT_DATAFLOW_KEYWORDS"), _keys(responses)
     words = F.filter(F.transform(F.split(raw, "[+,]"), lambda x: F.lower(stripped(x))), lambda x: x != "")
-    return xml.select("item_id", F.array_join(F.slice(words, 1, 10), ", ").alias("tags"), F.left(raw, F.lit(300)).alias("notes"), granularity(raw).alias("granularity"), year_min(raw).alias("year_min"), year_max(raw).alias("year_max"))
+    out = xml.select(*keys, F.array_join(F.slice(words, 1, 10), ", ").alias("tags"), F.left(raw, F.lit(300)).alias("notes"), granularity(F.coalesce(raw, F.lit(""))).alias("granularity"), year_min(raw).alias("year_min"), year_max(raw).alias("year_max"), given(annotation("METADATA_URL")).alias("resource_url"), F.lit("SDMX").alias("resource_format"), F.lit("sdmx_dataflow_annotations").alias("enrich_method"))
+    if observations is None:
+        return out
+    seen = sdmx_years(observations).groupBy(*keys).agg(F.min("year_min").alias("obs_min"), F.max("year_max").alias("obs_max"))
+    none = F.col("year_min").isNull()
+    return out.join(seen, keys, "left").withColumns({"year_min": F.when(none, F.col("obs_min")).otherwise(F.col("year_min")), "year_max": F.when(none, F.col("obs_max")).otherwise(F.col("year_max"))}).drop("obs_min", "obs_max")
 
 
 def sdmx_years(responses: DataFrame) -> DataFrame:
     """First and last year of observation bodies (item_id, body): TIME_PERIOD as a key's value or as an attribute."""
-    xml = responses.withColumn("xml", well_formed(F.col("body"))).where("xml is not null")
+    xml = _usable_xml(responses)
     paths = ("//*[local-name()='ObsKey']/*[local-name()='Value'][@id='TIME_PERIOD']/@value", "//*[local-name()='Obs']/@TIME_PERIOD", "//*[local-name()='ObsValue']/@TIME_PERIOD")
     text = F.concat_ws(" ", *[F.array_join(F.xpath("xml", F.lit(x)), " ") for x in paths])
-    return xml.select("item_id", year_min(text).alias("year_min"), year_max(text).alias("year_max"))
+    return xml.select(*_keys(responses), year_min(text).alias("year_min"), year_max(text).alias("year_max"))
+
+
+def sparql_bindings(responses: DataFrame) -> DataFrame:
+    """Flat bindings of JSON result bodies (source_id, body), in order: a column per variable that group_bindings knows."""
+    rows = F.from_json("body", "struct<results struct<bindings array<map<string, struct<value string>>>>>")["results"]["bindings"]
+    names = ("dataset", "title", "download_url", "format", "theme")
+    return responses.select("source_id", F.posexplode(rows).alias("at", "b")).select("source_id", (F.col("at") + 1).alias("pos"), *[F.try_element_at("b", F.lit(x))["value"].alias(x) for x in names], parse_int(F.try_element_at("b", F.lit("distribution_count"))["value"]).cast("int").alias("distribution_count"))
 
 
 def group_bindings(bindings: DataFrame) -> DataFrame:
@@ -130,17 +157,32 @@ ENRICHERS: dict = {}
 
 
 def register_enricher(name: str, enricher) -> None:
-    """enricher: DataFrame of items -> item_id and a struct `enrich` of the fixed shape, tried before the built-in ones."""
+    """enricher: DataFrame of items -> source_id, item_id (each item once at most) and a struct `enrich` of the fixed shape, tried before the built-in ones in the order of registration."""
     ENRICHERS[name] = enricher
 
 
-def enrich(items: DataFrame, registry: DataFrame, ckan: DataFrame, html: DataFrame) -> DataFrame:
-    """Each item with the first of its enrichments that is there: CKAN, a blocked source, HTML, none."""
-    c = ckan.select("source_id", "item_id", F.struct("resource_url", "resource_format", "granularity", "year_min", "year_max", "enrich_method").alias("ckan"))
+def enrich(items: DataFrame, registry: DataFrame, ckan: DataFrame, html: DataFrame, sdmx: DataFrame | None = None) -> DataFrame:
+    """Each item with the first of its enrichments that is there: registered ones, CKAN, SDMX, a blocked source, HTML, none."""
+    parts = ("resource_url", "resource_format", "granularity", "year_min", "year_max", "enrich_method")
+    keys = ["source_id", "item_id"]
     r = registry.select("source_id", F.col("protocol").alias("registry_protocol"), "scraping_blocked")
-    df = items.join(r, "source_id", "left").join(c, ["source_id", "item_id"], "left").join(html.select("item_id", F.col("format").alias("html_format"), F.col("enrich_method").alias("html_method")), "item_id", "left")
+    df = items.join(r, "source_id", "left").join(html.select("item_id", F.col("format").alias("html_format"), F.col("enrich_method").alias("html_method")), "item_id", "left")
+    choices = []
+    for k, (name, enricher) in enumerate(ENRICHERS.items()):
+        extra = items.transform(enricher)
+        if (shape := extra.schema["enrich"].dataType.simpleString()) != (fixed := items.sparkSession.createDataFrame([], f"e {ENRICHED}").schema["e"].dataType.simpleString()):
+            raise ValueError(f"enricher {name} gives {shape}, not {fixed}")
+        df = df.join(extra.select(*keys, F.col("enrich").alias(f"extra_{k}")), keys, "left")
+        choices.append((F.col(f"extra_{k}").isNotNull(), F.col(f"extra_{k}")))
+    for protocol, table in (("ckan", ckan), ("sdmx", sdmx)):
+        if table is not None:
+            df = df.join(table.select(*keys, F.struct(*parts).alias(protocol)), keys, "left")
+            choices.append(((F.col("registry_protocol") == protocol) & F.col(protocol).isNotNull(), F.col(protocol)))
     method = lambda name: F.from_json(F.lit("{}"), ENRICHED).withField("enrich_method", F.lit(name)).withField("granularity", F.lit(UNKNOWN))
     page = F.coalesce(F.col("landing_page").startswith("http"), F.lit(False))
     scraped = F.when(F.col("html_method").isNotNull(), method("none").withField("enrich_method", F.col("html_method")).withField("resource_format", F.col("html_format")))
-    chosen = F.when((F.col("registry_protocol") == "ckan") & F.col("ckan").isNotNull(), F.col("ckan")).when(page & F.coalesce("scraping_blocked", F.lit(False)), method("scraping_blocked")).when(page, F.coalesce(scraped, method("none"))).otherwise(method("none"))
+    choices += [(page & F.coalesce("scraping_blocked", F.lit(False)), method("scraping_blocked")), (page, F.coalesce(scraped, method("none")))]
+    chosen = method("none")
+    for when, what in reversed(choices):
+        chosen = F.when(when, what).otherwise(chosen)
     return df.select("source_id", "item_id", chosen.alias("enrich"))
