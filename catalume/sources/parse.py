@@ -74,12 +74,16 @@ def well_formed(body: Column) -> Column:
     return F.when(body.isNotNull() & corrupt.isNull(), body)
 
 
+#: Where the dataflows of a body lie: under the root, in SDMX 2.0 and in SDMX 2.1.
+FLOW = "array<struct<_id string, Name array<string>>>"
+FLOWS = f"struct<Dataflow {FLOW}, Dataflows struct<Dataflow {FLOW}>, Structures struct<Dataflows struct<Dataflow {FLOW}>>>"
+
+
 def sdmx_items(responses: DataFrame) -> DataFrame:
-    """Dataflows of XML bodies (source_id, body): id, first name, order."""
-    xml = responses.withColumn("xml", well_formed(F.col("body"))).where("xml is not null")
-    ids = F.xpath("xml", F.lit("//*[local-name()='Dataflow']/@id"))
-    names = F.xpath("xml", F.lit("//*[local-name()='Dataflow']/*[local-name()='Name'][1]/text()"))
-    return xml.select("source_id", F.posexplode(F.arrays_zip(ids.alias("id"), names.alias("name"))).alias("pos", "flow")).select("source_id", F.col("flow.id").alias("item_id"), F.col("flow.id").alias("item_name"), given(stripped(F.col("flow.name"))).alias("title"), (F.col("pos") + 1).alias("ordinal"))
+    """Dataflows of XML bodies (source_id, body): id, own first name (null if it has none or an empty one), order."""
+    xml = responses.withColumn("xml", well_formed(F.col("body"))).where("xml is not null").withColumn("s", F.from_xml("xml", FLOWS, {"ignoreNamespace": "true", "nullValue": "\u0000"}))
+    flows = F.flatten(F.array_compact(F.array("s.Dataflow", "s.Dataflows.Dataflow", "s.Structures.Dataflows.Dataflow")))
+    return xml.select("source_id", F.posexplode(flows).alias("pos", "flow")).select("source_id", F.col("flow._id").alias("item_id"), F.col("flow._id").alias("item_name"), given(stripped(F.get("flow.Name", F.lit(0)))).alias("title"), (F.col("pos") + 1).alias("ordinal"))
 
 
 def _keys(df: DataFrame) -> list[str]:

@@ -44,3 +44,12 @@ def test_registered_protocols_parse_landed_responses(spark, monkeypatch):
     bodies = [("c", '{"result": ["n1", "n2"]}'), ("x", "<s><Dataflow id='f'><Name>F</Name></Dataflow></s>"), ("q", '{"results": {"bindings": [{"dataset": {"value": "http://d/1"}, "title": {"value": "T"}}]}}'), ("l", "l1\nl2"), ("r", "r1")]
     out = inventory.parsed_inventory(registry, spark.createDataFrame(bodies, "source_id string, body string"))
     assert sorted((x.source_id, x.item_id) for x in out.collect()) == [("c", "n1"), ("c", "n2"), ("l", "l1"), ("l", "l2"), ("q", "http://d/1"), ("x", "f")]
+
+
+def test_each_dataflow_has_its_own_name(spark):
+    flows = "<s:Dataflow id='a'><c:Name xml:lang='it'>A</c:Name><c:Name>x</c:Name></s:Dataflow><s:Dataflow id='b'/><s:Dataflow id='c'><c:Name/><c:Name>y</c:Name></s:Dataflow><s:Dataflow id='d'><c:Name> D </c:Name></s:Dataflow>"
+    root = "<m:S xmlns:m='m' xmlns:s='s' xmlns:c='c'>{}</m:S>"
+    bodies = [root.format(flows), root.format(f"<s:Dataflows>{flows}</s:Dataflows>"), root.format(f"<m:Structures><s:Dataflows>{flows}</s:Dataflows></m:Structures>")]
+    out = parse.sdmx_items(spark.createDataFrame([(str(k), x) for k, x in enumerate(bodies)], "source_id string, body string"))
+    rows = sorted((x.source_id, x.ordinal, x.item_id, x.title) for x in out.collect())
+    assert rows == [(str(k), n + 1, i, t) for k in range(3) for n, (i, t) in enumerate(zip("abcd", ["A", None, None, "D"]))]
