@@ -10,7 +10,7 @@ from catalume.functions import text as T
 from catalume.operators import changes, check, inventory, radar
 from catalume.plans.oracles import ORACLES  # noqa: F401
 from catalume.sources import parse, tables
-from catalume.streaming.checks import stream_checks
+from catalume.streaming.checks import stream_checks, stream_responses
 
 
 def _now():
@@ -116,16 +116,22 @@ def c10_enrich_dispatch(spark, d):
     return parse.enrich(items, _registry(spark, d), ckan, html).select("item_id", "enrich.enrich_method", "enrich.resource_format")
 
 
-def c10_enrich_sdmx(spark, d):
-    """The dispatch with SDMX: annotation and observation bodies of all items, some not 200, some malformed, some without METADATA_URL or years."""
-    items, n = _items(spark, d), F.col("ordinal")
-    html = parse.html_format(view(spark, d, "fx_html")).withColumn("item_id", F.col("page_id").cast("string"))
+def _sdmx_bodies(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    n = F.col("ordinal")
     note = lambda name, text: F.concat(F.lit(f"<m:Annotation><m:AnnotationType>{name}</m:AnnotationType><m:AnnotationText>"), text, F.lit("</m:AnnotationText></m:Annotation>"))
     words = note("LAYOUT_DATAFLOW_KEYWORDS", F.concat_ws("+", F.lower("tags"), "title", F.lit(" A,b ")))
     body = F.concat(F.lit("<m:S xmlns:m='m'>"), words, F.when(n % 2 == 0, note("METADATA_URL", F.concat(F.lit("https://example.test/meta/"), F.col("item_id")))).otherwise(""), F.when(n % 29 == 0, "").otherwise("</m:S>"))
     annotations = items.select("source_id", "item_id", F.when(n % 23 == 0, 500).otherwise(200).alias("status_code"), body.alias("body"))
     seen = F.concat(F.lit("<m:S xmlns:m='m'><m:Obs TIME_PERIOD='"), F.substring("modified", 1, 4), F.lit("'/><m:Obs TIME_PERIOD='1999-Q1'/>"), F.when(n % 7 == 0, "").otherwise("</m:S>"))
-    sdmx = parse.sdmx_enrich(annotations, items.select("source_id", "item_id", seen.alias("body")))
+    return annotations, items.select("source_id", "item_id", seen.alias("body"))
+
+
+def c10_enrich_sdmx(spark, d):
+    """The dispatch with SDMX: annotation and observation bodies of all items, some not 200, some malformed, some without METADATA_URL or years."""
+    items = _items(spark, d)
+    html = parse.html_format(view(spark, d, "fx_html")).withColumn("item_id", F.col("page_id").cast("string"))
+    annotations, seen = _sdmx_bodies(items)
+    sdmx = parse.sdmx_enrich(annotations, seen)
     out = parse.enrich(items, _registry(spark, d), parse.ckan_enrich(view(spark, d, "fx_ckan_packages")), html, sdmx)
     return out.select("source_id", "item_id", "enrich.*")
 
@@ -163,6 +169,33 @@ def j1_stream_upsert(spark, d):
     return spark.read.schema(tables.CHECKS).parquet(out)
 
 
+def _responses(spark, d) -> DataFrame:
+    """Landed responses for each item of the recheck plan: HEAD, its CKAN package, SDMX bodies or page."""
+    items = check.recheck_plan(_items(spark, d), _existing(spark, d), _now(), keys=("source_id", "item_id"))
+    plan = items.select("source_id", "item_id")
+    link = F.coalesce("landing_page", "distribution_url")
+    row = lambda df, url, method, status, kind, body: df.select("source_id", "item_id", url.alias("url"), F.lit(method).alias("method"), F.lit(1).alias("page"), status.cast("int").alias("status_code"), kind.alias("content_type"), F.lit(None).cast("map<string,string>").alias("headers"), body.alias("body"), F.lit(None).cast("string").alias("error_class"), _now().alias("fetched_at"))
+    none = F.lit(None).cast("string")
+    notes, seen = (x.join(_registry(spark, d).where("protocol = 'sdmx'").select("source_id"), "source_id") for x in _sdmx_bodies(items))
+    packages = view(spark, d, "fx_ckan_packages").join(plan, ["source_id", "item_id"]).join(_registry(spark, d).where("protocol = 'ckan'").select("source_id"), "source_id")
+    pages = view(spark, d, "fx_html").withColumn("item_id", F.col("page_id").cast("string")).join(plan, "item_id")
+    return inventory.union_sources(
+        row(items, link, "HEAD", F.when(F.col("reachable"), 200).otherwise(404), none, none),
+        row(packages, F.concat(F.lit("https://h.test/package_show?id="), F.col("item_id")), "GET", F.col("status_code"), F.col("content_type"), F.col("body")),
+        row(notes, F.concat(F.lit("https://h.test/dataflow/IT1/"), F.col("item_id")), "GET", F.col("status_code"), F.lit("text/xml"), F.col("body")),
+        row(seen, F.concat(F.lit("https://h.test/data/"), F.col("item_id")), "GET", F.lit(200), F.lit("text/xml"), F.col("body")),
+        row(pages, F.col("url"), "GET", F.col("status_code"), F.lit("text/html"), F.col("html")),
+    )
+
+
+def j1_stream_responses(spark, d):
+    """The whole of J1: responses of items that are due land in files by item, and each batch is parsed, scored and upserted."""
+    landed = _scratch(spark, "responses")
+    _responses(spark, d).repartition(3, "source_id", "item_id").write.parquet(landed)
+    out = stream_responses(spark, landed, _scratch(spark, "checks"), _scratch(spark, "stream"), _items(spark, d), _registry(spark, d), _existing(spark, d))
+    return spark.read.schema(tables.CHECKS).parquet(out)
+
+
 def _head(spark, d):
     a = view(spark, d, "fx_probe_attempts").withColumn("url", F.when(F.col("attempt") == 3, "ftp://x").otherwise(F.col("url")))
     return check.head_outcome(a).select("source_id", "attempt", "reachable", "check_notes")
@@ -228,6 +261,7 @@ QUERIES = {
     "i11_format": _on_items(lambda x: x.select("item_id", T.norm_format(F.col("format")).alias("format"))),
     "i13_quote_path": _on_items(lambda x: x.select("item_id", T.quote_path(F.concat(F.lit("https://h.test/a b/"), F.coalesce("title", F.lit("è")), F.lit("?q=1 2"))).alias("url"))),
     "j1_stream_upsert": j1_stream_upsert,
+    "j1_stream_responses": j1_stream_responses,
     "r1_status": lambda s, d: view(s, d, "fx_probe_attempts").select("source_id", "attempt", radar.radar_status(F.col("status_code")).alias("status")),
     "r2_ckan_health": lambda s, d: radar.ckan_health(view(s, d, "fx_probe_attempts").where("error_class is null")).select("source_id", "attempt", "status", "note"),
     "r3_is_sdmx": lambda s, d: _registry(s, d).select("source_id", radar.is_sdmx(F.col("base_url")).alias("sdmx")),

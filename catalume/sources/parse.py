@@ -170,7 +170,7 @@ def enrich(items: DataFrame, registry: DataFrame, ckan: DataFrame, html: DataFra
     parts = ("resource_url", "resource_format", "granularity", "year_min", "year_max", "enrich_method")
     keys = ["source_id", "item_id"]
     r = registry.select("source_id", F.col("protocol").alias("registry_protocol"), "scraping_blocked")
-    df = items.join(r, "source_id", "left").join(html.select("item_id", F.col("format").alias("html_format"), F.col("enrich_method").alias("html_method")), "item_id", "left")
+    df = items.join(r, "source_id", "left").join(html.select(*_keys(html), F.col("format").alias("html_format"), F.col("enrich_method").alias("html_method")), _keys(html), "left")
     choices = []
     for k, (name, enricher) in enumerate(ENRICHERS.items()):
         extra = items.transform(enricher)

@@ -1,14 +1,53 @@
-"""Source checks as a stream: every batch of landed results is upserted into the table of checks."""
+"""Source checks as a stream: every batch of landed responses is parsed, scored and upserted into the table of checks."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from catalume.operators.check import fallback_infer, head_outcome, intake_score, upsert_latest
+from catalume.sources import parse
+from catalume.sources.tables import CHECKS, RESPONSES, read_snapshot
+
+
+def newest(spark: SparkSession, out_dir: str) -> str:
+    """The path of the newest version of a table of checks; version 0 if there is none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+    return f"{out_dir}/{max([int(x) for x in names if x.isdigit()], default=0)}"
+
+
+def check_responses(responses: DataFrame, items: DataFrame, registry: DataFrame) -> DataFrame:
+    """CHECKS rows of the items that responses (RESPONSES) are of, by C6 to C15. Of responses that repeat a kind for an item, the latest counts.
+
+    HEAD tells whether an item is reachable; among GETs, URLs with package_show are CKAN packages, those with /data/ of an SDMX source observations,
+    other URLs of an SDMX source with /dataflow annotations, and all others landing pages.
+    """
+    keys = ["source_id", "item_id"]
+    url, sdmx = F.coalesce("url", F.lit("")), F.coalesce(F.col("protocol") == "sdmx", F.lit(False))
+    kind = F.when(F.upper("method") == "HEAD", "head").when(url.contains("package_show"), "ckan").when(sdmx & url.contains("/data/"), "seen").when(sdmx & url.contains("/dataflow"), "notes").otherwise("page")
+    parts = ("url", "status_code", "content_type", "body", "error_class")
+    landed = responses.select(*keys, "method", *parts, "fetched_at").join(registry.select("source_id", "protocol"), "source_id", "left").withColumn("kind", kind)
+    last = landed.groupBy(*keys, "kind").agg(F.max_by(F.struct(*parts), F.struct("fetched_at", *parts)).alias("r"), F.max("fetched_at").alias("fetched_at"))
+    of = lambda k: last.where(F.col("kind") == k).select(*keys, "r.*")
+    touched = last.groupBy(*keys).agg(F.max("fetched_at").alias("check_timestamp")).join(items, keys, "left")
+    pages = parse.html_format(of("page").select(F.struct(*keys).alias("page_id"), "url", "status_code", F.col("body").alias("html"))).select("page_id.*", "enrich_method", "format")
+    found = parse.enrich(touched, registry, parse.ckan_enrich(of("ckan").where("status_code = 200")), pages, parse.sdmx_enrich(of("notes"), of("seen")))
+    heads = head_outcome(of("head")).select(*keys, F.col("reachable").alias("answered"))
+    own = touched.drop("reachable", "enrich_method", "granularity", "year_min", "year_max")
+    df = own.join(found, keys).join(heads, keys, "left").select(*own.columns, "enrich.granularity", "enrich.year_min", "enrich.year_max", "enrich.enrich_method", F.coalesce("enrich.resource_format", "format").alias("resource_format"), F.coalesce("answered", F.lit(False)).alias("reachable"))
+    return intake_score(fallback_infer(df)).select("source_id", "item_id", "check_timestamp", "intake_score")
+
 
-from catalume.operators.check import upsert_latest
-from catalume.sources.tables import CHECKS, read_snapshot
+def stream_responses(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, items: DataFrame, registry: DataFrame, start: DataFrame | None = None, keys: tuple[str, ...] = ("item_id",)) -> str:
+    """stream_checks over landed responses. All responses of one check of an item land in one file, so that a batch has them together."""
+    return stream_checks(spark, in_dir, out_dir, checkpoint, start, keys, RESPONSES, lambda x: check_responses(x, items, registry))
 
 
-def stream_checks(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, start: DataFrame | None = None, keys: tuple[str, ...] = ("item_id",)) -> str:
+def stream_checks(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, start: DataFrame | None = None, keys: tuple[str, ...] = ("item_id",), schema: str = CHECKS, score: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Work off what has landed in in_dir and stop; the path of the latest version of the table.
 
     Batch n reads version n and writes version n + 1, so a batch that is repeated after a failure does no harm. The greatest
@@ -16,15 +55,13 @@ def stream_checks(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
     """
     if start is not None:
         start.write.mode("overwrite").parquet(f"{out_dir}/0")
-    last = [0]
 
     def upsert(batch: DataFrame, n: int) -> None:
         old = read_snapshot(spark, f"{out_dir}/{n}", CHECKS)
-        latest = upsert_latest(batch, old.limit(0), keys)
+        latest = upsert_latest(score(batch) if score else batch, old.limit(0), keys)
         newer = latest.alias("b").join(old.select(*keys, old["check_timestamp"].alias("held")), list(keys), "left").where("held is null or check_timestamp >= held").drop("held")
         upsert_latest(newer, old, keys).write.mode("overwrite").parquet(f"{out_dir}/{n + 1}")
-        last[0] = n + 1
 
-    query = spark.readStream.schema(CHECKS).parquet(in_dir).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = spark.readStream.schema(schema).parquet(in_dir).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return f"{out_dir}/{last[0]}"
+    return newest(spark, out_dir)
