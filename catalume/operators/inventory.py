@@ -72,6 +72,33 @@ def overlay(base: DataFrame, enriched: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*[F.when(matched, F.col(f"e.{c}")).otherwise(F.col(c)).alias(c) if c in own else F.col(c) for c in base.columns], matched.alias("matched"))
 
 
+def method_fallback(search: DataFrame, names: DataFrame, current: DataFrame, shows: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items by the best harvest that is usable per CKAN source, with method, and a report per source (source_id, method, error, warning).
+
+    The harvests are rows of items (source_id, item_id, ordinal, ...), with `usable` false (and no item_id) in a row that tells of a failure. A source's harvest counts as usable
+    if it has rows and none is false. registry: source_id, skip_current_list and perhaps skip_package_search. Search, else the list: overlaid with shows if skip_current_list and
+    there are some, with current if that is usable, else bare. No usable list: an error, no items.
+    """
+    r = registry
+    for name, df in (("search", search), ("names", names), ("current", current), ("shows", shows)):
+        r = r.join(df.groupBy("source_id").agg((~F.bool_or(~F.coalesce("usable", F.lit(True)))).alias(name)), "source_id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    skip = F.coalesce("skip_current_list", F.lit(False))
+    off = F.coalesce("skip_package_search", F.lit(False)) if "skip_package_search" in registry.columns else F.lit(False)
+    method = F.when(F.col("search") & ~off, "package_search").when(~F.col("names"), None).when(skip & F.col("shows"), "package_list+package_show").when(skip | ~F.col("current"), "package_list").otherwise("package_list+current_list")
+    r = r.withColumn("method", method)
+    kind = F.when(F.col("method").isNull() | (F.col("method") == "package_search"), None).when(skip & F.col("shows"), "skip_current_package_list_with_package_show_sample").when(skip, "skip_current_package_list").when(F.col("current"), "fallback_current_package_list_with_resources").otherwise("fallback_package_list")
+    way = F.broadcast(r.select("source_id", "method"))
+    of = lambda df, *methods: df.where("item_id is not null").drop("usable").join(way.where(F.col("method").isin(*methods)), "source_id")
+    keys = ["source_id", "item_id"]
+    over = lambda extra, m: overlay(of(names, m), extra.where("item_id is not null").drop("usable"), keys)
+    items = union_sources(of(search, "package_search"), of(names, "package_list"), over(current, "package_list+current_list"), over(shows, "package_list+package_show"))
+    matched = items.groupBy("source_id").agg(F.count_if("matched").alias("rows_enriched"), F.count_if(~F.col("matched")).alias("rows_missing_metadata"))
+    why = F.when(off, "package_search skipped").otherwise("package_search failed")
+    warning = F.when(kind.isNotNull(), F.struct(kind.alias("type"), why.alias("package_search_error"), F.when(F.col("method").contains("+"), F.col("rows_enriched")).alias("rows_enriched"), F.when(F.col("method").contains("+"), F.col("rows_missing_metadata")).alias("rows_missing_metadata")))
+    report = r.join(matched, "source_id", "left").select("source_id", "method", F.when(F.col("method").isNull(), "package_list unusable").alias("error"), warning.alias("warning"))
+    return items.drop("matched"), report
+
+
 def overlay_counts(base: DataFrame, enriched: DataFrame) -> DataFrame:
     """Per source: distinct enriched ids, and base rows without one."""
     hits = enriched.select("source_id", "item_id").distinct()

@@ -147,13 +147,14 @@ def _overlaid(spark, d):
 
 
 def d9_method_fallback(spark, d):
-    """By availability per source: search (odd numbers), the overlaid list, or the bare list."""
+    """Search is usable for odd sources, the list for all, the current list (a third of the items) for those that don't skip it."""
     registry = _registry(spark, d).where(F.col("protocol") == "ckan").select("source_id", "k", "skip_current_list")
-    way = F.when(F.col("k") % 2 == 1, "package_search").when(F.col("skip_current_list"), "package_list").otherwise("package_list+current_list")
-    rows = _overlaid(spark, d).join(registry.withColumn("method", way), "source_id")
-    base = _items(spark, d).select("source_id", "item_id", F.col("title").alias("bare_title"))
-    rows = rows.join(base, ["source_id", "item_id"])
-    return rows.select("source_id", "item_id", "method", F.when(F.col("method") == "package_list+current_list", F.col("title")).otherwise(F.col("bare_title")).alias("title"))
+    items = _items(spark, d).select("source_id", "item_id", "item_name", "title", "ordinal").join(registry.select("source_id", "k"), "source_id").withColumn("usable", F.lit(True))
+    down = registry.where("k % 2 = 0").select("source_id", F.lit(False).alias("usable"))
+    search = items.where("k % 2 = 1").drop("k").unionByName(down, allowMissingColumns=True)
+    current = view(spark, d, "fx_enriched").withColumn("usable", F.lit(True))
+    out, _ = inventory.method_fallback(search, items.drop("k"), current, current.limit(0), registry)
+    return out.select("source_id", "item_id", "method", "title")
 
 
 def c3b_partial_harvest(spark, d):

@@ -122,19 +122,26 @@ def sdmx_years(responses: DataFrame) -> DataFrame:
     return xml.select(*_keys(responses), year_min(text).alias("year_min"), year_max(text).alias("year_max"))
 
 
+#: Column of flat bindings -> variables of result bodies, the first given one counts. Spark takes distributionURL and distributionUrl for one name, so they share a column.
+BINDINGS = {"dataset": ["dataset"], "title": ["title"], "description": ["description"], "publisher": ["publisherName"], "issued": ["issued"], "modified": ["modified"], "landing_page": ["landingPage"], "distribution_count": ["distributionCount"], "distribution_url": ["distributionURL", "distributionUrl", "distribution_url"], "download_url": ["downloadURL"], "access_url": ["accessURL"], "distribution": ["distribution"], "format": ["format"], "theme": ["theme"]}
+
+
 def sparql_bindings(responses: DataFrame) -> DataFrame:
     """Flat bindings of JSON result bodies (source_id, body), in order: a column per variable that group_bindings knows."""
     rows = F.from_json("body", "struct<results struct<bindings array<map<string, struct<value string>>>>>")["results"]["bindings"]
-    names = ("dataset", "title", "download_url", "format", "theme")
-    return responses.select("source_id", F.posexplode(rows).alias("at", "b")).select("source_id", (F.col("at") + 1).alias("pos"), *[F.try_element_at("b", F.lit(x))["value"].alias(x) for x in names], parse_int(F.try_element_at("b", F.lit("distribution_count"))["value"]).cast("int").alias("distribution_count"))
+    value = lambda names: first_given(*[stripped(F.try_element_at("b", F.lit(x))["value"]) for x in names])
+    df = responses.select("source_id", F.posexplode(rows).alias("at", "b")).select("source_id", (F.col("at") + 1).alias("pos"), *[value(names).alias(c) for c, names in BINDINGS.items()])
+    return df.withColumn("distribution_count", parse_int(F.col("distribution_count")))
 
 
 def group_bindings(bindings: DataFrame) -> DataFrame:
-    """One state per dataset of flat bindings (source_id, dataset, pos, title, distribution_count, download_url, format, theme): first given values, lists without repeats in order."""
+    """One state per dataset of flat bindings (source_id, pos and columns of BINDINGS, those that are not there count as null): first given values, lists without repeats in order."""
     first = lambda c: F.min_by(c, F.when(c.isNotNull(), F.col("pos")))
     unique = lambda c: F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(c.isNotNull(), F.struct("pos", c.alias("v"))))), lambda x: x["v"]))
-    text = lambda c: given(stripped(F.col(c)))
-    return bindings.where("dataset is not null").groupBy("source_id", "dataset").agg(F.min("pos").alias("first_pos"), first(text("title")).alias("title"), first(F.col("distribution_count")).alias("distribution_count"), unique(text("download_url")).alias("urls"), unique(text("format")).alias("formats"), unique(text("theme")).alias("themes"))
+    text = lambda c: given(stripped(F.col(c))) if c in bindings.columns else F.lit(None).cast("string")
+    url = first_given(*[text(c) for c in ("distribution_url", "download_url", "access_url", "distribution")])
+    singles = [first(text(c)).alias(c) for c in ("title", "description", "publisher", "issued", "modified", "landing_page")]
+    return bindings.where("dataset is not null").groupBy("source_id", "dataset").agg(F.min("pos").alias("first_pos"), *singles, first(F.col("distribution_count")).alias("distribution_count"), unique(url).alias("urls"), unique(text("format")).alias("formats"), unique(text("theme")).alias("themes"))
 
 
 def sparql_items(states: DataFrame) -> DataFrame:
