@@ -73,15 +73,18 @@ def a4_inventory_roundtrip(spark, d):
     return tables.read_snapshot(spark, path).groupBy("source_id").agg(F.count("*").alias("n"), F.sum(F.col("item_id").cast("bigint")).alias("sum_id"), F.count("title").alias("n_titles"))
 
 
-def c3_merge_pages(spark, d):
+def _name_pages(spark, d) -> DataFrame:
+    """List bodies of a hundred names."""
     n = F.floor((F.col("ordinal") - 1) / 100)
-    pages = _items(spark, d).groupBy("source_id", (n * 100).alias("start")).agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "item_name"))), lambda x: x["item_name"]).alias("result"))).alias("body"))
-    return parse.merge_pages(pages, 100)
+    return _items(spark, d).groupBy("source_id", (n * 100).alias("start")).agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "item_name"))), lambda x: x["item_name"]).alias("result"))).alias("body"))
+
+
+def c3_merge_pages(spark, d):
+    return parse.merge_pages(_name_pages(spark, d), 100)
 
 
 def c2_ckan_names(spark, d):
-    bodies = _items(spark, d).groupBy("source_id").agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "item_name"))), lambda x: x["item_name"]).alias("result"))).alias("body"))
-    return parse.ckan_names(bodies)
+    return parse.ckan_names(_name_pages(spark, d))
 
 
 def _flows(items: DataFrame) -> DataFrame:

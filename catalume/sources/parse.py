@@ -54,9 +54,13 @@ def ckan_enrich(packages: DataFrame) -> DataFrame:
 
 
 def ckan_names(responses: DataFrame) -> DataFrame:
-    """Rows of package_list bodies (source_id, body): names in order."""
-    names = F.from_json("body", "struct<result array<string>>")["result"]
-    return responses.select("source_id", F.posexplode(names).alias("pos", "item_id")).select("source_id", "item_id", F.col("item_id").alias("item_name"), F.col("item_id").alias("item_slug"), (F.col("pos") + 1).alias("ordinal"))
+    """Rows of package_list bodies (source_id, body, and start where a list comes in pages): names in order, numbered through each source."""
+    df = responses.withColumn("names", F.from_json("body", "struct<result array<string>>")["result"])
+    before = F.lit(0)
+    if "start" in responses.columns:
+        before = F.coalesce(F.sum(F.when(F.size("names") > 0, F.size("names")).otherwise(0)).over(W.partitionBy("source_id").orderBy("start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = df.withColumn("before", before).select("source_id", "before", F.posexplode("names").alias("pos", "item_id"))
+    return rows.select("source_id", "item_id", F.col("item_id").alias("item_name"), F.col("item_id").alias("item_slug"), (F.col("before") + F.col("pos") + 1).cast("int").alias("ordinal"))
 
 
 def merge_pages(pages: DataFrame, page_size: int) -> DataFrame:

@@ -30,3 +30,10 @@ def test_bindings_keep_all_fields_and_url_variables(spark):
     body = json.dumps({"results": {"bindings": [{k: {"value": v} for k, v in x.items()} for x in rows]}})
     x = parse.group_bindings(parse.sparql_bindings(spark.createDataFrame([("s", body)], "source_id string, body string"))).first()
     assert (x.urls, x.publisher, x.description, x.landing_page, x.issued, x.modified) == (["u1", "u2", "u3"], "P", "D", "L", "2001", "2002")
+
+
+def test_names_are_numbered_through_pages(spark):
+    from catalume.sources import parse
+
+    pages = spark.createDataFrame([("s", 2, '{"result": ["c"]}'), ("s", 0, '{"result": ["a", "b"]}')], "source_id string, start int, body string")
+    assert sorted((x.ordinal, x.item_id) for x in parse.ckan_names(pages).collect()) == [(1, "a"), (2, "b"), (3, "c")]
