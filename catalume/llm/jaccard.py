@@ -1,14 +1,19 @@
-"""N-gram Jaccard join in metric space: pivots, balls around them, triangle-inequality windows, recursion.
+"""N-gram Jaccard join in metric space: regions around pivots, triangle-inequality windows, recursion, exact.
 
-1 - Jaccard is a metric. Two texts that link (distance at most 0.2) share a shingle among the first fifth of either's
-set in any one order of shingles. So the space is first cut into regions, one per such shingle, in an order that puts frequent
-shingles last; a text lies in the regions of its first fifth (plus one). Then each region is joined by recursion: pivots are drawn from its texts, and
-every text's distance to them is computed. Texts within 0.2 of a pivot link with it, so they need no comparison among each
-other. With `gap` the distance to the pivot of the nearest text of the region that does not link with it, a text
-nearer to the pivot than gap - 0.2 can, by the triangle inequality, link with none outside the pivot's ball: it leaves the region.
-What is left, the pivot aside, is joined again with new pivots, until all texts left in a region are connected.
+1 - Jaccard is a metric, in which texts link at distance 0.2 at most. Unrelated texts are all at distance 1, where no window separates anything, so
+the space is first cut by what linked texts must share:
 
-Texts with equal sets are one from the start. Distances are compared in whole numbers, so the join is exact but for collisions of 64-bit hashes.
+* In any one order of all shingles (here: frequent ones last, then by hash), linked sets share some of their first quarters. A set that has too few
+  shingles there that any other set has, links with nothing and leaves. This looks at one shuffle of a quarter of the shingles.
+* Of what is shared, the rarest shingles suffice: each is a region, its pivot the text of least priority. A text lies in the cell of each pivot of its
+  regions, so linked texts meet in a cell, and near copies of one text mostly in a single one.
+
+A cell is then joined by Voronoi cells of pivots drawn from it, replication within triangle-inequality windows, and recursion (`cells.join`), in one task.
+A cell too large for a task is split by the same rule in Spark, round by round. Where that does not shrink it (near copies of one text, all about
+equally far from each other), its texts are dealt into rings of distance around the pivot that links with most of them; blocks of the same or adjacent
+rings are compared, but for those whose texts all link with that pivot.
+
+Texts with equal sets are one from the start. Overlaps are compared in whole numbers, so the join is exact but for collisions of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -17,9 +22,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalume.llm import cells as cell
 from catalume.llm.common import prepare, release, remove, stored
 from catalume.llm.components import components
 from catalume.llm.shingles import fingerprint, of_column
@@ -28,12 +34,17 @@ from catalume.llm.shingles import fingerprint, of_column
 PERCENT = 80
 #: A shingle in more sets than this goes last in the order of shingles (which changes the work to do, not the result).
 FREQUENT = 32
-#: Bits of the filter of frequent shingles: a bound on what is sent to tasks.
-FREQUENT_BITS = 22
-#: Most bits of the filter of texts that share a region: a bound on what is sent to tasks.
-ACTIVE_BITS = 27
-PIVOTS = 16  # drawn per region and round
+#: Most shingles that go last, and bits for each: a bound on what is sent to tasks.
+MOST_FREQUENT, BITS_EACH = 1 << 23, 16
+#: A set's first shingles that are looked at are a fifth, which linked sets share one of, and one in SHARED more, of which they share as many.
+SHARED = 20
 BATCH = 1 << 22  # shingles whose frequencies a task counts at once
+TASK = 1 << 20  # shingles for a task of a shuffle, about
+CELL_TEXTS, CELL_SHINGLES = 1024, 1 << 22  # a cell beyond either is split before it goes to a task
+PIVOTS = 16  # of a cell that is split
+BROADCAST = 1 << 20  # keys of texts, 8 bytes each, that are sent to all executors; more are joined by a shuffle
+
+RING = (100 - PERCENT) / 100 + 1e-9
 
 
 def bitmap(values: DataFrame, log2: int) -> np.ndarray:
@@ -47,14 +58,20 @@ def bitmap(values: DataFrame, log2: int) -> np.ndarray:
     return out
 
 
-def hit(marks: np.ndarray, log2: int, values: np.ndarray) -> np.ndarray:
-    at = values.view(np.uint64) & np.uint64((1 << log2) - 1)
+def hit(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values.view(np.uint64) & np.uint64(len(marks) * 8 - 1)
     return (marks[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+def code(x: np.ndarray) -> int:
+    """64 bits that stand for a set."""
+    return int.from_bytes(fingerprint(x)[:8], "little", signed=True)
+
+
 def classes(docs: DataFrame) -> DataFrame:
-    """For each row of docs: doc_id, n (size of its set), c (64 bits of the set's fingerprint); and rows with the shingles that a task met often: often, times."""
+    """For each row of docs: doc_id, k (a hash of its text), n (size of its set), c (its set's code); and rows with the shingles that a task met often: often, times."""
     prepare(docs.sparkSession)
+    names = ["doc_id", "k", "n", "c", "often", "times"]
 
     def run(batches):
         held, size, seen = [], 0, set()
@@ -62,166 +79,281 @@ def classes(docs: DataFrame) -> DataFrame:
         def often():
             found, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             found, times = found[times > 2], times[times > 2]
-            n = len(found)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(found.view(np.int64)), pa.array(times)], ["doc_id", "n", "c", "often", "times"])
+            return pa.RecordBatch.from_arrays([*[pa.nulls(len(found), pa.int64())] * 4, pa.array(found.view(np.int64)), pa.array(times)], names)
 
         for batch in batches:
             ns, cs = [], []
             for x in of_column(batch.column(1)):
-                c = int.from_bytes(fingerprint(x)[:8], "little", signed=True)
+                c = code(x)
                 ns.append(len(x))
                 cs.append(c)
                 if c not in seen:
                     seen.add(c)
                     held.append(x)
                     size += len(x)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), pa.nulls(len(ns), pa.int64()), pa.nulls(len(ns), pa.int64())], ["doc_id", "n", "c", "often", "times"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), *[pa.nulls(len(ns), pa.int64())] * 2], names)
             if size > BATCH:
                 yield often()
                 held, size, seen = [], 0, set()
         yield often()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, c long, often long, times long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("k")).mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
-def regions(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """h, c, n, m: the shingles of the first fifth of each set, frequent ones last.
+def frequent(often: DataFrame) -> np.ndarray:
+    """A filter of the shingles in more than FREQUENT sets; if these are too many to send, of those in more sets still."""
+    tally = often.groupBy("often").agg(F.sum("times").alias("t")).where(F.col("t") > FREQUENT).withColumn("power", F.floor(F.log2("t")))
+    tally = stored(tally, "frequent")
+    kept, least = 0, 64
+    for r in sorted(tally.groupBy("power").count().collect(), reverse=True):
+        if kept + r["count"] > MOST_FREQUENT:
+            break
+        kept, least = kept + r["count"], r["power"]
+    out = bitmap(tally.where(F.col("power") >= least).select("often"), max(15, (BITS_EACH * max(kept, 1)).bit_length()))
+    remove(often.sparkSession, tally)
+    return out
 
-    If h is the first shingle that two linked sets share, nothing before it is shared: so the other set has m members at most.
-    """
+
+def first_shingles(docs: DataFrame, marks: np.ndarray) -> DataFrame:
+    """h, c, often: the shingles of each set that are looked at, frequent ones last; often: those that need not be met to know that others have them."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            hs, cs, ns, ms = [], [], [], []
+            hs, cs, often = [], [], []
             for x in of_column(batch.column(0)):
-                if not len(x):
-                    continue
-                c = int.from_bytes(fingerprint(x)[:8], "little", signed=True)
-                if c in seen:
+                c = code(x)
+                if not len(x) or c in seen:
                     continue
                 if len(seen) >= 100_000:
                     seen.clear()
                 seen.add(c)
-                k = len(x) - -(-len(x) * PERCENT // 100) + 1
-                last = hit(frequent, FREQUENT_BITS, x)
-                first = np.concatenate([x[~last][:k], x[last]])[:k]
+                p = len(x) - -(-len(x) * PERCENT // 100) + -(-len(x) // SHARED)
+                last = hit(marks, x)
+                first = np.concatenate([x[~last][:p], x[last]])[:p]
                 hs.append(first)
                 cs.append(np.full(len(first), c, np.int64))
-                ns.append(np.full(len(first), len(x), np.int64))
-                ms.append((len(x) - np.arange(len(first))) * (100 + PERCENT) // PERCENT - len(x))
+                often.append(np.arange(len(first)) >= len(x) - last.sum())
             if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(cs)), pa.array(np.concatenate(ns)), pa.array(np.concatenate(ms))], ["h", "c", "n", "m"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(cs)), pa.array(np.concatenate(often))], ["h", "c", "often"])
 
-    return docs.select("text").mapInArrow(run, "h long, c long, n long, m long")
+    return docs.select("text").mapInArrow(run, "h long, c long, often boolean")
 
 
-def sets(docs: DataFrame, active: np.ndarray, log2: int) -> DataFrame:
-    """c, head, tail of the texts that pass the filter, once each: the shingles in the first quarter of all hashes, and the others."""
+def met_again(first: DataFrame, partitions: int) -> DataFrame:
+    """h, c, times of the shingles that two sets at least have among those looked at. Frequent ones are met without their others, so no task gets a hot shingle whole."""
+
+    def run(batches):
+        h, c, often = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*[(np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),), *[tuple(b.column(i).to_numpy(zero_copy_only=False) for i in range(3)) for b in batches]]))
+        if often.any():
+            yield pa.RecordBatch.from_arrays([pa.array(h[often]), pa.array(c[often]), pa.array(np.full(int(often.sum()), np.iinfo(np.int64).max))], ["h", "c", "times"])
+            h, c = h[~often], c[~often]
+        if len(h):
+            order = np.argsort(h)
+            h, c = h[order], c[order]
+            at = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            times = np.diff(np.append(at, len(h)))
+            several = np.repeat(np.minimum.reduceat(c, at) != np.maximum.reduceat(c, at), times)
+            yield pa.RecordBatch.from_arrays([pa.array(h[several]), pa.array(c[several]), pa.array(np.repeat(times, times)[several])], ["h", "c", "times"])
+
+    key = F.when(F.col("often"), F.xxhash64("c")).otherwise(F.col("h"))
+    return first.repartition(partitions, key).mapInArrow(run, "h long, c long, times long")
+
+
+def cells(docs: DataFrame, often: DataFrame, sizes: DataFrame) -> DataFrame:
+    """p, c: the cell of pivot p holds the text c. Linked texts meet in a cell."""
+    spark = docs.sparkSession
+    marks = frequent(often)
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    met = met_again(first_shingles(docs, marks), _partitions(docs, total // 4))
+    least = F.expr(f"(({PERCENT} * n + 99) div 100 + {SHARED - 1}) div {SHARED}")
+    texts = met.groupBy("c").agg(F.array_sort(F.collect_set(F.struct("times", "h"))).alias("met")).join(sizes.select("c", "n"), "c")
+    lying = texts.where(F.size("met") >= least).select("c", F.explode(F.slice("met", F.lit(1), (F.size("met") - least + 1).cast("int"))).alias("x")).select(F.col("x.h").alias("h"), "c")
+    lying = stored(lying, "regions")
+    release(spark)
+    pivots = lying.groupBy("h").agg(F.min(F.struct(_priority(F.col("c")), "c")).alias("pivot"), F.count("*").alias("k")).where("k > 1")
+    out = stored(lying.join(pivots, "h").select(F.col("pivot.c").alias("p"), "c").distinct(), "cells")
+    remove(spark, lying)
+    release(spark)
+    return out
+
+
+def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """c, shingles of the texts whose hash is in wanted (k), each set once."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            rows = []
+            cs, xs = [], []
             for x in of_column(batch.column(0)):
-                c = int.from_bytes(fingerprint(x)[:8], "little", signed=True)
-                if c not in seen and len(x) and hit(active, log2, np.array([c], np.int64))[0]:
+                c = code(x)
+                if c not in seen:
                     if len(seen) >= 100_000:
                         seen.clear()
                     seen.add(c)
-                    rows.append((c, *np.split(x.view(np.int64), [int(np.searchsorted(x, np.uint64(1 << 62)))])))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in (1, 2)]], ["c", "head", "tail"])
+                    cs.append(c)
+                    xs.append(x.view(np.int64))
+            if xs:
+                lists = pa.LargeListArray.from_arrays(np.append(0, np.cumsum([len(x) for x in xs])), pa.array(np.concatenate(xs))).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(cs, pa.int64()), lists], ["c", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "c long, head array<bigint>, tail array<bigint>")
+    few = wanted.count() <= BROADCAST
+    texts = docs.select("text", F.xxhash64("text").alias("k")).join(F.broadcast(wanted) if few else wanted, "k", "left_semi")
+    return texts.select("text").mapInArrow(run, "c long, shingles array<bigint>").groupBy("c").agg(F.first("shingles").alias("shingles"))
 
 
-def shared_regions(docs: DataFrame, often: DataFrame) -> DataFrame:
-    """h, c, n, w, m of the regions that hold two texts at least; of regions with the same texts, one. w: regions of the text, all of them counted; m: most members of a set that links with it."""
-    frequent = often.groupBy("often").agg(F.sum("times").alias("t")).where(F.col("t") > FREQUENT)
-    lying = regions(docs, bitmap(frequent.select("often"), FREQUENT_BITS))
-    crowded = lying.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("n").alias("least_n"), F.max("m").alias("most_m")).where("low <> high").select("h", "least_n", "most_m")
-    met = stored(lying.join(crowded, "h").where("m >= least_n and n <= most_m").groupBy("h", "c").agg(F.min("n").alias("n"), F.max("m").alias("m")), "regions")
-    crowded = met.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("h")
-    found = met.join(crowded, "h")
-    alike = found.groupBy("h").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("c")).alias("x"), F.sum(F.xxhash64("c", F.lit(1)).cast("decimal(38,0)")).alias("y"))
-    one = alike.groupBy("size", "x", "y").agg(F.min("h").alias("h")).select("h")
-    width = found.groupBy("c").agg(F.count("*").alias("w"), F.max("m").alias("m"))
-    return stored(found.join(one, "h").drop("m").join(width, "c").select("h", "c", "n", "w", "m"), "regions_once")
+def _priority(c: Column) -> Column:
+    return F.xxhash64(c, F.lit("pivot"))
 
 
-def overlap(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """pairs (c, p, n, n_p) with both: the size of the intersection of their sets, or more where that already does not link.
+def _partitions(df: DataFrame, shingles: int) -> int:
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(shingles) // TASK + 1)
 
-    What either set has alone in the first quarter of all hashes bounds the intersection; only pairs that may still link are met in full.
-    """
 
-    def met(df: DataFrame, column: str) -> DataFrame:
-        side = lambda key: known.select(F.col("c").alias(key), F.col(column).alias(f"of_{key}"))
-        return df.join(side("c"), "c").join(side("p"), "p").withColumn("met", F.size(F.array_intersect("of_c", "of_p")).cast("long"))
+def _runs(batches, keys: int):
+    """The rows of each run of equal keys (the first columns, longs, of sorted rows), one run after the other: arrays of the columns after the keys."""
+    last, held = None, []
+
+    def whole():
+        table = pa.Table.from_batches(held).combine_chunks()
+        return [table.column(i).combine_chunks() if isinstance(table.column(i), pa.ChunkedArray) else table.column(i) for i in range(keys, table.num_columns)]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(keys)], 1)
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+        for a, b in zip(cuts, cuts[1:]):
+            if last is not None and tuple(key[a]) != last:
+                yield last, whole()
+                held = []
+            last = tuple(key[a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield last, whole()
 
-    alone = lambda x: F.size(f"of_{x}") - F.col("met")
-    first = met(pairs, "head").select("c", "p", "n", "n_p", F.col("met").alias("both_head"), F.least(F.col("n") - alone("c"), F.col("n_p") - alone("p")).alias("both"))
-    first = stored(first, "heads_met")
-    may = 100 * F.col("both") >= PERCENT * (F.col("n") + F.col("n_p") - F.col("both"))
-    full = met(first.where(may).drop("both"), "tail").withColumn("both", F.col("both_head") + F.col("met"))
-    return first.where(~may).select("c", "p", "n", "n_p", "both").unionByName(full.select("c", "p", "n", "n_p", "both"))
 
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    values, cuts = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(cuts, cuts[1:])]
 
-def links(docs: DataFrame, often: DataFrame) -> DataFrame:
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
+def join_cells(members: DataFrame, partitions: int) -> DataFrame:
+    """a, b: links that connect the texts of each cell (p, c, shingles) that are connected in it."""
+
+    def run(batches):
+        out: list[tuple[int, int]] = []
+        for _, (c, shingles) in _runs(batches, 1):
+            c = c.to_numpy()
+            out += [(int(c[i]), int(c[j])) for i, j in cell.join(_sets(shingles), PERCENT)]
+            if len(out) > 10_000:
+                yield _edges(out)
+                out = []
+        yield _edges(out)
+
+    return members.select("p", "c", "shingles").repartition(partitions, "p").sortWithinPartitions("p", "c").mapInArrow(run, "a long, b long")
+
+
+def measure(members: DataFrame, partitions: int) -> DataFrame:
+    """Of each text of each cell (p, blocks, c, shingles): p, blocks, c, q (pivots drawn from the cell), d (distances to them), links (to which it links), within (into whose cells it is replicated)."""
+    block = F.pmod(F.xxhash64("c", F.lit("block")), F.col("blocks"))
+    drawn = members.groupBy("p", "blocks", F.pmod(_priority(F.col("c")), F.lit(PIVOTS)).alias("j")).agg(F.min_by("c", F.struct(_priority(F.col("c")), "c")).alias("c"))
+    known = members.select("c", "shingles").dropDuplicates(["c"])
+    pivots = drawn.join(known, "c").select("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("kind"), "blocks", "c", "shingles")
+    rows = members.select("p", block.alias("block"), F.lit(1).alias("kind"), "blocks", "c", "shingles").unionByName(pivots)
+
+    def run(batches):
+        for (p, _), (kind, blocks, c, shingles) in _runs(batches, 2):
+            c, x, member = c.to_numpy(), _sets(shingles), kind.to_numpy() == 1
+            some, q = [x[i] for i in np.flatnonzero(member)], [x[i] for i in np.flatnonzero(~member)]
+            if not some:
+                continue
+            n, m, both = np.array([len(s) for s in some]), np.array([len(s) for s in q]), cell.overlaps(some, q)
+            d = 1 - both / (n[:, None] + m[None, :] - both)
+            linked, within = cell.linked(both, n, m, PERCENT), d <= d.min(1)[:, None] + 2 * RING
+            names = c[~member]
+            yield pa.RecordBatch.from_pylist([{"p": int(p), "blocks": blocks[0].as_py(), "c": int(a), "q": names.tolist(), "d": d[i].tolist(), "links": names[linked[i]].tolist(), "within": names[within[i]].tolist()} for i, a in enumerate(c[member])], schema=pa.schema([("p", pa.int64()), ("blocks", pa.int64()), ("c", pa.int64()), ("q", pa.list_(pa.int64())), ("d", pa.list_(pa.float64())), ("links", pa.list_(pa.int64())), ("within", pa.list_(pa.int64()))]))
+
+    rows = rows.repartition(partitions, "p", "block").sortWithinPartitions("p", "block", "kind", "c")
+    return rows.mapInArrow(run, "p long, blocks long, c long, q array<bigint>, d array<double>, links array<bigint>, within array<bigint>")
+
+
+def join_rings(measured: DataFrame, known: DataFrame, partitions: int) -> DataFrame:
+    """a, b: links that connect the texts of cells that no pivots split. Blocks of texts are compared, but those a ring apart, and those that link with one pivot in full."""
+    hubs = measured.select("p", F.explode("links").alias("hub")).groupBy("p", "hub").count().groupBy("p").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
+    dealt = measured.join(hubs, "p").select(
+        "p",
+        "c",
+        F.floor(F.element_at("d", F.array_position("q", F.col("hub")).cast("int")) / F.lit(RING)).alias("ring"),
+        F.array_contains("links", F.col("hub")).alias("inside"),
+        F.pmod(F.xxhash64("c", F.lit("block")), F.col("blocks")).alias("bucket"),
+    )
+    dealt = stored(dealt.select("p", "c", "ring", F.struct("ring", "inside", "bucket").alias("block")), "rings")
+    blocks = dealt.select("p", "ring", "block").distinct()
+    beside = blocks.select("p", F.explode(F.array("ring", F.col("ring") + 1)).alias("ring"), F.col("block").alias("left"))
+    pairs = beside.join(blocks.withColumnRenamed("block", "right"), ["p", "ring"]).where("left.ring < right.ring or left <= right").where("not (left.inside and right.inside)")
+    pairs = pairs.select("p", F.xxhash64("p", "left", "right").alias("pair"), "left", "right")
+    sides = pairs.select("p", "pair", F.lit(0).alias("side"), F.col("left").alias("block")).unionByName(pairs.where("left <> right").select("p", "pair", F.lit(1).alias("side"), F.col("right").alias("block")))
+    rows = dealt.join(sides, ["p", "block"]).join(known, "c").select("pair", "side", "c", "shingles")
+
+    def run(batches):
+        for _, (side, c, shingles) in _runs(batches, 1):
+            c, x, right = c.to_numpy(), _sets(shingles), side.to_numpy() == 1
+            if not right.any():
+                yield _edges([(int(c[i]), int(c[j])) for i, j in cell.join(x, PERCENT)])
+            else:
+                order = np.argsort(right, kind="stable")
+                found = cell.join_between([x[i] for i in order if not right[i]], [x[i] for i in order if right[i]], PERCENT)
+                yield _edges([(int(c[order[i]]), int(c[order[j]])) for i, j in found])
+
+    return rows.repartition(partitions, "pair").sortWithinPartitions("pair", "side", "c").mapInArrow(run, "a long, b long")
+
+
+def links(docs: DataFrame, every: DataFrame) -> DataFrame:
     """a, b: links between sets, enough to connect all that are connected."""
-    inside = shared_regions(docs, often)
-    labels = stored(inside.select("c").distinct().select("c", F.col("c").alias("label")), "labels")
-    n = labels.count()
-    log2 = min(ACTIVE_BITS, max(15, (16 * max(n, 1)).bit_length()))
-    active = bitmap(labels.select("c"), log2)  # what passes it by chance is dropped by the join
-    release(docs.sparkSession)
-    known = stored(sets(docs, active, log2).groupBy("c").agg(F.first("head").alias("head"), F.first("tail").alias("tail")).join(labels.select("c"), "c"), "sets")
-    release(docs.sparkSession)
+    spark = docs.sparkSession
+    sizes = stored(every.where("n > 0").groupBy("c").agg(F.first("n").alias("n"), F.min("k").alias("k")), "sizes")
+    inside = cells(docs, every.where(F.col("often").isNotNull()), sizes)
+    active = inside.select("c").distinct().join(sizes, "c")
+    known = stored(sets(docs, active.select("k")), "sets")
+    release(spark)
     found: list[DataFrame] = []
-    priority = F.xxhash64("c", F.lit("pivot"))
     while True:
-        lying = inside.join(labels, "c")
-        per_label = lying.groupBy("h", "label").agg(F.count("*").alias("k"))
-        # The texts of the label with most texts need not be pivots: those of all other labels are compared with them.
-        main = per_label.groupBy("h").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count("*").alias("n_labels")).where("n_labels > 1").drop("n_labels")
-        mixed = stored(lying.join(main, "h"), "mixed")
-        others = mixed.where("label <> main")
-        drawn = others.groupBy("h", F.pmod(priority, F.lit(PIVOTS)).alias("j")).agg(F.min_by(F.struct("c", "n", "m"), F.struct(priority, F.col("c"))).alias("pivot"))
-        # And the text that shares most with others: the middle of a cloud of copies links with them all.
-        hubs = others.groupBy("h").agg(F.max_by(F.struct("c", "n", "m"), F.struct("w", priority, F.col("c"))).alias("pivot"))
-        pivots = stored(drawn.select("h", "pivot").unionByName(hubs).select("h", F.col("pivot.c").alias("p"), F.col("pivot.n").alias("n_p"), F.col("pivot.m").alias("m_p")).distinct(), "pivots")
-        if pivots.isEmpty():
-            remove(docs.sparkSession, mixed, pivots)
+        weighed = inside.join(sizes.select("c", "n"), "c").groupBy("p").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+        weighed = stored(weighed.where("k > 1").withColumn("large", (F.col("k") > CELL_TEXTS) | ((F.col("n") > CELL_SHINGLES) & (F.col("k") > 2))), "weighed")
+        moved = {r["large"]: r["n"] for r in weighed.groupBy("large").agg(F.sum("n").alias("n")).collect()}
+        if False in moved:
+            small = inside.join(weighed.where("not large").select("p"), "p").join(known, "c")
+            found.append(stored(join_cells(small, _partitions(docs, moved[False])), "links"))
+        if True not in moved:
             break
-        met = mixed.join(pivots, "h").where("c <> p")
-        # No text much smaller or larger links (its distance is at least 1 - smaller / larger), nor one too large for what is shared.
-        near = (100 * F.least("n", "n_p") >= PERCENT * F.greatest("n", "n_p")) & (F.col("n") <= F.col("m_p")) & (F.col("n_p") <= F.col("m"))
-        pairs = met.where(near).select(F.when(F.col("c") < F.col("p"), F.struct("c", "p", "n", "n_p")).otherwise(F.struct(F.col("p").alias("c"), F.col("c").alias("p"), F.col("n_p").alias("n"), F.col("n").alias("n_p"))).alias("pair")).select("pair.*").distinct()
-        measured = stored(overlap(pairs, known), "measured")
-        linked = (100 * F.col("both")) >= (PERCENT * (F.col("n") + F.col("n_p") - F.col("both")))
-        fresh = stored(measured.where(linked).select("c", "p"), "fresh_links")
-        found.append(fresh.select(F.col("c").alias("a"), F.col("p").alias("b")))
-        both_ways = measured.select("c", "p", "both").unionByName(measured.select(F.col("p").alias("c"), F.col("c").alias("p"), "both"))
-        distances = met.select("h", "c", "p", "n", "n_p").join(both_ways, ["c", "p"], "left").withColumn("linked", F.coalesce(linked, F.lit(False)))
-        distance = F.when(F.col("both").isNotNull(), 1 - F.col("both") / (F.col("n") + F.col("n_p") - F.col("both"))).otherwise(1 - F.least("n", "n_p") / F.greatest("n", "n_p"))
-        distances = distances.withColumn("d", distance)
-        gaps = distances.groupBy("h", "p").agg(F.min(F.when(~F.col("linked"), F.col("d"))).alias("gap"))
-        leaving = distances.where("linked").join(gaps, ["h", "p"]).where(F.col("d") < F.coalesce(F.col("gap"), F.lit(2.0)) - (100 - PERCENT) / 100 - 1e-9).select("h", "c")
-        leaving = leaving.unionByName(pivots.select("h", F.col("p").alias("c"))).distinct()
-        staying = stored(mixed.select("h", "c", "n", "w", "m").join(leaving, ["h", "c"], "left_anti"), "regions_left")
-        joint = fresh.join(labels, "c").select("p", F.col("label").alias("a")).join(labels.withColumnRenamed("c", "p"), "p").select("a", F.col("label").alias("b"))
-        merged = components(joint).select(F.col("node").alias("label"), F.col("label").alias("to"))
-        relabelled = stored(labels.join(merged, "label", "left").select("c", F.coalesce("to", "label").alias("label")), "labels")
-        # Only texts that are still in a region are met again, so what a round moves shrinks with them.
-        needed = staying.select("c").distinct()
-        fewer = stored(known.join(needed, "c", "left_semi"), "sets")
-        remove(docs.sparkSession, inside, mixed, pivots, measured, labels, known)
-        inside, labels, known = staying, relabelled, fewer
-        release(docs.sparkSession)
-    if not found:
-        return labels.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0)
-    return reduce(DataFrame.unionByName, found)
+        partitions = _partitions(docs, moved[True])
+        blocks = F.greatest(F.ceil(F.col("k") / (CELL_TEXTS // 2)), F.ceil(F.col("n") / (CELL_SHINGLES // 2))).cast("long").alias("blocks")
+        members = inside.join(weighed.where("large").select("p", blocks), "p").join(known, "c")
+        measured = stored(measure(members, partitions), "measured")
+        found.append(measured.select(F.col("c").alias("a"), F.explode("links").alias("b")).where("a <> b"))
+        split = measured.select("p", "c", F.explode("within").alias("q"))
+        fewer = split.groupBy("p", "q").count().groupBy("p").agg((2 * F.sum(F.col("count") * F.col("count"))).alias("work")).join(weighed, "p")
+        fewer = stored(fewer.select("p", (F.col("work") <= F.col("k") * F.col("k")).alias("shrinks")), "fewer")
+        following = stored(split.join(fewer.where("shrinks").select("p"), "p").select(F.xxhash64("p", "q").alias("p"), "c"), "cells")
+        found.append(stored(join_rings(measured.join(fewer.where("not shrinks").select("p"), "p"), known, partitions), "links"))
+        remove(spark, inside, weighed)
+        release(spark)
+        inside = following
+    return reduce(DataFrame.unionByName, found) if found else sizes.select(F.col("c").alias("a"), F.col("c").alias("b")).where("false")
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, k (a hash of the text), n (size of the set), label (equal for rows that links connect) for each row of docs; without words, n is 0 and label null."""
+    every = stored(classes(docs), "classes")
+    rows = every.where(F.col("c").isNotNull()).select("doc_id", "k", "n", "c")
+    label = components(links(docs, every))
+    out = rows.join(label.select(F.col("node").alias("c"), "label"), "c", "left")
+    return stored(out.select("doc_id", "k", "n", F.when(F.col("n") > 0, F.coalesce("label", "c")).alias("label")), "labelled")
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -230,11 +362,27 @@ def linked(docs: DataFrame) -> DataFrame:
     component_id is the smallest doc_id that links lead to. Null texts, and those without words, have an empty set and link with nothing; equal
     sets link. Repeated rows stay, and link as their text does. Rows with null doc_id get the smallest doc_id of their component, null if there is none. No rows give no rows.
     """
-    every = stored(classes(docs), "classes")
-    rows = every.where(F.col("c").isNotNull()).select("doc_id", "n", "c")
-    label = components(links(docs, every.where(F.col("often").isNotNull())))
-    rows = rows.join(label.select(F.col("node").alias("c"), "label"), "c", "left").select("doc_id", "n", F.coalesce("label", "c").alias("label"))
-    rows = stored(rows, "labelled")
+    rows = labelled(docs)
     least = rows.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = rows.where("n > 0").join(least, "label").select("doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
     return out.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs (doc_id, text and any others) of which one stays for each component: that with the smallest doc_id, the smallest hash of its text among several.
+
+    Rows without words stay, all of them. Of rows that repeat the one that stays, doc_id and text, one stays; rows that share only their doc_id
+    go by their texts. A row with null doc_id stays only if no row of its component has one. No rows give no rows.
+    """
+    rows = labelled(docs)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "k")).alias("x")
+    chosen = stored(rows.where("n > 0").groupBy("label").agg(best).select(F.col("x.doc_id").alias("__chosen_id"), F.col("x.k").alias("__chosen_k")).distinct(), "chosen")
+    empty = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    key = F.xxhash64("text")
+    full = docs.where(~empty)
+    kept = full.join(chosen, F.col("doc_id").eqNullSafe(F.col("__chosen_id")) & (key == F.col("__chosen_k")), "left_semi")
+    repeated = rows.where("n > 0").groupBy("doc_id", "k").count().where("count > 1").select(F.col("doc_id").alias("__chosen_id"), F.col("k").alias("__chosen_k"))
+    same = F.col("doc_id").eqNullSafe(F.col("__chosen_id")) & (key == F.col("__chosen_k"))
+    once = kept.join(repeated, same, "left_anti")
+    several = kept.join(repeated, same, "left_semi").groupBy(F.col("doc_id").alias("__chosen_id"), key.alias("__chosen_k")).agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    return once.unionByName(several).unionByName(docs.where(empty))
