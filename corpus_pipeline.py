@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalume.llm import jaccard, language, mixing, packing, quality
-from catalume.llm.common import prepare, stored
+from catalume.llm.common import stored
 from catalume.llm.queries import tokenizer
 
 
@@ -26,14 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest doc_id (of rows that repeat it, one with the least text). Rows with null doc_id stay."""
-    prepare(spark)
-    kept = jaccard.linked(docs).where("doc_id = component_id").select("doc_id").distinct()
-    repeated = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = docs.join(kept, "doc_id", "left_semi").join(repeated, "doc_id", "left_anti")
-    several = docs.join(kept, "doc_id", "left_semi").join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
-    nameless = docs.where(F.col("doc_id").isNull())
-    return once.select(*docs.columns).unionByName(nameless).unionByName(several.select("doc_id", "row.*").select(*docs.columns))
+    """One document of each group of near copies, that with the smallest doc_id; rows that share only their doc_id go by their texts, and those without words stay."""
+    return jaccard.one_of_each(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
