@@ -2,31 +2,32 @@
 
 A known word scores, for each language, its log frequency there. A word that no language knows falls back to its n-grams of
 NGRAM characters, then to shorter ones, until some language knows one; it scores their mean. The language
-with the greatest mean over the words of a text is predicted.
+with the greatest mean over the words of a text is predicted. Words are runs of letters, in lower case.
 
-The model is fitted on a bounded sample: about TRAIN_DOCUMENTS documents a language, chosen by a hash of doc_id among all of
-that language. At most WORDS words and GRAMS n-grams of each length are kept a language, so its size is bounded too. Counts
-are made by Spark; every document is scored, over its whole text.
+The model is fitted on a bounded sample: about TRAIN_DOCUMENTS documents a language, and TRAIN_TOTAL in all, chosen by a hash of doc_id among all of
+that language. It holds every language, word and n-gram of the sample, as sorted hashes with the counts of those languages that have them; nothing
+else bounds it. Counts are made by Spark; every document is scored, over its whole text.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalume.llm.common import bound, crc32_of_id, prepare, stored
 
-TRAIN_DOCUMENTS = 3000
-WORDS, GRAMS, NGRAM = 40_000, 20_000, 4
-LANGUAGES = 200
+TRAIN_DOCUMENTS, TRAIN_TOTAL = 3000, 60_000
+NGRAM = 4
 MISSING = 1.0  # how many times less often than once a word counts where a language lacks it
-CACHE = 300_000
+EVIDENCE = 20  # words of a text that count as evidence, at most
+CACHE = 200_000
+SLICE = 256  # texts whose words are scored at once
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -35,98 +36,151 @@ def words(text) -> F.Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
 
 
-def fit(docs: DataFrame, per_language: int = TRAIN_DOCUMENTS) -> dict:
-    """A model from docs (doc_id, text, lang): {"languages": [...], "words": {...}, "grams": [{...}, ...]}; each entry is a tuple of log frequencies.
+def word_counts(text: str | None) -> Counter:
+    """The runs of letters of text, in lower case, and how often they occur: what words() finds."""
+    counts = Counter(_WORD.findall(text.lower())) if text else Counter()
+    for odd in [x for x in counts if not x.isalpha()]:  # holds a number that is no digit, like ½
+        times = counts.pop(odd)
+        for part in "".join(c if c.isalpha() else " " for c in odd).split():
+            counts[part] += times
+    return counts
 
-    Rows with null lang or text are left out. At most LANGUAGES languages are learned, those with most documents. Nothing to learn from: no languages.
+
+class Model:
+    """Log frequencies by language of words (level 0) and of n-grams (level n), found by the hash of the term.
+
+    levels: for each, sorted hashes, where the entries of each begin, and of every entry its language and count. totals: by level and language.
+    """
+
+    def __init__(self, languages: list[str], levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], totals: np.ndarray):
+        self.languages, self.levels, self.totals = languages, levels, totals
+
+    def known(self, level: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of hashes the level has, and their log frequencies."""
+        keys, cuts, language, count = self.levels[level]
+        at = np.minimum(np.searchsorted(keys, hashes), max(len(keys) - 1, 0))
+        found = keys[at] == hashes if len(keys) else np.zeros(len(hashes), bool)
+        at = at[found]
+        many = cuts[at + 1] - cuts[at]
+        counts = np.full((len(at), len(self.languages)), 1 / (1 + MISSING))
+        entry = np.repeat(cuts[at] - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum()) if len(at) else np.zeros(0, np.int64)
+        counts[np.repeat(np.arange(len(at)), many), language[entry]] = count[entry]
+        return found, np.log(counts / self.totals[level])
+
+    def scores(self, terms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each word its log frequencies, or the mean of those of its longest n-grams that are known; and whether any was."""
+        out, told = np.zeros((len(terms), len(self.languages))), np.zeros(len(terms), bool)
+        told, found = self.known(0, hashed(terms))
+        out[told] = found
+        for k in range(NGRAM, 0, -1):
+            left = np.flatnonzero(~told)
+            grams = [[p[i : i + k] for i in range(len(p) - k + 1)] for p in (f" {terms[i]} " for i in left)]
+            many = np.array([len(x) for x in grams], np.int64)
+            hit, found = self.known(k, hashed([x for y in grams for x in y]))
+            row = np.repeat(np.arange(len(left)), many)[hit]
+            hits = np.bincount(row, minlength=len(left))
+            total = np.zeros((len(left), len(self.languages)))
+            np.add.at(total, row, found)
+            some = hits > 0
+            out[left[some]] = total[some] / hits[some, None]
+            told[left[some]] = True
+        return out, told
+
+
+def hashed(terms: list[str]) -> np.ndarray:
+    """Spark's xxhash64 of each string."""
+    from xxhash import xxh64_intdigest
+
+    return np.array([xxh64_intdigest(x.encode(), 42) for x in terms], np.uint64).view(np.int64)
+
+
+def fit(docs: DataFrame, per_language: int = TRAIN_DOCUMENTS, in_all: int = TRAIN_TOTAL) -> Model:
+    """A model from docs (doc_id, text, lang).
+
+    Rows with null lang or text are left out. Nothing to learn from: no languages.
     """
     labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    per_lang = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
-    if not per_lang:
-        return {"languages": [], "words": {}, "grams": []}
-    languages = sorted(per_lang)
-    rate = F.create_map(*[F.lit(x) for k, n in per_lang.items() for x in (k, min(1.0, per_language / n))])
+    per_lang = labelled.groupBy("lang").agg(F.count("*").alias("documents"))
+    languages = sorted(r["lang"] for r in per_lang.select("lang").collect())
+    if not languages:
+        return Model([], [], np.zeros((0, 0)))
+    rate = max(1, min(per_language, in_all // len(languages))) / F.col("documents")
     draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    sample = labelled.where(draw < F.coalesce(F.try_element_at(rate, F.col("lang")), F.lit(0.0)))
+    sample = labelled.join(per_lang, "lang").where(draw < rate)
     # Counting words before n-grams: an n-gram counts as often as the words that hold it.
     counted = stored(sample.select("lang", F.explode(words(F.col("text"))).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("n")), "language_words")
     padded = F.concat(F.lit(" "), F.col("term"), F.lit(" "))
     gram = lambda k: bound(padded, lambda p: F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(p) - (k - 1), F.lit(1))), lambda i: F.struct(F.lit(k).alias("k"), F.substring(p, i, F.lit(k)).alias("term"))))
     grams = counted.select("lang", "n", F.explode(F.flatten(F.array(*[gram(k) for k in range(1, NGRAM + 1)]))).alias("g")).groupBy("lang", "g.k", "g.term").agg(F.sum("n").alias("n"))
     terms = counted.select("lang", F.lit(0).alias("k"), "term", "n").unionByName(grams)
-    totals = terms.groupBy("lang", "k").agg(F.sum("n").alias("total"))
-    top = W.partitionBy("lang", "k").orderBy(F.desc("n"), "term")
-    kept = terms.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= F.when(F.col("k") == 0, WORDS).otherwise(GRAMS))
-    model: list[dict] = [{} for _ in range(NGRAM + 1)]
-    total = {(r["lang"], r["k"]): r["total"] for r in totals.collect()}
-    at = {x: i for i, x in enumerate(languages)}
-    for r in kept.select("lang", "k", "term", "n").toLocalIterator():
-        model[r["k"]].setdefault(r["term"], {})[at[r["lang"]]] = r["n"]
-    for k, level in enumerate(model):
-        for term, n in level.items():
-            level[term] = tuple(math.log((n[i] if i in n else 1 / (1 + MISSING)) / total.get((x, k), 1)) for i, x in enumerate(languages))
-    return {"languages": languages, "words": model[0], "grams": model[1:]}
-
-
-def word_score(model: dict, word: str) -> tuple[float, ...] | None:
-    """Log frequencies by language, of the word or of its longest n-grams that are known; None if not even a letter is."""
-    if (found := model["words"].get(word)) is not None:
-        return found
-    padded = f" {word} "
-    for k in range(min(NGRAM, len(padded)), 0, -1):
-        level = model["grams"][k - 1]
-        hits = [x for x in (level.get(padded[i : i + k]) for i in range(len(padded) - k + 1)) if x is not None]
-        if hits:
-            return tuple(sum(x) / len(hits) for x in zip(*hits))
-    return None
-
-
-def predict(docs: DataFrame, model: dict) -> DataFrame:
+    names = F.array(*map(F.lit, languages))
+    found = terms.select("k", F.xxhash64("term").alias("term"), (F.array_position(names, F.col("lang")) - 1).cast("int").alias("language"), "n").toArrow()  # bounded by the sample
+    k, term, language, n = (found.column(i).to_numpy() for i in range(4))
+    totals, levels = np.ones((NGRAM + 1, len(languages))), []
+    for level in range(NGRAM + 1):
+        at = np.flatnonzero(k == level)
+        at = at[np.lexsort((language[at], term[at]))]
+        first = np.flatnonzero(np.append(True, term[at][1:] != term[at][:-1])) if len(at) else np.zeros(0, np.int64)
+        totals[level] = np.maximum(1, np.bincount(language[at], n[at], len(languages)))
+        levels.append((term[at][first], np.append(first, len(at)), language[at], n[at].astype(np.float64)))
+    return Model(languages, levels, totals)
+
+
+def predict(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of docs, lang_pred and score; columns of these names in docs are replaced.
 
     Null texts and those without a letter are `und` with score 0, as is any text if no language was learned. score is the
-    probability of the predicted language, where each word counts as evidence but no more than 20 words do in all. Ties go to the first language by code point.
+    probability of the predicted language, where each word counts as evidence but no more than EVIDENCE words do in all. Ties go to the first language by code point.
     """
     spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)  # at most LANGUAGES x (WORDS + NGRAM x GRAMS) entries
+    shared = spark.sparkContext.broadcast(model)  # bounded by the sample
+
+    def judged_slice(texts: list[str | None], m: Model, seen: dict[str, int], store: list) -> tuple[list[str], list[float]]:
+        counts = [word_counts(x) for x in texts]
+        if len(seen) > 4 * CACHE // max(4, len(m.languages)):
+            seen.clear()
+            store.clear()
+        if fresh := list({w for c in counts for w in c if w not in seen}):
+            seen.update(zip(fresh, range(len(seen), len(seen) + len(fresh))))
+            rows, told = m.scores(fresh)
+            store[:] = [np.concatenate([store[0], rows]), np.concatenate([store[1], told])] if store else [rows, told]
+        preds, scores = ["und"] * len(texts), [0.0] * len(texts)
+        some = [i for i, c in enumerate(counts) if c]
+        if not some or not m.languages:
+            return preds, scores
+        at = np.array([seen[w] for i in some for w in counts[i]])
+        times = np.array([t for i in some for t in counts[i].values()], np.float64)
+        starts = np.append(0, np.cumsum([len(counts[i]) for i in some])[:-1])
+        sums = np.add.reduceat(store[0][at] * times[:, None], starts)
+        n = np.add.reduceat(times * store[1][at], starts)
+        best = sums.argmax(1)
+        apart = (sums - sums[np.arange(len(some)), best][:, None]) * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
+        sure = 1 / np.exp(np.maximum(apart, -700)).sum(1)
+        for i, b, p in zip(some, best.tolist(), sure.tolist()):
+            preds[i], scores[i] = m.languages[b], p
+        return preds, scores
 
     def score(batches):
-        m, languages = shared.value, shared.value["languages"]
-        seen: dict[str, tuple | None] = {}
+        m, seen, store = shared.value, {}, []
         for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
             preds, scores = [], []
-            for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
-                sums, n = [0.0] * len(languages), 0
-                counts = Counter(_WORD.findall(text.lower())) if text else {}
-                for word, times in counts.items():
-                    if word in seen:
-                        found = seen[word]
-                    else:
-                        if len(seen) >= CACHE:
-                            seen.clear()
-                        found = seen[word] = word_score(m, word)
-                    if found is not None:
-                        sums = [a + times * b for a, b in zip(sums, found)]
-                        n += times
-                if not counts or not languages:
-                    preds.append("und")
-                    scores.append(0.0)
-                    continue
-                best = max(range(len(languages)), key=lambda i: (sums[i], -i))
-                weight = min(n, 20) / max(n, 1)
-                scores.append(1 / sum(math.exp(max(-700.0, (x - sums[best]) * weight)) for x in sums))
-                preds.append(languages[best])
+            for i in range(0, len(texts), SLICE):
+                p, s = judged_slice(texts.slice(i, SLICE).to_pylist(), m, seen, store)
+                preds += p
+                scores += s
             rest = [i for i, f in enumerate(batch.schema) if f.name not in ("lang_pred", "score")]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in rest], pa.array(preds, pa.string()), pa.array(scores, pa.float64())], [*[batch.schema[i].name for i in rest], "lang_pred", "score"])
 
     kept = docs.drop("lang_pred", "score")
-    from pyspark.sql import types as T
-
     return kept.mapInArrow(score, T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, lang, ...) with held_out, lang_pred, score: learned from rows whose crc32(doc_id) mod 4 is not 2."""
+    """docs (doc_id, text, lang, ...) with held_out, lang_pred, score: learned from rows whose crc32(doc_id) mod 4 is not 2. Rows with null doc_id count as held out.
+
+    Columns of docs with these names are replaced. Repeated rows are judged alike; no rows give no rows.
+    """
     held_out = F.coalesce(crc32_of_id(F.col("doc_id")) % 4 == 2, F.lit(True))
     model = fit(docs.where(~held_out))
     return predict(docs, model).withColumn("held_out", held_out)
