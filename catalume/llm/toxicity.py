@@ -1,13 +1,13 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Toxic and ordinary texts each get a bigram model (pairs count once a text) that backs off to continuation counts (in how many contexts a word follows)
-of its class, and those to the continuation counts of both classes together. Discounts are large: of a count stays what exceeds,
-beyond doubt, what the other class makes one expect, the rest goes to the shared backoff; so an expression that is rare, or about as usual in both
-classes, is judged alike by both. A text's score compares the two log-likelihoods, divided by its words; the threshold
+of its class, and those to the continuation counts of both classes together. The absolute discounts are fitted from counts of counts, n1 / (n1 + 2 n2), for pairs and
+words of each class; on top of them goes what the other class makes one expect, with room for doubt. So of a count stays what its class alone accounts for, and the rest goes to the
+shared backoff: an expression that is rare, or about as usual in both classes, is judged alike by both. A text's score compares the two log-likelihoods, divided by its words; the threshold
 and slope that turn it into a probability are fitted on training texts that the counts have not seen.
 
 Models are fitted on a bounded sample: about TRAIN_TOXIC and TRAIN_ORDINARY documents, by a hash of doc_id among all labelled ones. One in FIT_SHARE of
-them fits threshold and slope. Counts are made by Spark; the model holds at most TERMS words and TERMS pairs. Every document is scored, over its whole text.
+them fits threshold and slope. Counts are made by Spark; the model holds what its classes do not judge alike, which the sample bounds. Every document is scored, over its whole text.
 """
 
 from __future__ import annotations
@@ -24,9 +24,8 @@ from catalume.llm.common import crc32_of_id, prepare, stored
 from catalume.llm.language import words
 
 TRAIN_TOXIC, TRAIN_ORDINARY = 10_000, 40_000
-TERMS = 100_000
 FIT_SHARE = 4  # one in so many fits threshold and slope
-DISCOUNT, TIMES, DOUBT = 0.9, 3.0, 4.0
+DISCOUNT, TIMES, DOUBT = 0.9, 3.0, 4.0  # the discount counts where no two counts give one
 START = ""  # before the first word
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -58,6 +57,8 @@ class Models:
     def score(self, text: str | None) -> float:
         """Mean ratio over the words of text."""
         found = _WORD.findall((text or "").lower())
+        if not all(map(str.isalpha, found)):  # numbers that are no digits, like ½, are no letters
+            found = [y for x in found for y in (x if x.isalpha() else "".join(c if c.isalpha() else " " for c in x)).split()]
         if not found:
             return 0.0
         telling = self.telling
@@ -68,10 +69,16 @@ class Models:
         return (apart + self.usual * (len(found) - len(at))) / len(found)
 
 
-def excess(n: F.Column, other: F.Column, ratio: float) -> F.Column:
-    """What of a count n is left when `ratio` times the other class's count, with room for doubt, is taken from it."""
+def discounts(counts: DataFrame) -> tuple[float, float]:
+    """Of each class, from how many terms (n0, n1: how often a term occurs in the class) occur once and twice in it."""
+    found = counts.agg(*[F.count_if(F.col(f"n{c}") == k).alias(f"{c}{k}") for c in (0, 1) for k in (1, 2)]).first()
+    return tuple(found[f"{c}1"] / (found[f"{c}1"] + 2 * found[f"{c}2"]) if found[f"{c}1"] and found[f"{c}2"] else DISCOUNT for c in (0, 1))
+
+
+def excess(n: F.Column, other: F.Column, ratio: float, discount: float) -> F.Column:
+    """What of a count n is left when its discount and `ratio` times the other class's count, with room for doubt, are taken from it."""
     expected = (other + 0.5) * ratio
-    return F.greatest(F.lit(0.0), n - TIMES * expected - DOUBT * F.sqrt(expected) - DISCOUNT)
+    return F.greatest(F.lit(0.0), n - TIMES * expected - DOUBT * F.sqrt(expected) - discount)
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, ordinary: int = TRAIN_ORDINARY) -> dict:
@@ -96,14 +103,14 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TRAIN_TOXIC, ordinary:
     model: dict = {"words": {}, "pairs": {}, "contexts": {}, "backoff": (1.0, 1.0), "numbers": (0.0, 1.0)}
     if not t["n0"] or not t["n1"]:
         return model
-    over = lambda a, b: [excess(F.col("n0"), F.col("n1"), a / b).alias("e0"), excess(F.col("n1"), F.col("n0"), b / a).alias("e1")]
-    left = one.select("word", "both", *over(t["n0"], t["n1"])).where((F.col("e0") > 0) | (F.col("e1") > 0)).orderBy(F.desc(F.greatest("e0", "e1")), "word").limit(TERMS)
-    for r in left.collect():
+    over = lambda a, b, d: [excess(F.col("n0"), F.col("n1"), a / b, d[0]).alias("e0"), excess(F.col("n1"), F.col("n0"), b / a, d[1]).alias("e1")]
+    left = one.select("word", "both", *over(t["n0"], t["n1"], discounts(one))).where((F.col("e0") > 0) | (F.col("e1") > 0))
+    for r in sorted(left.collect(), key=lambda r: r["word"]):
         model["words"][r["word"]] = ((r["e0"] / t["n0"], r["e1"] / t["n1"]), (r["both"] + 1) / (t["both"] + t["words"]))
     model["backoff"] = tuple(max(1e-6, 1 - sum(x[0][c] for x in model["words"].values())) for c in (0, 1))
     contexts = counted.groupBy("before").agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"))
-    left = counted.select("before", "word", *over(tokens["n0"], tokens["n1"])).where((F.col("e0") > 0) | (F.col("e1") > 0)).join(contexts, "before").join(one.select("word", "both"), "word").orderBy(F.desc(F.greatest("e0", "e1")), "before", "word").limit(TERMS)
-    for r in left.collect():
+    left = counted.select("before", "word", *over(tokens["n0"], tokens["n1"], discounts(counted))).where((F.col("e0") > 0) | (F.col("e1") > 0)).join(contexts, "before").join(one.select("word", "both"), "word")
+    for r in sorted(left.collect(), key=lambda r: (r["before"], r["word"])):
         model["words"].setdefault(r["word"], ((0.0, 0.0), (r["both"] + 1) / (t["both"] + t["words"])))
         model["pairs"][r["before"], r["word"]] = share = tuple(r[f"e{c}"] / max(r[f"c{c}"], 1) for c in (0, 1))
         model["contexts"][r["before"]] = tuple(max(1e-6, x - y) for x, y in zip(model["contexts"].get(r["before"], (1.0, 1.0)), share))
@@ -133,7 +140,7 @@ def calibrated(points: list[tuple[float, int]]) -> tuple[float, float]:
 def scored(docs: DataFrame, model: dict, raw: bool = False) -> DataFrame:
     """All columns of docs and score (0 to 1; raw: the mean ratio). Null and empty texts get the score of a ratio of 0. A column named score is replaced."""
     spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)  # bounded by TERMS
+    shared = spark.sparkContext.broadcast(model)  # bounded by the sample
 
     def score(batches):
         models, (middle, slope) = Models(shared.value), shared.value["numbers"]
@@ -148,7 +155,10 @@ def scored(docs: DataFrame, model: dict, raw: bool = False) -> DataFrame:
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs (doc_id, text, ...) with held_out, score, predicted: learned from rows whose crc32(doc_id) mod 5 is not 0."""
+    """docs (doc_id, text, ...) with held_out, score, predicted: learned from rows whose crc32(doc_id) mod 5 is not 0. Rows with null doc_id count as held out.
+
+    Columns of docs with these names are replaced. Repeated rows are judged alike; no rows give no rows.
+    """
     held_out = F.coalesce(crc32_of_id(F.col("doc_id")) % 5 == 0, F.lit(True))
     model = fit(docs.where(~held_out), labels.where(~held_out))
     return scored(docs, model).withColumn("held_out", held_out).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
