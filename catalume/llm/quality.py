@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from catalume.llm.common import SPACE, bound, n_words, stored
 
 KEEP = 0.5
-STEPS = 40
+STEPS, STILL = 10_000, 1e-9  # the estimate ends when nothing changes by more than STILL, or after so many steps
+MEASURES, VOTES = "__quality_measures", "__quality_votes"
 RULES = ("length", "word_length", "symbols", "plain_words", "lines", "repeats", "capitals", "endings")
 #: Where the estimate starts: the share of good texts, and for a rule that votes, its chance of voting good on a good text and
-#: bad on a bad one. The start counts as much as this share of all texts.
-START_GOOD, RIGHT_ON_GOOD, RIGHT_ON_BAD, START_WEIGHT = 0.85, 0.98, 0.4, 0.5
+#: bad on a bad one. The start counts as much as START_TEXTS texts, however many there are.
+START_GOOD, RIGHT_ON_GOOD, RIGHT_ON_BAD, START_TEXTS = 0.85, 0.98, 0.4, 20
 
 
 def repeat_words(text: Column) -> Column:
@@ -45,12 +46,12 @@ def repeat_words(text: Column) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """docs with a struct `q` of what the rules look at. Null text counts as empty."""
+    """docs with a struct MEASURES of what the rules look at. Null text counts as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = lambda f: bound(F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), f)
     of_lines = lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup"), F.size(F.filter(x, lambda y: y.rlike(r"[.!?:;\"'»”)]\s*$"))).alias("ended"))
     return docs.withColumn(
-        "q",
+        MEASURES,
         F.struct(
             n_words(text).alias("n_words"),
             F.char_length(F.regexp_replace(text, SPACE, "")).cast("long").alias("word_chars"),
@@ -92,8 +93,6 @@ def estimate(counts: dict[int, int], steps: int = STEPS) -> list[float]:
 
     A rule that abstains says nothing; one that votes has an accuracy on good texts and one on bad texts.
     """
-    total = sum(counts.values())
-    weight = START_WEIGHT * total
     prior = START_GOOD
     right = [[RIGHT_ON_GOOD, RIGHT_ON_BAD] for _ in RULES]
 
@@ -103,20 +102,24 @@ def estimate(counts: dict[int, int], steps: int = STEPS) -> list[float]:
             log += (0, math.log(on_good) - math.log(1 - on_bad), math.log(1 - on_good) - math.log(on_bad))[v]
         return 1 / (1 + math.exp(max(-700, min(700, -log))))
 
-    for _ in range(steps if total else 0):
-        mass = [weight * START_GOOD, weight * (1 - START_GOOD)]
+    patterns = [(n, code, digits(code)) for code, n in sorted(counts.items())]
+    for _ in range(steps if patterns else 0):
+        mass = [START_TEXTS * START_GOOD, START_TEXTS * (1 - START_GOOD)]
         voted = [[mass[0], mass[1]] for _ in RULES]
         hits = [[mass[0] * RIGHT_ON_GOOD, mass[1] * RIGHT_ON_BAD] for _ in RULES]
-        for code in sorted(counts):
+        for n, code, found in patterns:
             p = good(code)
-            share = (p * counts[code], (1 - p) * counts[code])
+            share = (p * n, (1 - p) * n)
             mass = [mass[0] + share[0], mass[1] + share[1]]
-            for k, v in enumerate(digits(code)):
+            for k, v in enumerate(found):
                 for y in (0, 1) if v else ():
                     voted[k][y] += share[y]
                     hits[k][y] += share[y] * (v == y + 1)
+        before = [prior, *(x for pair in right for x in pair)]
         prior = mass[0] / sum(mass)
-        right = [[min(0.9999, h / v) for h, v in zip(x, y)] for x, y in zip(hits, voted)]
+        right = [[min(0.9999, max(0.0001, h / v)) for h, v in zip(x, y)] for x, y in zip(hits, voted)]
+        if max(abs(x - y) for x, y in zip(before, [prior, *(x for pair in right for x in pair)])) < STILL:
+            break
     return [good(code) for code in range(3 ** len(RULES))]
 
 
@@ -124,13 +127,13 @@ def judged(docs: DataFrame) -> DataFrame:
     """All columns of docs and a struct `quality` (accuracies are estimated on the texts that pass the base): n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, probability, kept.
 
     Null and empty texts have no words and fail. Repeated rows are judged alike and stay; no rows give no rows. A
-    column named quality or q in docs is replaced. Measures are written once, so the text is worked on once.
+    column named quality in docs is replaced. Measures are written once, so the text is worked on once.
     """
-    q = F.col("q")
+    q = F.col(MEASURES)
     failed = (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
-    found = stored(measured(docs.drop("quality")).withColumn("pattern_of_votes", pattern(F.col("q"))), "quality")
-    counts = {r["pattern_of_votes"]: r["count"] for r in found.where(~failed).groupBy("pattern_of_votes").count().collect()}  # at most 3^8 rows
+    found = stored(measured(docs.drop("quality")).withColumn(VOTES, pattern(q)), "quality")
+    counts = {r["votes"]: r["count"] for r in found.where(~failed).groupBy(F.col(VOTES).alias("votes")).count().collect()}  # at most 3^8 rows
     table = F.from_json(F.lit(json.dumps(estimate(counts))), "array<double>")
-    probability = F.get(table, F.col("pattern_of_votes"))
+    probability = F.get(table, F.col(VOTES))
     verdict = F.struct(q["n_words"].alias("n_words"), q["word_chars"].alias("word_chars"), q["n_symbols"].alias("n_symbols"), q["lines"]["dup"].cast("long").alias("n_dup_lines"), q["n_repeat_words"].alias("n_repeat_words"), failed.alias("base_failed"), probability.alias("probability"), (~failed & (probability >= KEEP)).alias("kept"))
-    return found.withColumn("quality", verdict).drop("q", "pattern_of_votes")
+    return found.withColumn("quality", verdict).drop(MEASURES, VOTES)
