@@ -10,6 +10,7 @@ documents in a tree, so no task holds a source.
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,24 +24,36 @@ WEIGHTS = (3, 1, 2)
 LEAF, FAN = 2048, 64
 
 
+def numbered(sizes: DataFrame) -> DataFrame:
+    """sizes with `nth`: how many sources come before, in order of code points, null last. Sources are ranged over tasks and counted there, so none holds them all."""
+    order = [F.col("source").isNull(), F.col("source").cast("binary")]
+    ranged = stored(sizes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "mix_ranged")
+    part = F.shiftright("at", 33)
+    parts = ranged.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # one row a task
+    nth = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.withColumn("part", part).join(parts.select("part", before.alias("before")), "part").withColumn("nth", nth).drop("part", "before", "at")
+
+
 def targets(sizes: DataFrame, share: float = SHARE, most: float = MOST, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """source, source_size, n_docs, target: from one row per source (source, source_size, n_docs).
 
     Sources in order of code points, null last, weigh `weights` in turn. A target is the lesser of level x weight and most x size;
-    the level is the one at which targets add up to share x all sizes. It is found by running sums over sources
-    in the order in which they fill up; sources are few beside documents.
+    the level is the one at which targets add up to share x all sizes. It rises from below: what sources that are full leave over is shared among the
+    others, until no more fill up. Each step sums over all sources.
     """
-    order = W.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
-    weight = F.get(F.array(*map(F.lit, weights)), ((F.row_number().over(order) - 1) % len(weights)).cast("int")).cast("double")
-    df = sizes.withColumn("weight", weight).withColumn("cap", most * F.col("source_size"))
-    df = df.withColumn("fills_at", F.col("cap") / F.col("weight"))
-    every = W.partitionBy()
-    before = W.orderBy("fills_at", F.col("source").isNull(), F.col("source").cast("binary")).rowsBetween(W.unboundedPreceding, -1)
-    df = df.withColumn("full", F.coalesce(F.sum("cap").over(before), F.lit(0.0))).withColumn("open", F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    df = df.withColumn("total", share * F.sum("source_size").over(every))
-    level = (F.col("total") - F.col("full")) / F.col("open")
-    df = df.withColumn("level", F.max(F.when(level <= F.col("fills_at"), level)).over(every))
-    return df.select("source", "source_size", "n_docs", F.least(F.col("cap"), F.coalesce(F.col("level"), F.lit(float("inf"))) * F.col("weight")).alias("target"))
+    weight = F.get(F.array(*map(F.lit, weights)), (F.col("nth") % len(weights)).cast("int")).cast("double")
+    df = stored(numbered(sizes).withColumn("weight", weight).withColumn("cap", most * F.col("source_size")).drop("nth"), "mix_weights")
+    total = share * (df.agg(F.sum("source_size")).first()[0] or 0.0)
+    level, full = 0.0, -1
+    while True:
+        fills = F.col("cap") <= level * F.col("weight")
+        r = df.agg(F.count_if(fills).alias("full"), F.sum(F.when(fills, F.col("cap"))).alias("cap"), F.sum(F.when(~fills, F.col("weight"))).alias("weight")).first()
+        if r["full"] == full or not r["weight"]:
+            level = level if r["weight"] else float("inf")
+            break
+        full, level = r["full"], max(level, (total - (r["cap"] or 0.0)) / r["weight"])
+    return df.select("source", "source_size", "n_docs", F.least(F.col("cap"), F.lit(level) * F.col("weight")).alias("target"))
 
 
 def chance(seed: int, *what) -> float:
@@ -85,44 +98,43 @@ def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
     """
     prepare(docs.sparkSession)
     # One row per document, numbered by nothing but its content; rows that are equal in that share their number's runs.
-    sized = docs.drop("mix").withColumn("mix_size", n_words(F.col("text"))).withColumn("mix_key", F.xxhash64("doc_id", "text", "source"))
-    keys = stored(sized.groupBy("source", "mix_key", "mix_size").agg(F.count("*").alias("rows")), "mix_keys")
-    sources = stored(targets(keys.groupBy("source").agg(F.sum(F.col("mix_size") * F.col("rows")).cast("double").alias("source_size"), F.count("*").alias("n_docs"))), "mix_sources")
-    joined = keys.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+    own = [c for c in docs.columns if c != "mix"]
+    sized = docs.select(*own, n_words(F.col("text")).alias("__mix_size"), F.xxhash64("doc_id", "text", "source").alias("__mix_key"))
+    keys = stored(sized.groupBy("source", F.col("__mix_key").alias("key"), F.col("__mix_size").alias("one")).agg(F.count("*").alias("rows")), "mix_keys")
+    sources = stored(targets(keys.groupBy("source").agg(F.sum(F.col("one") * F.col("rows")).cast("double").alias("source_size"), F.count("*").alias("n_docs"))), "mix_sources")
+    named = sources.withColumnRenamed("source", "s")
+    joined = keys.join(named, F.col("source").eqNullSafe(F.col("s")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # Equal rows of a key are taken or left together: k rows count as one document of k times the size.
-    leaf = F.pmod(F.xxhash64("mix_key", F.lit(seed)), F.ceil(F.col("n_docs") / LEAF))
-    level = joined.select("source", leaf.alias("leaf"), F.col("mix_key").alias("key"), F.col("mix_size").alias("one"), (F.col("mix_size") * F.col("rows")).alias("size"), (rate - F.floor(rate)).alias("p"))
+    leaf = F.pmod(F.xxhash64("key", F.lit(seed)), F.ceil(F.col("n_docs") / LEAF))
+    level = joined.select("source", leaf.alias("leaf"), "key", "one", (F.col("one") * F.col("rows")).alias("size"), (rate - F.floor(rate)).alias("p"))
     groups = sources.agg(F.max(F.ceil(F.col("n_docs") / LEAF))).first()[0] or 0
     done = []
     depth = 0
     while groups:
         last, salt = groups <= 1, seed + depth
 
-        def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
+        def settled(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(["key", "one"])
             found = settle(list(zip(pdf["key"].tolist(), pdf["size"].tolist(), pdf["p"].tolist())), salt, last)
             return pdf.assign(p=[x[0] for x in found], settled=[x[1] for x in found])
 
-        found = stored(level.groupBy("source", "leaf").applyInPandas(reduce, "source string, leaf long, key long, one long, size long, p double, settled boolean"), f"mix_level{depth}")
+        found = stored(level.groupBy("source", "leaf").applyInPandas(settled, "source string, leaf long, key long, one long, size long, p double, settled boolean"), f"mix_level{depth}")
         done.append(found.where("settled"))
         level = found.where(~F.col("settled")).select("source", F.floor(F.col("leaf") / FAN).cast("long").alias("leaf"), "key", "one", "size", "p")
         groups = 0 if last else -(-groups // FAN)
         depth += 1
     if not done:
-        return sized.limit(0).withColumn("mix", F.expr("named_struct('size', mix_size, 'source_size', 0L, 'target', 0D, 'copies', 0, 'taken', 0L)")).drop("mix_size", "mix_key")
-    drawn = done[0]
-    for more in done[1:]:
-        drawn = drawn.unionByName(more)
-    drawn = drawn.join(sources.withColumnRenamed("source", "t"), F.col("source").eqNullSafe(F.col("t")))
+        return docs.limit(0).select(*own, F.expr("named_struct('size', 0L, 'source_size', 0L, 'target', 0D, 'copies', 0, 'taken', 0L)").alias("mix"))
+    drawn = reduce(DataFrame.unionByName, done).join(named, F.col("source").eqNullSafe(F.col("s")))
     copies = (F.floor(rate) + F.col("p")).cast("int")
-    drawn = drawn.select(F.col("source").alias("s"), F.col("key").alias("k"), "one", F.struct(F.col("source_size").cast("long").alias("source_size"), "target", copies.alias("copies")).alias("drawn"))
-    out = sized.join(drawn, (F.col("mix_key") == F.col("k")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("mix_size") == F.col("one")))
-    mix = F.struct(F.col("mix_size").alias("size"), F.col("drawn.source_size"), F.col("drawn.target"), F.col("drawn.copies"), (F.col("drawn.copies") * F.col("mix_size")).alias("taken"))
-    return out.withColumn("mix", mix).select(*sized.drop("mix_size", "mix_key").columns, "mix")
+    taken = F.struct(F.col("one").alias("size"), F.col("source_size").cast("long").alias("source_size"), "target", copies.alias("copies"), (copies * F.col("one")).alias("taken"))
+    drawn = drawn.select(F.col("source").alias("__mix_source"), F.col("key").alias("__mix_drawn"), taken.alias("mix"))
+    same = (F.col("__mix_key") == F.col("__mix_drawn")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_size") == F.col("mix.size"))
+    return sized.join(drawn, same).select(*own, "mix")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """The rows of docs as often as the mix takes them."""
+    """The rows of docs as often as the mix takes them. A column `mix` of docs is left out of the rows that come back."""
     out = mixed(docs)
-    return out.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix")["copies"]))).select(*docs.columns)
+    return out.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("mix")["copies"]))).drop("mix", "__mix_copy")
