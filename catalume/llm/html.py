@@ -4,12 +4,13 @@ The page becomes a tree of blocks. Each paragraph-like block gives points for it
 grandparent; points are discounted by the share of text in links. The container with most points is raised to the article or main that it lies in, or else to what
 holds most of the page's points: points reach two levels only, so a long section beats the article around it. It and siblings of it that read
 like text are the article. Menus, headers, footers, sidebars, notices, adverts, forms, comments and what is not
-shown are left out by tag, role and name. A page is worked on alone, by a small parser over its whole html.
+shown are left out by tag and role, and by name where the node does not hold most of the page. A page is worked on alone, by a small parser over its whole html.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -29,51 +30,73 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPE = frozenset("ul ol dl table select body html article section div main".split())
 BOILERPLATE = re.compile(r"(?<![a-z])(ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|header|masthead|menu|modal|nav\w*|newsletter|notice|pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|skip|social|sponsor\w*|subscribe|toolbar|widget)(?![a-z])")
+HEADS = frozenset("banner header masthead".split())
+REMARKS = frozenset("comment comments commentlist disqus replies respond".split())
+#: What stands before a name that says what a node has, or lacks, and not what it is.
+HAVING = re.compile(r"(?<![a-z])(has|have|no|not|with|without|hide|show|is)[-_]\S*")
 ARTICLE = re.compile(r"(?<![a-z])(article|body|content|entry|main|post|story|text)(?![a-z])")
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "apart", "names", "points", "gains", "size", "linked")
+    __slots__ = ("tag", "parent", "block", "scope", "held", "children", "apart", "names", "points", "gains", "size", "linked")
 
     def __init__(self, tag: str, parent: "Node | None", apart: bool = False, names: str = ""):
         self.tag, self.parent, self.apart, self.names = tag, parent, apart, names
+        self.block = self if parent is None or tag in BLOCK else parent.block
+        self.scope = self if parent is None or tag in SCOPE else parent.scope
+        self.held = defaultdict(int) if self.block is self or self.scope is self else None  # open elements below, by tag
         self.children: list[Node | str] = []
+        self.clear()
+
+    def clear(self) -> None:
         self.points = self.gains = self.size = self.linked = 0.0
 
 
 class Tree(HTMLParser):
+    """The page as a tree. What is open is counted by tag, so that no tag makes it look through all that is open: time is linear in the page."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
+        self.open: dict[str, int] = defaultdict(int)
+
+    def count(self, node: Node, n: int) -> None:
+        tag, block, scope = node.tag, node.parent.block, node.parent.scope
+        self.open[tag] += n
+        block.held[tag] += n
+        if scope is not block:
+            scope.held[tag] += n
 
     def close_to(self, node: Node) -> None:
-        self.at = node.parent or self.root
+        """Close node and all that is open in it."""
+        while node is not self.root:
+            at, self.at = self.at, self.at.parent
+            self.count(at, -1)
+            if at is node:
+                return
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ("html", "body") and self.at is not self.root:
             return
         if tag in BLOCK:
-            at = self.at
-            while at is not self.root and at.tag not in BLOCK:
-                at = at.parent
+            at = self.at.block
             if at.tag == "p" or at.tag in HEADINGS and tag in HEADINGS:
                 self.close_to(at)
         if tag in CLOSES:
-            at = self.at
-            while at is not self.root and at.tag not in SCOPE:
-                if at.tag in CLOSES[tag]:
-                    self.close_to(at)
-                at = at.parent or self.root
+            while any(self.at.scope.held[x] for x in CLOSES[tag]):
+                last, self.at = self.at, self.at.parent
+                self.count(last, -1)
         if tag in VOID:
             self.at.children.append(Node(tag, self.at))
             return
         a = {k: (v or "") for k, v in attrs}
         names = f"{a.get('class', '')} {a.get('id', '')}".lower()
         hidden = "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower()
-        apart = tag in UNSEEN or tag in APART or hidden or a.get("role") in ROLES or tag not in ("html", "body", "main", "article") and bool(BOILERPLATE.search(names))
+        apart = tag in UNSEEN or tag in APART or hidden or a.get("role") in ROLES
         self.at.children.append(node := Node(tag, self.at, apart, names))
         self.at = node
+        self.count(node, 1)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -81,13 +104,12 @@ class Tree(HTMLParser):
             self.close_to(self.at)
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.open[tag] or tag not in BLOCK and not (self.at.block.held[tag] or self.at.block.tag == tag):
+            return  # an end tag of a phrase does not close blocks
         at = self.at
-        while at is not self.root and at.tag != tag:
-            if tag not in BLOCK and at.tag in BLOCK:
-                return  # an end tag of a phrase does not close blocks
+        while at.tag != tag:
             at = at.parent
-        if at is not self.root:
-            self.close_to(at)
+        self.close_to(at)
 
     def handle_data(self, data: str) -> None:
         self.at.children.append(data)
@@ -102,14 +124,29 @@ def walk(node: Node):
         stack.extend(x for x in reversed(at.children) if isinstance(x, Node) and not x.apart)
 
 
-def headed(node: Node, inside: bool) -> bool:
-    """Whether a header element is that of the page, not of an article."""
-    return node.tag == "header" and not inside
+def set_apart(root: Node) -> None:
+    """Set apart the headers of the page, and nodes by their names: but for those that hold most of what the page has to say.
+
+    Heads of an article are part of it. Reader comments may well be longer than the article: they are set apart as long as there is something else.
+    """
+    measure(root)
+    total, stack = root.gains, [(root, False)]
+    while stack:
+        node, inside = stack.pop()
+        found = set() if node.tag in ("html", "body", "main", "article") else {m[0] for m in BOILERPLATE.finditer(HAVING.sub(" ", node.names))}
+        if inside:
+            found -= HEADS
+        most = 0.9 if found & REMARKS else 0.5
+        node.apart = node.apart or node.tag == "header" and not inside or bool(found) and node.gains <= most * total
+        inside = inside or node.tag in ("article", "main") or node.tag not in ("html", "body") and bool(ARTICLE.search(node.names))
+        stack.extend((x, inside) for x in node.children if isinstance(x, Node) and not x.apart)
 
 
 def measure(root: Node) -> list[Node]:
     """Fill in size, linked, points and gains (of all paragraphs in a node); the nodes that may hold an article."""
     order = list(walk(root))
+    for node in order:
+        node.clear()
     for node in reversed(order):
         node.size += sum(len(x.strip()) for x in node.children if isinstance(x, str))
         if node.tag == "a":
@@ -181,11 +218,7 @@ def main_text(html: str | None) -> str:
     tree = Tree()
     tree.feed(html)
     tree.close()
-    for node in list(walk(tree.root)):
-        inside, at = False, node.parent
-        while at is not None and not inside:
-            inside, at = at.tag in ("article", "main"), at.parent
-        node.apart = node.apart or headed(node, inside)
+    set_apart(tree.root)
     found = measure(tree.root)
     if not found:
         return ""
