@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import tempfile
 import uuid
 from pathlib import Path
@@ -28,9 +29,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    Only a session that names none, as in tests on one machine, gets a temporary folder.
+    Only a local session that names none, as in tests, gets a temporary folder; on a cluster its executors would not share it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
     if not base:
         base = f"file://{tempfile.mkdtemp(prefix='catalume-')}"
         spark.sparkContext.setCheckpointDir(base)

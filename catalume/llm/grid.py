@@ -73,8 +73,8 @@ def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
     return axes[:, ::-1]
 
 
-def in_order(vectors: DataFrame, axes: np.ndarray, epsilon: float) -> DataFrame:
-    """vec_id, embedding, block, and y0.. (leading coordinates): the sequence in epsilon grid order, cut into intervals."""
+def in_order(vectors: DataFrame, axes: np.ndarray, epsilon: float, size: int = BLOCK) -> DataFrame:
+    """vec_id, embedding, block, and y0.. (leading coordinates): the sequence in epsilon grid order, cut into intervals of size vectors."""
     width, k = axes.shape[0], min(AXES, axes.shape[0])
     fields = T.StructType([*vectors.schema.fields, *[T.StructField(f"y{i}", T.DoubleType()) for i in range(k)]])
 
@@ -91,7 +91,7 @@ def in_order(vectors: DataFrame, axes: np.ndarray, epsilon: float) -> DataFrame:
     before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     parts = parts.select("part", before.alias("before"))
     rank = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn("part", part).join(parts, "part").withColumn("block", F.floor(rank / BLOCK)).drop("part", "before", "at")
+    return placed.withColumn("part", part).join(parts, "part").withColumn("block", F.floor(rank / size)).drop("part", "before", "at")
 
 
 def interval_pairs(boxes: DataFrame, k: int, epsilon: float) -> DataFrame:
@@ -145,7 +145,7 @@ def forest(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
             return root
 
 
-def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
+def links(vectors: DataFrame, cosine: float = COSINE, size: int = BLOCK) -> DataFrame:
     """vec_id, n, root: per vector and pair of intervals in which it has links, the copies of those it links with and the smallest vec_id that they lead to.
 
     vectors: vec_id (unique), copies and embedding (valid, each once).
@@ -155,7 +155,7 @@ def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     epsilon = math.sqrt(2 - 2 * cosine)
     axes = principal_axes(vectors, width)
     k = min(AXES, width)
-    sequence = stored(in_order(vectors, axes, epsilon), "grid_blocks")
+    sequence = stored(in_order(vectors, axes, epsilon, size), "grid_blocks")
     boxes = sequence.groupBy("block").agg(*[F.min(f"y{i}").alias(f"lo{i}") for i in range(k)], *[F.max(f"y{i}").alias(f"hi{i}") for i in range(k)])
     pairs = interval_pairs(stored(boxes, "boxes"), k, epsilon)
     sides = pairs.select("i", "j", F.explode(F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))).alias("block"))
@@ -185,25 +185,26 @@ def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     return rows.groupBy("i", "j").applyInArrow(joined, "vec_id long, n long, root long")
 
 
-def near_duplicates(table: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """vec_id, n_links, component_id, kept for each row of table (vec_id, embedding; other columns are ignored).
+def near_duplicates(table: DataFrame, cosine: float = COSINE, size: int = BLOCK) -> DataFrame:
+    """vec_id, n_links, component_id, kept for each row of table (vec_id, embedding; other columns are ignored). size: vectors of an interval.
 
     Vectors link if their cosine, in double precision, is at least `cosine`. Null, empty and zero vectors, and those with null or non-finite components, link with
-    nothing, nor do vectors of different length with each other. Equal vectors are compared once and link with each other. Rows that repeat vec_id and vector are links of each other too;
+    nothing, nor do vectors of different length with each other. Equal vectors (by 128 bits of hashes) are compared once and link with each other. Rows that repeat vec_id and vector are links of each other too;
     rows with null vec_id take part in links, and are never the smallest of a component. No rows give no rows.
     """
     prepare(table.sparkSession)
-    marked = table.select("vec_id", "embedding").withColumn("valid", valid(F.col("embedding")))
-    groups = stored(marked.where("valid").groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "vectors")
-    # Class numbers stand for the vectors, so that a vec_id that repeats, or is null, does no harm.
-    groups = stored(groups.select("embedding", "copies", F.col("vec_id").alias("least"), F.monotonically_increasing_id().alias("class")), "vector_classes")
-    found = stored(links(groups.select(F.col("class").alias("vec_id"), "copies", "embedding"), cosine), "links")
+    key = ["h1", "h2"]
+    hashes = (F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit("again"), "embedding").alias("h2"))
+    marked = table.select("vec_id", valid(F.col("embedding")).alias("valid"), *hashes, "embedding")
+    groups = stored(marked.where("valid").groupBy(*key).agg(F.first("embedding").alias("embedding"), F.min("vec_id").alias("least"), F.count("*").alias("copies")), "vectors")
+    # Class numbers stand for the vectors, so that a vec_id that repeats, or is null, does no harm; vectors themselves move no more.
+    groups = stored(groups.withColumn("class", F.monotonically_increasing_id()), "vector_classes")
+    found = stored(links(groups.select(F.col("class").alias("vec_id"), "copies", "embedding"), cosine, size), "links")
     others = found.groupBy(F.col("vec_id").alias("class")).agg(F.sum("n").alias("others"))
     label = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "class")
-    label = stored(groups.select("class", "copies", "least").join(label, "class", "left").withColumn("label", F.coalesce("label", "class")), "vector_labels")
+    label = stored(groups.select("class", *key, "copies", "least").join(label, "class", "left").withColumn("label", F.coalesce("label", "class")), "vector_labels")
     least = label.groupBy("label").agg(F.min("least").alias("component_id"))
-    known = label.join(least, "label").join(others, "class", "left").select("class", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
-    known = groups.select("embedding", "class").join(known, "class").select("embedding", "n_links", "component_id")
-    rows = marked.where("valid").join(known, "embedding").select("vec_id", "n_links", "component_id")
+    known = label.join(least, "label").join(others, "class", "left").select(*key, (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
+    rows = marked.where("valid").drop("embedding").join(known, key).select("vec_id", "n_links", "component_id")
     out = rows.unionByName(marked.where(~F.col("valid")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
