@@ -102,7 +102,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
             for name, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1).to_pylist(), tokenizer, end_id)):
                 first = len(ids) % capacity or capacity
                 for k, (a, b) in enumerate(zip([0, *range(first, len(ids), capacity)], range(first, len(ids) + 1, capacity))):
-                    rows.append((name, k, a, b - a, zlib.crc32(ids[a:b].tobytes()), part, int(met[b - a])))
+                    rows.append((name, k, a, b - a, zlib.crc32(ids[a:b]), part, int(met[b - a])))
                     met[b - a] += 1
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth")

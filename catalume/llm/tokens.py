@@ -16,10 +16,11 @@ import string
 
 import numpy as np
 
-CACHE_ENTRIES = 600_000
-CACHE_BYTES = 40_000_000
+CACHE_ENTRIES = 750_000
+CACHE_BYTES = 50_000_000
 
 _SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
+_EDGED = re.compile(r" (?:\s|\Z|(?<=\s\s)|(?<=\A ))")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -47,7 +48,7 @@ class Encoder:
     def learn(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of blank + chunk for each chunk; those without a blank are encoded as one text and cut where a token holds one."""
         plain = [x for x in chunks if " " not in x and not edged(x)]
-        ids = np.array(self.tokenizer.encode(" " + " ".join(plain), add_special_tokens=False).ids if plain else [], self.dtype)
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0].ids if plain else [], self.dtype)
         starts = np.flatnonzero(self.leading[ids])
         found = {}
         if len(starts) == len(plain):
@@ -58,22 +59,17 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """texts: without None."""
-        known = self.known
-        chunks = [x.split(" ") for x in texts]
-        got = [list(map(known.get, x)) for x in chunks]
-        new = {y for x, ids in zip(chunks, got) for y, known_ids in zip(x[1:], ids[1:]) if known_ids is None}
-        apart = {x for x in new if edged(x)}
-        for i, x in enumerate(chunks):
-            if len(x) > 1 and (edged(x[0]) or apart and not apart.isdisjoint(x)):
-                chunks[i] = _SAFE_BLANK.split(texts[i])
-                got[i] = list(map(known.get, chunks[i]))
-                new.update(y for y in chunks[i][1:] if y not in known)
-        older = self.older
+        known, older = self.known, self.older
+        chunks = [_SAFE_BLANK.split(x) if _EDGED.search(x) else x.split(" ") for x in texts]
+        heads = self.alone([x[0] for x in chunks])
+        for x in chunks:
+            del x[0]
+        new = set().union(*chunks).difference(known)
         found = {x: older[x] for x in new if x in older}
-        stems = {x: y for x in new if x not in found and (y := stem(x)) != x}
-        needed = {x for x in new if x not in found and x not in stems}.union(y for y in stems.values() if y not in known)
+        stems = {x: y for x in new.difference(found) if (y := stem(x)) != x}
+        needed = new.difference(found, stems).union(y for y in stems.values() if y not in known)
         found.update((x, older[x]) for x in needed if x in older)
-        found.update(self.learn([x for x in needed if x not in found]))
+        found.update(self.learn(list(needed.difference(found))))
         tails = {x[len(y) :] for x, y in stems.items()}.difference(self.tails)
         self.tails.update(zip(tails, self.alone(list(tails))))
         for x, y in stems.items():
@@ -81,16 +77,11 @@ class Encoder:
         if len(self.tails) > 10_000:
             self.tails = {}
         self.size += sum(map(len, found)) + sum(map(len, found.values()))
-        for x, ids, first in zip(chunks, got, self.alone([x[0] for x in chunks])):
-            if None in ids:
-                ids[1:] = [found[y] if z is None else z for y, z in zip(x[1:], ids[1:])]
-            ids[0] = first
-        for x in apart:
-            found.pop(x, None)
         known.update(found)
+        out = [head + b"".join(map(known.__getitem__, x)) for head, x in zip(heads, chunks)]
         if len(known) > CACHE_ENTRIES or self.size > CACHE_BYTES:
             self.older, self.known, self.size = known, {}, 0
-        return [b"".join(ids) for ids in got]
+        return out
 
 
 def stem(chunk: str) -> str:
@@ -110,7 +101,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(texts: list[str | None], path: str, end_id: int, rows: int = 128):
+def encoded(texts: list[str | None], path: str, end_id: int, rows: int = 512):
     """For each text, in order: an array of unsigned 32-bit little-endian ids with end_id behind them."""
     made = encoder(path)
     for i in range(0, len(texts), rows):
