@@ -78,6 +78,27 @@ def sdmx_base(url: Column) -> Column:
     return given(F.substring_index(F.regexp_replace(F.substring_index(url, "?", 1), "/+$", ""), "/dataflow/", 1))
 
 
+def sdmx_root(url: Column) -> Column:
+    """The root of an SDMX service: url without its query, cut at /dataflow, be it in the middle or at the end."""
+    return F.regexp_replace(sdmx_base(url), "/dataflow$", "")
+
+
+def sdmx_data_url(url: Column, flow: Column) -> Column:
+    """Where the last observations of a flow are."""
+    return F.concat(sdmx_root(url), F.lit("/data/"), flow, F.lit("?lastNObservations=1"))
+
+
+def sdmx_flow_url(url: Column, flow: Column) -> Column:
+    """Where a flow's annotations are: beside the last part of a listing's url, but below it if that is the agency IT1."""
+    plain = F.regexp_replace(F.substring_index(url, "?", 1), "/+$", "")
+    return F.concat(F.when(plain.endswith("/IT1"), plain).otherwise(F.regexp_replace(plain, "/[^/]*$", "")), F.lit("/"), flow)
+
+
+def run_ts(ts: Column) -> Column:
+    """ts to the second, as runs are stamped."""
+    return F.date_trunc("second", ts)
+
+
 def parse_int(text: Column) -> Column:
     return text.try_cast("int")
 

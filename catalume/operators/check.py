@@ -53,6 +53,42 @@ def intake_score(df: DataFrame) -> DataFrame:
     return df.withColumn("needs_review", review).withColumn("intake_score", score).withColumn("intake_candidate", (score >= CANDIDATE) & ~review)
 
 
+#: The table of checks, a row an item.
+CHECK_RESULT = """check_timestamp timestamp, source_id string, item_id string, item_name string, title string, organization string, tags string, notes string, url_checked string, http_status int, reachable boolean, check_notes string,
+granularity string, year_min int, year_max int, resource_format string, enrich_method string, needs_review boolean, intake_score int, intake_candidate boolean""".replace("\n", " ")
+
+
+def checked_urls(items: DataFrame, enriched: DataFrame) -> DataFrame:
+    """items with `e`, their enrichment (source_id, item_id, resource_url, resource_format, granularity, year_min, year_max, enrich_method and perhaps enriched_title, enriched_tags, enriched_notes), and the url to check."""
+    keys = ["source_id", "item_id"]
+    df = items.join(enriched.select(*keys, F.struct(*[c for c in enriched.columns if c not in keys]).alias("e")), keys, "left")
+    return df.withColumn("url", url_to_check(F.col("e.resource_url"), F.col("landing_page"), F.col("distribution_url"), F.coalesce("e.enrich_method", F.lit("none"))))
+
+
+def finish_check(items: DataFrame, enriched: DataFrame, heads: DataFrame, now: Column) -> DataFrame:
+    """Rows of CHECK_RESULT. heads: source_id, item_id, status_code, error_class of the probe of each item's url; no row is no answer.
+
+    An enriched title, tags and format win over the catalog's, but not if they are missing; what is not known of granularity and years is inferred from the catalog's texts.
+    """
+    keys = ["source_id", "item_id"]
+    own = lambda name: F.col(f"e.{name}") if name in enriched.columns else F.lit(None).cast("string")
+    df = head_outcome(checked_urls(items, enriched).join(heads.select(*keys, "status_code", "error_class"), keys, "left"))
+    have = [c for c in ("title", "tags", "notes_excerpt") if c in items.columns]
+    df = df.select(*keys, *have, "url", "status_code", "reachable", "check_notes", "e", *[c for c in ("item_name", "organization", "format") if c in items.columns], F.col("e.granularity").alias("granularity"), F.col("e.year_min").alias("year_min"), F.col("e.year_max").alias("year_max"), F.coalesce("e.enrich_method", F.lit("none")).alias("enrich_method"))
+    df = fallback_infer(df)
+    of = lambda name: F.col(name) if name in df.columns else F.lit(None).cast("string")
+    df = df.withColumn("resource_format", first_given(own("resource_format"), of("format")))
+    out = {"check_timestamp": now, "title": first_given(own("enriched_title"), of("title")), "tags": first_given(own("enriched_tags"), of("tags")), "notes": own("enriched_notes"), "url_checked": F.col("url"), "http_status": F.when(F.coalesce(F.col("url").startswith("http"), F.lit(False)), F.col("status_code")), "item_name": of("item_name"), "organization": of("organization")}
+    df = intake_score(df)
+    fields = df.sparkSession.createDataFrame([], CHECK_RESULT).schema
+    return df.select(*[out.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def isolated(df: DataFrame, error: Column, method: str) -> DataFrame:
+    """enrich_method and check_notes of rows of which some went wrong: where error is not null, `error` and its first 200 characters, else method and null. The others go on."""
+    return df.withColumn("enrich_method", F.when(error.isNotNull(), "error").otherwise(method)).withColumn("check_notes", F.left(error, F.lit(200)))
+
+
 def candidates(checks: DataFrame) -> DataFrame:
     return checks.where(F.coalesce("intake_candidate", F.lit(False)))
 

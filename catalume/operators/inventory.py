@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from catalume.functions.text import given
 from catalume.sources import parse
 
 PROTOCOLS: dict[str, Callable[[DataFrame], DataFrame]] = {"ckan": parse.ckan_names, "sdmx": parse.sdmx_items, "sparql": lambda x: parse.sparql_items(parse.group_bindings(parse.sparql_bindings(x)))}
@@ -23,7 +24,27 @@ def route_sources(registry: DataFrame) -> DataFrame:
     watched = registry.where((F.col("source_kind") == "catalog") & (F.col("observation_mode") == "catalog-watch"))
     supported = F.col("protocol").isin(*PROTOCOLS)
     status = F.when(F.col("non_inventoriable"), "non_inventariabile").when(~supported, "protocol_not_supported").otherwise("inventoriable")
-    return watched.withColumn("status", status)
+    own = given(F.col("reason")) if "reason" in registry.columns else F.lit(None).cast("string")
+    # Reasons where the registry gives none.
+    reason = F.when(status == "non_inventariabile", F.coalesce(own, F.lit("Fonte non inventariabile."))).when(status == "protocol_not_supported", F.format_string("Protocollo %s non ancora supportato dal builder inventory.", "protocol"))
+    return watched.withColumn("status", status).withColumn("reason", reason)
+
+
+#: Settings of a source's inventory and what they are where the registry is silent.
+SETTINGS = {"non_inventoriable": False, "skip_package_search": False, "skip_current_list": False, "package_show_sample": False, "sample_size": 25}
+
+
+def inventory_setting(registry: DataFrame, name: str, default=None) -> Column:
+    """A setting of the registry (a column of it, or a field of its struct `inventory`), or else its default."""
+    default = F.lit(SETTINGS[name] if default is None else default)
+    nested = registry.schema["inventory"].dataType.fieldNames() if "inventory" in registry.columns else []
+    found = F.col(f"inventory.{name}") if name in nested else F.col(name) if name in registry.columns else None
+    return (default if found is None else F.coalesce(found, default)).alias(name)
+
+
+def with_settings(registry: DataFrame) -> DataFrame:
+    """registry with all SETTINGS as columns."""
+    return registry.withColumns({name: inventory_setting(registry, name) for name in SETTINGS})
 
 
 def parsed_inventory(registry: DataFrame, responses: DataFrame) -> DataFrame:
@@ -132,6 +153,22 @@ def partial_harvest(attempts: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("failed_offset").isNull(), "ok").when(F.col("rows_collected") > 0, "partial").otherwise("error"))
 
 
+def harvest_warning(attempts: DataFrame) -> DataFrame:
+    """partial_harvest with `warning` (type, failed_offset, failed_limit, rows_collected, failure) where a harvest is partial. attempts: as there, with limit (100, 50 or 10, say) and failure of a step."""
+    last = attempts.where(~F.coalesce("ok", F.lit(False))).groupBy("source_id", F.col("position").alias("failed_offset")).agg(F.max_by(F.struct("limit", "failure"), F.struct("step", "limit")).alias("last"))
+    out = partial_harvest(attempts).drop("failed_limit").join(last, ["source_id", "failed_offset"], "left")
+    warning = F.struct(F.lit("partial_current_package_list_with_resources").alias("type"), "failed_offset", F.col("last.limit").alias("failed_limit"), "rows_collected", F.col("last.failure").alias("failure"))
+    return out.select("source_id", "status", "rows_collected", F.when(F.col("status") == "partial", warning).alias("warning"))
+
+
+def sample_warning(errors: DataFrame, enriched: DataFrame, sampled: DataFrame, order: Column, message: Column) -> DataFrame:
+    """Per source with errors in a sample: type, sample_size, rows_enriched, n_errors and the first messages."""
+    sizes = sampled.groupBy("source_id").agg(F.count("*").alias("sample_size"))
+    rich = enriched.groupBy("source_id").agg(F.count("*").alias("rows_enriched"))
+    out = error_preview(errors, order, message).join(sizes, "source_id", "left").join(rich, "source_id", "left")
+    return out.select("source_id", F.lit("package_show_sample_partial").alias("type"), F.coalesce("sample_size", F.lit(0)).alias("sample_size"), F.coalesce("rows_enriched", F.lit(0)).alias("rows_enriched"), "n_errors", "messages")
+
+
 def error_preview(errors: DataFrame, order: Column, message: Column, n: int = 10) -> DataFrame:
     """Per source the number of errors and the first n messages; each task keeps no more than n a source."""
     ranked = errors.withColumn("rank", F.row_number().over(W.partitionBy("source_id").orderBy(order)))

@@ -83,10 +83,48 @@ def status_notes(registry: DataFrame, probe: DataFrame) -> DataFrame:
     return df.select("source_id", "status", F.coalesce(note, F.lit("Nessuna nota")).alias("note"))
 
 
+# Categories that are counted even where no source is of them, and texts of notes.
+MODES = ("radar-only", "catalog-watch", "monitor-active")
+SOURCE_KINDS = ("catalog", "portal", "source")
+MISSING_URL, NO_NOTE = "Missing base_url in registry entry", "Nessuna nota"
+CONTENT_TYPE, FINAL_URL = "content-type: ", "url finale: "
+
+
+def probes(registry: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The outcome of each source: one without a base_url is RED and says so, whatever was probed."""
+    missing = given(F.col("base_url")).isNull()
+    df = registry.select("source_id", "base_url").join(outcomes, "source_id", "left")
+    fixed = {"status": F.lit("RED"), "http_code": F.lit("-"), "note": F.lit(MISSING_URL), "ssl_fallback_used": F.lit(False)}
+    return df.select("source_id", *[F.when(missing, fixed[c]).otherwise(F.col(c)).alias(c) if c in fixed else F.when(~missing, F.col(c)).alias(c) for c in outcomes.columns if c != "source_id"])
+
+
+def source_lines(registry: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """status_lines with the datasets that are in use (registry: datasets_in_use, an array), joined, or -."""
+    datasets = F.coalesce(given(F.array_join("datasets_in_use", ", ")), F.lit("-"))
+    return status_lines(registry, probes(registry, outcomes)).join(registry.select("source_id", datasets.alias("datasets")), "source_id")
+
+
+def source_notes(registry: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """A note for each source that is not GREEN or needed the fallback: code, content type, final url, then the probe's note or else the registry's. outcomes may have content_type and final_url."""
+    df = probes(registry, outcomes)
+    text = lambda c: given(F.col(c)) if c in df.columns else F.lit(None).cast("string")
+    kept = registry.select("source_id", (F.col("note") if "note" in registry.columns else F.lit(None).cast("string")).alias("registry_note"))
+    df = df.join(kept, "source_id").where((F.col("status") != "GREEN") | F.col("ssl_fallback_used"))
+    parts = (F.when(F.col("http_code") != "-", F.concat(F.lit("HTTP "), F.col("http_code"))), F.concat(F.lit(CONTENT_TYPE), text("content_type")), F.concat(F.lit(FINAL_URL), text("final_url")), F.coalesce(text("note"), given(F.col("registry_note"))))
+    return df.select("source_id", "status", F.coalesce(given(F.concat_ws(" | ", *parts)), F.lit(NO_NOTE)).alias("note"))
+
+
 def stamp_probed(registry: DataFrame, day: str) -> DataFrame:
     return registry.withColumn("last_probed", F.lit(day))
 
 
+def category_counts(registry: DataFrame, probe: DataFrame) -> DataFrame:
+    """group_name, category, n: radar_counts with zeros for modes and kinds too. Categories that are not fixed ones count as well."""
+    fixed = [("status", x) for x in STATUSES] + [("mode", x) for x in MODES] + [("kind", x) for x in SOURCE_KINDS]
+    every = registry.sparkSession.createDataFrame([(*x, 0) for x in fixed], "group_name string, category string, n long")
+    return radar_counts(registry, probe).unionByName(every).groupBy("group_name", "category").agg(F.sum("n").alias("n"))
+
+
 def radar_counts(registry: DataFrame, probe: DataFrame) -> DataFrame:
     """group, category, n: sources by status (all three, zeros too), by mode and by kind."""
     lines = status_lines(registry, probe)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,12 +63,12 @@ def _new_checks(items: DataFrame) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; a temporary one only where the session names none."""
-    import tempfile
-    import uuid
+    """A new path in the folder that driver and executors share; a temporary one only where a local session names none."""
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp()}"
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
+    return f"{base or 'file://' + tempfile.mkdtemp()}/{name}-{uuid.uuid4().hex}"
 
 
 def a4_inventory_roundtrip(spark, d):
@@ -93,7 +97,7 @@ def _flows(items: DataFrame) -> DataFrame:
     name = F.when(F.col("title").isNotNull(), F.concat(F.lit("<c:Name>"), F.col("title"), F.lit("</c:Name><c:Name>other</c:Name>"))).when(n % 3 == 0, "<c:Name> </c:Name><c:Name>other</c:Name>").when(n % 3 == 1, "<c:Name/>").otherwise("")
     flow = F.concat(F.lit('<s:Dataflow id="'), F.col("item_id"), F.lit('">'), name, F.lit("</s:Dataflow>"))
     pages = items.groupBy("source_id", F.floor((n - 1) / 100).alias("page"), bad.alias("bad")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", flow.alias("flow")))), lambda x: x["flow"]), "").alias("flows"))
-    return pages.select("source_id", F.concat(F.lit("<m:S xmlns:m='m' xmlns:s='s' xmlns:c='c'>"), "flows", F.when(F.col("bad"), "<").otherwise("</m:S>")).alias("body"))
+    return pages.select("source_id", (F.col("page") * 2 + F.col("bad").cast("int")).alias("start"), F.concat(F.lit("<m:S xmlns:m='m' xmlns:s='s' xmlns:c='c'>"), "flows", F.when(F.col("bad"), "<").otherwise("</m:S>")).alias("body"))
 
 
 def c4_sdmx_items(spark, d):
@@ -140,8 +144,13 @@ def c10_enrich_sdmx(spark, d):
 
 
 def c16_error_rows(spark, d):
+    return c16_isolated(spark, d).drop("check_notes")
+
+
+def c16_isolated(spark, d):
     packages = parse.ckan_payload_status(view(spark, d, "fx_ckan_packages"))
-    return packages.select("source_id", "item_id", F.when(F.col("payload") != "ok", "error").otherwise("ckan_package_show").alias("enrich_method"))
+    rows = check.isolated(packages, F.when(F.col("payload") != "ok", F.col("payload")), "ckan_package_show")
+    return rows.select("source_id", "item_id", "enrich_method", "check_notes")
 
 
 def _overlaid(spark, d):
@@ -219,7 +228,7 @@ QUERIES = {
     "c4_sdmx_items": c4_sdmx_items,
     "c5_group_bindings": lambda s, d: parse.group_bindings(view(s, d, "fx_bindings")).select("source_id", "dataset", "first_pos", "title", "distribution_count", F.array_join("urls", ",").alias("urls"), F.array_join("formats", ",").alias("formats"), F.array_join("themes", ",").alias("themes")),
     "c5b_sparql_items": lambda s, d: parse.sparql_items(parse.group_bindings(view(s, d, "fx_bindings"))),
-    "c6_ckan_enrich": lambda s, d: parse.ckan_enrich(view(s, d, "fx_ckan_packages")),
+    "c6_ckan_enrich": lambda s, d: parse.ckan_enrich(view(s, d, "fx_ckan_packages")).drop("enriched_title", "enriched_tags", "enriched_notes"),
     "c7_sdmx_enrich": c7_sdmx_enrich,
     "c8_sdmx_years": c8_sdmx_years,
     "c9_html_format": lambda s, d: parse.html_format(view(s, d, "fx_html")),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalume.functions.text import UNKNOWN, first_given, given, granularity, parse_int, stripped, uri_name, year_max, year_min
+from catalume.functions.text import UNKNOWN, ckan_api_base, ckan_endpoint, first_given, given, granularity, parse_int, sdmx_base, stripped, uri_name, year_max, year_min
 
 # Extensions in the order in which they are looked for.
 HTML_FORMATS = ("csv", "json", "xlsx", "xls", "xml", "zip", "pdf")
@@ -16,13 +16,16 @@ organization struct<title string, name string>, tags array<string>, groups array
 resources array<struct<url string, format string>>, extras array<struct<key string, value string>>>>""".replace("\n", " ")
 
 
-def ckan_payload_status(df: DataFrame) -> DataFrame:
-    """payload: ok, or why a body (content_type, body) is not usable, with a preview."""
+def ckan_payload_status(df: DataFrame, rows: str | None = None) -> DataFrame:
+    """payload: ok, or why a body (content_type, body) is not usable, with a preview. rows: the JSON path of a list that the body has to hold and that has to have rows."""
     preview = F.left(F.regexp_replace("body", r"\s+", " "), F.lit(200))
     parsed = F.try_parse_json(F.col("body"))
     success = F.try_variant_get(parsed, "$.success", "boolean")
-    status = F.when(~F.coalesce(F.lower("content_type").contains("json"), F.lit(False)), F.concat(F.lit("non-JSON response: "), preview)).when(parsed.isNull(), F.concat(F.lit("invalid JSON: "), preview)).when(~F.coalesce(success, F.lit(False)), "success is false").otherwise("ok")
-    return df.withColumn("payload", status)
+    status = F.when(~F.coalesce(F.lower("content_type").contains("json"), F.lit(False)), F.concat(F.lit("non-JSON response: "), preview)).when(parsed.isNull(), F.concat(F.lit("invalid JSON: "), preview)).when(~F.coalesce(success, F.lit(False)), "success is false")
+    if rows is not None:
+        found = F.try_variant_get(parsed, rows, "array<variant>")
+        status = status.when(found.isNull(), "result is not a list").when(F.size(found) == 0, "no rows")
+    return df.withColumn("payload", status.otherwise("ok"))
 
 
 def _package(df: DataFrame) -> DataFrame:
@@ -43,14 +46,15 @@ def ckan_items(packages: DataFrame) -> DataFrame:
 
 
 def ckan_enrich(packages: DataFrame) -> DataFrame:
-    """Per usable package: first http resource, combined text's granularity, years from extras, else from the text."""
+    """Per usable package: first http resource, combined text's granularity, years from extras, else from the text; and title, tags and notes (300 characters) as the package has them."""
     df, p = _package(packages).where("p is not null"), F.col("p")
     resource = F.get(F.filter(p["resources"], lambda r: r["url"].startswith("http")), F.lit(0))
     groups = F.array_join(F.filter(F.transform(p["groups"], lambda g: first_given(g["display_name"], g["name"])), lambda x: x.isNotNull()), " ")
     text = F.concat_ws(" ", given(p["title"]), groups, F.array_join(tag_names(p["tags"]), " "), F.left(p["notes"], F.lit(500)))
     extra = lambda *keys: first_given(*[F.get(F.reverse(F.transform(F.filter(p["extras"], lambda e: e["key"] == k), lambda e: e["value"])), F.lit(0)) for k in keys])
     start, end = extra("temporal_coverage_from", "issued"), extra("temporal_coverage_to", "modified")
-    return df.select("source_id", "item_id", given(resource["url"]).alias("resource_url"), given(resource["format"]).alias("resource_format"), granularity(text).alias("granularity"), F.coalesce(year_min(start), year_min(text)).alias("year_min"), F.coalesce(year_max(end), year_max(text)).alias("year_max"), F.lit("ckan_package_show").alias("enrich_method"))
+    return df.select("source_id", "item_id", given(resource["url"]).alias("resource_url"), given(resource["format"]).alias("resource_format"), granularity(text).alias("granularity"), F.coalesce(year_min(start), year_min(text)).alias("year_min"), F.coalesce(year_max(end), year_max(text)).alias("year_max"), F.lit("ckan_package_show").alias("enrich_method"),
+        given(p["title"]).alias("enriched_title"), given(F.array_join(tag_names(p["tags"]), ", ")).alias("enriched_tags"), given(F.left(stripped(p["notes"]), F.lit(300))).alias("enriched_notes"))
 
 
 def ckan_names(responses: DataFrame) -> DataFrame:
@@ -84,10 +88,14 @@ FLOWS = f"struct<Dataflow {FLOW}, Dataflows struct<Dataflow {FLOW}>, Structures
 
 
 def sdmx_items(responses: DataFrame) -> DataFrame:
-    """Dataflows of XML bodies (source_id, body): id, own first name (null if it has none or an empty one), order."""
+    """Dataflows of XML bodies (source_id, body, and start where a list comes in several bodies): id, own first name (null if it has none or an empty one), order through the source."""
     xml = responses.withColumn("xml", well_formed(F.col("body"))).where("xml is not null").withColumn("s", F.from_xml("xml", FLOWS, {"ignoreNamespace": "true", "nullValue": "\u0000"}))
     flows = F.flatten(F.array_compact(F.array("s.Dataflow", "s.Dataflows.Dataflow", "s.Structures.Dataflows.Dataflow")))
-    return xml.select("source_id", F.posexplode(flows).alias("pos", "flow")).select("source_id", F.col("flow._id").alias("item_id"), F.col("flow._id").alias("item_name"), given(stripped(F.get("flow.Name", F.lit(0)))).alias("title"), (F.col("pos") + 1).alias("ordinal"))
+    before = F.lit(0)
+    if "start" in responses.columns:
+        before = F.coalesce(F.sum(F.size("flows")).over(W.partitionBy("source_id").orderBy("start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast("int")
+    rows = xml.withColumn("flows", F.coalesce(flows, F.array().cast(FLOW))).withColumn("before", before).select("source_id", "before", F.posexplode("flows").alias("pos", "flow"))
+    return rows.select("source_id", F.col("flow._id").alias("item_id"), F.col("flow._id").alias("item_name"), given(stripped(F.get("flow.Name", F.lit(0)))).alias("title"), (F.col("before") + F.col("pos") + 1).alias("ordinal"))
 
 
 def _keys(df: DataFrame) -> list[str]:
@@ -154,8 +162,61 @@ def sparql_items(states: DataFrame) -> DataFrame:
     return states.select("source_id", F.col("dataset").alias("item_id"), uri_name(F.col("dataset")).alias("item_name"), "title", F.get("urls", F.lit(0)).alias("distribution_url"), count.alias("distribution_count"), F.array_join("formats", ", ").alias("format"), F.array_join("themes", ", ").alias("theme"))
 
 
-def sparql_summary(bindings: DataFrame) -> DataFrame:
-    return bindings.groupBy("source_id").agg(F.count("*").alias("n_bindings"), F.count_distinct("dataset").alias("n_datasets"))
+def sparql_catalog(states: DataFrame) -> DataFrame:
+    """sparql_items with publisher, description (300 characters), dates, landing page, and ordinals by first appearance; first_pos counts through a source, equal ones go by dataset.
+
+    Ordinals are counted per range of first_pos and dataset, so that no task numbers a whole source.
+    """
+    rows = sparql_items(states).join(states.select("source_id", F.col("dataset").alias("item_id"), F.col("publisher").alias("organization"), F.left("description", F.lit(300)).alias("notes_excerpt"), "issued", "modified", "landing_page", "first_pos"), ["source_id", "item_id"])
+    span = F.floor(F.col("first_pos") / NUMBERED_TOGETHER)
+    before = rows.groupBy("source_id", span.alias("span")).agg(F.count("*").alias("n"))
+    before = before.select("source_id", "span", F.coalesce(F.sum("n").over(W.partitionBy("source_id").orderBy("span").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    rank = F.row_number().over(W.partitionBy("source_id", "span").orderBy("first_pos", "item_id"))
+    return rows.withColumn("span", span).join(before, ["source_id", "span"]).withColumn("ordinal", (F.col("before") + rank).cast("int")).drop("span", "before", "first_pos")
+
+
+def sparql_summary(bindings: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Bindings and datasets per source; with a registry (source_id and perhaps sparql_query_name) also query_name, which is `custom` where none is named."""
+    out = bindings.groupBy("source_id").agg(F.count("*").alias("n_bindings"), F.count_distinct("dataset").alias("n_datasets"))
+    if registry is None:
+        return out
+    name = F.col("sparql_query_name") if "sparql_query_name" in registry.columns else F.lit(None).cast("string")
+    return out.join(registry.select("source_id", name.alias("query_name")), "source_id", "left").withColumn("query_name", F.coalesce("query_name", F.lit("custom")))
+
+
+#: Rows of a source whose ordinals one task counts.
+NUMBERED_TOGETHER = 10_000
+#: The table that all parsers of catalogs fill.
+INVENTORY = """captured_at timestamp, source_id string, source_kind string, protocol string, inventory_method string, item_kind string, item_id string, item_name string, item_slug string, title string, organization string, tags string,
+notes_excerpt string, source_url string, api_base_url string, ordinal int, issued string, modified string, landing_page string, distribution_url string, distribution_count int, format string, theme string""".replace("\n", " ")
+# How items of a protocol were counted where the registry names no method, and what they are.
+METHODS = {"ckan": "package_list", "sdmx": "dataflow_count", "sparql": "sparql_query"}
+KINDS = {"ckan": "dataset", "sdmx": "dataflow", "sparql": "dataset"}
+
+
+def with_registry(items: DataFrame, registry: DataFrame, *columns: str) -> DataFrame:
+    """items with columns of the registry's row of their source; Spark broadcasts the registry as long as its size allows."""
+    return items.join(registry.select("source_id", *columns), "source_id", "left")
+
+
+def inventory_rows(items: DataFrame, registry: DataFrame, protocol: str, captured_at: Column, action: str | None = None) -> DataFrame:
+    """Rows of a parser as rows of INVENTORY: what the parser does not know is null, what the registry knows is filled in.
+
+    action: the CKAN action that the rows come from; package_search is its own method, others take the baseline's.
+    """
+    need = [c for c in ("source_kind", "protocol", "base_url", "baseline_method", "sparql_endpoint") if c in registry.columns]
+    df = with_registry(items.drop("source_kind", "protocol"), registry, *need)
+    method = F.lit(action) if action == "package_search" else F.coalesce(given(F.col("baseline_method")), F.lit(METHODS[protocol]))
+    url = F.col("base_url")
+    own = {
+        "captured_at": captured_at,
+        "inventory_method": method,
+        "item_kind": F.lit(KINDS[protocol]),
+        "source_url": ckan_endpoint(url, action or "package_list") if protocol == "ckan" else first_given(F.col("sparql_endpoint"), url) if "sparql_endpoint" in need and protocol == "sparql" else url,
+        "api_base_url": ckan_api_base(url) if protocol == "ckan" else sdmx_base(url) if protocol == "sdmx" else F.lit(None),
+    }
+    fields = df.sparkSession.createDataFrame([], INVENTORY).schema
+    return df.select(*[own.get(f.name, F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def html_format(pages: DataFrame) -> DataFrame:
@@ -193,9 +254,9 @@ def enrich(items: DataFrame, registry: DataFrame, ckan: DataFrame, html: DataFra
         if table is not None:
             df = df.join(table.select(*keys, F.struct(*parts).alias(protocol)), keys, "left")
             choices.append(((F.col("registry_protocol") == protocol) & F.col(protocol).isNotNull(), F.col(protocol)))
-    method = lambda name: F.from_json(F.lit("{}"), ENRICHED).withField("enrich_method", F.lit(name)).withField("granularity", F.lit(UNKNOWN))
+    method = lambda name, kind=None: F.struct(F.lit(None).cast("string").alias("resource_url"), (F.lit(None).cast("string") if kind is None else kind).alias("resource_format"), F.lit(UNKNOWN).alias("granularity"), F.lit(None).cast("int").alias("year_min"), F.lit(None).cast("int").alias("year_max"), (F.lit(name) if isinstance(name, str) else name).alias("enrich_method"))
     page = F.coalesce(F.col("landing_page").startswith("http"), F.lit(False))
-    scraped = F.when(F.col("html_method").isNotNull(), method("none").withField("enrich_method", F.col("html_method")).withField("resource_format", F.col("html_format")))
+    scraped = F.when(F.col("html_method").isNotNull(), method(F.col("html_method"), F.col("html_format")))
     choices += [(page & F.coalesce("scraping_blocked", F.lit(False)), method("scraping_blocked")), (page, F.coalesce(scraped, method("none")))]
     chosen = method("none")
     for when, what in reversed(choices):

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from catalume.functions import text as T
 from catalume.operators import changes, check, inventory, radar
-from catalume.plans.oracles import ORACLES
-from catalume.plans.queries import QUERIES
+from catalume.plans.registry import ORACLES, QUERIES
 from catalume.sources import parse
 
 SF = "/root/testdata/sf0.001"
