@@ -99,7 +99,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
         part, met = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows = []
-            for name, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1).to_pylist(), tokenizer, end_id)):
+            for name, ids in zip(batch.column(0).to_pylist(), encoded(batch.column(1), tokenizer, end_id)):
                 first = len(ids) % capacity or capacity
                 for k, (a, b) in enumerate(zip([0, *range(first, len(ids), capacity)], range(first, len(ids) + 1, capacity))):
                     rows.append((name, k, a, b - a, zlib.crc32(ids[a:b]), part, int(met[b - a])))

@@ -89,7 +89,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_tok
             return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
-            for name, tokens in zip(batch.column(0).to_pylist(), encoded(batch.column(1).to_pylist(), tokenizer, end_id)):
+            for name, tokens in zip(batch.column(0).to_pylist(), encoded(batch.column(1), tokenizer, end_id)):
                 ids.append(tokens)
                 names.append(name)
                 held += len(tokens)

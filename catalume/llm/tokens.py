@@ -16,8 +16,8 @@ import string
 
 import numpy as np
 
-CACHE_ENTRIES = 750_000
-CACHE_BYTES = 50_000_000
+CACHE_ENTRIES = 500_000
+CACHE_BYTES = 34_000_000
 
 _SAFE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _EDGED = re.compile(r" (?:\s|\Z|(?<=\s\s)|(?<=\A ))")
@@ -101,11 +101,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(texts: list[str | None], path: str, end_id: int, rows: int = 512):
-    """For each text, in order: an array of unsigned 32-bit little-endian ids with end_id behind them."""
+def encoded(texts, path: str, end_id: int, rows: int = 256):
+    """For each text (of a list or an Arrow column), in order: an array of unsigned 32-bit little-endian ids with end_id behind them."""
     made = encoder(path)
     for i in range(0, len(texts), rows):
-        for raw in made.encode([x or "" for x in texts[i : i + rows]]):
+        some = texts[i : i + rows]
+        for raw in made.encode([x or "" for x in (some if isinstance(some, list) else some.to_pylist())]):
             ids = np.empty(len(raw) // made.dtype.itemsize + 1, "<u4")
             ids[:-1] = np.frombuffer(raw, made.dtype)
             ids[-1] = end_id
