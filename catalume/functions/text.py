@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +18,14 @@ GRANULARITY = (
     ("europeo", rf"{LEFT}(europe[ao]|ue|europa|european){RIGHT}"),
 )
 UNKNOWN = "non_determinato"
+#: Without one of these, a pattern is not found: so most texts need no pattern at all.
+STEMS = {
+    "comune": ("comun", "municip"),
+    "provincia": ("provinc",),
+    "regione": ("region", "piemonte", "lombardia", "veneto", "emilia", "toscana", "lazio", "campania", "puglia", "sicilia", "sardegna", "abruzzo", "umbria", "marche", "molise", "calabria", "basilicata", "friuli", "trentin", "liguria", "valle d"),
+    "nazionale": ("nazional", "itali", "nazione", "national", "regional"),
+    "europeo": ("europ", "ue"),
+}
 CKAN_ACTIONS = ("package_list", "package_search", "package_show", "current_package_list_with_resources")
 SAFE_IN_PATH = r"[A-Za-z0-9_.~/:@!$&'()*+,;=-]"
 
@@ -32,12 +43,20 @@ def stripped(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), where value is computed once however often f uses it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def granularity(text: Column) -> Column:
-    low = F.lower(text)
-    out = F.when(low.rlike(GRANULARITY[0][1]), GRANULARITY[0][0])
-    for name, pattern in GRANULARITY[1:]:
-        out = out.when(low.rlike(pattern), name)
-    return out.otherwise(UNKNOWN)
+    def of_lower(low: Column) -> Column:
+        out = F.when(F.lit(False), None)
+        for name, pattern in GRANULARITY:
+            hint = reduce(lambda a, b: a | b, [low.contains(x) for x in STEMS[name]])
+            out = out.when(hint & low.rlike(pattern), name)
+        return out.otherwise(UNKNOWN)
+
+    return bound(F.lower(text), of_lower)
 
 
 def years(text: Column) -> Column:

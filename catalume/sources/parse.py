@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalume.functions.text import UNKNOWN, ckan_api_base, ckan_endpoint, first_given, given, granularity, parse_int, sdmx_base, stripped, uri_name, year_max, year_min
+from catalume.functions.text import UNKNOWN, bound, ckan_api_base, ckan_endpoint, first_given, given, granularity, parse_int, sdmx_base, stripped, uri_name, year_max, year_min, years
 
 # Extensions in the order in which they are looked for.
 HTML_FORMATS = ("csv", "json", "xlsx", "xls", "xml", "zip", "pdf")
@@ -53,8 +53,10 @@ def ckan_enrich(packages: DataFrame) -> DataFrame:
     text = F.concat_ws(" ", given(p["title"]), groups, F.array_join(tag_names(p["tags"]), " "), F.left(p["notes"], F.lit(500)))
     extra = lambda *keys: first_given(*[F.get(F.reverse(F.transform(F.filter(p["extras"], lambda e: e["key"] == k), lambda e: e["value"])), F.lit(0)) for k in keys])
     start, end = extra("temporal_coverage_from", "issued"), extra("temporal_coverage_to", "modified")
-    return df.select("source_id", "item_id", given(resource["url"]).alias("resource_url"), given(resource["format"]).alias("resource_format"), granularity(text).alias("granularity"), F.coalesce(year_min(start), year_min(text)).alias("year_min"), F.coalesce(year_max(end), year_max(text)).alias("year_max"), F.lit("ckan_package_show").alias("enrich_method"),
-        given(p["title"]).alias("enriched_title"), given(F.array_join(tag_names(p["tags"]), ", ")).alias("enriched_tags"), given(F.left(stripped(p["notes"]), F.lit(300))).alias("enriched_notes"))
+    said = lambda t: bound(years(t), lambda y: F.struct(granularity(t).alias("granularity"), F.array_min(y).alias("first"), F.array_max(y).alias("last")))
+    texts = {"enriched_title": given(p["title"]), "enriched_tags": given(F.array_join(tag_names(p["tags"]), ", ")), "enriched_notes": given(F.left(stripped(p["notes"]), F.lit(300)))}
+    found = df.select("source_id", "item_id", given(resource["url"]).alias("resource_url"), given(resource["format"]).alias("resource_format"), bound(text, said).alias("said"), year_min(start).alias("start"), year_max(end).alias("end"), *[c.alias(name) for name, c in texts.items()])
+    return found.select("source_id", "item_id", "resource_url", "resource_format", "said.granularity", F.coalesce("start", "said.first").alias("year_min"), F.coalesce("end", "said.last").alias("year_max"), F.lit("ckan_package_show").alias("enrich_method"), *texts)
 
 
 def ckan_names(responses: DataFrame) -> DataFrame:
