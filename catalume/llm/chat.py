@@ -1,8 +1,8 @@
 """Chat turns to canonical JSON messages with linked tool calls, by built-in functions alone.
 
 An assistant's turn may be a JSON object with `tool_calls` ([{id, name, arguments}]), a turn of the role `tool` one with `tool_call_id` and `content`; any other
-text is content as it stands. Results are joined with calls by conversation and identifier. Every message gets a place (order_turn, order_step) so
-that, sorted by it, a result never comes before its call. Arguments are validated against schemas of tools. Conversations are never gathered in one task:
+text is content as it stands. Results are joined with calls by conversation and identifier. A result depends on its call and on nothing else, so every message gets a place (order_turn,
+order_step) that is a topological order: sorted by it, a result never comes before its call. Arguments are validated against schemas of tools. Conversations are never gathered in one task:
 order is a key, not a position. Arguments are written as a string of canonical JSON.
 """
 
@@ -29,7 +29,7 @@ def canonical(json: Column) -> Column:
 
 def typed(json: Column, name: str, kind: str) -> Column:
     """Whether a member of a JSON object is of a type: by the type that it is written in, not by what it could be cast to."""
-    got = F.try_variant_get(F.try_parse_json(json), f"$.{name}", "variant")
+    got = F.try_variant_get(F.try_parse_json(json), f"$['{name}']", "variant")
     is_a = F.schema_of_variant(got)
     if kind in ("string", "boolean"):
         return is_a == kind.upper()
@@ -83,11 +83,12 @@ def with_tools(turns: DataFrame) -> DataFrame:
 
 
 def parsed(turns: DataFrame) -> DataFrame:
-    """turns with calls (array, null if none) and result (struct, null if none)."""
+    """turns with calls (array, null if none; null elements are left out) and result (struct, null if none)."""
     looks = F.ltrim("text").startswith("{")
     calls = F.when((F.col("role") == "assistant") & looks, F.from_json("text", CALLS))
     result = F.when((F.col("role") == "tool") & looks, F.from_json("text", RESULT))
-    return turns.withColumn("call", F.when(calls["tool_calls"].isNotNull(), calls)).withColumn("result", F.when(result["tool_call_id"].isNotNull(), result))
+    there = calls.withField("tool_calls", F.filter(calls["tool_calls"], lambda c: c.isNotNull()))
+    return turns.withColumn("call", F.when(calls["tool_calls"].isNotNull(), there)).withColumn("result", F.when(result["tool_call_id"].isNotNull(), result))
 
 
 def links(turns: DataFrame) -> DataFrame:
@@ -97,6 +98,12 @@ def links(turns: DataFrame) -> DataFrame:
     return one.select("conv_id", "call_id", F.col("x.c.name").alias("name"), canonical(F.col("x.c.arguments")).alias("arguments"), F.col("x.turn").alias("call_turn"), F.col("x.step").alias("call_step"))
 
 
+def answers(turns: DataFrame) -> DataFrame:
+    """links with n_results: how many results each call has. 0: it was never answered; 2 and more: only one of them can count."""
+    found = parsed(turns).where("result is not null").groupBy("conv_id", F.col("result.tool_call_id").alias("call_id")).agg(F.count("*").alias("n_results"))
+    return links(turns).join(found, ["conv_id", "call_id"], "left").withColumn("n_results", F.coalesce("n_results", F.lit(0)))
+
+
 def formatted(turns: DataFrame, schemas: Schemas | None = None) -> DataFrame:
     """conv_id, turn, role, message, order_turn, order_step, n_calls, n_valid, linked, for each row of turns (conv_id, turn, role, text; other columns are ignored).
 

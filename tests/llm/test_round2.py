@@ -193,3 +193,12 @@ def test_chat_long_and_repeated(spark):
     rows = [(1, 0, "user", "long " * 200_000), (1, 0, "user", "long " * 200_000), (None, None, "tool", '{"tool_call_id":"a","content":"x"}')]
     out = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), chat.SCHEMAS).collect()
     assert len(out) == 3 and sum(len(x.message) > 1_000_000 for x in out) == 2
+
+
+def test_chat_names_nulls_and_answers(spark):
+    calls = '{"content":"x","tool_calls":[null,{"id":"a","name":"t","arguments":{"a.b":1}},{"id":"b","name":"t","arguments":{"a.b":"1"}}]}'
+    rows = [(1, 0, "assistant", calls), (1, 1, "tool", '{"tool_call_id":"a","content":"1"}'), (1, 2, "tool", '{"tool_call_id":"a","content":"2"}')]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = {x.turn: x for x in chat.formatted(turns, {"t": {"a.b": ("bigint", True)}}).collect()}
+    assert (out[0].n_calls, out[0].n_valid) == (2, 1)
+    assert {(x.call_id, x.n_results) for x in chat.answers(turns).collect()} == {("a", 2), ("b", 0)}
