@@ -56,6 +56,8 @@ WHOLE = {
     "c5b_sparql_inventory": q(f"SELECT {SHARED}, g.source_id, 'sparql_query' AS inventory_method, 'dataset' AS item_kind, g.dataset AS item_id, {NAME.replace('dataset', 'g.dataset')} AS item_name, title, {nothing('item_slug', 'organization', 'tags', 'notes_excerpt', 'api_base_url', 'issued', 'modified', 'landing_page')}, r.base_url AS source_url, CAST(row_number() OVER (PARTITION BY g.source_id ORDER BY first_pos, g.dataset) AS INTEGER) AS ordinal, u.v1 AS distribution_url, CAST(coalesce(distribution_count, u.n) AS INTEGER) AS distribution_count, replace(f.vs, ',', ', ') AS format, replace(t.vs, ',', ', ') AS theme "
         "FROM grouped g JOIN uniq u ON u.kind = 'u' AND u.dataset = g.dataset AND u.source_id = g.source_id JOIN uniq f ON f.kind = 'f' AND f.dataset = g.dataset AND f.source_id = g.source_id JOIN uniq t ON t.kind = 't' AND t.dataset = g.dataset AND t.source_id = g.source_id LEFT JOIN fx_registry r ON r.k % 5 = 2 AND g.source_id = 's' || CAST((r.k - 2) // 5 AS STRING)", GROUPED),
     "c6_enriched_texts": q(f"SELECT source_id, item_id, title AS enriched_title, {TAGS} AS enriched_tags, 'nota ' || item_id AS enriched_notes FROM fx_items WHERE {PAGE_OK}"),
+    "c10_enrich_requests": q("SELECT source_id, item_id, kind, CASE kind WHEN 'ckan' THEN base || '/package_show?id=' || name WHEN 'sdmx' THEN CASE WHEN ordinal % 5 = 0 THEN 'https://api.test' ELSE base END || '/' || name WHEN 'html' THEN landing_page END AS url FROM asked",
+        "asked AS (SELECT i.*, CASE WHEN ordinal % 5 = 0 THEN 'https://api.test/x' ELSE r.base_url END AS base, CASE WHEN ordinal % 4 = 0 THEN 'slug-' || item_id ELSE item_name END AS name, CASE WHEN r.protocol IN ('ckan', 'sdmx') THEN r.protocol WHEN landing_page IS NULL THEN 'none' WHEN scraping_blocked THEN 'blocked' ELSE 'html' END AS kind FROM fx_items i LEFT JOIN fx_registry r ON r.source_id = i.source_id)"),
     "c14_check_result": q(f"SELECT '2001-08-12 00:00:00' AS check_timestamp, source_id, item_id, item_name, title, CAST(NULL AS STRING) AS organization, CASE WHEN {PAGE_OK} THEN {TAGS} ELSE tags END AS tags, CASE WHEN {PAGE_OK} THEN 'nota ' || item_id END AS notes, url AS url_checked, http_status, reachable, CASE WHEN url IS NULL THEN 'url_missing_or_invalid' END AS check_notes, granularity, year_min, year_max, format AS resource_format, enrich_method, needs_review, intake_score, (intake_score >= 40 AND NOT needs_review) AS intake_candidate FROM rc3", *RESULT),
     "c16_isolated": q("SELECT source_id, item_id, CASE WHEN ordinal % 29 = 0 OR ordinal % 31 = 0 THEN 'error' ELSE 'ckan_package_show' END AS enrich_method, CASE WHEN ordinal % 29 = 0 THEN 'non-JSON response: <html>Request Rejected</html>' WHEN ordinal % 31 = 0 THEN 'success is false' END AS check_notes FROM fx_items"),
     "d2_with_registry": q("SELECT i.source_id, i.item_id, r.protocol, r.base_url, r.scraping_blocked FROM fx_items i LEFT JOIN fx_registry r ON r.source_id = i.source_id"),

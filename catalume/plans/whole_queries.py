@@ -78,6 +78,14 @@ def c14_check_result(spark, d):
     return _shown(check.finish_check(every.drop("reachable", "enrich_method"), parse.ckan_enrich(view(spark, d, "fx_ckan_packages")), heads, base._now()))
 
 
+def c10_enrich_requests(spark, d):
+    """Items of which some have a slug, a blank one or an API of their own."""
+    n = F.col("ordinal")
+    slug = F.when(n % 4 == 0, F.concat(F.lit(" slug-"), "item_id", F.lit(" "))).when(n % 4 == 1, " ")
+    items = base._items(spark, d).withColumns({"item_slug": slug, "api_base_url": F.when(n % 5 == 0, "https://api.test/x").when(n % 5 == 1, "n/a")})
+    return parse.enrich_requests(items, base._registry(spark, d))
+
+
 def e1_full_report(spark, d):
     outcomes = base._report(spark, d, "cur").select("source_id", F.when(F.col("status") == "error", F.col("error")).alias("error"), F.when(F.col("row_count") % 2 == 0, "retry_backoff").alias("warning"))
     return changes.full_report(inventory.route_sources(base._registry(spark, d)), base._items(spark, d), outcomes)
@@ -148,6 +156,7 @@ WHOLE = {
     "c4_sdmx_inventory": c4_sdmx_inventory,
     "c5b_sparql_inventory": c5b_sparql_inventory,
     "c6_enriched_texts": lambda s, d: parse.ckan_enrich(view(s, d, "fx_ckan_packages")).select("source_id", "item_id", "enriched_title", "enriched_tags", "enriched_notes"),
+    "c10_enrich_requests": c10_enrich_requests,
     "c14_check_result": c14_check_result,
     "c16_isolated": base.c16_isolated,
     "d2_with_registry": lambda s, d: parse.with_registry(base._items(s, d).select("source_id", "item_id"), base._registry(s, d), "protocol", "base_url", "scraping_blocked"),

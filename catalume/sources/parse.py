@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalume.functions.text import UNKNOWN, bound, ckan_api_base, ckan_endpoint, first_given, given, granularity, parse_int, sdmx_base, stripped, uri_name, year_max, year_min, years
+from catalume.functions.text import UNKNOWN, bound, ckan_api_base, ckan_endpoint, first_given, given, granularity, parse_int, sdmx_base, sdmx_flow_url, stripped, uri_name, year_max, year_min, years
 
 # Extensions in the order in which they are looked for.
 HTML_FORMATS = ("csv", "json", "xlsx", "xls", "xml", "zip", "pdf")
@@ -239,12 +239,38 @@ def register_enricher(name: str, enricher) -> None:
     ENRICHERS[name] = enricher
 
 
+def _blocked(registry: DataFrame) -> Column:
+    """Whether a source is known to block scraping: a column of the registry, or a field of its struct `inventory`."""
+    nested = registry.schema["inventory"].dataType.fieldNames() if "inventory" in registry.columns else []
+    found = [F.col(x) for x in ("scraping_blocked",) if x in registry.columns] + [F.col(f"inventory.{x}") for x in ("scraping_blocked",) if x in nested]
+    return F.coalesce(*found, F.lit(False)).alias("scraping_blocked")
+
+
+def enrich_requests(items: DataFrame, registry: DataFrame) -> DataFrame:
+    """source_id, item_id, kind (ckan, sdmx, html, blocked, none) and url: what has to be fetched first to enrich each item.
+
+    Protocol and base_url of the registry win over the row's (protocol, source_url), its item_slug over its name, its api_base_url, if it is one, over the base_url. Columns that items lack count as null.
+    """
+    of = lambda name: F.col(f"i.{name}") if name in items.columns else F.lit(None).cast("string")
+    df = items.alias("i").join(registry.select("source_id", "protocol", "base_url", _blocked(registry)).alias("r"), F.col("i.source_id") == F.col("r.source_id"), "left")
+    protocol, base = first_given(F.col("r.protocol"), of("protocol")), first_given(F.col("r.base_url"), of("source_url"))
+    name, own = first_given(stripped(of("item_slug")), of("item_name"), of("item_id")), of("api_base_url")
+    api, landing = F.when(own.startswith("http"), own).otherwise(base), of("landing_page")
+    known, page = base.isNotNull() & name.isNotNull(), F.coalesce(landing.startswith("http"), F.lit(False))
+    kind = F.when((protocol == "ckan") & known, "ckan").when((protocol == "sdmx") & known, "sdmx").when(page, F.when(F.col("r.scraping_blocked"), "blocked").otherwise("html")).otherwise("none")
+    url = F.when(F.col("kind") == "ckan", F.concat("api", F.lit("/package_show?id="), "name")).when(F.col("kind") == "sdmx", sdmx_flow_url(F.col("api"), F.col("name"))).when(F.col("kind") == "html", F.col("landing"))
+    return df.select("i.source_id", "i.item_id", kind.alias("kind"), api.alias("api"), name.alias("name"), landing.alias("landing")).select("source_id", "item_id", "kind", url.alias("url"))
+
+
 def enrich(items: DataFrame, registry: DataFrame, ckan: DataFrame, html: DataFrame, sdmx: DataFrame | None = None) -> DataFrame:
     """Each item with the first of its enrichments that is there: registered ones, CKAN, SDMX, a blocked source, HTML, none."""
     parts = ("resource_url", "resource_format", "granularity", "year_min", "year_max", "enrich_method")
     keys = ["source_id", "item_id"]
-    r = registry.select("source_id", F.col("protocol").alias("registry_protocol"), "scraping_blocked")
-    df = items.join(r, "source_id", "left").join(html.select(*_keys(html), F.col("format").alias("html_format"), F.col("enrich_method").alias("html_method")), _keys(html), "left")
+    r = registry.select("source_id", given(F.col("protocol")).alias("registry_protocol"), _blocked(registry))
+    df = items.join(r, "source_id", "left")
+    if "protocol" in items.columns:  # the registry's wins over the row's
+        df = df.withColumn("registry_protocol", F.coalesce("registry_protocol", "protocol"))
+    df = df.join(html.select(*_keys(html), F.col("format").alias("html_format"), F.col("enrich_method").alias("html_method")), _keys(html), "left")
     choices = []
     for k, (name, enricher) in enumerate(ENRICHERS.items()):
         extra = items.transform(enricher)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RESPONSES = "source_id string, item_id string, url string, method string, page int, status_code int, content_type string, headers map<string,string>, body string, error_class string, fetched_at timestamp"
 CHECKS = "source_id string, item_id string, check_timestamp timestamp, intake_score int"
@@ -38,7 +39,7 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def read_report(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    return spark.read.parquet(path).where(f"run_id = '{run_id}'")
+    return spark.read.parquet(path).where(F.col("run_id") == run_id)
 
 
 def write_checks(checks: DataFrame, path: str, version: int) -> str:
