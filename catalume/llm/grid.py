@@ -1,10 +1,10 @@
 """Epsilon grid order join of unit vectors.
 
 Vectors are turned to the principal axes of all vectors, so that the first coordinates spread most, and laid out in epsilon grid order: by
-the cells (of side epsilon) of their leading coordinates, lexicographically. The sequence is cut into intervals of BLOCK vectors, and those
+the cells (of side epsilon) of their leading coordinates, lexicographically. The sequence is cut into intervals of at most BLOCK vectors, and those
 form a tree. Pairs of intervals are joined recursively from the root: a pair whose bounding boxes in the leading coordinates are more than
-epsilon apart is skipped with everything below. Pairs of intervals that are left are compared, coordinates in the same order: vectors that are too far
-apart in the leading ones are dropped, the rest are decided by their cosine in double precision. Two unit vectors of cosine s are sqrt(2 - 2 s) apart.
+epsilon apart is skipped with everything below. Pairs of intervals that are left go to a task, which goes on in the same way with intervals of PART vectors: vectors that are too far
+apart in the leading coordinates are dropped, the rest are decided by their cosine in double precision. Intervals are as long as a task's memory allows, since each is sent once for every one that it is compared with. Two unit vectors of cosine s are sqrt(2 - 2 s) apart.
 """
 
 from __future__ import annotations
@@ -24,10 +24,15 @@ from catalume.llm.components import components
 COSINE = 0.95
 AXES = 6  # leading coordinates that order the sequence and bound its intervals
 FIRST = 16  # leading coordinates compared before the rest
-BLOCK = 2048
+BLOCK, NUMBERS = 8192, 1 << 22  # vectors of an interval, and their numbers, at most
+PART = 256
 FAN = 8
 
 
+def interval(width: int) -> int:
+    return max(PART, min(BLOCK, NUMBERS // width))
+
+
 def valid(embedding) -> F.Column:
     """Whether a vector has a direction: not null or empty, all components finite and not null, not zero."""
     good = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -73,8 +78,8 @@ def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
     return axes[:, ::-1]
 
 
-def in_order(vectors: DataFrame, axes: np.ndarray, epsilon: float, size: int = BLOCK) -> DataFrame:
-    """vec_id, embedding, block, and y0.. (leading coordinates): the sequence in epsilon grid order, cut into intervals of size vectors."""
+def in_order(vectors: DataFrame, axes: np.ndarray, epsilon: float, size: int) -> DataFrame:
+    """vec_id, embedding, block, rank, and y0.. (leading coordinates): the sequence in epsilon grid order, cut into intervals of size vectors."""
     width, k = axes.shape[0], min(AXES, axes.shape[0])
     fields = T.StructType([*vectors.schema.fields, *[T.StructField(f"y{i}", T.DoubleType()) for i in range(k)]])
 
@@ -91,7 +96,7 @@ def in_order(vectors: DataFrame, axes: np.ndarray, epsilon: float, size: int = B
     before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     parts = parts.select("part", before.alias("before"))
     rank = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn("part", part).join(parts, "part").withColumn("block", F.floor(rank / size)).drop("part", "before", "at")
+    return placed.withColumn("part", part).join(parts, "part").withColumn("rank", rank).withColumn("block", F.floor(F.col("rank") / size)).drop("part", "before", "at")
 
 
 def interval_pairs(boxes: DataFrame, k: int, epsilon: float) -> DataFrame:
@@ -118,12 +123,22 @@ def compare(left: np.ndarray, right: np.ndarray, axes: np.ndarray, cosine: float
     first = axes[:, :FIRST]
     a, b = left @ first, right @ first
     limit = 2 - 2 * cosine + 1e-9
+    parts = [(at, min(at + PART, len(b))) for at in range(0, len(b), PART)]
+    low, high = np.array([b[x:y].min(0) for x, y in parts]), np.array([b[x:y].max(0) for x, y in parts])
     out_i, out_j = [], []
-    for at in range(0, len(left), 256):
-        part = a[at : at + 256]
-        far = (part * part).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (part @ b.T)
+    for at in range(0, len(left), PART):
+        part = a[at : at + PART]
+        gap = np.maximum(0, np.maximum(low - part.max(0), part.min(0) - high))
+        near = (gap * gap).sum(axis=1) <= limit
+        if same:
+            near[: at // PART] = False
+        if not near.any():
+            continue
+        some = np.concatenate([np.arange(*parts[k]) for k in np.flatnonzero(near)])
+        c = b[some]
+        far = (part * part).sum(axis=1)[:, None] + (c * c).sum(axis=1)[None, :] - 2 * (part @ c.T)
         i, j = np.nonzero(far <= limit)
-        i = i + at
+        i, j = i + at, some[j]
         if same:
             i, j = i[i < j], j[i < j]
         for k in range(0, len(i), 1 << 16):
@@ -145,7 +160,7 @@ def forest(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
             return root
 
 
-def links(vectors: DataFrame, cosine: float = COSINE, size: int = BLOCK) -> DataFrame:
+def links(vectors: DataFrame, cosine: float = COSINE, size: int | None = None) -> DataFrame:
     """vec_id, n, root: per vector and pair of intervals in which it has links, the copies of those it links with and the smallest vec_id that they lead to.
 
     vectors: vec_id (unique), copies and embedding (valid, each once).
@@ -155,15 +170,15 @@ def links(vectors: DataFrame, cosine: float = COSINE, size: int = BLOCK) -> Data
     epsilon = math.sqrt(2 - 2 * cosine)
     axes = principal_axes(vectors, width)
     k = min(AXES, width)
-    sequence = stored(in_order(vectors, axes, epsilon, size), "grid_blocks")
+    sequence = stored(in_order(vectors, axes, epsilon, size or interval(width)), "grid_blocks")
     boxes = sequence.groupBy("block").agg(*[F.min(f"y{i}").alias(f"lo{i}") for i in range(k)], *[F.max(f"y{i}").alias(f"hi{i}") for i in range(k)])
     pairs = interval_pairs(stored(boxes, "boxes"), k, epsilon)
     sides = pairs.select("i", "j", F.explode(F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))).alias("block"))
-    rows = sides.join(sequence.select("block", "vec_id", "copies", "embedding"), "block")
+    rows = sides.join(sequence.select("block", "rank", "vec_id", "copies", "embedding"), "block")
     shared = spark.sparkContext.broadcast(axes)  # width^2 numbers
 
     def joined(key, rows):
-        rows = rows.combine_chunks()
+        rows = rows.combine_chunks().sort_by("rank")
         block = rows.column("block").to_numpy()
         ids = rows.column("vec_id").to_numpy()
         column = rows.column("embedding")
@@ -185,8 +200,8 @@ def links(vectors: DataFrame, cosine: float = COSINE, size: int = BLOCK) -> Data
     return rows.groupBy("i", "j").applyInArrow(joined, "vec_id long, n long, root long")
 
 
-def near_duplicates(table: DataFrame, cosine: float = COSINE, size: int = BLOCK) -> DataFrame:
-    """vec_id, n_links, component_id, kept for each row of table (vec_id, embedding; other columns are ignored). size: vectors of an interval.
+def near_duplicates(table: DataFrame, cosine: float = COSINE, size: int | None = None) -> DataFrame:
+    """vec_id, n_links, component_id, kept for each row of table (vec_id, embedding; other columns are ignored). size: vectors of an interval, by the width of the vectors if it is not given.
 
     Vectors link if their cosine, in double precision, is at least `cosine`. Null, empty and zero vectors, and those with null or non-finite components, link with
     nothing, nor do vectors of different length with each other. Equal vectors (by 128 bits of hashes) are compared once and link with each other. Rows that repeat vec_id and vector are links of each other too;

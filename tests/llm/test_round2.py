@@ -34,8 +34,9 @@ def test_empty_tables(spark):
     assert html.extracted(of("page_id long, url string, html string")).count() == 0
 
 
-@pytest.mark.parametrize("size", [4, 16, 2048])
-def test_grid_recursion(spark, size):
+@pytest.mark.parametrize(("size", "part"), [(4, 256), (16, 256), (None, 8)])
+def test_grid_recursion(spark, monkeypatch, size, part):
+    monkeypatch.setattr(grid, "PART", part)
     r = np.random.default_rng(4)
     base = np.repeat(r.normal(size=(12, 10)), 12, axis=0) + r.normal(size=(144, 10)) * r.choice([0.01, 0.1, 0.3], size=(144, 1))
     x = np.concatenate([base, base[:6]]).astype(np.float32)
