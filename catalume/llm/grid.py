@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalume.llm.common import prepare, stored
+from catalume.llm.common import prepare, stored, tidy
 from catalume.llm.components import components
 
 COSINE = 0.95
@@ -68,7 +68,7 @@ def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
             cells = np.concatenate([square.ravel(), total, [n]])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cells))), pa.array(cells)], ["cell", "value"])
 
-    rows = vectors.select("embedding").mapInArrow(sums, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()  # width^2 + width + 1 rows
+    rows = vectors.select("embedding").mapInArrow(tidy(sums), "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()  # width^2 + width + 1 rows
     cells = np.zeros(width * width + width + 1)
     for r in rows:
         cells[r["cell"]] = r["value"]
@@ -89,7 +89,7 @@ def in_order(vectors: DataFrame, axes: np.ndarray, epsilon: float, size: int) ->
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(y[:, i]) for i in range(k)]], [*batch.schema.names, *[f"y{i}" for i in range(k)]])
 
     cells = [F.floor(F.col(f"y{i}") / epsilon) for i in range(k)]
-    placed = vectors.mapInArrow(turned, fields).repartitionByRange(*cells, F.col("y0"), F.col("vec_id")).sortWithinPartitions(*cells, "y0", "vec_id")
+    placed = vectors.mapInArrow(tidy(turned), fields).repartitionByRange(*cells, F.col("y0"), F.col("vec_id")).sortWithinPartitions(*cells, "y0", "vec_id")
     placed = stored(placed.withColumn("at", F.monotonically_increasing_id()), "grid_order")
     part = F.shiftright("at", 33)
     parts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))

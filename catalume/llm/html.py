@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from catalume.llm.common import prepare
+from catalume.llm.common import prepare, tidy
 
 # Elements by what HTML says about them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -257,4 +257,4 @@ def extracted(pages: DataFrame) -> DataFrame:
             found = [main_text(x) for x in batch.column(batch.schema.get_field_index("html")).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())], [*batch.schema.names, "text", "n_chars"])
 
-    return kept.mapInArrow(texts, T.StructType([*kept.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
+    return kept.mapInArrow(tidy(texts), T.StructType([*kept.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))

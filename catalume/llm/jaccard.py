@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalume.llm import cells as cell
-from catalume.llm.common import prepare, release, remove, stored
+from catalume.llm.common import prepare, release, remove, stored, tidy
 from catalume.llm.components import components
 from catalume.llm.shingles import fingerprint, of_column
 
@@ -97,7 +97,7 @@ def classes(docs: DataFrame) -> DataFrame:
                 held, size, seen = [], 0, set()
         yield often()
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("k")).mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("k")).mapInArrow(tidy(run), ", ".join(f"{x} long" for x in names))
 
 
 def frequent(often: DataFrame) -> np.ndarray:
@@ -137,7 +137,7 @@ def first_shingles(docs: DataFrame, marks: np.ndarray) -> DataFrame:
             if hs:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(cs)), pa.array(np.concatenate(often))], ["h", "c", "often"])
 
-    return docs.select("text").mapInArrow(run, "h long, c long, often boolean")
+    return docs.select("text").mapInArrow(tidy(run), "h long, c long, often boolean")
 
 
 def met_again(first: DataFrame, partitions: int) -> DataFrame:
@@ -157,7 +157,7 @@ def met_again(first: DataFrame, partitions: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(h[several]), pa.array(c[several]), pa.array(np.repeat(times, times)[several])], ["h", "c", "times"])
 
     key = F.when(F.col("often"), F.xxhash64("c")).otherwise(F.col("h"))
-    return first.repartition(partitions, key).mapInArrow(run, "h long, c long, times long")
+    return first.repartition(partitions, key).mapInArrow(tidy(run), "h long, c long, times long")
 
 
 def cells(docs: DataFrame, often: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     few = wanted.count() <= BROADCAST
     texts = docs.select("text", F.xxhash64("text").alias("k")).join(F.broadcast(wanted) if few else wanted, "k", "left_semi")
-    return texts.select("text").mapInArrow(run, "c long, shingles array<bigint>").groupBy("c").agg(F.first("shingles").alias("shingles"))
+    return texts.select("text").mapInArrow(tidy(run), "c long, shingles array<bigint>").groupBy("c").agg(F.first("shingles").alias("shingles"))
 
 
 def _priority(c: Column) -> Column:
@@ -255,7 +255,7 @@ def join_cells(members: DataFrame, partitions: int) -> DataFrame:
                 out = []
         yield _edges(out)
 
-    return members.select("p", "c", "shingles").repartition(partitions, "p").sortWithinPartitions("p", "c").mapInArrow(run, "a long, b long")
+    return members.select("p", "c", "shingles").repartition(partitions, "p").sortWithinPartitions("p", "c").mapInArrow(tidy(run), "a long, b long")
 
 
 def measure(members: DataFrame, partitions: int) -> DataFrame:
@@ -279,7 +279,7 @@ def measure(members: DataFrame, partitions: int) -> DataFrame:
             yield pa.RecordBatch.from_pylist([{"p": int(p), "blocks": blocks[0].as_py(), "c": int(a), "q": names.tolist(), "d": d[i].tolist(), "links": names[linked[i]].tolist(), "within": names[within[i]].tolist()} for i, a in enumerate(c[member])], schema=pa.schema([("p", pa.int64()), ("blocks", pa.int64()), ("c", pa.int64()), ("q", pa.list_(pa.int64())), ("d", pa.list_(pa.float64())), ("links", pa.list_(pa.int64())), ("within", pa.list_(pa.int64()))]))
 
     rows = rows.repartition(partitions, "p", "block").sortWithinPartitions("p", "block", "kind", "c")
-    return rows.mapInArrow(run, "p long, blocks long, c long, q array<bigint>, d array<double>, links array<bigint>, within array<bigint>")
+    return rows.mapInArrow(tidy(run), "p long, blocks long, c long, q array<bigint>, d array<double>, links array<bigint>, within array<bigint>")
 
 
 def join_rings(measured: DataFrame, known: DataFrame, partitions: int) -> DataFrame:
@@ -310,7 +310,7 @@ def join_rings(measured: DataFrame, known: DataFrame, partitions: int) -> DataFr
                 found = cell.join_between([x[i] for i in order if not right[i]], [x[i] for i in order if right[i]], PERCENT)
                 yield _edges([(int(c[order[i]]), int(c[order[j]])) for i, j in found])
 
-    return rows.repartition(partitions, "pair").sortWithinPartitions("pair", "side", "c").mapInArrow(run, "a long, b long")
+    return rows.repartition(partitions, "pair").sortWithinPartitions("pair", "side", "c").mapInArrow(tidy(run), "a long, b long")
 
 
 def links(docs: DataFrame, every: DataFrame) -> DataFrame:

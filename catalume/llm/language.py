@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalume.llm.common import bound, crc32_of_id, prepare, stored
+from catalume.llm.common import bound, crc32_of_id, prepare, stored, tidy
 
 TRAIN_DOCUMENTS, TRAIN_TOTAL = 3000, 60_000
 NGRAM = 4
@@ -173,7 +173,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in rest], pa.array(preds, pa.string()), pa.array(scores, pa.float64())], [*[batch.schema[i].name for i in rest], "lang_pred", "score"])
 
     kept = docs.drop("lang_pred", "score")
-    return kept.mapInArrow(score, T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return kept.mapInArrow(tidy(score), T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def identified(docs: DataFrame) -> DataFrame:

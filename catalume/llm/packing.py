@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalume.llm.common import prepare, stored
+from catalume.llm.common import prepare, stored, tidy
 from catalume.llm.tokens import encoded
 
 CAPACITY = 2048
@@ -108,7 +108,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
             names = ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth")
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], list(names))
 
-    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long")
+    return docs.select("doc_id", "text").mapInArrow(tidy(cut), "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
@@ -132,4 +132,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(to["first"][at] + over // each), pa.array(to["place"][at] + over % each * length)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "nth", "before"]
-    return ranked.select(*columns).mapInArrow(placed, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.select(*columns).mapInArrow(tidy(placed), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

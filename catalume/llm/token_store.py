@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalume.llm.common import prepare
+from catalume.llm.common import prepare, tidy
 from catalume.llm.tokens import encoded
 
 SHARD_TOKENS = 1 << 18
@@ -100,7 +100,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, shard_tok
             yield full()
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(shards, SCHEMA).write.parquet(path)
+    ordered.mapInArrow(tidy(shards), SCHEMA).write.parquet(path)
 
 
 def starts(store: DataFrame) -> DataFrame:
@@ -127,7 +127,7 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> Da
                 names = ["part", "shard", "doc_id", "inside", "n_tokens", "ids_crc32"]
                 yield pa.RecordBatch.from_arrays([*columns, *([pa.array(raw, pa.binary())] if with_ids else [])], [*names, *["ids"] * with_ids])
 
-    found = store.select("part", "shard", "doc_ids", "doc_tokens", "chunks", "more").mapInArrow(documents, fields)
+    found = store.select("part", "shard", "doc_ids", "doc_tokens", "chunks", "more").mapInArrow(tidy(documents), fields)
     return found.join(starts(store), ["part", "shard"]).select("doc_id", (F.col("shard_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
 
 
@@ -151,4 +151,4 @@ def read_tokens(store: DataFrame, positions: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["position", "token_id"])
 
     wanted = hits.groupBy("part", "shard").agg(F.collect_list(F.struct("position", "inside")).alias("hits"))
-    return store.join(wanted, ["part", "shard"]).select("chunks", "more", "ranks", "hits").mapInArrow(lookup, T.StructType([T.StructField("position", T.LongType()), T.StructField("token_id", T.LongType())]))
+    return store.join(wanted, ["part", "shard"]).select("chunks", "more", "ranks", "hits").mapInArrow(tidy(lookup), T.StructType([T.StructField("position", T.LongType()), T.StructField("token_id", T.LongType())]))

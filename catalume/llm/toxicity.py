@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalume.llm.common import crc32_of_id, prepare, stored
+from catalume.llm.common import crc32_of_id, prepare, stored, tidy
 from catalume.llm.language import words
 
 TRAIN_TOXIC, TRAIN_ORDINARY = 10_000, 40_000
@@ -151,7 +151,7 @@ def scored(docs: DataFrame, model: dict, raw: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "score"])
 
     kept = docs.drop("score")
-    return kept.mapInArrow(score, T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())]))
+    return kept.mapInArrow(tidy(score), T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
