@@ -32,3 +32,27 @@ def test_stages(spark, tmp_path):
         assert set(ids(docs)) <= set(ids(before))
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert sorted(x.doc_id for x in packed if x.piece == 0) == ids(docs)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_columns_that_clash(spark, tmp_path):
+    names = ["quality", "q", "pattern_of_votes", "lang_pred", "score", "held_out", "k", "label", "mix", "s", "one"]
+    r = random.Random(4)
+    word = lambda: "".join(r.choices("abcdefg", k=5))
+    text = lambda: "\n".join(" ".join(word() for _ in range(15)).capitalize() + "." for _ in range(8))
+    same = text()
+    rows = [(i, text(), "xx", "s", 1) for i in range(30)] + [(40, same, "xx", "s", 1), (40, same, "xx", "s", 1), (1, same + " more", "xx", "s", 1), (None, text(), None, None, None)]
+    docs = spark.createDataFrame([(*x, *[f"mine {n}" for n in names]) for x in rows], SCHEMA + ", " + ", ".join(f"{n} string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)), f"clash_{name}")
+        assert out.columns == docs.columns and all(x[n] == f"mine {n}" for x in out.collect() for n in names)
+        docs = out
+        if name == "jaccard_join":  # of two equal rows and their near copy one stays: that with the smaller doc_id, though another text has that doc_id too
+            assert sorted((x.doc_id is not None, x.doc_id or 0) for x in docs.collect()) == sorted([(False, 0), *[(True, i) for i in range(30)], (True, 1)])
