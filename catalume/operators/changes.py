@@ -102,14 +102,21 @@ def ordered(diff: DataFrame) -> DataFrame:
 def full_report(routed: DataFrame, items: DataFrame, outcomes: DataFrame) -> DataFrame:
     """source_id, protocol, status, method, row_count, error, reason, warning of each routed source (with baseline_method and reason). outcomes: source_id, error and warning of those that were harvested.
 
-    A source with an error has no rows; one that is skipped has its reason.
+    A source with an error has no rows; one that is skipped has its reason. method is the configured one; if items have an inventory_method, observed_method is the one that most rows of the source have.
     """
     method = F.col("baseline_method") if "baseline_method" in routed.columns else F.lit(None).cast("string")
     known = routed.select("source_id", method.alias("method"), "reason").join(outcomes.select("source_id", "error", "warning"), "source_id", "left")
     df = source_report(routed, items).join(known, "source_id")
     failed = (F.col("status") == "ok") & F.col("error").isNotNull()
     ok = (F.col("status") == "ok") & ~failed
-    return df.select("source_id", "protocol", F.when(failed, "error").otherwise(F.col("status")).alias("status"), "method", F.when(ok, F.col("row_count")).alias("row_count"), F.when(failed, F.col("error")).alias("error"), "reason", F.when(ok, F.col("warning")).alias("warning"))
+    return df.select("source_id", "protocol", F.when(failed, "error").otherwise(F.col("status")).alias("status"), "method", F.when(ok, F.col("row_count")).alias("row_count"), F.when(failed, F.col("error")).alias("error"), "reason", F.when(ok, F.col("warning")).alias("warning")).transform(lambda x: _observed(x, items))
+
+
+def _observed(report: DataFrame, items: DataFrame) -> DataFrame:
+    if "inventory_method" not in items.columns:
+        return report
+    counts = items.groupBy("source_id", "inventory_method").agg(F.count("*").alias("n"))
+    return report.join(counts.groupBy("source_id").agg(F.max_by("inventory_method", F.struct("n", "inventory_method")).alias("observed_method")), "source_id", "left")
 
 
 def signal_counts(df: DataFrame) -> DataFrame:
@@ -121,7 +128,9 @@ def carry_report(prev: DataFrame, cur: DataFrame) -> DataFrame:
 
 
 def baseline_compare(report: DataFrame, registry: DataFrame) -> DataFrame:
-    """Rows of each source against the registry's baseline, where both were counted by the same method."""
+    """Rows of each source against the registry's baseline, where both were counted by the same method: the one observed in the rows, if the report knows it (observed_method), or else the configured one."""
+    if "observed_method" in report.columns:
+        report = report.withColumn("method", F.coalesce("observed_method", "method"))
     df = report.join(registry.select("source_id", "baseline_method", "baseline_value"), "source_id", "left")
     same = F.col("method").eqNullSafe(F.col("baseline_method"))
     base = F.col("baseline_value").try_cast("bigint")

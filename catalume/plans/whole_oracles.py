@@ -71,6 +71,8 @@ WHOLE = {
   CASE WHEN s.signal_type = 'structural drift' THEN 'verificare causa — fonte precedentemente ok' WHEN c.status = 'error' AND p.status = 'error' THEN 'valutare declassamento a radar-only se persiste' WHEN c.status = 'error' THEN 'monitorare nei prossimi run'
     WHEN s.signal_type = 'missing_data' THEN 'verificare causa cambio metodo; non usare delta come segnale' WHEN s.signal_type = 'inventory change' THEN 'verificare se variazione attesa; avviare catalog-inventory-scout se nuovi dataset' ELSE 'nessuna' END AS suggested_action
   FROM sig s JOIN {CUR} c ON c.source_id = s.source LEFT JOIN {PREV} p ON p.source_id = s.source""", SIGNALS),
+    "d8_observed_compare": q(f"SELECT source_id, CASE WHEN m IS DISTINCT FROM baseline_method OR base IS NULL OR n IS NULL THEN CASE WHEN m = baseline_method AND base IS NOT NULL THEN 'changed' ELSE 'missing_data' END WHEN n = base THEN 'stable' ELSE 'changed' END AS result, CASE WHEN m = baseline_method THEN n - base END AS delta FROM seen",
+        f"seen AS (SELECT r.source_id, r.baseline_method, TRY_CAST(r.baseline_value AS BIGINT) AS base, CASE WHEN r.k % 4 < 2 THEN 'package_list' ELSE 'package_show' END AS m, CASE WHEN NOT {SKIP} THEN (SELECT count(*) FROM fx_items i WHERE i.source_id = r.source_id) END AS n FROM fx_registry r WHERE {WATCHED})"),
     "e1_full_report": q(f"SELECT r.source_id, r.protocol, {STATUS} WHEN c.status = 'error' THEN 'error' ELSE 'ok' END AS status, r.baseline_method AS method, CASE WHEN NOT {SKIP} AND c.status IS DISTINCT FROM 'error' THEN n END AS row_count, CASE WHEN NOT {SKIP} AND c.status = 'error' THEN c.error END AS error, {REASON}, CASE WHEN NOT {SKIP} AND c.status IS DISTINCT FROM 'error' AND c.row_count % 2 = 0 THEN 'retry_backoff' END AS warning "
         f"FROM fx_registry r LEFT JOIN {CUR} c ON c.source_id = r.source_id LEFT JOIN (SELECT source_id, count(*) AS n FROM fx_items GROUP BY 1) i ON i.source_id = r.source_id WHERE {WATCHED}"),
     "e2_category_counts": q("SELECT g AS group_name, c AS category, CAST(sum(n) AS BIGINT) AS n FROM (SELECT * FROM (VALUES ('status', 'GREEN', 0), ('status', 'YELLOW', 0), ('status', 'RED', 0), ('mode', 'radar-only', 0), ('mode', 'catalog-watch', 0), ('mode', 'monitor-active', 0), ('kind', 'catalog', 0), ('kind', 'portal', 0), ('kind', 'source', 0)) v(g, c, n) UNION ALL SELECT 'status', coalesce(status, 'RED'), count(*) FROM lined GROUP BY 2 UNION ALL SELECT 'mode', coalesce(observation_mode, 'radar-only'), count(*) FROM lined GROUP BY 2 UNION ALL SELECT 'kind', coalesce(source_kind, 'source'), count(*) FROM lined GROUP BY 2) u GROUP BY 1, 2", LINES),

@@ -91,6 +91,15 @@ def e1_full_report(spark, d):
     return changes.full_report(inventory.route_sources(base._registry(spark, d)), base._items(spark, d), outcomes)
 
 
+def d8_observed_compare(spark, d):
+    """Baselines against the method observed in the rows of each source's inventory."""
+    registry = base._registry(spark, d)
+    observed = F.when(F.col("ordinal") % 3 == 0, "package_search").when(F.col("k") % 4 < 2, "package_list").otherwise("package_show")
+    items = base._items(spark, d).join(registry.select("source_id", "k"), "source_id").withColumn("inventory_method", observed)
+    outcomes = base._report(spark, d, "cur").select("source_id", F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("warning"))
+    return changes.baseline_compare(changes.full_report(inventory.route_sources(registry), items, outcomes), registry)
+
+
 def e11_sample_warning(spark, d):
     n = F.regexp_extract("source_id", r"(\d+)", 1).cast("int")
     a = view(spark, d, "fx_probe_attempts").withColumn("n", n).withColumn("source_id", F.concat(F.lit("g"), (F.col("n") % 7).cast("string")))
@@ -161,6 +170,7 @@ WHOLE = {
     "c16_isolated": base.c16_isolated,
     "d2_with_registry": lambda s, d: parse.with_registry(base._items(s, d).select("source_id", "item_id"), base._registry(s, d), "protocol", "base_url", "scraping_blocked"),
     "d7_signal_details": lambda s, d: changes.signal_details(base._report(s, d, "cur"), base._report(s, d, "prev")),
+    "d8_observed_compare": d8_observed_compare,
     "e1_full_report": e1_full_report,
     "e2_category_counts": lambda s, d: radar.category_counts(base._registry(s, d), base._source_probe(s, d)),
     "e6_named_summary": lambda s, d: parse.sparql_summary(view(s, d, "fx_bindings"), _sparql_registry(s, d)),
