@@ -114,7 +114,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: every piece of docs in a sequence of at most capacity ids.
 
-    No rows: no sequences.
+    Null and empty texts are end_id alone; repeated rows are packed as often as they come. Pieces of one length are interchangeable: which of them goes where follows from the order of tasks, so
+    sequences may hold other pieces in a rerun over other partitions, but lengths and the number of sequences are the same. No rows: no sequences.
     """
     found = stored(pieces(docs, tokenizer, end_id, capacity), "pieces")
     per_part = found.groupBy("part", "length").agg(F.count("*").alias("n"))

@@ -15,24 +15,29 @@ def tokenizer() -> str:
 
 
 def op1_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and kept of every vector. Null, zero and non-finite vectors link with nothing; equal vectors link; ties of component_id cannot be, as it is a minimum. An empty table gives no rows."""
     return grid.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of 2048 ids. Null texts are empty, which is the end id alone; repeated rows are packed as often as they come; pieces of equal length are interchangeable. An empty table gives no rows."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer())
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document, read back from the store's files. Null texts are empty, which is the end id alone; of rows that share a doc_id, the smaller text comes first. An empty table gives no rows."""
     path = scratch(spark, "token_store")
     token_store.write(table(spark, sf_dir, "documents", "doc_id", "text"), path, tokenizer())
     return token_store.read_documents(spark, path)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document. Null texts and those without a letter are `und`; of languages that score alike, the first by code point is taken. An empty table gives no rows."""
     return language.identified(table(spark, sf_dir, "documents", "doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical messages of every turn, validated against the schemas of production. Null texts, roles and turns stay null; turns that share a key keep a row each. An empty table gives no rows."""
     return chat.formatted(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"), chat.SCHEMAS)
 
 
@@ -42,22 +47,27 @@ def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document. Null texts and those without words have an empty set and link with nothing; equal sets link. An empty table gives no rows."""
     return jaccard.linked(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document. Null and empty texts get the score of a ratio of 0; repeated rows are scored alike. An empty table gives no rows."""
     return toxicity.judged(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")).select("doc_id", "held_out", "score", "predicted")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures, base and verdict of every document. Null and empty texts have no words and fail the base; repeated rows are judged alike. An empty table gives no rows."""
     return quality.judged(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "quality.*")
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes. Null texts have size 0, null is a source of its own; repeated rows are taken or left together. An empty table gives no rows."""
     return mixing.mixed(table(spark, sf_dir, "documents", "doc_id", "text", "source")).select("doc_id", "mix.*")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page. Null and empty html, and pages without an article, have an empty text; repeated rows give equal results. An empty table gives no rows."""
     return html.extracted(table(spark, sf_dir, "pages", "page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
