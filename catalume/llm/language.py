@@ -26,6 +26,7 @@ TRAIN_DOCUMENTS, TRAIN_TOTAL = 3000, 60_000
 NGRAM = 4
 MISSING = 1.0  # how many times less often than once a word counts where a language lacks it
 EVIDENCE = 20  # words of a text that count as evidence, at most
+BROADCAST = 1 << 16  # languages whose counts are sent to all executors
 CACHE = 200_000
 SLICE = 256  # texts whose words are scored at once
 
@@ -106,7 +107,8 @@ def fit(docs: DataFrame, per_language: int = TRAIN_DOCUMENTS, in_all: int = TRAI
         return Model([], [], np.zeros((0, 0)))
     rate = max(1, min(per_language, in_all // len(languages))) / F.col("documents")
     draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    sample = labelled.join(per_lang, "lang").where(draw < rate)
+    known = F.broadcast(per_lang) if len(languages) <= BROADCAST else per_lang  # else texts would move to one task a language
+    sample = labelled.join(known, "lang").where(draw < rate)
     # Counting words before n-grams: an n-gram counts as often as the words that hold it.
     counted = stored(sample.select("lang", F.explode(words(F.col("text"))).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("n")), "language_words")
     padded = F.concat(F.lit(" "), F.col("term"), F.lit(" "))
