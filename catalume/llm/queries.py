@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalume.llm import chat, grid, html, jaccard, language, mixing, packing, quality, token_store, toxicity
+from catalume.llm import audit, chat, grid, html, jaccard, language, mixing, packing, quality, token_store, toxicity
 from catalume.llm.common import scratch, table
 
 
@@ -71,6 +71,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages", "page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every step of every order of five filters keeps, removes and loses in each source. Null texts are empty, null sources the part of the empty string; documents that labels name twice count once. An empty table gives no rows."""
+    return audit.audited(table(spark, sf_dir, "documents", "doc_id", "text", "source"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 QUERIES = {
     "op1_grid_join": op1_grid_join,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mixing": op9_source_mixing,
     "op10_html_extraction": op10_html_extraction,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: What SQL can express. The texts of conversations hold no tool calls, so op5_chat_format's message is its content and role; op5_tool_calls adds calls.
@@ -103,4 +109,5 @@ UNION ALL
 SELECT conv_id, CASE WHEN early THEN turn * 4 - 1 ELSE turn * 4 + 2 END, 'tool', '{"content":' || content || ',"role":"tool","tool_call_id":"' || CASE WHEN gone THEN 'gone' WHEN two THEN 'c' || t || 'b' ELSE 'c' || t || 'a' END || '"}',
   CASE WHEN early AND gone THEN turn * 4 - 1 WHEN early THEN turn * 4 ELSE turn * 4 + 2 END, CASE WHEN early AND NOT gone THEN CASE WHEN two THEN 2 ELSE 1 END ELSE 0 END, 0, 0, NOT gone
 FROM calls""",
+    "op13_filter_audit": audit.ORACLE,
 }
