@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalume.llm import audit, chat, grid, html, jaccard, language, mixing, packing, quality, token_store, toxicity
+from catalume.llm import audit, chat, exact, grid, html, jaccard, language, mixing, packing, quality, search, token_store, toxicity
 from catalume.llm.common import scratch, table
 
 
@@ -71,6 +71,16 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(table(spark, sf_dir, "pages", "page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every item. Null texts have no terms, and an item without any that a document holds has no rows; equal scores go by doc_id, null last. Empty tables give no rows."""
+    return search.searched(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group, size and whether it stays of every document. Null texts are empty; of equal texts the smallest doc_id stays, null ids last, one row where ids repeat. An empty table gives no rows."""
+    return exact.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every step of every order of five filters keeps, removes and loses in each source. Null texts are empty, null sources the part of the empty string; documents that labels name twice count once. An empty table gives no rows."""
     return audit.audited(table(spark, sf_dir, "documents", "doc_id", "text", "source"), table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
@@ -88,6 +98,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mixing": op9_source_mixing,
     "op10_html_extraction": op10_html_extraction,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_exact_dedup": op12_exact_dedup,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -109,5 +121,7 @@ UNION ALL
 SELECT conv_id, CASE WHEN early THEN turn * 4 - 1 ELSE turn * 4 + 2 END, 'tool', '{"content":' || content || ',"role":"tool","tool_call_id":"' || CASE WHEN gone THEN 'gone' WHEN two THEN 'c' || t || 'b' ELSE 'c' || t || 'a' END || '"}',
   CASE WHEN early AND gone THEN turn * 4 - 1 WHEN early THEN turn * 4 ELSE turn * 4 + 2 END, CASE WHEN early AND NOT gone THEN CASE WHEN two THEN 2 ELSE 1 END ELSE 0 END, 0, 0, NOT gone
 FROM calls""",
+    "op11_ranked_search": search.ORACLE,
+    "op12_exact_dedup": exact.ORACLE,
     "op13_filter_audit": audit.ORACLE,
 }
