@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from catalume.functions.text import UNKNOWN, first_given, given, granularity, norm_format, year_max, year_min
@@ -66,19 +66,19 @@ def checked_urls(items: DataFrame, enriched: DataFrame) -> DataFrame:
 
 
 def finish_check(items: DataFrame, enriched: DataFrame, heads: DataFrame, now: Column) -> DataFrame:
-    """Rows of CHECK_RESULT. heads: source_id, item_id, status_code, error_class of the probe of each item's url; no row is no answer.
+    """Rows of CHECK_RESULT. heads: source_id, item_id, status_code, error_class of the probe of each item's url; no row is no answer. now: the time of the check, over the columns of items.
 
     An enriched title, tags and format win over the catalog's, but not if they are missing; what is not known of granularity and years is inferred from the catalog's texts.
     """
     keys = ["source_id", "item_id"]
     own = lambda name: F.col(f"e.{name}") if name in enriched.columns else F.lit(None).cast("string")
-    df = head_outcome(checked_urls(items, enriched).join(heads.select(*keys, "status_code", "error_class"), keys, "left"))
+    df = head_outcome(checked_urls(items.withColumn("checked_at", now), enriched).join(heads.select(*keys, "status_code", "error_class"), keys, "left"))
     have = [c for c in ("title", "tags", "notes_excerpt") if c in items.columns]
-    df = df.select(*keys, *have, "url", "status_code", "reachable", "check_notes", "e", *[c for c in ("item_name", "organization", "format") if c in items.columns], F.col("e.granularity").alias("granularity"), F.col("e.year_min").alias("year_min"), F.col("e.year_max").alias("year_max"), F.coalesce("e.enrich_method", F.lit("none")).alias("enrich_method"))
+    df = df.select(*keys, "checked_at", *have, "url", "status_code", "reachable", "check_notes", "e", *[c for c in ("item_name", "organization", "format") if c in items.columns], F.col("e.granularity").alias("granularity"), F.col("e.year_min").alias("year_min"), F.col("e.year_max").alias("year_max"), F.coalesce("e.enrich_method", F.lit("none")).alias("enrich_method"))
     df = fallback_infer(df)
     of = lambda name: F.col(name) if name in df.columns else F.lit(None).cast("string")
     df = df.withColumn("resource_format", first_given(own("resource_format"), of("format")))
-    out = {"check_timestamp": now, "title": first_given(own("enriched_title"), of("title")), "tags": first_given(own("enriched_tags"), of("tags")), "notes": own("enriched_notes"), "url_checked": F.col("url"), "http_status": F.when(F.coalesce(F.col("url").startswith("http"), F.lit(False)), F.col("status_code")), "item_name": of("item_name"), "organization": of("organization")}
+    out = {"check_timestamp": F.col("checked_at"), "title": first_given(own("enriched_title"), of("title")), "tags": first_given(own("enriched_tags"), of("tags")), "notes": own("enriched_notes"), "url_checked": F.col("url"), "http_status": F.when(F.coalesce(F.col("url").startswith("http"), F.lit(False)), F.col("status_code")), "item_name": of("item_name"), "organization": of("organization")}
     df = intake_score(df)
     fields = df.sparkSession.createDataFrame([], CHECK_RESULT).schema
     return df.select(*[out.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields])
@@ -101,12 +101,23 @@ def recent(existing: DataFrame, now: Column, days: int = 7) -> DataFrame:
     return existing.where(F.col("check_timestamp") >= now - F.make_interval(days=F.lit(days)))
 
 
-def recheck_plan(items: DataFrame, existing: DataFrame, now: Column, days: int = 7, keys: tuple[str, ...] = ("item_id",)) -> DataFrame:
-    """Items to check, and why: not recent, or modified since. The source's modified date may be no date."""
+def _planned(items: DataFrame, existing: DataFrame, now: Column, days: int, keys: tuple[str, ...]) -> DataFrame:
+    """items with checked, when they were last checked if lately, and why they are to be checked, null if they are not."""
     fresh = recent(existing, now, days).groupBy(*keys).agg(F.max("check_timestamp").alias("checked"))
-    out = items.join(fresh, list(keys), "left")
     updated = F.coalesce(F.try_to_timestamp("modified") > F.col("checked"), F.lit(False))
-    return out.withColumn("why", F.when(F.col("checked").isNull(), "not_recent").when(updated, "updated")).where(F.col("why").isNotNull()).drop("checked")
+    return items.join(fresh, list(keys), "left").withColumn("why", F.when(F.col("checked").isNull(), "not_recent").when(updated, "updated"))
+
+
+def recheck_plan(items: DataFrame, existing: DataFrame, now: Column, days: int = 7, keys: tuple[str, ...] = ("item_id",)) -> DataFrame:
+    """Items to check, and why: not recent, or modified since. The source's modified date may be no date."""
+    return _planned(items, existing, now, days, keys).where("why is not null").drop("checked")
+
+
+def observed_plan(items: DataFrame, existing: DataFrame, now: Column, days: int = 7, keys: tuple[str, ...] = ("item_id",)) -> tuple[DataFrame, Observation]:
+    """recheck_plan, and what its first action counts in passing: n_items, n_recent, n_reinspected (recent, but modified since), n_skipped."""
+    seen, why = Observation(), F.col("why")
+    counted = {"n_items": F.count("*"), "n_recent": F.count("checked"), "n_reinspected": F.count_if(F.coalesce(why == "updated", F.lit(False))), "n_skipped": F.count_if(why.isNull())}
+    return _planned(items, existing, now, days, keys).observe(seen, *[c.alias(k) for k, c in counted.items()]).where("why is not null").drop("checked"), seen
 
 
 def upsert_latest(new: DataFrame, old: DataFrame, keys: tuple[str, ...] = ("item_id",), ts: str = "check_timestamp") -> DataFrame:

@@ -54,8 +54,9 @@ def parsed_inventory(registry: DataFrame, responses: DataFrame) -> DataFrame:
     return union_sources(*[df.where(F.col("routed_protocol") == name).drop("routed_protocol").transform(parser) for name, parser in PROTOCOLS.items()])
 
 
-def only_sources(items: DataFrame, ids: list[str]) -> DataFrame:
-    return items.where(F.col("source_id").isin(*ids))
+def only_sources(items: DataFrame, ids: list[str] | DataFrame) -> DataFrame:
+    """Rows of the sources in ids: a list, which reaches the scan as a filter, or a table (source_id) of any size."""
+    return items.where(F.col("source_id").isin(*ids)) if isinstance(ids, list) else items.join(ids.select("source_id"), "source_id", "left_semi")
 
 
 def with_url(items: DataFrame) -> DataFrame:
@@ -72,7 +73,7 @@ def limit_per_source(items: DataFrame, n: int) -> DataFrame:
 
 
 def first_n(items: DataFrame, n: int) -> DataFrame:
-    return items.orderBy("source_id", "ordinal").limit(n)
+    return items.orderBy("source_id", "ordinal", "item_id").limit(n)
 
 
 def systematic_sample(items: DataFrame, size: int) -> DataFrame:
@@ -108,7 +109,7 @@ def method_fallback(search: DataFrame, names: DataFrame, current: DataFrame, sho
     method = F.when(F.col("search") & ~off, "package_search").when(~F.col("names"), None).when(skip & F.col("shows"), "package_list+package_show").when(skip | ~F.col("current"), "package_list").otherwise("package_list+current_list")
     r = r.withColumn("method", method)
     kind = F.when(F.col("method").isNull() | (F.col("method") == "package_search"), None).when(skip & F.col("shows"), "skip_current_package_list_with_package_show_sample").when(skip, "skip_current_package_list").when(F.col("current"), "fallback_current_package_list_with_resources").otherwise("fallback_package_list")
-    way = F.broadcast(r.select("source_id", "method"))
+    way = r.select("source_id", "method")
     of = lambda df, *methods: df.where("item_id is not null").drop("usable").join(way.where(F.col("method").isin(*methods)), "source_id")
     keys = ["source_id", "item_id"]
     over = lambda extra, m: overlay(of(names, m), extra.where("item_id is not null").drop("usable"), keys)

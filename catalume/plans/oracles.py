@@ -36,7 +36,8 @@ checked2 AS (SELECT *, CAST(least(100, greatest(0, CASE granularity WHEN 'comune
   + CASE WHEN enrich_method IN ('ckan_package_show', 'sdmx_dataflow_annotations') THEN 5 ELSE 0 END - CASE WHEN needs_review THEN 5 ELSE 0 END)) AS INTEGER) AS intake_score FROM checked1),
 checked AS (SELECT *, (intake_score >= 40 AND NOT needs_review) AS intake_candidate FROM checked2)"""
 RECENT = "SELECT item_id, max(check_timestamp) AS ts FROM fx_existing_checks WHERE check_timestamp >= TIMESTAMP '2001-08-05 00:00:00' GROUP BY item_id"
-NEW = "new_checks AS (SELECT source_id, item_id, TIMESTAMP '2001-08-12 00:00:00' AS check_timestamp, intake_score FROM checked WHERE CAST(item_id AS BIGINT) % 3 = 0)"
+DUE = "i.source_id || ' ' || i.item_id NOT IN (SELECT r.source_id || ' ' || r.item_id FROM fx_existing_checks r JOIN fx_items m ON m.source_id = r.source_id AND m.item_id = r.item_id WHERE r.check_timestamp >= TIMESTAMP '2001-08-05 00:00:00' AND NOT coalesce(TRY_CAST(m.modified AS TIMESTAMP) > r.check_timestamp, false))"
+NEW = f"new_checks AS (SELECT source_id, item_id, TIMESTAMP '2001-08-12 00:00:00' AS check_timestamp, intake_score FROM checked i WHERE {DUE})"
 GROUPED = """grouped AS (SELECT source_id, dataset, min(pos) AS first_pos, min_by(nullif(trim(title), ''), pos) FILTER (nullif(trim(title), '') IS NOT NULL) AS title,
   min_by(distribution_count, pos) FILTER (distribution_count IS NOT NULL) AS distribution_count FROM fx_bindings WHERE dataset IS NOT NULL GROUP BY ALL),
 uniq AS (SELECT source_id, dataset, kind, string_agg(v, ',' ORDER BY p) AS vs, min_by(v, p) AS v1, count(*) AS n FROM (SELECT source_id, dataset, kind, v, min(pos) AS p FROM (
@@ -117,6 +118,7 @@ ORACLES = {
     "d1_overlay": q("SELECT i.source_id, i.item_id, CASE WHEN e.item_id IS NOT NULL THEN e.item_name ELSE i.item_name END AS item_name, CASE WHEN e.item_id IS NOT NULL THEN e.title ELSE i.title END AS title, i.ordinal, e.item_id IS NOT NULL AS matched FROM fx_items i LEFT JOIN fx_enriched e ON e.source_id = i.source_id AND e.item_id = i.item_id"),
     "d3_recheck_plan": q("SELECT i.item_id, CASE WHEN r.item_id IS NULL THEN 'not_recent' ELSE 'updated' END AS why FROM fx_items i LEFT JOIN recent r ON r.item_id = i.item_id WHERE r.item_id IS NULL OR TRY_CAST(i.modified AS TIMESTAMP) > r.ts", f"recent AS ({RECENT})"),
     "d5_upsert_latest": q("SELECT item_id, source_id, strftime(check_timestamp, '%Y-%m-%d') AS checked, intake_score FROM (SELECT * FROM new_checks UNION ALL SELECT source_id, item_id, check_timestamp, intake_score FROM fx_existing_checks WHERE item_id NOT IN (SELECT item_id FROM new_checks)) t", CHECKED, NEW),
+    "j1_stream_upsert": q("SELECT source_id, item_id, strftime(check_timestamp, '%Y-%m-%d %H:%M:%S') AS check_timestamp, intake_score FROM (SELECT * FROM new_checks UNION ALL SELECT source_id, item_id, check_timestamp, intake_score FROM fx_existing_checks WHERE item_id NOT IN (SELECT item_id FROM new_checks)) t", CHECKED, NEW),
     "d5b_replace_sources": q("SELECT source_id, item_id, intake_score FROM fx_existing_checks WHERE NOT source_id < 'NATION_2' UNION ALL SELECT source_id, item_id, intake_score FROM new_checks WHERE source_id < 'NATION_2'", CHECKED, NEW),
     "d5c_carry_report": q("SELECT source_id, protocol, status, method, row_count, error FROM fx_report r WHERE run_id = 'cur' OR source_id NOT IN (SELECT source_id FROM fx_report WHERE run_id = 'cur')"),
     "d6_report_diff": q("SELECT * FROM (SELECT coalesce(c.source_id, p.source_id) AS source_id, CASE WHEN p.source_id IS NULL THEN 'added' WHEN c.source_id IS NULL THEN 'removed' WHEN p.status = 'ok' AND c.status <> 'ok' THEN 'regression' WHEN p.status <> 'ok' AND c.status = 'ok' THEN 'recovery' WHEN p.status <> 'ok' THEN 'persistent_error' WHEN p.row_count <> c.row_count THEN 'row_change' END AS change, CASE WHEN p.status = 'ok' AND c.status = 'ok' AND p.row_count <> c.row_count THEN CASE WHEN c.row_count > p.row_count THEN '+' ELSE '' END || CAST(c.row_count - p.row_count AS STRING) END AS delta, CASE WHEN p.status <> 'ok' AND c.status <> 'ok' THEN p.error IS DISTINCT FROM c.error END AS message_changed FROM (SELECT * FROM fx_report WHERE run_id = 'cur') c FULL JOIN (SELECT * FROM fx_report WHERE run_id = 'prev') p ON c.source_id = p.source_id) t WHERE change IS NOT NULL"),

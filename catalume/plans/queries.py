@@ -57,9 +57,15 @@ def _existing(spark, d):
     return view(spark, d, "fx_existing_checks").withColumn("check_timestamp", F.col("check_timestamp").cast("timestamp"))
 
 
-def _new_checks(items: DataFrame) -> DataFrame:
-    done = _checked(items).where(F.col("item_id").cast("bigint") % 3 == 0)
-    return done.select("source_id", "item_id", _now().alias("check_timestamp"), "intake_score")
+def _new_checks(spark, d) -> DataFrame:
+    """Checks of all items that are due."""
+    due = check.recheck_plan(_items(spark, d), _existing(spark, d), _now(), keys=("source_id", "item_id")).drop("why")
+    return _checked(due).select("source_id", "item_id", _now().alias("check_timestamp"), "intake_score")
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    """Times as text, which all engines write alike."""
+    return df.select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if kind == "timestamp" else F.col(c) for c, kind in df.dtypes])
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -176,10 +182,10 @@ def c3b_partial_harvest(spark, d):
 
 
 def j1_stream_upsert(spark, d):
+    """Checks of all items that are due land in three files, and are upserted file by file."""
     landed = _scratch(spark, "landed")
-    _new_checks(_items(spark, d)).repartition(3).write.parquet(landed)
-    out = stream_checks(spark, landed, _scratch(spark, "checks"), _scratch(spark, "stream"), _existing(spark, d))
-    return spark.read.schema(tables.CHECKS).parquet(out)
+    _new_checks(spark, d).repartition(3).write.parquet(landed)
+    return _shown(stream_checks(spark, landed, _scratch(spark, "checks"), _scratch(spark, "stream"), _existing(spark, d), buckets=8, files=1))
 
 
 def _responses(spark, d) -> DataFrame:
@@ -202,11 +208,11 @@ def _responses(spark, d) -> DataFrame:
 
 
 def j1_stream_responses(spark, d):
-    """The whole of J1: responses of items that are due land in files by item, and each batch is parsed, scored and upserted."""
-    landed = _scratch(spark, "responses")
-    _responses(spark, d).repartition(3, "source_id", "item_id").write.parquet(landed)
-    out = stream_responses(spark, landed, _scratch(spark, "checks"), _scratch(spark, "stream"), _items(spark, d), _registry(spark, d), _existing(spark, d))
-    return spark.read.schema(tables.CHECKS).parquet(out)
+    """The whole of J1: responses of items that are due land in any of three files, so that those of one check come in several batches; each batch is parsed, scored and upserted."""
+    landed, items = _scratch(spark, "responses"), _scratch(spark, "items")
+    _responses(spark, d).repartition(3).write.parquet(landed)
+    _items(spark, d).write.parquet(items)  # every batch joins them
+    return _shown(stream_responses(spark, landed, _scratch(spark, "checks"), _scratch(spark, "stream"), spark.read.parquet(items), _registry(spark, d), _existing(spark, d), buckets=8, files=1))
 
 
 def _head(spark, d):
@@ -241,8 +247,8 @@ QUERIES = {
     "c16_error_rows": c16_error_rows,
     "d1_overlay": _overlaid,
     "d3_recheck_plan": lambda s, d: check.recheck_plan(_items(s, d), _existing(s, d), _now()).select("item_id", "why"),
-    "d5_upsert_latest": lambda s, d: check.upsert_latest(_new_checks(_items(s, d)), _existing(s, d)).select("item_id", "source_id", F.date_format("check_timestamp", "yyyy-MM-dd").alias("checked"), "intake_score"),
-    "d5b_replace_sources": lambda s, d: inventory.replace_sources(_existing(s, d).select("source_id", "item_id", "intake_score"), _new_checks(_items(s, d)).where("source_id < 'NATION_2'").select("source_id", "item_id", "intake_score"), _items(s, d).where("source_id < 'NATION_2'")),
+    "d5_upsert_latest": lambda s, d: check.upsert_latest(_new_checks(s, d), _existing(s, d)).select("item_id", "source_id", F.date_format("check_timestamp", "yyyy-MM-dd").alias("checked"), "intake_score"),
+    "d5b_replace_sources": lambda s, d: inventory.replace_sources(_existing(s, d).select("source_id", "item_id", "intake_score"), _new_checks(s, d).where("source_id < 'NATION_2'").select("source_id", "item_id", "intake_score"), _items(s, d).where("source_id < 'NATION_2'")),
     "d5c_carry_report": lambda s, d: changes.carry_report(_report(s, d, "prev"), _report(s, d, "cur")),
     "d6_report_diff": lambda s, d: changes.report_diff(_report(s, d, "prev"), _report(s, d, "cur")),
     "d7_signals": lambda s, d: changes.signals(_report(s, d, "cur"), _report(s, d, "prev")),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalume.plans.oracles import CHECKED, COMBINED, GROUPED, LINES, NAME, ORACLES, PAGE_OK, SIGNALS, granularity, q, y0, y1
+from catalume.plans.oracles import CHECKED, COMBINED, DUE, GROUPED, LINES, NAME, ORACLES, PAGE_OK, SIGNALS, granularity, q, y0, y1
 
 #: The columns that all rows of a source share; r is the registry's row.
 SHARED = "'2001-08-12 00:00:00' AS captured_at, r.source_kind, r.protocol"
@@ -34,6 +34,22 @@ RESULT = [
 ]
 NOTED = LINES + """, noted AS (SELECT source_id, k, source_kind, protocol, observation_mode, CASE WHEN k % 10 = 7 THEN 'RED' ELSE status END AS status, CASE WHEN k % 10 = 7 THEN '-' ELSE http_code END AS http_code, CASE WHEN k % 10 = 7 THEN 'Missing base_url in registry entry' ELSE note END AS note,
   CASE WHEN k % 10 = 7 THEN false ELSE ssl_fallback_used END AS fallback, CASE WHEN k % 10 <> 7 AND http_code <> '-' THEN 'content-type: text/html' END AS content_type, CASE WHEN k % 10 <> 7 AND http_code <> '-' AND status = 'YELLOW' THEN 'url finale: https://f.test/' || http_code END AS final_url FROM lined)"""
+#: What the harvest of _build_responses gives: which rows of the list are enriched, and how.
+BUILT = [
+    f"bi AS (SELECT i.*, r.k, r.baseline_method, r.base_url, {API} AS api, CASE WHEN k = 10 AND ordinal <= 20 AND ordinal % 2 = 0 THEN 'current_package_list_with_resources' WHEN k = 18 AND ordinal % 25 = 1 AND ordinal % 50 <> 1 THEN 'package_show' END AS rich FROM fx_items i JOIN fx_registry r ON r.source_id = i.source_id)",
+    "bf AS (SELECT source_id, 'package_search' AS inventory_method, 'dataset' AS item_kind, item_id, item_name, item_name AS item_slug, title, 'Autore' AS organization, tags, api || '/package_search' AS source_url, api AS api_base_url, ordinal FROM bi WHERE k IN (3, 13) "
+    "UNION ALL BY NAME SELECT source_id, CASE rich WHEN 'package_show' THEN 'package_show_sample' ELSE coalesce(rich, baseline_method) END AS inventory_method, 'dataset' AS item_kind, item_name AS item_id, item_name, item_name AS item_slug, CASE WHEN rich = 'package_show' THEN 'Mostra ' || item_id WHEN rich IS NOT NULL THEN title END AS title, CASE WHEN rich LIKE 'current%' THEN 'Autore' END AS organization, CASE WHEN rich LIKE 'current%' THEN tags END AS tags, api || '/' || coalesce(rich, 'package_list') AS source_url, api AS api_base_url, ordinal FROM bi WHERE k IN (0, 10, 15, 18) "
+    f"UNION ALL BY NAME SELECT source_id, baseline_method AS inventory_method, 'dataflow' AS item_kind, item_id, item_id AS item_name, title, base_url AS source_url, 'https://h1.example.test/SDMXWS/rest' AS api_base_url, CAST(row_number() OVER (ORDER BY ordinal) AS INTEGER) AS ordinal FROM bi WHERE k = 1 AND ordinal % 29 <> 0 "
+    "UNION ALL BY NAME SELECT source_id, baseline_method AS inventory_method, 'dataset' AS item_kind, 'https://example.test/d/' || item_id AS item_id, item_id AS item_name, title, base_url AS source_url, distribution_url, CASE WHEN distribution_url IS NOT NULL THEN 1 END AS distribution_count, CAST(row_number() OVER (ORDER BY (ordinal - 1) % 100, item_id) AS INTEGER) AS ordinal FROM bi WHERE k = 2)",
+]
+#: Checks of the items that are due, by the enrichment that c10_enrich_sdmx shows.
+STREAMED = [
+    f"enr AS ({ORACLES['c10_enrich_sdmx']})",
+    f"js0 AS (SELECT i.source_id, i.item_id, i.item_name, i.title, CASE WHEN e.enrich_method = 'ckan_package_show' THEN {TAGS} ELSE i.tags END AS tags, CASE WHEN e.enrich_method = 'ckan_package_show' THEN 'nota ' || i.item_id END AS notes, coalesce(e.resource_format, i.format) AS resource_format, coalesce(i.landing_page, i.distribution_url) AS url, i.reachable AS up, e.granularity AS g0, e.year_min AS e0, e.year_max AS e1, e.enrich_method, concat_ws(' ', i.title, i.tags) AS fb FROM fx_items i JOIN enr e ON e.source_id = i.source_id AND e.item_id = i.item_id WHERE {DUE})",
+    f"js1 AS (SELECT *, CASE WHEN url IS NULL THEN NULL WHEN up THEN 200 ELSE 404 END AS http_status, (url IS NOT NULL AND up) AS reachable, coalesce(nullif(g0, 'non_determinato'), {granularity('fb')}) AS granularity, coalesce(e0, {y0('fb')}) AS year_min, CASE WHEN g0 = 'non_determinato' OR e0 IS NULL THEN coalesce(e1, {y1('fb')}) ELSE e1 END AS year_max, upper(CASE WHEN resource_format LIKE '%.%' AND length(resource_format) > 6 THEN regexp_extract(resource_format, '[^.]*$') ELSE resource_format END) AS fmt FROM js0)",
+    "js2 AS (SELECT *, (granularity = 'non_determinato' OR year_min IS NULL) AS needs_review FROM js1)",
+    f"js3 AS (SELECT *, {SCORE.replace("= 'ckan_package_show'", "IN ('ckan_package_show', 'sdmx_dataflow_annotations')")} AS intake_score FROM js2)",
+]
 HARVESTS = [
     "att AS (SELECT 'g' || CAST(n % 40 AS STRING) AS source_id, n AS position, attempt, coalesce(status_code < 400, false) AS ok, status_code, CASE attempt WHEN 1 THEN 100 WHEN 2 THEN 50 ELSE 10 END AS lim, coalesce(error_class, 'HTTP ' || CAST(status_code AS STRING)) AS failure FROM (SELECT *, CAST(substr(source_id, 2) AS INTEGER) AS n FROM fx_probe_attempts) a)",
     "pos AS (SELECT source_id, position, bool_or(ok) AS ok, max(status_code) FILTER (ok) AS n, max_by(lim, attempt) FILTER (NOT ok) AS lim, max_by(failure, attempt) FILTER (NOT ok) AS failure FROM att GROUP BY source_id, position)",
@@ -59,6 +75,13 @@ WHOLE = {
     "c10_enrich_requests": q("SELECT source_id, item_id, kind, CASE kind WHEN 'ckan' THEN base || '/package_show?id=' || name WHEN 'sdmx' THEN CASE WHEN ordinal % 5 = 0 THEN 'https://api.test' ELSE base END || '/' || name WHEN 'html' THEN landing_page END AS url FROM asked",
         "asked AS (SELECT i.*, CASE WHEN ordinal % 5 = 0 THEN 'https://api.test/x' ELSE r.base_url END AS base, CASE WHEN ordinal % 4 = 0 THEN 'slug-' || item_id ELSE item_name END AS name, CASE WHEN r.protocol IN ('ckan', 'sdmx') THEN r.protocol WHEN landing_page IS NULL THEN 'none' WHEN scraping_blocked THEN 'blocked' ELSE 'html' END AS kind FROM fx_items i LEFT JOIN fx_registry r ON r.source_id = i.source_id)"),
     "c14_check_result": q(f"SELECT '2001-08-12 00:00:00' AS check_timestamp, source_id, item_id, item_name, title, CAST(NULL AS STRING) AS organization, CASE WHEN {PAGE_OK} THEN {TAGS} ELSE tags END AS tags, CASE WHEN {PAGE_OK} THEN 'nota ' || item_id END AS notes, url AS url_checked, http_status, reachable, CASE WHEN url IS NULL THEN 'url_missing_or_invalid' END AS check_notes, granularity, year_min, year_max, format AS resource_format, enrich_method, needs_review, intake_score, (intake_score >= 40 AND NOT needs_review) AS intake_candidate FROM rc3", *RESULT),
+    "j1_stream_responses": q(f"SELECT '2001-08-12 00:00:00' AS check_timestamp, source_id, item_id, item_name, title, CAST(NULL AS STRING) AS organization, tags, notes, url AS url_checked, http_status, reachable, CASE WHEN url IS NULL THEN 'url_missing_or_invalid' END AS check_notes, granularity, year_min, year_max, resource_format, enrich_method, needs_review, intake_score, (intake_score >= 40 AND NOT needs_review) AS intake_candidate FROM js3 UNION ALL BY NAME SELECT strftime(check_timestamp, '%Y-%m-%d %H:%M:%S') AS check_timestamp, source_id, item_id, intake_score FROM fx_existing_checks i WHERE NOT ({DUE})", *STREAMED),
+    "k1_inventory_build": q(f"SELECT {SHARED}, f.*, {nothing('notes_excerpt', 'issued', 'modified', 'landing_page', 'format', 'theme')} FROM bf f JOIN fx_registry r ON r.source_id = f.source_id", *BUILT),
+    "d9_build_report": q(f"SELECT r.source_id, r.protocol, {STATUS} WHEN k IN (6, 7, 16, 20, 21, 22) THEN 'error' ELSE 'ok' END AS status, baseline_method AS method, CASE WHEN NOT {SKIP} AND k NOT IN (6, 7, 16, 20, 21, 22) THEN c.n END AS row_count, CASE WHEN NOT {SKIP} THEN CASE k WHEN 6 THEN 'invalid XML' WHEN 7 THEN 'invalid JSON' WHEN 16 THEN 'HTTP 500' WHEN 20 THEN 'package_list: HTTP 503' WHEN 21 THEN 'no rows' WHEN 22 THEN 'no bindings' END END AS error, {REASON}, "
+        "CASE k WHEN 0 THEN 'skip_current_package_list' WHEN 18 THEN 'skip_current_package_list_with_package_show_sample' WHEN 10 THEN 'fallback_current_package_list_with_resources' WHEN 15 THEN 'fallback_package_list' END AS warning, CASE k WHEN 10 THEN 'package_search: success is false' WHEN 15 THEN 'package_search: no rows' END AS package_search_error, CASE k WHEN 15 THEN 'current_package_list_with_resources: success is false' END AS current_list_error, "
+        "CASE WHEN k IN (10, 18) THEN c.rich END AS rows_enriched, CASE WHEN k IN (10, 18) THEN c.n - c.rich END AS rows_missing_metadata, CASE k WHEN 10 THEN 2 END AS failed_page, '2001-08-12 00:00:00' AS captured_at "
+        f"FROM fx_registry r LEFT JOIN (SELECT source_id, count(*) AS n, count(*) FILTER (inventory_method LIKE 'current%' OR inventory_method = 'package_show_sample') AS rich FROM bf GROUP BY 1) c ON c.source_id = r.source_id WHERE {WATCHED}", *BUILT),
+    "h3_plan_metrics": q("SELECT count(*) AS n_items, count(*) FILTER (ts IS NOT NULL) AS n_recent, count(*) FILTER (coalesce(m > ts, false)) AS n_reinspected, count(*) FILTER (ts IS NOT NULL AND NOT coalesce(m > ts, false)) AS n_skipped FROM (SELECT TRY_CAST(i.modified AS TIMESTAMP) AS m, r.check_timestamp AS ts FROM fx_items i LEFT JOIN fx_existing_checks r ON r.source_id = i.source_id AND r.item_id = i.item_id AND r.check_timestamp >= TIMESTAMP '2001-08-05 00:00:00') t"),
     "c16_isolated": q("SELECT source_id, item_id, CASE WHEN ordinal % 29 = 0 OR ordinal % 31 = 0 THEN 'error' ELSE 'ckan_package_show' END AS enrich_method, CASE WHEN ordinal % 29 = 0 THEN 'non-JSON response: <html>Request Rejected</html>' WHEN ordinal % 31 = 0 THEN 'success is false' END AS check_notes FROM fx_items"),
     "d2_with_registry": q("SELECT i.source_id, i.item_id, r.protocol, r.base_url, r.scraping_blocked FROM fx_items i LEFT JOIN fx_registry r ON r.source_id = i.source_id"),
     "d7_signal_details": q(f"""SELECT s.source, s.protocol, s.signal_type, s.result, s.metric_value,

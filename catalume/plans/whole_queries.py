@@ -7,16 +7,11 @@ from pyspark.sql import functions as F
 
 from catalume.fixtures import view
 from catalume.functions import text as T
-from catalume.operators import changes, check, inventory, radar
+from catalume.operators import build, changes, check, inventory, radar
 from catalume.plans import queries as base
 from catalume.sources import parse, tables
 
 
-def _shown(df: DataFrame) -> DataFrame:
-    """Times as text, which all engines write alike."""
-    return df.select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if kind == "timestamp" else F.col(c) for c, kind in df.dtypes])
-
-
 def _of_protocol(spark, d, df: DataFrame, protocol: str) -> DataFrame:
     return df.join(base._registry(spark, d).where(F.col("protocol") == protocol).select("source_id"), "source_id", "left_semi")
 
@@ -24,18 +19,18 @@ def _of_protocol(spark, d, df: DataFrame, protocol: str) -> DataFrame:
 def c1_ckan_inventory(spark, d):
     """Inventory rows of packages by search, in the whole schema."""
     packages = _of_protocol(spark, d, view(spark, d, "fx_ckan_packages"), "ckan")
-    return _shown(parse.inventory_rows(parse.ckan_items(packages), base._registry(spark, d), "ckan", base._now(), "package_search"))
+    return base._shown(parse.inventory_rows(parse.ckan_items(packages), base._registry(spark, d), "ckan", base._now(), "package_search"))
 
 
 def c2_names_inventory(spark, d):
     names = parse.ckan_names(_of_protocol(spark, d, base._name_pages(spark, d), "ckan"))
-    return _shown(parse.inventory_rows(names, base._registry(spark, d), "ckan", base._now(), "package_list"))
+    return base._shown(parse.inventory_rows(names, base._registry(spark, d), "ckan", base._now(), "package_list"))
 
 
 def c4_sdmx_inventory(spark, d):
     """Flows of several bodies a source; ordinals count through them."""
     flows = parse.sdmx_items(_of_protocol(spark, d, base._flows(base._items(spark, d)), "sdmx"))
-    return _shown(parse.inventory_rows(flows, base._registry(spark, d), "sdmx", base._now()))
+    return base._shown(parse.inventory_rows(flows, base._registry(spark, d), "sdmx", base._now()))
 
 
 def _sparql_registry(spark, d) -> DataFrame:
@@ -48,7 +43,7 @@ def _sparql_registry(spark, d) -> DataFrame:
 
 def c5b_sparql_inventory(spark, d):
     states = parse.group_bindings(view(spark, d, "fx_bindings"))
-    return _shown(parse.inventory_rows(parse.sparql_catalog(states), _sparql_registry(spark, d), "sparql", base._now()))
+    return base._shown(parse.inventory_rows(parse.sparql_catalog(states), _sparql_registry(spark, d), "sparql", base._now()))
 
 
 def b8_list_gate(spark, d):
@@ -75,7 +70,7 @@ def c14_check_result(spark, d):
     """Every item checked: its package's enrichment, a probe of its url, what its own texts say, and the score."""
     every = base._items(spark, d)
     heads = every.select("source_id", "item_id", F.when(F.col("reachable"), 200).otherwise(404).alias("status_code"), F.lit(None).cast("string").alias("error_class"))
-    return _shown(check.finish_check(every.drop("reachable", "enrich_method"), parse.ckan_enrich(view(spark, d, "fx_ckan_packages")), heads, base._now()))
+    return base._shown(check.finish_check(every.drop("reachable", "enrich_method"), parse.ckan_enrich(view(spark, d, "fx_ckan_packages")), heads, base._now()))
 
 
 def c10_enrich_requests(spark, d):
@@ -144,7 +139,7 @@ def a6_check_versions(spark, d):
     read = lambda df, version: spark.read.schema(tables.CHECKS).parquet(tables.write_checks(df, path, version))
     old = read(base._existing(spark, d).select("source_id", "item_id", "check_timestamp", "intake_score"), 0)
     done = base._checked(base._items(spark, d)).select("source_id", "item_id", base._now().alias("check_timestamp"), "intake_score")
-    return _shown(read(check.upsert_latest(done, old, ("source_id", "item_id")), 1))
+    return base._shown(read(check.upsert_latest(done, old, ("source_id", "item_id")), 1))
 
 
 def i5_sdmx_urls(spark, d):
@@ -152,6 +147,64 @@ def i5_sdmx_urls(spark, d):
     return base._registry(spark, d).select("source_id", T.sdmx_root(url).alias("root"), T.sdmx_data_url(url, flow).alias("data_url"), T.sdmx_flow_url(url, flow).alias("flow_url"))
 
 
+def _build_registry(spark, d) -> DataFrame:
+    """The registry, of which two CKAN sources do without the current list, one of them with a sample of packages."""
+    k = F.col("k")
+    return base._registry(spark, d).withColumns({"skip_current_list": k.isin(0, 18), "package_show_sample": k == 18})
+
+
+def _build_responses(spark, d) -> DataFrame:
+    """Landed responses of all protocols, in pages. CKAN: search answers for sources 3 and 13, is empty for 15 and fails for the others; the list fails for 20; the current list times out on page 2 for 10
+    and fails for 15; packages are shown for 18, some not. SDMX: malformed bodies for 6, a status for 16, nothing for 21. SPARQL: a page instead of JSON for 7, no bindings for 22."""
+    k, n = F.col("k"), F.col("ordinal")
+    items = base._items(spark, d).join(base._registry(spark, d).select("source_id", "k", "protocol", "base_url"), "source_id")
+    ckan, api = items.where("protocol = 'ckan'"), F.regexp_replace("base_url", "/package_list.*", "")
+    ok, json = F.lit(200), F.lit("application/json")
+    blank = lambda kind: F.lit(None).cast(kind)
+    row = lambda df, url, page, status, body, kind=json, error=None, item=None: df.select("source_id", (blank("string") if item is None else item).alias("item_id"), url.alias("url"), F.lit("GET").alias("method"), page.cast("int").alias("page"), status.cast("int").alias("status_code"), kind.alias("content_type"), blank("map<string,string>").alias("headers"), body.alias("body"), (blank("string") if error is None else error).alias("error_class"), base._now().alias("fetched_at"))
+    url = lambda action: F.concat(api, F.lit(f"/{action}?x=1"))
+    page = F.floor((n - 1) / 20) + 1
+    package = lambda id: F.struct(F.col(id).alias("id"), F.col("item_name").alias("name"), "title", F.lit("Autore").alias("author"), F.array("tags").alias("tags"))
+    paged = lambda df, element: df.groupBy("source_id", "k", "base_url", page.alias("page")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", element.alias("e")))), lambda x: x["e"]).alias("list"))
+    body = lambda *path: F.to_json(F.struct(F.lit(True).alias("success"), (F.struct(F.col("list").alias(path[1])) if len(path) > 1 else F.col("list")).alias(path[0])))
+    sources, one = ckan.select("source_id", "k", "base_url").distinct(), F.lit(1)
+    current = "current_package_list_with_resources"
+    shown = F.to_json(F.struct((n % 50 != 1).alias("success"), F.struct(F.col("item_name").alias("name"), F.concat(F.lit("Mostra "), "item_id").alias("title")).alias("result")))
+    sdmx = base._flows(items.where("k in (1, 6)")).join(items.select("source_id", "k", "base_url").distinct(), "source_id")
+    binding = lambda c: F.when(c.isNotNull(), F.struct(c.alias("value")))
+    bound = F.struct(binding(F.concat(F.lit("https://example.test/d/"), "item_id")).alias("dataset"), binding(F.col("title")).alias("title"), binding(F.col("distribution_url")).alias("distributionURL"))
+    sparql = items.where("k = 2").groupBy("source_id", "base_url", F.floor((n - 1) / 100).alias("page")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", bound.alias("e")))), lambda x: x["e"]).alias("bindings"))
+    others, address = items.select("source_id", "k", "base_url").distinct(), F.col("base_url")
+    return inventory.union_sources(
+        row(paged(ckan.where("k in (3, 13)"), package("item_id")), url("package_search"), F.col("page"), ok, body("result", "results")),
+        row(sources.where("k not in (3, 13)"), url("package_search"), one, ok, F.when(k == 15, '{"success":true,"result":{"results":[]}}').otherwise('{"success":false}')),
+        row(paged(ckan.where("k <> 20"), F.col("item_name")), url("package_list"), F.col("page"), ok, body("result")),
+        row(sources.where("k = 20"), url("package_list"), one, F.lit(503), blank("string")),
+        row(paged(ckan.where((k != 15) & (n % 2 == 0) & ((k != 10) | (page == 1))), package("item_name")), url(current), F.col("page"), ok, body("result")),
+        row(sources.where("k = 10"), url(current), F.lit(2), blank("int"), blank("string"), error=F.lit("timeout")),
+        row(sources.where("k = 15"), url(current), one, ok, F.lit('{"success":false}')),
+        row(ckan.where((k == 18) & (n % 25 == 1)), url("package_show"), one, ok, shown, item=F.col("item_name")),
+        row(sdmx.where("k = 6 or start % 2 = 0"), address, F.col("start") + 1, ok, F.col("body"), F.lit("text/xml")),
+        row(others.where("k = 16"), address, one, F.lit(500), blank("string"), blank("string")),
+        row(sparql, address, F.col("page") + 1, ok, F.to_json(F.struct(F.struct("bindings").alias("results")))),
+        row(others.where("k in (7, 22)"), address, one, ok, F.when(k == 7, "<html>").otherwise('{"results":{}}')),
+    )
+
+
+def _built(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Responses land with their bodies parsed; the inventory is built from what has landed."""
+    landed = base._scratch(spark, "landed")
+    parse.land(_build_responses(spark, d), landed)
+    return build.build_inventory(spark, _build_registry(spark, d), spark.read.parquet(landed), base._scratch(spark, "build"), base._now(), buckets=8)
+
+
+def h3_plan_metrics(spark, d):
+    """What the plan of checks counts as it is written: items, those checked lately, those checked again as they were modified since, and those left out."""
+    plan, seen = check.observed_plan(base._items(spark, d), base._existing(spark, d), base._now(), keys=("source_id", "item_id"))
+    plan.write.parquet(base._scratch(spark, "plan"))
+    return spark.createDataFrame([tuple(seen.get.values())], ", ".join(f"{c} long" for c in seen.get))
+
+
 WHOLE = {
     "a1_registry_roundtrip": a1_registry_roundtrip,
     "a2_responses_roundtrip": a2_responses_roundtrip,
@@ -168,17 +221,20 @@ WHOLE = {
     "c10_enrich_requests": c10_enrich_requests,
     "c14_check_result": c14_check_result,
     "c16_isolated": base.c16_isolated,
+    "k1_inventory_build": lambda s, d: base._shown(_built(s, d)[0]),
+    "d9_build_report": lambda s, d: base._shown(_built(s, d)[1]),
     "d2_with_registry": lambda s, d: parse.with_registry(base._items(s, d).select("source_id", "item_id"), base._registry(s, d), "protocol", "base_url", "scraping_blocked"),
     "d7_signal_details": lambda s, d: changes.signal_details(base._report(s, d, "cur"), base._report(s, d, "prev")),
     "d8_observed_compare": d8_observed_compare,
     "e1_full_report": e1_full_report,
     "e2_category_counts": lambda s, d: radar.category_counts(base._registry(s, d), base._source_probe(s, d)),
     "e6_named_summary": lambda s, d: parse.sparql_summary(view(s, d, "fx_bindings"), _sparql_registry(s, d)),
-    "e7_sources_checked": lambda s, d: _shown(changes.sources_checked(base._report(s, d, "cur"), T.run_ts(base._now()))),
+    "e7_sources_checked": lambda s, d: base._shown(changes.sources_checked(base._report(s, d, "cur"), T.run_ts(base._now()))),
     "e11_sample_warning": e11_sample_warning,
     "g3_ordered_diff": lambda s, d: changes.ordered(changes.report_diff(base._report(s, d, "prev"), base._report(s, d, "cur"))),
+    "h3_plan_metrics": h3_plan_metrics,
     "i5_sdmx_urls": i5_sdmx_urls,
-    "i14_run_ts": lambda s, d: _shown(s.read.parquet(f"{d}/events.parquet").select("event_id", T.run_ts(F.col("ts").cast("timestamp")).alias("run_ts"))),
+    "i14_run_ts": lambda s, d: base._shown(s.read.parquet(f"{d}/events.parquet").select("event_id", T.run_ts(F.col("ts").cast("timestamp")).alias("run_ts"))),
     "i17_inventory_settings": lambda s, d: inventory.with_settings(base._registry(s, d)).select("source_id", *inventory.SETTINGS),
     "r8_lines_with_datasets": lambda s, d: radar.source_lines(_noted(s, d), _detailed(s, d)),
     "r9_note_details": lambda s, d: radar.source_notes(_noted(s, d), _detailed(s, d)),

@@ -6,76 +6,110 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from catalume.functions.text import UNKNOWN, bound, ckan_api_base, ckan_endpoint, first_given, given, granularity, parse_int, sdmx_base, sdmx_flow_url, stripped, uri_name, year_max, year_min, years
+from catalume.functions.text import CKAN_ACTIONS, UNKNOWN, bound, ckan_api_base, ckan_endpoint, first_given, given, granularity, parse_int, sdmx_base, sdmx_flow_url, stripped, uri_name, year_max, year_min, years
 
 # Extensions in the order in which they are looked for.
 HTML_FORMATS = ("csv", "json", "xlsx", "xls", "xml", "zip", "pdf")
 HTML_BYTES = 200_000
-PACKAGE = """struct<success boolean, result struct<id string, name string, title string, author string, maintainer string, notes string,
-organization struct<title string, name string>, tags array<string>, groups array<struct<display_name string, name string>>,
-resources array<struct<url string, format string>>, extras array<struct<key string, value string>>>>""".replace("\n", " ")
+PACKAGE = """struct<id string, name string, title string, author string, maintainer string, notes string, organization struct<title string, name string>, tags array<variant>,
+groups array<struct<display_name string, name string>>, resources array<struct<url string, format string>>, extras array<struct<key string, value string>>>""".replace("\n", " ")
+
+
+def with_doc(responses: DataFrame) -> DataFrame:
+    """responses with `doc`, their body as VARIANT (null if it is no JSON), unless they were landed with it: what follows reads doc, so a body is parsed once."""
+    return responses if "doc" in responses.columns else responses.withColumn("doc", F.try_parse_json(F.col("body")))
+
+
+def land(responses: DataFrame, path: str) -> None:
+    """Write responses with their bodies parsed, as with_doc gives them, where read_landed finds them."""
+    with_doc(responses).write.parquet(path)
 
 
 def ckan_payload_status(df: DataFrame, rows: str | None = None) -> DataFrame:
-    """payload: ok, or why a body (content_type, body) is not usable, with a preview. rows: the JSON path of a list that the body has to hold and that has to have rows."""
-    preview = F.left(F.regexp_replace("body", r"\s+", " "), F.lit(200))
-    parsed = F.try_parse_json(F.col("body"))
-    success = F.try_variant_get(parsed, "$.success", "boolean")
-    status = F.when(~F.coalesce(F.lower("content_type").contains("json"), F.lit(False)), F.concat(F.lit("non-JSON response: "), preview)).when(parsed.isNull(), F.concat(F.lit("invalid JSON: "), preview)).when(~F.coalesce(success, F.lit(False)), "success is false")
+    """payload: ok, or why a body (content_type, body, perhaps doc) is not usable, with a preview. rows: the JSON path of a list that the body has to hold and that has to have rows."""
+    df = df if "doc" in df.columns else with_doc(df)
+    preview, doc = F.left(F.regexp_replace("body", r"\s+", " "), F.lit(200)), F.col("doc")
+    success = F.try_variant_get(doc, "$.success", "boolean")
+    status = F.when(~F.coalesce(F.lower("content_type").contains("json"), F.lit(False)), F.concat(F.lit("non-JSON response: "), preview)).when(doc.isNull(), F.concat(F.lit("invalid JSON: "), preview)).when(~F.coalesce(success, F.lit(False)), "success is false")
     if rows is not None:
-        found = F.try_variant_get(parsed, rows, "array<variant>")
+        found = F.try_variant_get(doc, rows, "array<variant>")
         status = status.when(found.isNull(), "result is not a list").when(F.size(found) == 0, "no rows")
     return df.withColumn("payload", status.otherwise("ok"))
 
 
 def _package(df: DataFrame) -> DataFrame:
+    """df with the package of each usable body."""
     usable = ckan_payload_status(df)
-    return usable.withColumn("p", F.when(F.col("payload") == "ok", F.from_json("body", PACKAGE)["result"]))
+    return with_package(usable.withColumn("package", F.when(F.col("payload") == "ok", F.col("doc"))), "package", "$.result")
+
+
+def with_package(df: DataFrame, column: str, path: str = "$", outer: bool = False) -> DataFrame:
+    """df with p, the package in a VARIANT column, and tag_names, the names of its tags; rows without a package go, unless outer."""
+    out = df.withColumn("p", F.try_variant_get(column, path, PACKAGE))
+    return (out if outer else out.where("p is not null")).withColumn("tag_names", tag_names(F.col("p.tags")))
 
 
 def tag_names(tags: Column) -> Column:
-    """Names of tags that are strings, or objects with display_name or name."""
-    name = lambda x: F.when(x.startswith("{"), first_given(F.get_json_object(x, "$.display_name"), F.get_json_object(x, "$.name"))).otherwise(given(x))
+    """Names of tags (VARIANT) that are strings, or objects with display_name or name."""
+    of = lambda x, path: F.try_variant_get(x, path, "string")
+    name = lambda x: F.when(F.schema_of_variant(x).startswith("OBJECT"), first_given(of(x, "$.display_name"), of(x, "$.name"))).when(F.schema_of_variant(x) == "STRING", given(stripped(of(x, "$"))))
     return F.filter(F.transform(tags, name), lambda x: x.isNotNull())
 
 
+def package_columns(item_id: Column | None = None) -> list[Column]:
+    """Columns of INVENTORY that a package (p, with tag_names) tells; item_id, if it is known otherwise."""
+    p = F.col("p")
+    return [(first_given(p["id"], p["name"]) if item_id is None else item_id).alias("item_id"), first_given(p["name"], p["id"]).alias("item_name"), given(p["name"]).alias("item_slug"), given(p["title"]).alias("title"), first_given(p["organization"]["title"], p["organization"]["name"], p["author"], p["maintainer"]).alias("organization"), F.array_join("tag_names", ", ").alias("tags"), F.left(stripped(p["notes"]), F.lit(300)).alias("notes_excerpt")]
+
+
 def ckan_items(packages: DataFrame) -> DataFrame:
     """One inventory row per usable package body."""
-    df, p = _package(packages).where("p is not null"), F.col("p")
-    return df.select("source_id", first_given(p["id"], p["name"]).alias("item_id"), first_given(p["name"], p["id"]).alias("item_name"), given(p["name"]).alias("item_slug"), given(p["title"]).alias("title"), first_given(p["organization"]["title"], p["organization"]["name"], p["author"], p["maintainer"]).alias("organization"), F.array_join(tag_names(p["tags"]), ", ").alias("tags"), F.left(stripped(p["notes"]), F.lit(300)).alias("notes_excerpt"), "ordinal")
+    return _package(packages).select("source_id", *package_columns(), "ordinal")
 
 
 def ckan_enrich(packages: DataFrame) -> DataFrame:
     """Per usable package: first http resource, combined text's granularity, years from extras, else from the text; and title, tags and notes (300 characters) as the package has them."""
-    df, p = _package(packages).where("p is not null"), F.col("p")
+    df, p = _package(packages), F.col("p")
     resource = F.get(F.filter(p["resources"], lambda r: r["url"].startswith("http")), F.lit(0))
     groups = F.array_join(F.filter(F.transform(p["groups"], lambda g: first_given(g["display_name"], g["name"])), lambda x: x.isNotNull()), " ")
-    text = F.concat_ws(" ", given(p["title"]), groups, F.array_join(tag_names(p["tags"]), " "), F.left(p["notes"], F.lit(500)))
+    text = F.concat_ws(" ", given(p["title"]), groups, F.array_join("tag_names", " "), F.left(p["notes"], F.lit(500)))
     extra = lambda *keys: first_given(*[F.get(F.reverse(F.transform(F.filter(p["extras"], lambda e: e["key"] == k), lambda e: e["value"])), F.lit(0)) for k in keys])
     start, end = extra("temporal_coverage_from", "issued"), extra("temporal_coverage_to", "modified")
     said = lambda t: bound(years(t), lambda y: F.struct(granularity(t).alias("granularity"), F.array_min(y).alias("first"), F.array_max(y).alias("last")))
-    texts = {"enriched_title": given(p["title"]), "enriched_tags": given(F.array_join(tag_names(p["tags"]), ", ")), "enriched_notes": given(F.left(stripped(p["notes"]), F.lit(300)))}
+    texts = {"enriched_title": given(p["title"]), "enriched_tags": given(F.array_join("tag_names", ", ")), "enriched_notes": given(F.left(stripped(p["notes"]), F.lit(300)))}
     found = df.select("source_id", "item_id", given(resource["url"]).alias("resource_url"), given(resource["format"]).alias("resource_format"), bound(text, said).alias("said"), year_min(start).alias("start"), year_max(end).alias("end"), *[c.alias(name) for name, c in texts.items()])
     return found.select("source_id", "item_id", "resource_url", "resource_format", "said.granularity", F.coalesce("start", "said.first").alias("year_min"), F.coalesce("end", "said.last").alias("year_max"), F.lit("ckan_package_show").alias("enrich_method"), *texts)
 
 
+def numbered(df: DataFrame, lists: Column, start: str | None) -> DataFrame:
+    """source_id, start (if there is one), item and ordinal of each element of lists, numbered through a source in the order of start. Only the sizes of the lists meet by source, not the lists."""
+    keys = ["source_id"] if start is None else ["source_id", start]
+    rows = df.select(*keys, lists.alias("list"))
+    sizes = rows.groupBy(*keys).agg(F.sum(F.greatest(F.size("list"), F.lit(0))).alias("n"))
+    order = W.partitionBy("source_id").orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
+    if start is None:
+        return rows.select("source_id", F.posexplode("list").alias("at", "item")).select("source_id", "item", (F.col("at") + 1).cast("int").alias("ordinal"))
+    before = sizes.select(*keys, F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    return rows.select(*keys, F.posexplode("list").alias("at", "item")).join(before, keys).select(*keys, "item", (F.col("before") + F.col("at") + 1).cast("int").alias("ordinal"))
+
+
+def _names(responses: DataFrame) -> Column:
+    """Names of a list body, from its doc where it was landed with one."""
+    return F.try_variant_get("doc", "$.result", "array<string>") if "doc" in responses.columns else F.from_json("body", "struct<result array<string>>")["result"]
+
+
 def ckan_names(responses: DataFrame) -> DataFrame:
-    """Rows of package_list bodies (source_id, body, and start where a list comes in pages): names in order, numbered through each source."""
-    df = responses.withColumn("names", F.from_json("body", "struct<result array<string>>")["result"])
-    before = F.lit(0)
-    if "start" in responses.columns:
-        before = F.coalesce(F.sum(F.when(F.size("names") > 0, F.size("names")).otherwise(0)).over(W.partitionBy("source_id").orderBy("start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    rows = df.withColumn("before", before).select("source_id", "before", F.posexplode("names").alias("pos", "item_id"))
-    return rows.select("source_id", "item_id", F.col("item_id").alias("item_name"), F.col("item_id").alias("item_slug"), (F.col("before") + F.col("pos") + 1).cast("int").alias("ordinal"))
+    """Rows of package_list bodies (source_id, body or doc, and start where a list comes in pages, each once): names in order, numbered through each source."""
+    rows = numbered(responses, _names(responses), "start" if "start" in responses.columns else None)
+    return rows.select("source_id", F.col("item").alias("item_id"), F.col("item").alias("item_name"), F.col("item").alias("item_slug"), "ordinal")
 
 
 def merge_pages(pages: DataFrame, page_size: int) -> DataFrame:
     """Items of paged bodies (source_id, start, body): pages up to the first short one, numbered through."""
-    df = pages.withColumn("ids", F.from_json("body", "struct<result array<string>>")["result"]).withColumn("n", F.size("ids"))
-    last = df.groupBy("source_id").agg(F.min(F.when(F.col("n") < page_size, F.col("start"))).alias("last"))
+    df = pages.withColumn("ids", _names(pages))
+    last = df.groupBy("source_id").agg(F.min(F.when(F.size("ids") < page_size, F.col("start"))).alias("last"))
     df = df.join(last, "source_id").where(F.col("last").isNull() | (F.col("start") <= F.col("last")))
-    before = F.coalesce(F.sum("n").over(W.partitionBy("source_id").orderBy("start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("before", before).select("source_id", "before", F.posexplode("ids").alias("pos", "item_id")).select("source_id", "item_id", (F.col("before") + F.col("pos") + 1).cast("int").alias("ordinal"))
+    return numbered(df, F.col("ids"), "start").select("source_id", F.col("item").alias("item_id"), "ordinal")
 
 
 def well_formed(body: Column) -> Column:
@@ -84,20 +118,25 @@ def well_formed(body: Column) -> Column:
     return F.when(body.isNotNull() & corrupt.isNull(), body)
 
 
-#: Where the dataflows of a body lie: under the root, in SDMX 2.0 and in SDMX 2.1.
+#: Where the dataflows of a body lie: under the root, in SDMX 2.0 and in SDMX 2.1. A body that is no XML lies whole in _corrupt_record, so it need not be parsed to know that.
 FLOW = "array<struct<_id string, Name array<string>>>"
-FLOWS = f"struct<Dataflow {FLOW}, Dataflows struct<Dataflow {FLOW}>, Structures struct<Dataflows struct<Dataflow {FLOW}>>>"
+FLOWS = f"struct<Dataflow {FLOW}, Dataflows struct<Dataflow {FLOW}>, Structures struct<Dataflows struct<Dataflow {FLOW}>>, _corrupt_record string>"
 
 
-def sdmx_items(responses: DataFrame) -> DataFrame:
-    """Dataflows of XML bodies (source_id, body, and start where a list comes in several bodies): id, own first name (null if it has none or an empty one), order through the source."""
-    xml = responses.withColumn("xml", well_formed(F.col("body"))).where("xml is not null").withColumn("s", F.from_xml("xml", FLOWS, {"ignoreNamespace": "true", "nullValue": "\u0000"}))
+def flow_columns() -> list[Column]:
+    return [F.col("item._id").alias("item_id"), F.col("item._id").alias("item_name"), given(stripped(F.get("item.Name", F.lit(0)))).alias("title"), "ordinal"]
+
+
+def flow_lists(responses: DataFrame) -> DataFrame:
+    """responses with flows, the dataflows of an XML body (null if it has none), and corrupt: whether it is no XML."""
+    xml = responses.withColumn("s", F.from_xml("body", FLOWS, {"ignoreNamespace": "true", "nullValue": "\u0000", "mode": "PERMISSIVE"}))
     flows = F.flatten(F.array_compact(F.array("s.Dataflow", "s.Dataflows.Dataflow", "s.Structures.Dataflows.Dataflow")))
-    before = F.lit(0)
-    if "start" in responses.columns:
-        before = F.coalesce(F.sum(F.size("flows")).over(W.partitionBy("source_id").orderBy("start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast("int")
-    rows = xml.withColumn("flows", F.coalesce(flows, F.array().cast(FLOW))).withColumn("before", before).select("source_id", "before", F.posexplode("flows").alias("pos", "flow"))
-    return rows.select("source_id", F.col("flow._id").alias("item_id"), F.col("flow._id").alias("item_name"), given(stripped(F.get("flow.Name", F.lit(0)))).alias("title"), (F.col("before") + F.col("pos") + 1).alias("ordinal"))
+    return xml.withColumns({"corrupt": F.col("body").isNull() | F.col("s._corrupt_record").isNotNull(), "flows": flows}).drop("s")
+
+
+def sdmx_items(responses: DataFrame) -> DataFrame:
+    """Dataflows of XML bodies (source_id, body, and start where a list comes in several bodies, each once): id, own first name (null if it has none or an empty one), order through the source."""
+    return numbered(flow_lists(responses).where("not corrupt"), F.col("flows"), "start" if "start" in responses.columns else None).select("source_id", *flow_columns())
 
 
 def _keys(df: DataFrame) -> list[str]:
@@ -148,20 +187,29 @@ def sparql_bindings(responses: DataFrame) -> DataFrame:
     return df.withColumn("distribution_count", parse_int(F.col("distribution_count")))
 
 
+SINGLES, LISTS = ("title", "description", "publisher", "issued", "modified", "landing_page"), ("url", "format", "theme")
+
+
 def group_bindings(bindings: DataFrame) -> DataFrame:
-    """One state per dataset of flat bindings (source_id, pos and columns of BINDINGS, those that are not there count as null): first given values, lists without repeats in order."""
-    first = lambda c: F.min_by(c, F.when(c.isNotNull(), F.col("pos")))
-    unique = lambda c: F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(c.isNotNull(), F.struct("pos", c.alias("v"))))), lambda x: x["v"]))
+    """One state per dataset of flat bindings (source_id, pos and columns of BINDINGS, those that are not there count as null): first given values, lists without repeats in order.
+
+    Bindings of a dataset that share url, format and theme are reduced to one row before they are sent anywhere, and these rows to lists by dataset: a dataset of many bindings and few
+    values is small by the time it is gathered, and never gathered in one task before.
+    """
     text = lambda c: given(stripped(F.col(c))) if c in bindings.columns else F.lit(None).cast("string")
     url = first_given(*[text(c) for c in ("distribution_url", "download_url", "access_url", "distribution")])
-    singles = [first(text(c)).alias(c) for c in ("title", "description", "publisher", "issued", "modified", "landing_page")]
-    return bindings.where("dataset is not null").groupBy("source_id", "dataset").agg(F.min("pos").alias("first_pos"), *singles, first(F.col("distribution_count")).alias("distribution_count"), unique(url).alias("urls"), unique(text("format")).alias("formats"), unique(text("theme")).alias("themes"))
+    count = F.col("distribution_count") if "distribution_count" in bindings.columns else F.lit(None).cast("int")
+    flat = bindings.where("dataset is not null").select("source_id", "dataset", "pos", url.alias("url"), text("format").alias("format"), text("theme").alias("theme"), count.alias("distribution_count"), *[text(c).alias(c) for c in SINGLES])
+    first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct("pos", F.col(c).alias("v")))).alias(c)
+    alike = flat.groupBy("source_id", "dataset", *LISTS).agg(F.min("pos").alias("pos"), *[first(c) for c in (*SINGLES, "distribution_count")])
+    unique = lambda c: F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("pos", F.col(c).alias("v"))))), lambda x: x["v"])).alias(f"{c}s")
+    return alike.groupBy("source_id", "dataset").agg(F.min("pos").alias("first_pos"), *[F.min(c)["v"].alias(c) for c in (*SINGLES, "distribution_count")], *[unique(c) for c in LISTS])
 
 
 def sparql_items(states: DataFrame) -> DataFrame:
     """Inventory rows of grouped states."""
     count = F.coalesce("distribution_count", F.when(F.size("urls") > 0, F.size("urls")))
-    return states.select("source_id", F.col("dataset").alias("item_id"), uri_name(F.col("dataset")).alias("item_name"), "title", F.get("urls", F.lit(0)).alias("distribution_url"), count.alias("distribution_count"), F.array_join("formats", ", ").alias("format"), F.array_join("themes", ", ").alias("theme"))
+    return states.select("source_id", F.col("dataset").alias("item_id"), uri_name(F.col("dataset")).alias("item_name"), "title", F.get("urls", F.lit(0)).alias("distribution_url"), count.alias("distribution_count"), given(F.array_join("formats", ", ")).alias("format"), given(F.array_join("themes", ", ")).alias("theme"))
 
 
 def sparql_catalog(states: DataFrame) -> DataFrame:
@@ -201,20 +249,22 @@ def with_registry(items: DataFrame, registry: DataFrame, *columns: str) -> DataF
     return items.join(registry.select("source_id", *columns), "source_id", "left")
 
 
-def inventory_rows(items: DataFrame, registry: DataFrame, protocol: str, captured_at: Column, action: str | None = None) -> DataFrame:
+def inventory_rows(items: DataFrame, registry: DataFrame, protocol: str, captured_at: Column, action: str | Column | None = None) -> DataFrame:
     """Rows of a parser as rows of INVENTORY: what the parser does not know is null, what the registry knows is filled in.
 
-    action: the CKAN action that the rows come from; package_search is its own method, others take the baseline's.
+    action: the CKAN action that the rows come from, one for all or a column; package_list takes the baseline's method, others are their own.
     """
     need = [c for c in ("source_kind", "protocol", "base_url", "baseline_method", "sparql_endpoint") if c in registry.columns]
     df = with_registry(items.drop("source_kind", "protocol"), registry, *need)
-    method = F.lit(action) if action == "package_search" else F.coalesce(given(F.col("baseline_method")), F.lit(METHODS[protocol]))
-    url = F.col("base_url")
+    method, url = F.coalesce(given(F.col("baseline_method")), F.lit(METHODS.get(protocol))), F.col("base_url")
+    by = F.lit(action or "package_list") if not isinstance(action, Column) else action
+    method = F.when(by == "package_show", "package_show_sample").when(by != "package_list", by).otherwise(method) if protocol == "ckan" else method
+    endpoint = F.coalesce(*[F.when(by == x, ckan_endpoint(url, x)) for x in CKAN_ACTIONS])
     own = {
         "captured_at": captured_at,
         "inventory_method": method,
-        "item_kind": F.lit(KINDS[protocol]),
-        "source_url": ckan_endpoint(url, action or "package_list") if protocol == "ckan" else first_given(F.col("sparql_endpoint"), url) if "sparql_endpoint" in need and protocol == "sparql" else url,
+        "item_kind": F.lit(KINDS.get(protocol)),
+        "source_url": endpoint if protocol == "ckan" else first_given(F.col("sparql_endpoint"), url) if "sparql_endpoint" in need and protocol == "sparql" else url,
         "api_base_url": ckan_api_base(url) if protocol == "ckan" else sdmx_base(url) if protocol == "sdmx" else F.lit(None),
     }
     fields = df.sparkSession.createDataFrame([], INVENTORY).schema
@@ -263,30 +313,33 @@ def enrich_requests(items: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def enrich(items: DataFrame, registry: DataFrame, ckan: DataFrame, html: DataFrame, sdmx: DataFrame | None = None) -> DataFrame:
-    """Each item with the first of its enrichments that is there: registered ones, CKAN, SDMX, a blocked source, HTML, none."""
-    parts = ("resource_url", "resource_format", "granularity", "year_min", "year_max", "enrich_method")
-    keys = ["source_id", "item_id"]
+    """Each item with the first of its enrichments that is there: registered ones, CKAN, SDMX, a blocked source, HTML, none.
+
+    All enrichments are laid one under the other with their rank and meet the items in one aggregation by key, however many there are; only pages that know no source are joined first.
+    """
+    fields = items.sparkSession.createDataFrame([], f"e {ENRICHED}").schema["e"].dataType
+    keys, protocols = ["source_id", "item_id"], [p for p, t in (("ckan", ckan), ("sdmx", sdmx)) if t is not None]
     r = registry.select("source_id", given(F.col("protocol")).alias("registry_protocol"), _blocked(registry))
     df = items.join(r, "source_id", "left")
     if "protocol" in items.columns:  # the registry's wins over the row's
         df = df.withColumn("registry_protocol", F.coalesce("registry_protocol", "protocol"))
-    df = df.join(html.select(*_keys(html), F.col("format").alias("html_format"), F.col("enrich_method").alias("html_method")), _keys(html), "left")
-    choices = []
+    page = F.coalesce(F.col("landing_page").startswith("http"), F.lit(False))
+    scraped = html.select(*_keys(html), F.lit("html").alias("kind"), F.struct(F.lit(None).cast("string").alias("resource_url"), F.col("format").alias("resource_format"), F.lit(UNKNOWN).alias("granularity"), F.lit(None).cast("int").alias("year_min"), F.lit(None).cast("int").alias("year_max"), "enrich_method").cast(fields).alias("e"))
+    if "source_id" not in html.columns:
+        scraped = items.select(*keys).distinct().join(scraped, "item_id")
+    rows = [df.select(*keys, F.lit("item").alias("kind"), F.lit(None).cast(fields).alias("e"), "registry_protocol", page.alias("page"), F.coalesce("scraping_blocked", F.lit(False)).alias("blocked")), scraped.select(*keys, "kind", "e")]
     for k, (name, enricher) in enumerate(ENRICHERS.items()):
         extra = items.transform(enricher)
-        if (shape := extra.schema["enrich"].dataType.simpleString()) != (fixed := items.sparkSession.createDataFrame([], f"e {ENRICHED}").schema["e"].dataType.simpleString()):
-            raise ValueError(f"enricher {name} gives {shape}, not {fixed}")
-        df = df.join(extra.select(*keys, F.col("enrich").alias(f"extra_{k}")), keys, "left")
-        choices.append((F.col(f"extra_{k}").isNotNull(), F.col(f"extra_{k}")))
-    for protocol, table in (("ckan", ckan), ("sdmx", sdmx)):
-        if table is not None:
-            df = df.join(table.select(*keys, F.struct(*parts).alias(protocol)), keys, "left")
-            choices.append(((F.col("registry_protocol") == protocol) & F.col(protocol).isNotNull(), F.col(protocol)))
-    method = lambda name, kind=None: F.struct(F.lit(None).cast("string").alias("resource_url"), (F.lit(None).cast("string") if kind is None else kind).alias("resource_format"), F.lit(UNKNOWN).alias("granularity"), F.lit(None).cast("int").alias("year_min"), F.lit(None).cast("int").alias("year_max"), (F.lit(name) if isinstance(name, str) else name).alias("enrich_method"))
-    page = F.coalesce(F.col("landing_page").startswith("http"), F.lit(False))
-    scraped = F.when(F.col("html_method").isNotNull(), method(F.col("html_method"), F.col("html_format")))
-    choices += [(page & F.coalesce("scraping_blocked", F.lit(False)), method("scraping_blocked")), (page, F.coalesce(scraped, method("none")))]
-    chosen = method("none")
-    for when, what in reversed(choices):
-        chosen = F.when(when, what).otherwise(chosen)
-    return df.select("source_id", "item_id", chosen.alias("enrich"))
+        if (shape := extra.schema["enrich"].dataType.simpleString()) != fields.simpleString():
+            raise ValueError(f"enricher {name} gives {shape}, not {fields.simpleString()}")
+        rows.append(extra.select(*keys, F.lit(f"own {k}").alias("kind"), F.col("enrich").alias("e")))
+    rows += [t.select(*keys, F.lit(p).alias("kind"), F.struct(*fields.fieldNames()).cast(fields).alias("e")) for p, t in (("ckan", ckan), ("sdmx", sdmx)) if t is not None]
+    both = rows[0]
+    for more in rows[1:]:
+        both = both.unionByName(more, allowMissingColumns=True)
+    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("e"))).alias(kind)
+    own = [f"own {k}" for k in range(len(ENRICHERS))]
+    met = both.groupBy(*keys).agg(F.count_if(F.col("kind") == "item").alias("n"), F.max("registry_protocol").alias("protocol"), F.max("page").alias("page"), F.max("blocked").alias("blocked"), *[of(k) for k in (*own, *protocols, "html")])
+    nothing = lambda name: F.struct(*[(F.lit({"granularity": UNKNOWN, "enrich_method": name}.get(c)).cast(fields[c].dataType)).alias(c) for c in fields.fieldNames()])
+    chosen = F.coalesce(*[F.col(f"`{k}`") for k in own], *[F.when(F.col("protocol") == p, F.col(p)) for p in protocols], F.when(F.col("page") & F.col("blocked"), nothing("scraping_blocked")), F.when(F.col("page"), F.col("html")), nothing("none"))
+    return met.where("n > 0").select(*keys, F.explode(F.array_repeat(chosen, F.col("n").cast("int"))).alias("enrich"))

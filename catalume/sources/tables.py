@@ -30,8 +30,12 @@ def read_snapshot(spark: SparkSession, path: str, schema: str | None = None) ->
 
 
 def write_inventory(items: DataFrame, path: str) -> None:
-    """One folder per source; only the folders of sources in items are replaced."""
-    items.write.partitionBy("source_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    """One folder per source; only the folders of sources in items are replaced.
+
+    Rows are dealt out by source, but a source that is larger than spark.sql.adaptive.advisoryPartitionSizeInBytes to several tasks and small ones to one: there are about as many files as sources and that
+    size demand, however many tasks there were and however unlike the sources are.
+    """
+    items.hint("rebalance", "source_id").write.partitionBy("source_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -1,67 +1,114 @@
-"""Source checks as a stream: every batch of landed responses is parsed, scored and upserted into the table of checks."""
+"""Source checks as a stream: landed responses are kept by kind, parsed and scored as they come, and upserted into the table of checks (J1, D5).
+
+Two tables of `sources.versions` stand behind it: the last response of each kind of every item, which is the state between batches, and the
+checks. A batch merges its responses into the first, takes all that is known of the items that it touches, and merges their checks
+into the second. As both merges go by time and rewrite only the buckets they touch, the checks follow from which responses have landed, not from how
+they were split into files or in which order they came, and a batch that is repeated after a failure does no harm.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalume.operators.check import fallback_infer, head_outcome, intake_score, upsert_latest
-from catalume.sources import parse
-from catalume.sources.tables import CHECKS, RESPONSES, read_snapshot
+from catalume.operators.check import CHECK_RESULT, finish_check
+from catalume.sources import parse, versions
+from catalume.sources.tables import CHECKS, RESPONSES
 
+#: Responses of an item count as one check if they lie no further before its last one.
+ONE_CHECK = "1 day"
+BUCKETS = 64
 
-def newest(spark: SparkSession, out_dir: str) -> str:
-    """The path of the newest version of a table of checks; version 0 if there is none."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
-    return f"{out_dir}/{max([int(x) for x in names if x.isdigit()], default=0)}"
 
+def with_kind(responses: DataFrame, registry: DataFrame) -> DataFrame:
+    """RESPONSES with kind: HEAD tells whether an item is reachable; among GETs, URLs with package_show are CKAN packages, those with /data/ of an SDMX source
+    observations, other URLs of an SDMX source with /dataflow annotations, and all others landing pages."""
+    url, sdmx = F.coalesce("url", F.lit("")), F.coalesce(F.col("protocol") == "sdmx", F.lit(False))
+    kind = F.when(F.upper("method") == "HEAD", "head").when(url.contains("package_show"), "ckan").when(sdmx & url.contains("/data/"), "seen").when(sdmx & url.contains("/dataflow"), "notes").otherwise("page")
+    return parse.with_registry(responses, registry, "protocol").withColumn("kind", kind).drop("protocol")
 
-def check_responses(responses: DataFrame, items: DataFrame, registry: DataFrame) -> DataFrame:
-    """CHECKS rows of the items that responses (RESPONSES) are of, by C6 to C15. Of responses that repeat a kind for an item, the latest counts.
 
-    HEAD tells whether an item is reachable; among GETs, URLs with package_show are CKAN packages, those with /data/ of an SDMX source observations,
-    other URLs of an SDMX source with /dataflow annotations, and all others landing pages.
-    """
+def last_of_kind(responses: DataFrame, keys: tuple[str, ...] = ("source_id", "item_id")) -> DataFrame:
+    """The last response of each kind of every item; of equal times the greatest, so that it does not depend on their order."""
+    return versions.newest_row(responses.limit(0), responses, (*keys, "kind"), F.col("fetched_at"), responses.columns)
+
+
+def check_kinds(last: DataFrame, items: DataFrame, registry: DataFrame, window: str = ONE_CHECK) -> DataFrame:
+    """Rows of CHECK_RESULT of the items that `last` (of last_of_kind) tells of, by C6 to C16, stamped with the time of their last response. What was fetched more than window before it is of an earlier check and does not count."""
     keys = ["source_id", "item_id"]
-    url, sdmx = F.coalesce("url", F.lit("")), F.coalesce(F.col("protocol") == "sdmx", F.lit(False))
-    kind = F.when(F.upper("method") == "HEAD", "head").when(url.contains("package_show"), "ckan").when(sdmx & url.contains("/data/"), "seen").when(sdmx & url.contains("/dataflow"), "notes").otherwise("page")
-    parts = ("url", "status_code", "content_type", "body", "error_class")
-    landed = responses.select(*keys, "method", *parts, "fetched_at").join(registry.select("source_id", "protocol"), "source_id", "left").withColumn("kind", kind)
-    last = landed.groupBy(*keys, "kind").agg(F.max_by(F.struct(*parts), F.struct("fetched_at", *parts)).alias("r"), F.max("fetched_at").alias("fetched_at"))
-    of = lambda k: last.where(F.col("kind") == k).select(*keys, "r.*")
-    touched = last.groupBy(*keys).agg(F.max("fetched_at").alias("check_timestamp")).join(items, keys, "left")
+    times = last.groupBy(*keys).agg(F.max("fetched_at").alias("checked_at"))
+    now = F.coalesce(F.col("fetched_at") >= F.col("checked_at") - F.expr(f"interval {window}"), F.col("checked_at").isNull())
+    used = last.join(times, keys).where(now)
+    of = lambda k: used.where(F.col("kind") == k).select(*keys, "url", "status_code", "content_type", "body", "error_class")
+    known = items.drop("reachable", "enrich_method", "granularity", "year_min", "year_max")
+    known = known.withColumns({c: F.lit(None).cast("string") for c in ("landing_page", "distribution_url") if c not in known.columns})
+    touched = times.join(known, keys, "left")
     pages = parse.html_format(of("page").select(F.struct(*keys).alias("page_id"), "url", "status_code", F.col("body").alias("html"))).select("page_id.*", "enrich_method", "format")
-    found = parse.enrich(touched, registry, parse.ckan_enrich(of("ckan").where("status_code = 200")), pages, parse.sdmx_enrich(of("notes"), of("seen")))
-    heads = head_outcome(of("head")).select(*keys, F.col("reachable").alias("answered"))
-    own = touched.drop("reachable", "enrich_method", "granularity", "year_min", "year_max")
-    df = own.join(found, keys).join(heads, keys, "left").select(*own.columns, "enrich.granularity", "enrich.year_min", "enrich.year_max", "enrich.enrich_method", F.coalesce("enrich.resource_format", "format").alias("resource_format"), F.coalesce("answered", F.lit(False)).alias("reachable"))
-    return intake_score(fallback_infer(df)).select("source_id", "item_id", "check_timestamp", "intake_score")
+    packages = parse.ckan_enrich(of("ckan").where("status_code = 200"))
+    found = parse.enrich(touched, registry, packages, pages, parse.sdmx_enrich(of("notes"), of("seen"))).select(*keys, "enrich.*")
+    texts = packages.select(*keys, *[F.col(c).alias(f"own_{c}") for c in ("enriched_title", "enriched_tags", "enriched_notes")])
+    mine = F.col("enrich_method") == "ckan_package_show"
+    enriched = found.join(texts, keys, "left").select(*found.columns, *[F.when(mine, F.col(f"own_{c}")).alias(c) for c in ("enriched_title", "enriched_tags", "enriched_notes")])
+    return finish_check(touched, enriched, of("head").select(*keys, "status_code", "error_class"), F.col("checked_at"))
 
 
-def stream_responses(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, items: DataFrame, registry: DataFrame, start: DataFrame | None = None, keys: tuple[str, ...] = ("item_id",)) -> str:
-    """stream_checks over landed responses. All responses of one check of an item land in one file, so that a batch has them together."""
-    return stream_checks(spark, in_dir, out_dir, checkpoint, start, keys, RESPONSES, lambda x: check_responses(x, items, registry))
+def check_responses(responses: DataFrame, items: DataFrame, registry: DataFrame, window: str = ONE_CHECK) -> DataFrame:
+    """CHECK_RESULT rows of the items that responses (RESPONSES) are of."""
+    return check_kinds(last_of_kind(with_kind(responses, registry)), items, registry, window)
 
 
-def stream_checks(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, start: DataFrame | None = None, keys: tuple[str, ...] = ("item_id",), schema: str = CHECKS, score: Callable[[DataFrame], DataFrame] | None = None) -> str:
-    """Work off what has landed in in_dir and stop; the path of the latest version of the table.
+def _incoming(keys: tuple[str, ...], columns: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """Merging of checks: the latest of each key stays; of equal times that of the batch, which knows more."""
+    return lambda old, new: versions.newest_row(old, new, keys, F.col("check_timestamp"), columns)
 
-    Batch n reads version n and writes version n + 1, so a batch that is repeated after a failure does no harm. The greatest
-    check_timestamp wins, so the order of arrival does not matter.
-    """
-    if start is not None:
-        start.write.mode("overwrite").parquet(f"{out_dir}/0")
 
-    def upsert(batch: DataFrame, n: int) -> None:
-        old = read_snapshot(spark, f"{out_dir}/{n}", CHECKS)
-        latest = upsert_latest(score(batch) if score else batch, old.limit(0), keys)
-        newer = latest.alias("b").join(old.select(*keys, old["check_timestamp"].alias("held")), list(keys), "left").where("held is null or check_timestamp >= held").drop("held")
-        upsert_latest(newer, old, keys).write.mode("overwrite").parquet(f"{out_dir}/{n + 1}")
+def _seen() -> dict[str, Column]:
+    """What a merge of checks observes of the rows that it writes."""
+    return {f"n_{c}": F.count_if(F.coalesce(c, F.lit(False))) for c in ("reachable", "needs_review", "intake_candidate")}
 
-    query = spark.readStream.schema(schema).parquet(in_dir).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+def _table(spark: SparkSession, path: str, keys: tuple[str, ...], schema: str, start: DataFrame | None, buckets: int) -> None:
+    """Create the table, with the rows of start, unless it is there."""
+    if versions.version(spark, path) is None:
+        fields = spark.createDataFrame([], schema)
+        versions.create(fields if start is None else fields.unionByName(start, allowMissingColumns=True).select(*fields.columns), path, keys, buckets)
+
+
+def _run(spark: SparkSession, in_dir: str, schema: str, checkpoint: str, upsert: Callable[[DataFrame, int], None], files: int | None) -> None:
+    source = spark.readStream.schema(schema)
+    source = source if files is None else source.option("maxFilesPerTrigger", files)
+    query = source.parquet(in_dir).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return newest(spark, out_dir)
+
+
+def stream_responses(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, items: DataFrame, registry: DataFrame, start: DataFrame | None = None, keys: tuple[str, ...] = ("source_id", "item_id"), window: str = ONE_CHECK, buckets: int = BUCKETS, files: int | None = None) -> DataFrame:
+    """Work off the RESPONSES that have landed in in_dir and stop: the table of checks (CHECK_RESULT, one row a key). start: earlier checks, used where there is no table yet.
+
+    Responses of a check may land in any files, in any order. files: how many of them a batch takes at most. Without anything new the table stays as it is. The checkpoint names the stream, and with it which batches are in the tables.
+    """
+    state, checks = f"{out_dir}/responses", f"{out_dir}/checks"
+    _table(spark, state, ("source_id", "item_id"), f"{RESPONSES}, kind string", None, buckets)
+    _table(spark, checks, keys, CHECK_RESULT, start, buckets)
+
+    def upsert(batch: DataFrame, n: int) -> None:
+        landed = with_kind(batch, registry)
+        item = ("source_id", "item_id", "kind")
+        v = versions.merge(spark, state, landed, lambda old, new: versions.newest_row(old, new, item, F.col("fetched_at"), landed.columns, new_wins=False), checkpoint, n)
+        touched = batch.select("source_id", "item_id").distinct()
+        where = [r["b"] for r in touched.select(versions.bucket_of(v).alias("b")).distinct().collect()]  # at most `buckets`
+        known = versions.rows(spark, state, v.number, where).join(touched, ["source_id", "item_id"], "left_semi")
+        done = check_kinds(known, items, registry, window)
+        versions.merge(spark, checks, done, _incoming(keys, done.columns), checkpoint, n, _seen())
+
+    _run(spark, in_dir, RESPONSES, checkpoint, upsert, files)
+    return versions.rows(spark, checks)
+
+
+def stream_checks(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, start: DataFrame | None = None, keys: tuple[str, ...] = ("item_id",), buckets: int = BUCKETS, files: int | None = None) -> DataFrame:
+    """Work off the CHECKS that have landed in in_dir and stop: the table of checks, of which the latest of each key stays, whatever the order of arrival. start: as in stream_responses."""
+    _table(spark, out_dir, keys, CHECKS, start, buckets)
+    columns = spark.createDataFrame([], CHECKS).columns
+    _run(spark, in_dir, CHECKS, checkpoint, lambda batch, n: versions.merge(spark, out_dir, batch, _incoming(keys, columns), checkpoint, n) and None, files)
+    return versions.rows(spark, out_dir)
