@@ -4,14 +4,15 @@ The page becomes a tree of blocks. Each paragraph-like block gives points for it
 grandparent; points are discounted by the share of text in links. The container with most points is raised to the article or main that it lies in, or else to what
 holds most of the page's points: points reach two levels only, so a long section beats the article around it. It and siblings of it that read
 like text are the article. Menus, headers, footers, sidebars, notices, adverts, forms, comments and what is not
-shown are left out by tag and role, and by name where the node does not hold most of the page. A page is worked on alone, by a small parser over its whole html.
+shown are left out by tag and role, and by name: a whole class or id, or one put together of such names and words of place, and only where the node does not hold most of the page. Inside an
+article a name that is put together counts only if the node is links for the most part. Reader comments go as long as anything else is left. A page is worked on alone, by a small parser over its whole html.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +30,10 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag closes open elements of these names that it cannot lie in, up to the nearest of SCOPE.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPE = frozenset("ul ol dl table select body html article section div main".split())
-BOILERPLATE = re.compile(r"(?<![a-z])(ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|header|masthead|menu|modal|nav\w*|newsletter|notice|pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|skip|social|sponsor\w*|subscribe|toolbar|widget)(?![a-z])")
+RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
+#: What names say that a node is no part of the article, and words that may stand beside them: where it is, what it is made of.
+BOILERPLATE = re.compile(r"ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|consent|disqus|footer|header|masthead|menu|modal|nav\w*|newsletter|notice|pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|skip|skiplinks?|social|sponsor\w*|subscribe|toolbar|widgets?")
+BESIDE = frozenset("site page main top bottom left right primary secondary global container wrapper wrap box bar area section block links link inner outer fixed sticky mobile desktop button buttons icons form thread slot unit overlay signup sign up policy trail posts articles stories news user reader view region column col row group area text content body title to it".split())
 HEADS = frozenset("banner header masthead".split())
 REMARKS = frozenset("comment comments commentlist disqus replies respond".split())
 #: What stands before a name that says what a node has, or lacks, and not what it is.
@@ -53,14 +57,77 @@ class Node:
         self.points = self.gains = self.size = self.linked = 0.0
 
 
-class Tree(HTMLParser):
-    """The page as a tree. What is open is counted by tag, so that no tag makes it look through all that is open: time is linear in the page."""
+TAG, ATTRIBUTE, GAP = re.compile(r"[a-zA-Z][^\s/>]*+"), re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:([\"'])|([^\s>]*+)))?"), re.compile(r"[\s/]*+")
+RAW_END = {x: re.compile(rf"</{x}(?=[\s/>])", re.I) for x in RAW}
+
+
+class Tree:
+    """The page as a tree, read from left to right: what never closes - a tag, a quote, a comment, a script - ends the page, as browsers have it, so nothing is looked for twice.
+
+    What is open is counted by tag, so that no tag makes it look through all that is open: time is linear in the page.
+    """
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
         self.open: dict[str, int] = defaultdict(int)
 
+    def feed(self, html: str) -> None:
+        at = 0
+        while (start := html.find("<", at)) >= 0:
+            if start > at:
+                self.handle_data(unescape(html[at:start]))
+            two = html[start + 1 : start + 3]
+            if html.startswith("<!--", start):
+                end = html.find("-->", start + 2)  # <!--> is one, too
+                at = end + 3
+            elif two[:1] in ("!", "?"):
+                end = html.find(">", start)
+                at = end + 1
+            elif two[:1] == "/" and (found := TAG.match(html, start + 2)):
+                end = html.find(">", found.end())
+                at = end + 1
+                if end >= 0:
+                    self.handle_endtag(found[0].lower())
+            elif found := TAG.match(html, start + 1):
+                end = at = self.tag(found[0].lower(), html, found.end())
+            else:
+                self.handle_data("<")
+                end, at = start, start + 1
+            if end < 0:
+                return
+        self.handle_data(unescape(html[at:]))
+
+    def tag(self, name: str, html: str, at: int) -> int:
+        """Read a start tag from behind its name on; where it ends, or -1 if it never does. What lies in a script and its like is left out."""
+        attrs: dict[str, str] = {}
+        while True:
+            gap = GAP.match(html, at)
+            at, slash = gap.end(), gap[0].endswith("/")
+            if at >= len(html):
+                return -1
+            if html[at] == ">":
+                break
+            found = ATTRIBUTE.match(html, at)
+            at, value = found.end(), found[3] or ""
+            if found[2]:
+                end = html.find(found[2], at)
+                if end < 0:
+                    return -1
+                value, at = html[at:end], end + 1
+            attrs.setdefault(found[1].lower(), unescape(value))
+        at += 1
+        self.handle_starttag(name, attrs)
+        if name in RAW and not slash:
+            end = RAW_END[name].search(html, at)
+            if end is None:
+                return -1
+            if name == "textarea" or name == "title":
+                self.handle_data(unescape(html[at : end.start()]))
+            return end.start()
+        if slash and name not in VOID and self.at.tag == name:
+            self.close_to(self.at)
+        return at
+
     def count(self, node: Node, n: int) -> None:
         tag, block, scope = node.tag, node.parent.block, node.parent.scope
         self.open[tag] += n
@@ -76,7 +143,7 @@ class Tree(HTMLParser):
             if at is node:
                 return
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def handle_starttag(self, tag: str, a: dict[str, str]) -> None:
         if tag in ("html", "body") and self.at is not self.root:
             return
         if tag in BLOCK:
@@ -90,7 +157,6 @@ class Tree(HTMLParser):
         if tag in VOID:
             self.at.children.append(Node(tag, self.at))
             return
-        a = {k: (v or "") for k, v in attrs}
         names = f"{a.get('class', '')} {a.get('id', '')}".lower()
         hidden = "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower()
         apart = tag in UNSEEN or tag in APART or hidden or a.get("role") in ROLES
@@ -98,11 +164,6 @@ class Tree(HTMLParser):
         self.at = node
         self.count(node, 1)
 
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.at.tag == tag:
-            self.close_to(self.at)
-
     def handle_endtag(self, tag: str) -> None:
         if not self.open[tag] or tag not in BLOCK and not (self.at.block.held[tag] or self.at.block.tag == tag):
             return  # an end tag of a phrase does not close blocks
@@ -124,20 +185,41 @@ def walk(node: Node):
         stack.extend(x for x in reversed(at.children) if isinstance(x, Node) and not x.apart)
 
 
-def set_apart(root: Node) -> None:
-    """Set apart the headers of the page, and nodes by their names: but for those that hold most of what the page has to say.
+def named(names: str) -> tuple[set[str], bool]:
+    """What of BOILERPLATE the classes and ids of a node say, and whether one of them says it alone."""
+    found, alone = set(), False
+    for name in HAVING.sub(" ", names).split():
+        parts = [x for x in re.split(r"[-_]+|(?<=\d)(?=\D)|(?<=\D)(?=\d)", name) if x]
+        mine = {x for x in parts if BOILERPLATE.fullmatch(x)}
+        if mine and all(x in mine or x in BESIDE or x.isdigit() for x in parts):
+            found |= mine
+            alone = alone or len(parts) == 1
+    return found, alone
+
+
+def set_apart(root: Node, remarks: bool = True) -> None:
+    """Set apart the headers of the page, reader comments (if remarks), and nodes by their names: but for those that hold most of what the page has to say.
 
-    Heads of an article are part of it. Reader comments may well be longer than the article: they are set apart as long as there is something else.
+    Heads of an article are part of it. Comments may well be longer than the article, so how much they hold does not count; but what holds a main, or an article that is none itself, is no comment.
     """
     measure(root)
+    told = {id(x): named(x.names) for x in walk(root)}
+    whole: set[int] = set()
+    for node in walk(root):
+        if node.tag == "main" or node.tag == "article" and not told[id(node)][0] & REMARKS:
+            while node is not None and id(node) not in whole:
+                whole.add(id(node))
+                node = node.parent
     total, stack = root.gains, [(root, False)]
     while stack:
         node, inside = stack.pop()
-        found = set() if node.tag in ("html", "body", "main", "article") else {m[0] for m in BOILERPLATE.finditer(HAVING.sub(" ", node.names))}
-        if inside:
-            found -= HEADS
-        most = 0.9 if found & REMARKS else 0.5
-        node.apart = node.apart or node.tag == "header" and not inside or bool(found) and node.gains <= most * total
+        found, alone = told[id(node)] if node.tag not in ("html", "body") else (set(), False)
+        if found & REMARKS and id(node) not in whole:
+            node.apart = node.apart or remarks
+        elif node.tag not in ("main", "article"):
+            found = found - REMARKS - (HEADS if inside else set())
+            links = alone or node.linked > 0.3 * node.size or not inside
+            node.apart = node.apart or node.tag == "header" and not inside or bool(found) and links and node.gains <= 0.5 * total
         inside = inside or node.tag in ("article", "main") or node.tag not in ("html", "body") and bool(ARTICLE.search(node.names))
         stack.extend((x, inside) for x in node.children if isinstance(x, Node) and not x.apart)
 
@@ -215,11 +297,15 @@ def main_text(html: str | None) -> str:
     """The article of one page; empty if it has none."""
     if not html:
         return ""
-    tree = Tree()
-    tree.feed(html)
-    tree.close()
-    set_apart(tree.root)
-    found = measure(tree.root)
+    for remarks in (True, False):  # comments count only on a page that has nothing else
+        tree = Tree()
+        tree.feed(html)
+        set_apart(tree.root, remarks)
+        if found := measure(tree.root):
+            break
+        texts = [x for x in walk(tree.root) if x.tag in ("article", "main") and x.size]
+        if texts:  # of links alone
+            return render(texts[:1])
     if not found:
         return ""
 
