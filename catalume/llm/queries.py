@@ -114,11 +114,11 @@ ORACLES: dict[str, str] = {
 SELECT conv_id, turn * 4 AS turn, role, '{"content":' || content || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' AS message, turn * 4 AS order_turn, CAST(0 AS INTEGER) AS order_step, CAST(0 AS INTEGER) AS n_calls, CAST(0 AS INTEGER) AS n_valid, CAST(NULL AS BOOLEAN) AS linked
 FROM base WHERE role IS DISTINCT FROM 'assistant'
 UNION ALL
-SELECT conv_id, turn * 4, role, '{"content":' || content || ',"role":"assistant","tool_calls":[{"arguments":' || CAST(to_json(arguments) AS VARCHAR) || ',"id":"c' || t || 'a","name":"' || name || '"}' ||
-  CASE WHEN two THEN ',{"arguments":"{\\"unit\\":\\"km\\",\\"value\\":2.5}","id":"c' || t || 'b","name":"convert"}' ELSE '' END || ']}', turn * 4, 0, CASE WHEN two THEN 2 ELSE 1 END, CASE WHEN kind IN (0, 3) THEN 1 ELSE 0 END + CASE WHEN two THEN 1 ELSE 0 END, NULL
+SELECT conv_id, turn * 4, role, '{"content":' || content || ',"model":"m-1","role":"assistant","tool_calls":[{"arguments":' || CAST(to_json(arguments) AS VARCHAR) || ',"id":"c' || t || 'a","name":"' || name || '","type":"function"}' ||
+  CASE WHEN two THEN ',{"function":{"arguments":"{\\"unit\\":\\"km\\",\\"value\\":2.5}","name":"convert"},"id":"c' || t || 'b","type":"function"}' ELSE '' END || ']}', turn * 4, 0, CASE WHEN two THEN 2 ELSE 1 END, CASE WHEN kind IN (0, 3) THEN 1 ELSE 0 END + CASE WHEN two THEN 1 ELSE 0 END, NULL
 FROM calls
 UNION ALL
-SELECT conv_id, CASE WHEN early THEN turn * 4 - 1 ELSE turn * 4 + 2 END, 'tool', '{"content":' || content || ',"role":"tool","tool_call_id":"' || CASE WHEN gone THEN 'gone' WHEN two THEN 'c' || t || 'b' ELSE 'c' || t || 'a' END || '"}',
+SELECT conv_id, CASE WHEN early THEN turn * 4 - 1 ELSE turn * 4 + 2 END, 'tool', '{"content":' || content || ',"is_error":' || CASE WHEN kind = 2 THEN 'true' ELSE 'false' END || ',"role":"tool","tool_call_id":"' || CASE WHEN gone THEN 'gone' WHEN two THEN 'c' || t || 'b' ELSE 'c' || t || 'a' END || '"}',
   CASE WHEN early AND gone THEN turn * 4 - 1 WHEN early THEN turn * 4 ELSE turn * 4 + 2 END, CASE WHEN early AND NOT gone THEN CASE WHEN two THEN 2 ELSE 1 END ELSE 0 END, 0, 0, NOT gone
 FROM calls""",
     "op11_ranked_search": search.ORACLE,
