@@ -2,15 +2,17 @@
 
 A text belongs to the cell of its nearest pivot. Two texts at most `radius` apart have distances to any pivot that differ by radius at most, so a text
 is replicated into the cell of each pivot that is no farther than 2 * radius beyond its nearest: there it meets whatever it may link with.
-Cells are joined in the same way, until they are small or pivots no longer separate them; then all overlaps of the cell are counted at once.
+Cells are joined in the same way, until hardly anything is left in them or pivots no longer separate them; then all overlaps of the cell are counted at once.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
-LEAF = 128  # texts that are compared without pivots
-PIVOTS = 8
+LEAF = 4  # texts that are compared without pivots
+PIVOTS = 8  # of a cell at most; a small one has the root of its size
 SMALL = 64  # texts whose overlaps are a matrix product throughout
 DENSE = 8  # in larger cells, a shingle in more texts than this is counted by a matrix product
 CELLS = 1 << 22  # numbers of a matrix that are worked on at once
@@ -67,18 +69,29 @@ def forest(links: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def join(sets: list[np.ndarray], percent: int, at: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs of positions that connect all texts that links of this cell connect."""
-    at = np.arange(len(sets)) if at is None else at
+def join(sets: list[np.ndarray], percent: int, at: np.ndarray | None = None, counts: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs of positions that connect all texts that links of this cell connect.
+
+    counts: four numbers that this call adds to: pairs of the cell (at the first call), pairs whose distance to a pivot was measured, pairs that no cell of a pivot holds together any more, and pairs that were compared in the end.
+    """
+    counts = np.zeros(4, np.int64) if counts is None else counts
+    if at is None:
+        at = np.arange(len(sets))
+        counts[0] += len(at) * (len(at) - 1) // 2
     n = np.array([len(sets[i]) for i in at])
     if len(at) > LEAF:
-        pivots = at[:: -(-len(at) // PIVOTS)]
+        k = min(PIVOTS, math.isqrt(len(at)))
+        pivots = at[:: -(-len(at) // k)]
         both = overlaps([sets[i] for i in at], [sets[i] for i in pivots])
         m = np.array([len(sets[i]) for i in pivots])
         distance = 1 - both / (n[:, None] + m[None, :] - both)
         inside = distance <= distance.min(1)[:, None] + 2 * (100 - percent) / 100 + 1e-9
+        counts[1] += both.size
         if (inside.sum(0).astype(float) ** 2).sum() <= len(at) ** 2 / 2:
-            return [pair for j in range(len(pivots)) if inside[:, j].sum() > 1 for pair in join(sets, percent, at[inside[:, j]])]
+            met = inside.astype(np.float32) @ inside.T.astype(np.float32) > 0
+            counts[2] += (len(at) ** 2 - int(met.sum())) // 2
+            return [pair for j in range(len(pivots)) if inside[:, j].sum() > 1 for pair in join(sets, percent, at[inside[:, j]], counts)]
+    counts[3] += len(at) * (len(at) - 1) // 2
     return [(int(at[a]), int(at[b])) for a, b in forest(linked(overlaps([sets[i] for i in at]), n, n, percent))]
 
 

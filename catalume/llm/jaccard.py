@@ -258,6 +258,19 @@ def join_cells(members: DataFrame, partitions: int) -> DataFrame:
     return members.select("p", "c", "shingles").repartition(partitions, "p").sortWithinPartitions("p", "c").mapInArrow(tidy(run), "a long, b long")
 
 
+def count_cells(members: DataFrame, partitions: int) -> DataFrame:
+    """cells, pairs, measured, parted, compared: what join_cells does with the pairs of each cell of at most CELL_TEXTS texts, a row a task."""
+
+    def run(batches):
+        counts, n = np.zeros(4, np.int64), 0
+        for _, (_, shingles) in _runs(batches, 1):
+            cell.join(_sets(shingles), PERCENT, counts=counts)
+            n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (n, *counts.tolist())], ["cells", "pairs", "measured", "parted", "compared"])
+
+    return members.select("p", "c", "shingles").repartition(partitions, "p").sortWithinPartitions("p", "c").mapInArrow(tidy(run), "cells long, pairs long, measured long, parted long, compared long")
+
+
 def measure(members: DataFrame, partitions: int) -> DataFrame:
     """Of each text of each cell (p, blocks, c, shingles): p, blocks, c, q (pivots drawn from the cell), d (distances to them), links (to which it links), within (into whose cells it is replicated)."""
     block = F.pmod(F.xxhash64("c", F.lit("block")), F.col("blocks"))
@@ -313,6 +326,22 @@ def join_rings(measured: DataFrame, known: DataFrame, partitions: int) -> DataFr
     return rows.repartition(partitions, "pair").sortWithinPartitions("pair", "side", "c").mapInArrow(tidy(run), "a long, b long")
 
 
+def steps(docs: DataFrame) -> DataFrame:
+    """One row that tells how many pairs of sets each step of the join decides: n_sets and n_pairs at all, n_left sets that may link with any other, n_large cells that are split in Spark, and of all others
+    cells, pairs in them, pairs measured to a pivot, parted by windows, and compared in full."""
+    every = stored(classes(docs), "classes")
+    sizes = stored(every.where("n > 0").groupBy("c").agg(F.first("n").alias("n"), F.min("k").alias("k")), "sizes")
+    inside = cells(docs, every.where(F.col("often").isNotNull()), sizes)
+    active = inside.select("c").distinct().join(sizes, "c")
+    known = stored(sets(docs, active.select("k")), "sets")
+    weighed = inside.groupBy("p").agg(F.count("*").alias("k"))
+    total = known.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    small = inside.join(weighed.where(F.col("k").between(2, CELL_TEXTS)).select("p"), "p").join(known, "c")
+    counted = count_cells(small, _partitions(docs, total)).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("cells", "pairs", "measured", "parted", "compared")])
+    n = sizes.agg(F.count("*").alias("n_sets")).withColumn("n_pairs", F.expr("n_sets * (n_sets - 1) div 2"))
+    return n.crossJoin(active.agg(F.count("*").alias("n_left"))).crossJoin(weighed.agg(F.count_if(F.col("k") > CELL_TEXTS).alias("n_large"))).crossJoin(counted)  # of one row each
+
+
 def links(docs: DataFrame, every: DataFrame) -> DataFrame:
     """a, b: links between sets, enough to connect all that are connected."""
     spark = docs.sparkSession
@@ -384,5 +413,5 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     repeated = rows.where("n > 0").groupBy("doc_id", "k").count().where("count > 1").select(F.col("doc_id").alias("__chosen_id"), F.col("k").alias("__chosen_k"))
     same = F.col("doc_id").eqNullSafe(F.col("__chosen_id")) & (key == F.col("__chosen_k"))
     once = kept.join(repeated, same, "left_anti")
-    several = kept.join(repeated, same, "left_semi").groupBy(F.col("doc_id").alias("__chosen_id"), key.alias("__chosen_k")).agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    several = kept.join(repeated, same, "left_semi").groupBy(F.col("doc_id").alias("__chosen_id"), key.alias("__chosen_k")).agg(F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*docs.columns))).alias("__row")).select("__row.*")
     return once.unionByName(several).unionByName(docs.where(empty))

@@ -74,3 +74,12 @@ def test_one_of_each(spark):
     assert got == [0, 1, 7, 8, 9, 10, 11]
     assert jaccard.one_of_each(docs).columns == docs.columns
     assert jaccard.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_steps_tell_what_decides(spark):
+    r = random.Random(8)
+    base = [" ".join(r.choices([f"w{i}" for i in range(4000)], k=120)) for _ in range(40)]
+    rows = [(i, x) for i, x in enumerate(base)] + [(100 + 20 * i + j, f"{x} end{j} of{j}") for i, x in enumerate(base[:3]) for j in range(12)] + [(900, None), (901, base[5])]
+    x = jaccard.steps(spark.createDataFrame(rows, "doc_id long, text string")).first()
+    assert (x.n_sets, x.n_pairs, x.n_left, x.n_large) == (76, 76 * 75 // 2, 39, 0)
+    assert x.pairs >= 3 * 13 * 12 // 2 and x.measured > 0 and x.parted + x.compared >= x.pairs

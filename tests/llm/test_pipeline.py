@@ -56,3 +56,21 @@ def test_stages_keep_columns_that_clash(spark, tmp_path):
         docs = out
         if name == "jaccard_join":  # of two equal rows and their near copy one stays: that with the smaller doc_id, though another text has that doc_id too
             assert sorted((x.doc_id is not None, x.doc_id or 0) for x in docs.collect()) == sorted([(False, 0), *[(True, i) for i in range(30)], (True, 1)])
+
+
+def test_stages_pass_columns_of_any_type(spark, tmp_path):
+    r = random.Random(6)
+    text = lambda: "\n".join(" ".join("".join(r.choices("abcdefg", k=5)) for _ in range(15)).capitalize() + "." for _ in range(8))
+    same = text()
+    rows = [(i, text(), "xx", "s", 1) for i in range(20)] + [(40, same, "xx", "s", 1), (40, same, "xx", "s", 2), (41, same, "xx", "s", 3)]
+    odd = {"m": "map('a', n_chars)", "v": "parse_json('{\"x\":[1,null]}')", "st": "struct(map(1, 'x') as inside, array(map('k', 1)) as list)", "b": "cast('bytes' as binary)", "d": "cast(1.5 as decimal(10,2))", "t": "timestamp'2001-01-01'", "nothing": "cast(null as map<string,int>)"}
+    spark.createDataFrame(rows, SCHEMA).selectExpr("*", *[f"{e} as {k}" for k, e in odd.items()]).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)), f"typed_{name}")
+        assert out.schema.simpleString() == docs.schema.simpleString()
+        docs = out
+        if name == "jaccard_join":
+            assert sorted(x.doc_id for x in docs.collect()) == [*range(20), 40]
+    x = docs.first()
+    assert x.m == {"a": x.n_chars} and str(x.v) == '{"x":[1,null]}' and bytes(x.b) == b"bytes" and x.nothing is None
