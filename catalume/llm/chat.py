@@ -27,9 +27,10 @@ SCHEMAS: Schemas = {
 
 def finite(json: Column) -> Column:
     """Whether all numbers of a JSON text are such that a double can hold them. What stands in strings does not count."""
+    far = r"[eE]\+?\d{3}|\d{309}"
     bare = F.regexp_replace(json, r'"(?:[^"\\]|\\.)*+"', '""')
     huge = F.exists(F.regexp_extract_all(bare, F.lit(r"\d+(?:\.\d+)?(?:[eE][+-]?\d+)?"), F.lit(0)), lambda x: x.try_cast("double") == float("inf"))
-    return F.when(bare.rlike(r"[eE]\+?\d{3}|\d{309}"), ~F.coalesce(huge, F.lit(False))).otherwise(True)
+    return F.when(json.rlike(far), ~F.coalesce(huge, F.lit(False))).otherwise(True)  # hardly any text needs the closer look
 
 
 def parsed_json(json: Column) -> Column:
@@ -44,7 +45,7 @@ def canonical(json: Column) -> Column:
 
 def quoted(text: Column) -> Column:
     """A string as JSON; null is null."""
-    return F.coalesce(F.regexp_extract(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", 1), F.lit("null"))
+    return bound(F.to_json(F.array(text)), lambda j: F.substr(j, F.lit(2), F.char_length(j) - 2))
 
 
 def members(value: Column) -> Column:
@@ -72,19 +73,27 @@ def text_of(value: Column) -> Column:
     return F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).when(kind != "VOID", F.to_json(value))
 
 
-def call_of(value: Column) -> Column:
-    """id, name, arguments (canonical, or as they stand) and json of a call; for what is no object, json alone."""
-    nested = F.try_variant_get(value, "$.function", "map<string,variant>").isNotNull()
-    of = lambda name: text_of(F.try_variant_get(value, f"$.{name}", "variant"))
-    name, raw = F.when(nested, of("function.name")).otherwise(of("name")), F.when(nested, of("function.arguments")).otherwise(of("arguments"))
-    own = members(value)
-    arguments = F.coalesce(canonical(raw), raw)
-    inner = members(F.try_variant_get(value, "$.function", "variant"))
-    given = lambda found, x: F.coalesce(member(found, x), F.lit("null"))
-    deep = object_json(own, id=given(own, "id"), function=object_json(inner, name=given(inner, "name"), arguments=quoted(arguments)))
-    flat = object_json(own, id=given(own, "id"), name=given(own, "name"), arguments=quoted(arguments))
-    there = own.isNotNull()
-    return F.struct(F.when(there, of("id")).alias("id"), F.when(there, name).alias("name"), F.when(there, arguments).alias("arguments"), there.alias("is_call"), F.when(nested, deep).when(there, flat).otherwise(F.to_json(value)).alias("json"))
+def calls_of(values: Column) -> Column:
+    """id, name, arguments (canonical, or as they stand), is_call and json of each call (VARIANT); of what is no object, json alone. What several of them need is put beside the call first, so that it is computed once."""
+    of = lambda v, path: text_of(F.try_variant_get(v, path, "variant"))
+
+    def taken_apart(v: Column) -> Column:
+        return F.struct(v.alias("v"), members(v).alias("own"), members(F.try_variant_get(v, "$.function", "variant")).alias("inner"))
+
+    def with_arguments(c: Column) -> Column:
+        nested, v = c["inner"].isNotNull(), c["v"]
+        raw = F.when(nested, of(v, "$.function.arguments")).otherwise(of(v, "$.arguments"))
+        name = F.when(nested, of(v, "$.function.name")).otherwise(of(v, "$.name"))
+        return F.struct(v.alias("v"), c["own"].alias("own"), c["inner"].alias("inner"), of(v, "$.id").alias("id"), name.alias("name"), bound(raw, lambda x: F.coalesce(canonical(x), x)).alias("arguments"))
+
+    def written(c: Column) -> Column:
+        given = lambda found, x: F.coalesce(member(found, x), F.lit("null"))
+        own, inner, arguments, there = c["own"], c["inner"], quoted(c["arguments"]), c["own"].isNotNull()
+        deep = object_json(own, id=given(own, "id"), function=object_json(inner, name=given(inner, "name"), arguments=arguments))
+        flat = object_json(own, id=given(own, "id"), name=given(own, "name"), arguments=arguments)
+        return F.struct(F.when(there, c["id"]).alias("id"), F.when(there, c["name"]).alias("name"), F.when(there, c["arguments"]).alias("arguments"), there.alias("is_call"), F.when(inner.isNotNull(), deep).when(there, flat).otherwise(F.to_json(c["v"])).alias("json"))
+
+    return F.transform(F.transform(F.transform(values, taken_apart), with_arguments), written)
 
 
 def typed(arguments: Column, name: str, kind: str) -> Column:
@@ -148,13 +157,13 @@ def with_tools(turns: DataFrame) -> DataFrame:
 
 
 def parsed(turns: DataFrame) -> DataFrame:
-    """turns with own (members of the turn's object), calls (array of call_of, without nulls) and wanted (the identifier that a result answers); all three null where a turn is plain text, the last two where it is not of their kind."""
+    """turns with own (members of the turn's object), calls (those of calls_of, without nulls) and wanted (the identifier that a result answers); all three null where a turn is plain text, the last two where it is not of their kind."""
     object_of = F.when(F.col("role").isin("assistant", "tool") & F.ltrim("text").startswith("{"), parsed_json(F.col("text")))
     df = turns.withColumn("doc", object_of)
     calls = F.when(F.col("role") == "assistant", F.try_variant_get("doc", "$.tool_calls", "array<variant>"))
     listed = F.filter(calls, lambda c: F.coalesce(F.schema_of_variant(c) != "VOID", F.lit(False)))
     wanted = F.when(F.col("role") == "tool", text_of(F.try_variant_get("doc", "$.tool_call_id", "variant")))
-    df = df.withColumns({"calls": F.transform(listed, call_of), "wanted": wanted})
+    df = df.withColumns({"calls": calls_of(listed), "wanted": wanted})
     return df.withColumn("own", F.when(F.col("calls").isNotNull() | F.col("wanted").isNotNull(), members(F.col("doc")))).drop("doc")
 
 
@@ -180,7 +189,7 @@ def formatted(turns: DataFrame, schemas: Schemas | None = None) -> DataFrame:
     df = parsed(turns.select("conv_id", "turn", "role", "text"))
     calls, own, role = F.col("calls"), F.col("own"), quoted(F.col("role"))
     content = F.coalesce(member(own, "content"), F.lit("null"))
-    plain = F.concat(F.lit('{"content":'), quoted(F.col("text")), F.lit(',"role":'), role, F.lit("}"))
+    plain = F.to_json(F.struct(F.col("text").alias("content"), F.col("role")), {"ignoreNullFields": "false"})
     with_calls = object_json(own, content=content, role=role, tool_calls=F.concat(F.lit("["), F.array_join(F.transform(calls, lambda c: c["json"]), ","), F.lit("]")))
     known = links(turns).select(F.col("conv_id").alias("of"), "call_id", "call_turn", "call_step")
     results = df.where("wanted is not null").join(known, (F.col("conv_id") == F.col("of")) & (F.col("wanted") == F.col("call_id")), "left")
