@@ -28,7 +28,7 @@ MISSING = 1.0  # how many times less often than once a word counts where a langu
 EVIDENCE = 20  # words of a text that count as evidence, at most
 BROADCAST = 1 << 16  # languages whose counts are sent to all executors
 CACHE = 200_000
-SLICE = 256  # texts whose words are scored at once
+SLICE, NUMBERS = 256, 1 << 20  # texts whose words are scored at once, and their scores by language, at most
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -50,42 +50,44 @@ def word_counts(text: str | None) -> Counter:
 class Model:
     """Log frequencies by language of words (level 0) and of n-grams (level n), found by the hash of the term.
 
-    levels: for each, sorted hashes, where the entries of each begin, and of every entry its language and count. totals: by level and language.
+    levels: for each, sorted hashes, where the entries of each begin, and of every entry its language and by how much its log frequency is above that of a term that the language lacks.
+    lacking: that log frequency, by level and language. So what is known of a term is as long as the list of languages that have it, however many there are.
     """
 
     def __init__(self, languages: list[str], levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], totals: np.ndarray):
-        self.languages, self.levels, self.totals = languages, levels, totals
+        self.languages = languages
+        self.levels = [(keys, cuts, language, np.log(count * (1 + MISSING))) for keys, cuts, language, count in levels]
+        self.lacking = -np.log(totals * (1 + MISSING)) if len(languages) else totals
 
-    def known(self, level: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of hashes the level has, and their log frequencies."""
-        keys, cuts, language, count = self.levels[level]
+    def known(self, level: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Which of hashes the level has; and for each entry of these which of them it is of, its language and what it adds."""
+        keys, cuts, language, above = self.levels[level]
         at = np.minimum(np.searchsorted(keys, hashes), max(len(keys) - 1, 0))
         found = keys[at] == hashes if len(keys) else np.zeros(len(hashes), bool)
         at = at[found]
         many = cuts[at + 1] - cuts[at]
-        counts = np.full((len(at), len(self.languages)), 1 / (1 + MISSING))
         entry = np.repeat(cuts[at] - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum()) if len(at) else np.zeros(0, np.int64)
-        counts[np.repeat(np.arange(len(at)), many), language[entry]] = count[entry]
-        return found, np.log(counts / self.totals[level])
-
-    def scores(self, terms: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """For each word its log frequencies, or the mean of those of its longest n-grams that are known; and whether any was."""
-        out, told = np.zeros((len(terms), len(self.languages))), np.zeros(len(terms), bool)
-        told, found = self.known(0, hashed(terms))
-        out[told] = found
+        return found, np.repeat(np.flatnonzero(found), many), language[entry], above[entry]
+
+    def weighed(self, terms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The level at which each word is known, -1 if at none; and for each word and language that has it: the word, the language, and what it adds there. Words fall back to their n-grams, of which it is the mean."""
+        level, rows, languages, above = np.full(len(terms), -1), [], [], []
+        found, row, language, add = self.known(0, hashed(terms))
+        level[found] = 0
+        rows, languages, above = [row], [language], [add]
         for k in range(NGRAM, 0, -1):
-            left = np.flatnonzero(~told)
+            left = np.flatnonzero(level < 0)
             grams = [[p[i : i + k] for i in range(len(p) - k + 1)] for p in (f" {terms[i]} " for i in left)]
-            many = np.array([len(x) for x in grams], np.int64)
-            hit, found = self.known(k, hashed([x for y in grams for x in y]))
-            row = np.repeat(np.arange(len(left)), many)[hit]
-            hits = np.bincount(row, minlength=len(left))
-            total = np.zeros((len(left), len(self.languages)))
-            np.add.at(total, row, found)
-            some = hits > 0
-            out[left[some]] = total[some] / hits[some, None]
-            told[left[some]] = True
-        return out, told
+            owner = np.repeat(np.arange(len(left)), np.array([len(x) for x in grams], np.int64))
+            hit, gram, language, add = self.known(k, hashed([x for y in grams for x in y]))
+            hits = np.bincount(owner[hit], minlength=len(left))
+            level[left[hits > 0]] = k
+            rows.append(left[owner[gram]])
+            languages.append(language)
+            above.append(add / hits[owner[gram]])
+        row, language, add = np.concatenate(rows), np.concatenate(languages), np.concatenate(above)
+        order = np.argsort(row, kind="stable")
+        return level, row[order], language[order], add[order]
 
 
 def hashed(terms: list[str]) -> np.ndarray:
@@ -115,8 +117,8 @@ def fit(docs: DataFrame, per_language: int = TRAIN_DOCUMENTS, in_all: int = TRAI
     gram = lambda k: bound(padded, lambda p: F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(p) - (k - 1), F.lit(1))), lambda i: F.struct(F.lit(k).alias("k"), F.substring(p, i, F.lit(k)).alias("term"))))
     grams = counted.select("lang", "n", F.explode(F.flatten(F.array(*[gram(k) for k in range(1, NGRAM + 1)]))).alias("g")).groupBy("lang", "g.k", "g.term").agg(F.sum("n").alias("n"))
     terms = counted.select("lang", F.lit(0).alias("k"), "term", "n").unionByName(grams)
-    names = F.array(*map(F.lit, languages))
-    found = terms.select("k", F.xxhash64("term").alias("term"), (F.array_position(names, F.col("lang")) - 1).cast("int").alias("language"), "n").toArrow()  # bounded by the sample
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(languages)), "language int, lang string")
+    found = terms.join(numbers, "lang").select("k", F.xxhash64("term").alias("term"), "language", "n").toArrow()  # bounded by the sample
     k, term, language, n = (found.column(i).to_numpy() for i in range(4))
     totals, levels = np.ones((NGRAM + 1, len(languages))), []
     for level in range(NGRAM + 1):
@@ -128,6 +130,35 @@ def fit(docs: DataFrame, per_language: int = TRAIN_DOCUMENTS, in_all: int = TRAI
     return Model(languages, levels, totals)
 
 
+class Words:
+    """Words that a task has met: level, and where the entries of each begin among those of all."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.level, self.cuts, self.language, self.above = np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def numbers(self, words: list[str], m: Model) -> np.ndarray:
+        """The number of each word; new ones are looked up in m."""
+        if len(self.known) > CACHE or len(self.above) > 8 * CACHE:
+            self.clear()
+        if fresh := [w for w in dict.fromkeys(words) if w not in self.known]:
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+            level, row, language, above = m.weighed(fresh)
+            self.level = np.concatenate([self.level, level])
+            self.cuts = np.concatenate([self.cuts, self.cuts[-1] + np.cumsum(np.bincount(row, minlength=len(fresh)))])
+            self.language, self.above = np.concatenate([self.language, language]), np.concatenate([self.above, above])
+        return np.array([self.known[w] for w in words])
+
+    def entries(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each entry of the words at: which of them, its language, and what it adds."""
+        many = self.cuts[at + 1] - self.cuts[at]
+        entry = np.repeat(self.cuts[at] - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum())
+        return np.repeat(np.arange(len(at)), many), self.language[entry], self.above[entry]
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of docs, lang_pred and score; columns of these names in docs are replaced.
 
@@ -137,24 +168,22 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)  # bounded by the sample
 
-    def judged_slice(texts: list[str | None], m: Model, seen: dict[str, int], store: list) -> tuple[list[str], list[float]]:
+    def judged_slice(texts: list[str | None], m: Model, seen: Words) -> tuple[list[str], list[float]]:
         counts = [word_counts(x) for x in texts]
-        if len(seen) > 4 * CACHE // max(4, len(m.languages)):
-            seen.clear()
-            store.clear()
-        if fresh := list({w for c in counts for w in c if w not in seen}):
-            seen.update(zip(fresh, range(len(seen), len(seen) + len(fresh))))
-            rows, told = m.scores(fresh)
-            store[:] = [np.concatenate([store[0], rows]), np.concatenate([store[1], told])] if store else [rows, told]
         preds, scores = ["und"] * len(texts), [0.0] * len(texts)
         some = [i for i, c in enumerate(counts) if c]
         if not some or not m.languages:
             return preds, scores
-        at = np.array([seen[w] for i in some for w in counts[i]])
+        at = seen.numbers([w for i in some for w in counts[i]], m)
         times = np.array([t for i in some for t in counts[i].values()], np.float64)
-        starts = np.append(0, np.cumsum([len(counts[i]) for i in some])[:-1])
-        sums = np.add.reduceat(store[0][at] * times[:, None], starts)
-        n = np.add.reduceat(times * store[1][at], starts)
+        text = np.repeat(np.arange(len(some)), [len(counts[i]) for i in some])
+        level = seen.level[at]
+        told = np.zeros((len(some), NGRAM + 1))
+        np.add.at(told, (text[level >= 0], level[level >= 0]), times[level >= 0])
+        sums = told @ m.lacking
+        which, language, add = seen.entries(at)
+        np.add.at(sums, (text[which], language), times[which] * add)
+        n = told.sum(1)
         best = sums.argmax(1)
         apart = (sums - sums[np.arange(len(some)), best][:, None]) * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
         sure = 1 / np.exp(np.maximum(apart, -700)).sum(1)
@@ -163,12 +192,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         return preds, scores
 
     def score(batches):
-        m, seen, store = shared.value, {}, []
+        m, seen = shared.value, Words()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             preds, scores = [], []
-            for i in range(0, len(texts), SLICE):
-                p, s = judged_slice(texts.slice(i, SLICE).to_pylist(), m, seen, store)
+            step = max(1, min(SLICE, NUMBERS // max(1, len(m.languages))))
+            for i in range(0, len(texts), step):
+                p, s = judged_slice(texts.slice(i, step).to_pylist(), m, seen)
                 preds += p
                 scores += s
             rest = [i for i, f in enumerate(batch.schema) if f.name not in ("lang_pred", "score")]
