@@ -22,8 +22,9 @@ from catalume.llm.common import prepare, stored, tidy
 from catalume.llm.components import components
 
 COSINE = 0.95
-AXES = 6  # leading coordinates that order the sequence and bound its intervals
-FIRST = 16  # leading coordinates compared before the rest
+AXES = 6  # leading coordinates that order the sequence
+FIRST = 16  # leading coordinates that bound intervals, and are compared before the rest
+SKETCH = 256  # wider vectors are turned by as many fixed random axes before their principal ones are looked for
 BLOCK, NUMBERS = 8192, 1 << 22  # vectors of an interval, and their numbers, at most
 PART = 256
 FAN = 8
@@ -57,30 +58,34 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def principal_axes(vectors: DataFrame, width: int) -> np.ndarray:
-    """Orthonormal columns, greatest spread first, from sums over all vectors: each task returns one matrix of width x width."""
+    """FIRST orthonormal columns at most, greatest spread first, from sums over all vectors: each task returns one matrix. Of vectors wider than SKETCH, the greatest spread within
+    SKETCH fixed random directions: any orthonormal columns bound distances from below, so results are the same."""
+    narrow = min(width, SKETCH)
+    sketch = np.eye(width) if narrow == width else np.linalg.qr(np.random.default_rng(11).normal(size=(width, narrow)))[0]
 
     def sums(batches):
-        total, square, n = np.zeros(width), np.zeros((width, width)), 0
+        total, square, n = np.zeros(narrow), np.zeros((narrow, narrow)), 0
         for batch in batches:
             x = unit(matrix(batch.column(0), width))
+            x = x if narrow == width else x @ sketch
             total, square, n = total + x.sum(axis=0), square + x.T @ x, n + len(x)
         if n:
             cells = np.concatenate([square.ravel(), total, [n]])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cells))), pa.array(cells)], ["cell", "value"])
 
-    rows = vectors.select("embedding").mapInArrow(tidy(sums), "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()  # width^2 + width + 1 rows
-    cells = np.zeros(width * width + width + 1)
+    rows = vectors.select("embedding").mapInArrow(tidy(sums), "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value")).collect()  # SKETCH^2 + SKETCH + 1 rows at most
+    cells = np.zeros(narrow * narrow + narrow + 1)
     for r in rows:
         cells[r["cell"]] = r["value"]
     n = max(cells[-1], 1)
-    mean = cells[width * width : -1] / n
-    spread, axes = np.linalg.eigh(cells[: width * width].reshape(width, width) / n - np.outer(mean, mean))
-    return axes[:, ::-1]
+    mean = cells[narrow * narrow : -1] / n
+    spread, axes = np.linalg.eigh(cells[: narrow * narrow].reshape(narrow, narrow) / n - np.outer(mean, mean))
+    return sketch @ axes[:, ::-1][:, :FIRST]
 
 
 def in_order(vectors: DataFrame, axes: np.ndarray, epsilon: float, size: int) -> DataFrame:
     """vec_id, embedding, block, rank, and y0.. (leading coordinates): the sequence in epsilon grid order, cut into intervals of size vectors."""
-    width, k = axes.shape[0], min(AXES, axes.shape[0])
+    width, k = axes.shape
     fields = T.StructType([*vectors.schema.fields, *[T.StructField(f"y{i}", T.DoubleType()) for i in range(k)]])
 
     def turned(batches):
@@ -88,7 +93,7 @@ def in_order(vectors: DataFrame, axes: np.ndarray, epsilon: float, size: int) ->
             y = unit(matrix(batch.column(batch.schema.get_field_index("embedding")), width)) @ axes[:, :k]
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(y[:, i]) for i in range(k)]], [*batch.schema.names, *[f"y{i}" for i in range(k)]])
 
-    cells = [F.floor(F.col(f"y{i}") / epsilon) for i in range(k)]
+    cells = [F.floor(F.col(f"y{i}") / epsilon) for i in range(min(AXES, k))]
     placed = vectors.mapInArrow(tidy(turned), fields).repartitionByRange(*cells, F.col("y0"), F.col("vec_id")).sortWithinPartitions(*cells, "y0", "vec_id")
     placed = stored(placed.withColumn("at", F.monotonically_increasing_id()), "grid_order")
     part = F.shiftright("at", 33)
@@ -118,14 +123,13 @@ def interval_pairs(boxes: DataFrame, k: int, epsilon: float) -> DataFrame:
     return pairs
 
 
-def compare(left: np.ndarray, right: np.ndarray, axes: np.ndarray, cosine: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs of unit vectors (left by right; same: each once) with this cosine or more."""
+def compare(left: np.ndarray, right: np.ndarray, axes: np.ndarray, cosine: float, same: bool):
+    """Positions of the pairs of unit vectors (left by right; same: each once) with this cosine or more, chunk by chunk: near copies may all be pairs, which no list could hold."""
     first = axes[:, :FIRST]
     a, b = left @ first, right @ first
     limit = 2 - 2 * cosine + 1e-9
     parts = [(at, min(at + PART, len(b))) for at in range(0, len(b), PART)]
     low, high = np.array([b[x:y].min(0) for x, y in parts]), np.array([b[x:y].max(0) for x, y in parts])
-    out_i, out_j = [], []
     for at in range(0, len(left), PART):
         part = a[at : at + PART]
         gap = np.maximum(0, np.maximum(low - part.max(0), part.min(0) - high))
@@ -144,20 +148,20 @@ def compare(left: np.ndarray, right: np.ndarray, axes: np.ndarray, cosine: float
         for k in range(0, len(i), 1 << 16):
             p, q = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
             good = np.einsum("ij,ij->i", left[p], right[q]) >= cosine
-            out_i.append(p[good])
-            out_j.append(q[good])
-    return (np.concatenate(out_i), np.concatenate(out_j)) if out_i else (np.zeros(0, int), np.zeros(0, int))
+            yield p[good], q[good]
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each of n vectors the smallest id that links of this block lead to."""
-    root = ids.copy()
+def merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Let root, which maps every vector to the first one of its group, know of more links."""
     while True:
-        before = root.copy()
-        np.minimum.at(root, i, before[j])
-        np.minimum.at(root, j, root[i])
-        if (root == before).all():
-            return root
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not (root == root[root]).all():
+            root[:] = root[root]
 
 
 def links(vectors: DataFrame, cosine: float = COSINE, size: int | None = None) -> DataFrame:
@@ -169,13 +173,13 @@ def links(vectors: DataFrame, cosine: float = COSINE, size: int | None = None) -
     width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 1
     epsilon = math.sqrt(2 - 2 * cosine)
     axes = principal_axes(vectors, width)
-    k = min(AXES, width)
+    k = axes.shape[1]
     sequence = stored(in_order(vectors, axes, epsilon, size or interval(width)), "grid_blocks")
     boxes = sequence.groupBy("block").agg(*[F.min(f"y{i}").alias(f"lo{i}") for i in range(k)], *[F.max(f"y{i}").alias(f"hi{i}") for i in range(k)])
     pairs = interval_pairs(stored(boxes, "boxes"), k, epsilon)
     sides = pairs.select("i", "j", F.explode(F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))).alias("block"))
     rows = sides.join(sequence.select("block", "rank", "vec_id", "copies", "embedding"), "block")
-    shared = spark.sparkContext.broadcast(axes)  # width^2 numbers
+    shared = spark.sparkContext.broadcast(axes)  # FIRST * width numbers
 
     def joined(key, rows):
         rows = rows.combine_chunks().sort_by("rank")
@@ -187,15 +191,19 @@ def links(vectors: DataFrame, cosine: float = COSINE, size: int | None = None) -
         one = np.flatnonzero(block == block.min())
         two = np.flatnonzero(block != block.min())
         same = not len(two)
-        i, j = compare(x[one], x[one if same else two], shared.value, cosine, same)
-        i, j = one[i], (one if same else two)[j]
-        equal = lengths[i] == lengths[j]  # vectors of different length do not link
-        i, j = i[equal], j[equal]
-        copies = rows.column("copies").to_numpy()
-        n = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-        root = forest(len(ids), i, j, ids)
+        copies, n, group = rows.column("copies").to_numpy(), np.zeros(len(ids), np.int64), np.arange(len(ids))
+        for i, j in compare(x[one], x[one if same else two], shared.value, cosine, same):
+            i, j = one[i], (one if same else two)[j]
+            equal = lengths[i] == lengths[j]  # vectors of different length do not link
+            i, j = i[equal], j[equal]
+            np.add.at(n, i, copies[j])
+            np.add.at(n, j, copies[i])
+            merge(group, i, j)
+        least = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(least, group, ids)
+        root = least[group]
         met = n > 0
-        return pa.table({"vec_id": pa.array(ids[met]), "n": pa.array(n[met].astype(np.int64)), "root": pa.array(root[met])})
+        return pa.table({"vec_id": pa.array(ids[met]), "n": pa.array(n[met]), "root": pa.array(root[met])})
 
     return rows.groupBy("i", "j").applyInArrow(joined, "vec_id long, n long, root long")
 
