@@ -69,6 +69,7 @@ WHOLE = {
     "c2_names_inventory": q(f"SELECT {SHARED}, i.source_id, r.baseline_method AS inventory_method, 'dataset' AS item_kind, item_name AS item_id, item_name, item_name AS item_slug, {nothing('title', 'organization', 'tags', 'notes_excerpt')}, {API} || '/package_list' AS source_url, {API} AS api_base_url, ordinal, {NO_SPARQL} FROM fx_items i JOIN fx_registry r ON r.source_id = i.source_id AND r.protocol = 'ckan'"),
     "c3b_harvest_warning": q("SELECT source_id, status, rows_collected, CASE WHEN status = 'partial' THEN 'partial_current_package_list_with_resources' END AS type, CASE WHEN status = 'partial' THEN f END AS failed_offset, CASE WHEN status = 'partial' THEN lim END AS failed_limit, CASE WHEN status = 'partial' THEN failure END AS failure FROM statuses", *HARVESTS),
     "c4_sdmx_inventory": q(f"SELECT {SHARED}, i.source_id, r.baseline_method AS inventory_method, 'dataflow' AS item_kind, item_id, item_id AS item_name, title, {nothing('item_slug', 'organization', 'tags', 'notes_excerpt')}, base_url AS source_url, {HOST} || '/SDMXWS/rest' AS api_base_url, CAST(row_number() OVER (PARTITION BY i.source_id ORDER BY ordinal) AS INTEGER) AS ordinal, {NO_SPARQL} FROM fx_items i JOIN fx_registry r ON r.source_id = i.source_id AND r.protocol = 'sdmx' WHERE ordinal % 29 <> 0"),
+    "c4_sdmx_files": q("SELECT i.source_id, item_id, item_id AS item_name, title, CAST(row_number() OVER (PARTITION BY i.source_id ORDER BY ordinal) AS INTEGER) AS ordinal FROM fx_items i JOIN fx_registry r ON r.source_id = i.source_id AND r.protocol = 'sdmx' WHERE ordinal % 29 <> 0"),
     "c5b_sparql_inventory": q(f"SELECT {SHARED}, g.source_id, 'sparql_query' AS inventory_method, 'dataset' AS item_kind, g.dataset AS item_id, {NAME.replace('dataset', 'g.dataset')} AS item_name, title, {nothing('item_slug', 'organization', 'tags', 'notes_excerpt', 'api_base_url', 'issued', 'modified', 'landing_page')}, r.base_url AS source_url, CAST(row_number() OVER (PARTITION BY g.source_id ORDER BY first_pos, g.dataset) AS INTEGER) AS ordinal, u.v1 AS distribution_url, CAST(coalesce(distribution_count, u.n) AS INTEGER) AS distribution_count, replace(f.vs, ',', ', ') AS format, replace(t.vs, ',', ', ') AS theme "
         "FROM grouped g JOIN uniq u ON u.kind = 'u' AND u.dataset = g.dataset AND u.source_id = g.source_id JOIN uniq f ON f.kind = 'f' AND f.dataset = g.dataset AND f.source_id = g.source_id JOIN uniq t ON t.kind = 't' AND t.dataset = g.dataset AND t.source_id = g.source_id LEFT JOIN fx_registry r ON r.k % 5 = 2 AND g.source_id = 's' || CAST((r.k - 2) // 5 AS STRING)", GROUPED),
     "c6_enriched_texts": q(f"SELECT source_id, item_id, title AS enriched_title, {TAGS} AS enriched_tags, 'nota ' || item_id AS enriched_notes FROM fx_items WHERE {PAGE_OK}"),

@@ -9,7 +9,7 @@ from catalume.fixtures import view
 from catalume.functions import text as T
 from catalume.operators import build, changes, check, inventory, radar
 from catalume.plans import queries as base
-from catalume.sources import parse, tables
+from catalume.sources import flows, parse, tables
 
 
 def _of_protocol(spark, d, df: DataFrame, protocol: str) -> DataFrame:
@@ -29,8 +29,16 @@ def c2_names_inventory(spark, d):
 
 def c4_sdmx_inventory(spark, d):
     """Flows of several bodies a source; ordinals count through them."""
-    flows = parse.sdmx_items(_of_protocol(spark, d, base._flows(base._items(spark, d)), "sdmx"))
-    return base._shown(parse.inventory_rows(flows, base._registry(spark, d), "sdmx", base._now()))
+    found = parse.sdmx_items(_of_protocol(spark, d, base._flows(base._items(spark, d)), "sdmx"))
+    return base._shown(parse.inventory_rows(found, base._registry(spark, d), "sdmx", base._now()))
+
+
+def c4_sdmx_files(spark, d):
+    """The same listings as files, some of which break off: landed flow by flow, then numbered."""
+    path, out = base._scratch(spark, "listings"), base._scratch(spark, "flows")
+    _of_protocol(spark, d, base._flows(base._items(spark, d)), "sdmx").write.partitionBy("source_id", "start").text(path)
+    flows.land_flows(spark, path, out)
+    return flows.flow_items(spark, out)
 
 
 def _sparql_registry(spark, d) -> DataFrame:
@@ -216,6 +224,7 @@ WHOLE = {
     "c2_names_inventory": c2_names_inventory,
     "c3b_harvest_warning": c3b_harvest_warning,
     "c4_sdmx_inventory": c4_sdmx_inventory,
+    "c4_sdmx_files": c4_sdmx_files,
     "c5b_sparql_inventory": c5b_sparql_inventory,
     "c6_enriched_texts": lambda s, d: parse.ckan_enrich(view(s, d, "fx_ckan_packages")).select("source_id", "item_id", "enriched_title", "enriched_tags", "enriched_notes"),
     "c10_enrich_requests": c10_enrich_requests,
