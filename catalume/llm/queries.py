@@ -103,8 +103,22 @@ QUERIES = {
     "op13_filter_audit": op13_filter_audit,
 }
 
+#: Components of `links` (a, b: both ways) over the documents or vectors of `nodes` (id), by all that can be reached.
+_REACHED = "reached(id, other) AS (SELECT id, id FROM nodes UNION SELECT r.id, l.b FROM reached r JOIN links l ON l.a = r.other)"
+
 #: What SQL can express. The texts of conversations hold no tool calls, so op5_chat_format's message is its content and role; op5_tool_calls adds calls.
 ORACLES: dict[str, str] = {
+    "op1_grid_join": f"""WITH RECURSIVE vectors AS (SELECT vec_id AS id, row_number() OVER () AS row, CAST(embedding AS DOUBLE[]) AS x, coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND len(list_filter(embedding, lambda y: y <> 0)) > 0, false) AS good FROM embeddings),
+  pairs AS (SELECT a.id AS a, b.id AS b FROM vectors a JOIN vectors b ON a.row <> b.row AND a.good AND b.good AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+  links AS (SELECT DISTINCT a, b FROM pairs), nodes AS (SELECT id FROM vectors), {_REACHED},
+  least AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id), counted AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT v.id AS vec_id, coalesce(c.n, 0) AS n_links, l.component_id, v.id = l.component_id AS kept FROM vectors v JOIN least l ON l.id = v.id LEFT JOIN counted c ON c.a = v.id""",
+    "op6_jaccard_join": f"""WITH RECURSIVE words AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+  sets AS (SELECT id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+  flat AS (SELECT id, len(s) AS n, hash(unnest(s)) AS h FROM sets),
+  links AS (SELECT a.id AS a, b.id AS b FROM flat a JOIN flat b ON a.h = b.h AND a.id <> b.id GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+  nodes AS (SELECT id FROM words), {_REACHED}
+SELECT s.id AS doc_id, len(s.s) AS n_shingles, r.component_id FROM sets s JOIN (SELECT id, min(other) AS component_id FROM reached GROUP BY id) r ON r.id = s.id""",
     "op5_chat_format": """SELECT conv_id, turn, role, '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' AS message,
   turn AS order_turn, CAST(0 AS INTEGER) AS order_step, CAST(0 AS INTEGER) AS n_calls, CAST(0 AS INTEGER) AS n_valid, CAST(NULL AS BOOLEAN) AS linked FROM conversations""",
     "op5_tool_calls": """WITH base AS (SELECT *, CAST(turn AS VARCHAR) AS t, ((conv_id * 3 + turn) % 6 + 6) % 6 AS kind, ((turn % 4) + 4) % 4 >= 2 AS two, ((conv_id + turn) % 7 = 0) AS gone, ((conv_id + turn) % 5 = 0) AS early,
