@@ -114,7 +114,7 @@ ORACLES: dict[str, str] = {
   least AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id), counted AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
 SELECT v.id AS vec_id, coalesce(c.n, 0) AS n_links, l.component_id, v.id = l.component_id AS kept FROM vectors v JOIN least l ON l.id = v.id LEFT JOIN counted c ON c.a = v.id""",
     "op6_jaccard_join": f"""WITH RECURSIVE words AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-  sets AS (SELECT id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+  sets AS (SELECT id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4])) END AS s FROM words),
   flat AS (SELECT id, len(s) AS n, hash(unnest(s)) AS h FROM sets),
   links AS (SELECT a.id AS a, b.id AS b FROM flat a JOIN flat b ON a.h = b.h AND a.id <> b.id GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
   nodes AS (SELECT id FROM words), {_REACHED}
