@@ -77,6 +77,7 @@ WHOLE = {
         "asked AS (SELECT i.*, CASE WHEN ordinal % 5 = 0 THEN 'https://api.test/x' ELSE r.base_url END AS base, CASE WHEN ordinal % 4 = 0 THEN 'slug-' || item_id ELSE item_name END AS name, CASE WHEN r.protocol IN ('ckan', 'sdmx') THEN r.protocol WHEN landing_page IS NULL THEN 'none' WHEN scraping_blocked THEN 'blocked' ELSE 'html' END AS kind FROM fx_items i LEFT JOIN fx_registry r ON r.source_id = i.source_id)"),
     "c14_check_result": q(f"SELECT '2001-08-12 00:00:00' AS check_timestamp, source_id, item_id, item_name, title, CAST(NULL AS STRING) AS organization, CASE WHEN {PAGE_OK} THEN {TAGS} ELSE tags END AS tags, CASE WHEN {PAGE_OK} THEN 'nota ' || item_id END AS notes, url AS url_checked, http_status, reachable, CASE WHEN url IS NULL THEN 'url_missing_or_invalid' END AS check_notes, granularity, year_min, year_max, format AS resource_format, enrich_method, needs_review, intake_score, (intake_score >= 40 AND NOT needs_review) AS intake_candidate FROM rc3", *RESULT),
     "j1_stream_responses": q(f"SELECT '2001-08-12 00:00:00' AS check_timestamp, source_id, item_id, item_name, title, CAST(NULL AS STRING) AS organization, tags, notes, url AS url_checked, http_status, reachable, CASE WHEN url IS NULL THEN 'url_missing_or_invalid' END AS check_notes, granularity, year_min, year_max, resource_format, enrich_method, needs_review, intake_score, (intake_score >= 40 AND NOT needs_review) AS intake_candidate FROM js3 UNION ALL BY NAME SELECT strftime(check_timestamp, '%Y-%m-%d %H:%M:%S') AS check_timestamp, source_id, item_id, intake_score FROM fx_existing_checks i WHERE NOT ({DUE})", *STREAMED),
+    "k2_own_enricher": q("SELECT e.source_id, e.item_id, CASE WHEN i.ordinal % 9 = 0 THEN 'https://own.test/' || i.item_id ELSE e.resource_url END AS resource_url, CASE WHEN i.ordinal % 9 = 0 THEN 'CSV' ELSE e.resource_format END AS resource_format, CASE WHEN i.ordinal % 9 = 0 THEN 'comune' ELSE e.granularity END AS granularity, CASE WHEN i.ordinal % 9 = 0 THEN 1990 ELSE e.year_min END AS year_min, CASE WHEN i.ordinal % 9 = 0 THEN 2000 ELSE e.year_max END AS year_max, CASE WHEN i.ordinal % 9 = 0 THEN 'own' ELSE e.enrich_method END AS enrich_method FROM enr e JOIN fx_items i ON i.source_id = e.source_id AND i.item_id = e.item_id", STREAMED[0]),
     "k1_inventory_build": q(f"SELECT {SHARED}, f.*, {nothing('notes_excerpt', 'issued', 'modified', 'landing_page', 'format', 'theme')} FROM bf f JOIN fx_registry r ON r.source_id = f.source_id", *BUILT),
     "d9_build_report": q(f"SELECT r.source_id, r.protocol, {STATUS} WHEN k IN (6, 7, 16, 20, 21, 22) THEN 'error' ELSE 'ok' END AS status, baseline_method AS method, CASE WHEN NOT {SKIP} AND k NOT IN (6, 7, 16, 20, 21, 22) THEN c.n END AS row_count, CASE WHEN NOT {SKIP} THEN CASE k WHEN 6 THEN 'invalid XML' WHEN 7 THEN 'invalid JSON' WHEN 16 THEN 'HTTP 500' WHEN 20 THEN 'package_list: HTTP 503' WHEN 21 THEN 'no rows' WHEN 22 THEN 'no bindings' END END AS error, {REASON}, "
         "CASE k WHEN 0 THEN 'skip_current_package_list' WHEN 18 THEN 'skip_current_package_list_with_package_show_sample' WHEN 10 THEN 'fallback_current_package_list_with_resources' WHEN 15 THEN 'fallback_package_list' END AS warning, CASE k WHEN 10 THEN 'package_search: success is false' WHEN 15 THEN 'package_search: no rows' END AS package_search_error, CASE k WHEN 15 THEN 'current_package_list_with_resources: success is false' END AS current_list_error, "

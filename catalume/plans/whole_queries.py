@@ -89,6 +89,16 @@ def c10_enrich_requests(spark, d):
     return parse.enrich_requests(items, base._registry(spark, d))
 
 
+def k2_own_enricher(spark, d):
+    """The dispatch with an enricher of one's own, which knows every ninth item and comes before all others."""
+    fields = {"resource_url": F.concat(F.lit("https://own.test/"), "item_id"), "resource_format": F.lit("CSV"), "granularity": F.lit("comune"), "year_min": F.lit(1990), "year_max": F.lit(2000), "enrich_method": F.lit("own")}
+    parse.register_enricher("ninth", lambda items: items.where("ordinal % 9 = 0").select("source_id", "item_id", F.struct(*[c.alias(k) for k, c in fields.items()]).alias("enrich")))
+    try:
+        return base.c10_enrich_sdmx(spark, d)
+    finally:
+        del parse.ENRICHERS["ninth"]
+
+
 def e1_full_report(spark, d):
     outcomes = base._report(spark, d, "cur").select("source_id", F.when(F.col("status") == "error", F.col("error")).alias("error"), F.when(F.col("row_count") % 2 == 0, "retry_backoff").alias("warning"))
     return changes.full_report(inventory.route_sources(base._registry(spark, d)), base._items(spark, d), outcomes)
@@ -242,6 +252,7 @@ WHOLE = {
     "e11_sample_warning": e11_sample_warning,
     "g3_ordered_diff": lambda s, d: changes.ordered(changes.report_diff(base._report(s, d, "prev"), base._report(s, d, "cur"))),
     "h3_plan_metrics": h3_plan_metrics,
+    "k2_own_enricher": k2_own_enricher,
     "i5_sdmx_urls": i5_sdmx_urls,
     "i14_run_ts": lambda s, d: base._shown(s.read.parquet(f"{d}/events.parquet").select("event_id", T.run_ts(F.col("ts").cast("timestamp")).alias("run_ts"))),
     "i17_inventory_settings": lambda s, d: inventory.with_settings(base._registry(s, d)).select("source_id", *inventory.SETTINGS),
