@@ -156,10 +156,10 @@ def annotation(name: str) -> Column:
 
 def sdmx_enrich(responses: DataFrame, observations: DataFrame | None = None) -> DataFrame:
     """Keywords and years of annotation bodies (item_id, body, perhaps source_id and status_code); where keywords hold no year, those of observation bodies of the same keys."""
-    xml = _usable_xml(responses)
-    raw, keys = annotation("LAYOUT_DATAFLOW_KEYWORDS"), _keys(responses)
+    xml = _usable_xml(responses).withColumns({"raw": annotation("LAYOUT_DATAFLOW_KEYWORDS"), "meta": annotation("METADATA_URL")})  # each is a walk over the body
+    raw, keys = F.col("raw"), _keys(responses)
     words = F.filter(F.transform(F.split(raw, "[+,]"), lambda x: F.lower(stripped(x))), lambda x: x != "")
-    out = xml.select(*keys, F.array_join(F.slice(words, 1, 10), ", ").alias("tags"), F.left(raw, F.lit(300)).alias("notes"), granularity(F.coalesce(raw, F.lit(""))).alias("granularity"), year_min(raw).alias("year_min"), year_max(raw).alias("year_max"), given(annotation("METADATA_URL")).alias("resource_url"), F.lit("SDMX").alias("resource_format"), F.lit("sdmx_dataflow_annotations").alias("enrich_method"))
+    out = xml.select(*keys, F.array_join(F.slice(words, 1, 10), ", ").alias("tags"), F.left(raw, F.lit(300)).alias("notes"), granularity(F.coalesce(raw, F.lit(""))).alias("granularity"), year_min(raw).alias("year_min"), year_max(raw).alias("year_max"), given(F.col("meta")).alias("resource_url"), F.lit("SDMX").alias("resource_format"), F.lit("sdmx_dataflow_annotations").alias("enrich_method"))
     if observations is None:
         return out
     seen = sdmx_years(observations).groupBy(*keys).agg(F.min("year_min").alias("obs_min"), F.max("year_max").alias("obs_max"))
@@ -171,8 +171,8 @@ def sdmx_years(responses: DataFrame) -> DataFrame:
     """First and last year of observation bodies (item_id, body): TIME_PERIOD as a key's value or as an attribute."""
     xml = _usable_xml(responses)
     paths = ("//*[local-name()='ObsKey']/*[local-name()='Value'][@id='TIME_PERIOD']/@value", "//*[local-name()='Obs']/@TIME_PERIOD", "//*[local-name()='ObsValue']/@TIME_PERIOD")
-    text = F.concat_ws(" ", *[F.array_join(F.xpath("xml", F.lit(x)), " ") for x in paths])
-    return xml.select(*_keys(responses), year_min(text).alias("year_min"), year_max(text).alias("year_max"))
+    text = F.array_join(F.xpath("xml", F.lit(" | ".join(paths))), " ")  # one walk for all
+    return xml.withColumn("found", years(text)).select(*_keys(responses), F.array_min("found").alias("year_min"), F.array_max("found").alias("year_max"))
 
 
 #: Column of flat bindings -> variables of result bodies, the first given one counts. Spark takes distributionURL and distributionUrl for one name, so they share a column.

@@ -150,12 +150,14 @@ def merge(spark: SparkSession, path: str, new: DataFrame, keep: Callable[[DataFr
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
-    """Delete versions but the last `keep`, and data that none of these names, such as that of writes that died; how many folders went. No write may be under way."""
+    """Delete versions but the last `keep`, and data that none of these names, such as that of writes that died, with what they had staged; how many folders went. No write may be under way."""
     known = numbers(spark, path)
     held = {x for n in known[-keep:] for x in version(spark, path, n).folders.values()}
     for n in known[:-keep]:
         fs, where = _fs(spark, f"{path}/versions/{n:020}.json")
         fs.delete(where, False)
+    fs, where = _fs(spark, f"{path}/staged")
+    fs.delete(where, True)
     fs, where = _fs(spark, f"{path}/data")
     gone = [x.getPath() for x in fs.listStatus(where) if x.getPath().getName() not in held] if fs.exists(where) else []
     for x in gone:
