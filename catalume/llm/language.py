@@ -27,7 +27,7 @@ NGRAM = 4
 MISSING = 1.0  # how many times less often than once a word counts where a language lacks it
 EVIDENCE = 20  # words of a text that count as evidence, at most
 BROADCAST = 1 << 16  # languages whose counts are sent to all executors
-CACHE = 200_000
+CACHE = 100_000  # words that a task keeps, and four times as many of their entries
 SLICE, NUMBERS = 256, 1 << 20  # texts whose words are scored at once, and their scores by language, at most
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -85,9 +85,9 @@ class Model:
             rows.append(left[owner[gram]])
             languages.append(language)
             above.append(add / hits[owner[gram]])
-        row, language, add = np.concatenate(rows), np.concatenate(languages), np.concatenate(above)
-        order = np.argsort(row, kind="stable")
-        return level, row[order], language[order], add[order]
+        many = max(1, len(self.languages))
+        pairs, place = np.unique(np.concatenate(rows) * many + np.concatenate(languages), return_inverse=True)  # n-grams of a word share languages
+        return level, pairs // many, (pairs % many).astype(np.int32), np.bincount(place, np.concatenate(above), len(pairs))
 
 
 def hashed(terms: list[str]) -> np.ndarray:
@@ -138,16 +138,16 @@ class Words:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.level, self.cuts, self.language, self.above = np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.level, self.cuts, self.language, self.above = np.zeros(0, np.int8), np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0)
 
     def numbers(self, words: list[str], m: Model) -> np.ndarray:
         """The number of each word; new ones are looked up in m."""
-        if len(self.known) > CACHE or len(self.above) > 8 * CACHE:
+        if len(self.known) > CACHE or len(self.above) > 4 * CACHE:
             self.clear()
         if fresh := [w for w in dict.fromkeys(words) if w not in self.known]:
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
             level, row, language, above = m.weighed(fresh)
-            self.level = np.concatenate([self.level, level])
+            self.level = np.concatenate([self.level, level.astype(np.int8)])
             self.cuts = np.concatenate([self.cuts, self.cuts[-1] + np.cumsum(np.bincount(row, minlength=len(fresh)))])
             self.language, self.above = np.concatenate([self.language, language]), np.concatenate([self.above, above])
         return np.array([self.known[w] for w in words])
@@ -180,9 +180,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         level = seen.level[at]
         told = np.zeros((len(some), NGRAM + 1))
         np.add.at(told, (text[level >= 0], level[level >= 0]), times[level >= 0])
-        sums = told @ m.lacking
         which, language, add = seen.entries(at)
-        np.add.at(sums, (text[which], language), times[which] * add)
+        sums = told @ m.lacking + np.bincount(text[which] * len(m.languages) + language, times[which] * add, len(some) * len(m.languages)).reshape(len(some), -1)
         n = told.sum(1)
         best = sums.argmax(1)
         apart = (sums - sums[np.arange(len(some)), best][:, None]) * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None]
