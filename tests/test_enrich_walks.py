@@ -34,3 +34,8 @@ def test_first_text_of_annotations(spark):
     }
     df = spark.createDataFrame([(k, f"<a>{b}</a>") for k, (b, _) in bodies.items()], "item_id string, body string")
     assert {r.item_id: r.resource_url for r in parse.sdmx_enrich(df).collect()} == {k: x for k, (_, x) in bodies.items()}
+
+
+def test_a_package_is_read_once(spark):
+    plan = _plan(parse.ckan_enrich(view(spark, SF, "fx_ckan_packages")))
+    assert not [x for x in plan.splitlines() if x.lstrip(" :+-").startswith("Filter") and "variant_get" in x]
