@@ -39,3 +39,17 @@ def test_first_text_of_annotations(spark):
 def test_a_package_is_read_once(spark):
     plan = _plan(parse.ckan_enrich(view(spark, SF, "fx_ckan_packages")))
     assert not [x for x in plan.splitlines() if x.lstrip(" :+-").startswith("Filter") and "variant_get" in x]
+
+
+def test_enrichments_are_sorted_once(spark):
+    out = base.c10_enrich_dispatch(spark, SF)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Union")]
+    assert above.count("Sort ") == 1 and above.count("Exchange") == 1
+
+
+def test_bodies_of_other_protocols_are_not_parsed(spark):
+    registry = spark.createDataFrame([("a", "ckan"), ("b", "sdmx"), ("c", None), ("d", "")], "source_id string, protocol string")
+    rows = spark.createDataFrame([(x,) for x in "abcde"], "source_id string")
+    assert sorted(r.source_id for r in parse.of_protocol(rows, registry, "ckan").collect()) == ["a", "c", "d", "e"]
+    assert sorted(r.source_id for r in parse.of_protocol(rows, registry, "sdmx").where(F.col("source_id") < "c").collect()) == ["b"]
