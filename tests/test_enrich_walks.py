@@ -14,6 +14,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("body", ["<a/> trailing", "<a/><b/>", "<a>", "x", "<a>&nope;</a>", "<a x='1' x='2'/>"])
 def test_what_is_no_xml_is_absent(spark, body):
     df = spark.createDataFrame([("1", body), ("2", "<a><Obs TIME_PERIOD='2001'/></a>")], "item_id string, body string")
     assert [r.item_id for r in parse.sdmx_enrich(df).collect()] == ["2"]
@@ -53,3 +54,12 @@ def test_bodies_of_other_protocols_are_not_parsed(spark):
     rows = spark.createDataFrame([(x,) for x in "abcde"], "source_id string")
     assert sorted(r.source_id for r in parse.of_protocol(rows, registry, "ckan").collect()) == ["a", "c", "d", "e"]
     assert sorted(r.source_id for r in parse.of_protocol(rows, registry, "sdmx").where(F.col("source_id") < "c").collect()) == ["b"]
+
+
+def test_states_are_grouped_once_and_carry_what_is_there(spark):
+    states = parse.group_bindings(view(spark, SF, "fx_bindings"))
+    assert "publisher" in states.columns and "landing_page" in states.columns
+    plan = _plan(parse.sparql_catalog(states))
+    joins = [x for x in plan.splitlines() if x.lstrip(" :+-").startswith("Join")]
+    grouped = [x for x in plan.splitlines() if x.lstrip(" :+-").startswith("Aggregate") and "collect_list" in x]
+    assert len(joins) == 1 and len(grouped) == 1 and "publisher#" not in "".join(grouped)
