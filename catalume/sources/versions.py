@@ -166,10 +166,10 @@ def vacuum(spark: SparkSession, path: str, keep: int = 2) -> int:
 
 
 def newest_row(old: DataFrame, new: DataFrame, keys: tuple[str, ...], order: Column, columns: list[str], new_wins: bool = True) -> DataFrame:
-    """Of the rows of both that share keys the one of the greatest order; of equal ones a new one (if new_wins), then the greatest in the other columns. Nulls are least."""
+    """Of the rows of both that share keys the one of the greatest order; of equal ones a new one (if new_wins), then the greatest in the other columns. Nulls are least. Rows are dealt out by key before they are sorted, once, as few of one task share keys."""
     rest = [c for c in columns if c not in keys]
     both = old.withColumn("__new", F.lit(False)).unionByName(new.withColumn("__new", F.lit(new_wins)), allowMissingColumns=True)
-    return both.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, "__new", *[_ordered(both, c) for c in rest])).alias("row")).select(*keys, "row.*").select(*columns)
+    return both.repartition(*keys).groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, "__new", *[_ordered(both, c) for c in rest])).alias("row")).select(*keys, "row.*").select(*columns)
 
 
 def _ordered(df: DataFrame, column: str) -> Column:
