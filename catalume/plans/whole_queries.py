@@ -175,7 +175,7 @@ def _build_responses(spark, d) -> DataFrame:
     """Landed responses of all protocols, in pages. CKAN: search answers for sources 3 and 13, is empty for 15 and fails for the others; the list fails for 20; the current list times out on page 2 for 10
     and fails for 15; packages are shown for 18, some not. SDMX: malformed bodies for 6, a status for 16, nothing for 21. SPARQL: a page instead of JSON for 7, no bindings for 22."""
     k, n = F.col("k"), F.col("ordinal")
-    items = base._items(spark, d).join(base._registry(spark, d).select("source_id", "k", "protocol", "base_url"), "source_id")
+    items = base._kept(spark, base._items(spark, d), "items").join(base._registry(spark, d).select("source_id", "k", "protocol", "base_url"), "source_id")
     ckan, api = items.where("protocol = 'ckan'"), F.regexp_replace("base_url", "/package_list.*", "")
     ok, json = F.lit(200), F.lit("application/json")
     blank = lambda kind: F.lit(None).cast(kind)
