@@ -36,7 +36,10 @@ def c4_sdmx_inventory(spark, d):
 def c4_sdmx_files(spark, d):
     """The same listings as files, some of which break off: landed flow by flow, then numbered."""
     path, out = base._scratch(spark, "listings"), base._scratch(spark, "flows")
-    _of_protocol(spark, d, base._flows(base._items(spark, d)), "sdmx").write.partitionBy("source_id", "start").text(path)
+    listings = base._flows(_of_protocol(spark, d, base._items(spark, d), "sdmx"))
+    # a file costs more than its few bytes, so listings are dealt out by number to all cores, and tasks put files in place themselves
+    dealt = listings.repartition(4 * spark.sparkContext.defaultParallelism, "source_id", "start")
+    dealt.write.partitionBy("source_id", "start").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     flows.land_flows(spark, path, out)
     return flows.flow_items(spark, out)
 

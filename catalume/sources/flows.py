@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,15 +16,30 @@ LANDED = "source_id string, start long, file string, at long, item_id string, ti
 ASIDE = "source_id string, start long, file string, reason string"
 
 
+@contextmanager
+def _listed_in_turn(spark: SparkSession) -> Iterator[None]:
+    """Let folders be listed by as many tasks as there are cores, many folders a task, where Spark would start a task for each of up to 10,000 folders of a source."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_flows(spark: SparkSession, path: str) -> DataFrame:
     """Each Dataflow of the XML files below path/source_id=../start=.., with its file and `at`, which rises through a file; flows that are no XML have _corrupt_record."""
-    rows = spark.read.format("xml").schema(FLOW).options(rowTag="Dataflow", ignoreNamespace="true", nullValue="\u0000", mode="PERMISSIVE").load(path)
+    rows = spark.read.format("xml").schema(FLOW).options(rowTag="Dataflow", ignoreNamespace="true", nullValue="\u0000", mode="PERMISSIVE")
+    with _listed_in_turn(spark):
+        rows = rows.load(path)
     return rows.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
 
 
 def unfinished(spark: SparkSession, path: str) -> DataFrame:
     """ASIDE rows of files whose text does not end by closing an element, such as those that broke off."""
-    lines = spark.read.schema("value string, source_id string, start long").text(path)
+    with _listed_in_turn(spark):
+        lines = spark.read.schema("value string, source_id string, start long").text(path)
     tails = lines.where("value rlike '\\\\S'").select("source_id", "start", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.right("value", F.lit(300)).alias("tail"))
     last = tails.groupBy("source_id", "start", "file").agg(F.max_by("tail", F.struct("block", "at")).alias("tail"))
     return last.where("not tail rlike '</[^<>\\\\s]+\\\\s*>\\\\s*$'").select("source_id", "start", "file", F.lit("breaks off").alias("reason"))
